@@ -76,11 +76,11 @@ def valid_label(label: Column | str) -> Column:
 def stream_of_path(path: Column | str) -> Column:
     """Stream name = the part between ``/raw/`` and ``/label=…`` (or the file name).
 
-    Routed frames live under ``<channel>/route=<key>/label=…`` -> ``<channel>/<key>``.
+    Routed frames live under ``channel=<c>/route=<key>/label=…`` -> ``<c>/<key>``.
     """
     p = _c(path)
     in_label_dir = F.regexp_replace(
-        F.regexp_extract(p, r"/raw/(.+?)/label=[^/]+/[^/]+$", 1), "route=", "")
+        F.regexp_extract(p, r"/raw/(.+?)/label=[^/]+/", 1), r"(channel|route)=", "")
     flat = F.regexp_extract(p, r"/raw/(.+)/[^/]+$", 1)
     return F.when(in_label_dir != "", in_label_dir).otherwise(flat)
 
@@ -88,6 +88,6 @@ def stream_of_path(path: Column | str) -> Column:
 def label_of_path(path: Column | str) -> Column:
     """Label from a ``label=`` directory, else the file stem (``2026-03-01T15.jsonl``)."""
     p = _c(path)
-    from_dir = F.regexp_extract(p, r"/label=([^/]+)/[^/]+$", 1)
+    from_dir = F.regexp_extract(p, r"/label=([^/]+)/", 1)
     stem = F.regexp_extract(p, r"/([^/]+?)(\.[^./]*)?$", 1)
     return F.when(from_dir != "", from_dir).otherwise(stem)

@@ -87,6 +87,19 @@ def read_manifest(spark: SparkSession, table_root: str) -> DataFrame:
     return spark.read.schema(MANIFEST_SCHEMA).parquet(path)
 
 
+def typed_records(df, raw: str, stream: str, ddl: str | None = None, schema=None):
+    """JSON-text records -> ``_good`` flag, typed ``_rec`` struct and ``_extra``
+    (unknown top-level keys as ``map<string,variant>``; dropped fields never parsed)."""
+    spec = spec_for(stream, ddl)
+    schema = schema or spec.schema
+    known = [f.name for f in schema.fields] + list(spec.drop_fields)
+    good = J.strict_json(raw) & (J.json_shape(raw) == "object")
+    extra = F.map_filter(F.from_json(raw, "map<string,variant>"),
+                         lambda k, v: ~F.array_contains(F.array(*[F.lit(x) for x in known]), k))
+    return df.withColumn("_good", good).withColumn("_rec", F.from_json(raw, schema)) \
+        .withColumn("_extra", extra)
+
+
 def parse_raw(spark: SparkSession, paths: list[str], stream: str, ddl: str | None = None) -> DataFrame:
     """Read raw JSONL files of one stream into typed rows + ``_extra`` + a good/bad flag.
 
@@ -99,20 +112,24 @@ def parse_raw(spark: SparkSession, paths: list[str], stream: str, ddl: str | Non
     else:   # undeclared stream: one inference pass over exactly these files
         schema = T.StructType([f for f in spark.read.json(paths).schema.fields
                                if f.name != "_corrupt_record"])
-    known = [f.name for f in schema.fields] + list(spec.drop_fields)
-    text = spark.read.text(paths).select(
+    # the paths are leaf files we just listed: stat them on the driver instead
+    # of launching a parallel listing job with one task per file
+    key = "spark.sql.sources.parallelPartitionDiscovery.threshold"
+    prev = spark.conf.get(key)
+    spark.conf.set(key, str(max(int(prev), min(len(paths) + 1, 10000))))
+    try:
+        base = spark.read.text(paths)
+    finally:
+        spark.conf.set(key, prev)
+    text = base.select(
         inv.norm_path(F.col("_metadata.file_path")).alias("path"),
         F.col("_metadata.file_size").alias("size"),
         F.unix_millis(F.col("_metadata.file_modification_time")).alias("mtime_ms"),
         F.col("value").alias("raw"))
-    text = text.where(J.stripped("raw") != "")
-    good = J.strict_json("raw") & (J.json_shape("raw") == "object")
-    rec = F.from_json("raw", schema)
-    extra = F.map_filter(F.from_json("raw", "map<string,variant>"),
-                         lambda k, v: ~F.array_contains(F.array(*[F.lit(x) for x in known]), k))
+    text = typed_records(text.where(J.stripped("raw") != ""), "raw", stream, ddl, schema)
     label = L.label_of_path("path")
     return text.select(
-        "path", "raw", good.alias("_good"), rec.alias("_rec"), extra.alias("_extra"),
+        "path", "raw", "_good", "_rec", "_extra",
         F.lit(stream).alias("stream"), L.label_dt(label).alias("dt"), L.label_hour(label).alias("hour"),
         slice_id(F.col("path"), F.col("size"), F.col("mtime_ms")).alias("src"))
 

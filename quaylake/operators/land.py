@@ -71,15 +71,32 @@ def land_jsonl(df: DataFrame, raw_root: str, stream: str, daily: bool = False,
     return path
 
 
-def metadata_json(record: Column | str, fetched_at: Column, source: Column) -> Column:
-    """JSON text ``{"_fetched_at":…, "_source":…, **record}``: the record's own keys win."""
+def with_defaults_json(record: Column | str, defaults: list[tuple[str, Column]]) -> Column:
+    """``{**defaults, **record}`` on JSON text: keys come first, the record's own values win."""
     rec = F.from_json(J._c(record), "map<string,variant>")
-    meta = F.from_json(F.to_json(F.struct(fetched_at.cast("double").alias("_fetched_at"),
-                                          source.cast("string").alias("_source"))), "map<string,variant>")
+    meta = F.from_json(F.to_json(F.struct(*[c.alias(k) for k, c in defaults])), "map<string,variant>")
     meta = F.map_filter(meta, lambda k, v: ~F.array_contains(F.map_keys(rec), k))
     return F.to_json(F.map_concat(meta, rec))
 
 
+def metadata_json(record: Column | str, fetched_at: Column, source: Column) -> Column:
+    """JSON text ``{"_fetched_at":…, "_source":…, **record}``: the record's own keys win."""
+    return with_defaults_json(record, [("_fetched_at", fetched_at.cast("double")),
+                                       ("_source", source.cast("string"))])
+
+
+def tag_key(record: Column | str, key: str, value: Column) -> Column:
+    """``{key: value, **payload}``: the id is added, the payload's own value wins (P10)."""
+    return with_defaults_json(record, [(key, value)])
+
+
+def wrap_non_object(record: Column | str, key: str, value: Column, data_key: str = "data") -> Column:
+    """Object entries are tagged (P10); anything else becomes ``{key: value, "data": entry}``."""
+    r = J._c(record)
+    wrapped = F.to_json(F.struct(value.alias(key), F.parse_json(r).alias(data_key)))
+    return F.when(J.json_shape(r) == "object", tag_key(r, key, value)).otherwise(wrapped)
+
+
 def land_routed(routed: DataFrame, raw_root: str, channel: str, daily: bool = False) -> str:
     """Write routed frames (columns ``route``, ``line``, ``_fetched_at``) in one pass (K3)."""
     out = with_label(routed.select("route", "line", "_fetched_at"), daily).select("route", "label", "line")

@@ -1,25 +1,41 @@
 """Query catalogue part 2: queries that land, compact, stream and read back.
 
 Intermediate files go to a fresh folder under the cluster's shared
-``spark.checkpoint.dir`` (never a machine-local temp folder).
+``spark.checkpoint.dir`` (never a machine-local temp folder). The landed and
+compacted ``events`` table is built once per Spark application and input
+folder and shared by the read-only queries; queries that mutate (reruns, late
+files, retention, streams) build their own.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
+from quaylake.functions import jsonfn as J
 from quaylake.functions import labels as L
-from quaylake.operators.compact import compact
-from quaylake.operators.land import land_jsonl
+from quaylake.functions import casts as C
+from quaylake.functions.predicates import fetched_after
+from quaylake.operators import compact as CP
+from quaylake.operators import discovery as D
+from quaylake.operators import market as M
+from quaylake.operators import state as ST
+from quaylake.operators.land import land_jsonl, wrap_non_object
 from quaylake.plans.catalog import FIXED_NOW, HOUR_NOW, table
 from quaylake.session import scratch_dir
-from quaylake.sources.tables import scan_table
+from quaylake.sources import inventory as inv
+from quaylake.sources import pages as PG
+from quaylake.sources.tables import scan_dt, scan_hour_files, scan_jsonl, scan_table
+from quaylake.streaming import jobs as S
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
 
 EVENTS_STREAM = "feed/events"
 EVENTS_DDL = "event_id BIGINT, ts_us BIGINT, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
+_CLOSED = f"strftime(ts, '%Y-%m-%dT%H') < '{HOUR_NOW}'"
+_SHARED: dict = {}
 
 
 def query(name: str, sql: str | None = None):
@@ -37,30 +53,52 @@ def event_records(spark, sf):
                      "event_type", "value", "props", L.epoch_seconds("ts").alias("_fetched_at"))
 
 
-def land_and_compact(spark, sf, name: str):
-    root = scratch_dir(spark, name)
-    land_jsonl(event_records(spark, sf), f"{root}/raw", EVENTS_STREAM)
-    report = compact(spark, f"{root}/raw", f"{root}/table", now=FIXED_NOW, ddl={EVENTS_STREAM: EVENTS_DDL})
-    return root, report
+def _land_events(spark, sf, raw, where=None):
+    recs = event_records(spark, sf)
+    if where is not None:
+        recs = recs.where(where)
+    land_jsonl(recs, raw, EVENTS_STREAM)
+
+
+def shared_lake(spark, sf):
+    """Land all events hourly, add a broken copy of every 'error' event, an
+    empty file and a stray stem; snapshot the inventory; compact. Cached per
+    application and input folder."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key in _SHARED:
+        return _SHARED[key]
+    root = scratch_dir(spark, "lake")
+    raw = f"{root}/raw"
+    _land_events(spark, sf, raw)
+    broken = (event_records(spark, sf).where(F.col("event_type") == "error")
+              .select(L.hour_label(L.from_epoch_seconds("_fetched_at")).alias("label"),
+                      F.format_string('{"event_id":%d,"ts_us":', "event_id").alias("value")))
+    broken.write.mode("append").partitionBy("label").text(f"{raw}/{EVENTS_STREAM}")
+    inv.write_text_file(spark, f"{raw}/{EVENTS_STREAM}/label=2024-01-02T03/empty.json", "")
+    inv.write_text_file(spark, f"{raw}/{EVENTS_STREAM}/old.jsonl", '{"event_id":-1}\n')
+    snapshot = CP.classify(inv.raw_inventory(spark, raw), FIXED_NOW).select("label", "status").distinct()
+    snapshot = spark.createDataFrame(snapshot.collect(), "label STRING, status STRING")
+    report = CP.compact(spark, raw, f"{root}/table", now=FIXED_NOW, ddl={EVENTS_STREAM: EVENTS_DDL})
+    report = spark.createDataFrame(report.collect(), CP.REPORT_SCHEMA)
+    _SHARED[key] = (root, report, snapshot)
+    return _SHARED[key]
 
 
 def flagship(spark, sf):
-    root, _ = land_and_compact(spark, sf, "flagship")
+    root, _, _ = shared_lake(spark, sf)
     t = scan_table(spark, f"{root}/table", EVENTS_STREAM)
     return t.groupBy(F.lit(EVENTS_STREAM).alias("stream"), "dt", "hour", "event_type") \
         .agg(F.count(F.lit(1)).alias("n"))
 
 
-_CLOSED = f"strftime(ts, '%Y-%m-%dT%H') < '{HOUR_NOW}'"
-
-
+# ---------------------------------------------------------------- compaction
 @query("compact_roundtrip", f"""
 SELECT event_id, epoch_us(ts) AS ts_us, user_id, event_type, value, props,
        epoch_us(ts) / 1000000.0 AS _fetched_at, 'feed/events' AS _source,
        strftime(ts, '%Y-%m-%d') AS dt, strftime(ts, '%H') AS hour
 FROM events WHERE {_CLOSED}""")
 def compact_roundtrip(spark, sf):
-    root, _ = land_and_compact(spark, sf, "roundtrip")
+    root, _, _ = shared_lake(spark, sf)
     return scan_table(spark, f"{root}/table", EVENTS_STREAM).drop("_extra")
 
 
@@ -69,5 +107,403 @@ SELECT 'feed/events' AS stream, strftime(ts, '%Y-%m-%d') AS dt, strftime(ts, '%H
 FROM events WHERE {_CLOSED} GROUP BY ALL""")
 def stream_volume_q(spark, sf):
     from quaylake.operators.monitor import stream_volume
-    root, _ = land_and_compact(spark, sf, "volume")
+    root, _, _ = shared_lake(spark, sf)
     return stream_volume(scan_table(spark, f"{root}/table", EVENTS_STREAM).withColumn("stream", F.lit(EVENTS_STREAM)))
+
+
+@query("compaction_report", f"""
+SELECT strftime(ts, '%Y-%m-%dT%H') AS label, count(*)::BIGINT AS rows,
+       count(*) FILTER (WHERE event_type = 'error')::BIGINT AS corrupt
+FROM events WHERE {_CLOSED} GROUP BY 1""")
+def compaction_report(spark, sf):
+    _, report, _ = shared_lake(spark, sf)
+    return (report.where(F.col("status") == "compacted").groupBy("label")
+            .agg(F.sum("rows").cast("bigint").alias("rows"), F.sum("corrupt").cast("bigint").alias("corrupt")))
+
+
+@query("inventory_eligible", f"""
+SELECT DISTINCT strftime(ts, '%Y-%m-%dT%H') AS label,
+       CASE WHEN strftime(ts, '%Y-%m-%dT%H') = '{HOUR_NOW}' THEN 'current'
+            WHEN strftime(ts, '%Y-%m-%dT%H') > '{HOUR_NOW}' THEN 'future' ELSE 'eligible' END AS status
+FROM events
+UNION ALL SELECT '2024-01-02T03', 'empty'
+UNION ALL SELECT 'old', 'bad_label'""")
+def inventory_eligible(spark, sf):
+    _, _, snapshot = shared_lake(spark, sf)
+    return snapshot
+
+
+@query("fetched_after", f"""
+SELECT event_id, event_type FROM events
+WHERE {_CLOSED} AND epoch_us(ts) / 1000000.0 > {dt.datetime(2024, 1, 20, 6, tzinfo=dt.timezone.utc).timestamp()}""")
+def fetched_after_q(spark, sf):
+    root, _, _ = shared_lake(spark, sf)
+    t = scan_table(spark, f"{root}/table", EVENTS_STREAM)
+    cut = dt.datetime(2024, 1, 20, 6, tzinfo=dt.timezone.utc).timestamp()
+    return t.where(fetched_after("_fetched_at", cut)).select("event_id", "event_type")
+
+
+@query("scan_dt", f"""
+SELECT event_id, strftime(ts, '%H') AS hour FROM events
+WHERE {_CLOSED} AND strftime(ts, '%Y-%m-%d') = '2024-01-15'""")
+def scan_dt_q(spark, sf):
+    root, _, _ = shared_lake(spark, sf)
+    return scan_dt(spark, f"{root}/table", EVENTS_STREAM, "2024-01-15").select("event_id", "hour")
+
+
+@query("snapshot_count", f"""
+SELECT count(*)::BIGINT AS rows, 11 AS n_columns FROM events WHERE {_CLOSED}""")
+def snapshot_count_q(spark, sf):
+    from quaylake.operators.monitor import snapshot_count
+    root, _, _ = shared_lake(spark, sf)
+    return snapshot_count(scan_table(spark, f"{root}/table", EVENTS_STREAM)) \
+        .withColumn("n_columns", F.col("n_columns").cast("int"))
+
+
+@query("unique_ids", f"""
+SELECT user_id, count(*)::BIGINT AS n FROM events WHERE {_CLOSED} GROUP BY user_id""")
+def unique_ids(spark, sf):
+    """``unique("id")`` on a snapshot scan, deterministic form: latest row per id."""
+    root, _, _ = shared_lake(spark, sf)
+    t = scan_table(spark, f"{root}/table", EVENTS_STREAM)
+    counts = t.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+    last = M.latest_per_key(t.select("user_id", "_fetched_at", "event_id"), ["user_id"], ["_fetched_at"], ["event_id"])
+    return last.join(counts, "user_id").select("user_id", "n")
+
+
+@query("compact_rerun", f"""
+SELECT event_id, strftime(ts, '%Y-%m-%d') AS dt, strftime(ts, '%H') AS hour FROM events WHERE {_CLOSED}""")
+def compact_rerun(spark, sf):
+    """Compact, rerun (no-op), land late files into already compacted hours, compact again."""
+    root = scratch_dir(spark, "rerun")
+    raw, tbl = f"{root}/raw", f"{root}/table"
+    ddl = {EVENTS_STREAM: EVENTS_DDL}
+    _land_events(spark, sf, raw, F.col("event_type") != "error")
+    CP.compact(spark, raw, tbl, now=FIXED_NOW, ddl=ddl)
+    again = CP.compact(spark, raw, tbl, now=FIXED_NOW, ddl=ddl)
+    assert again.where(F.col("status") == "compacted").count() == 0, "rerun compacted again"
+    _land_events(spark, sf, raw, F.col("event_type") == "error")
+    CP.compact(spark, raw, tbl, now=FIXED_NOW, ddl=ddl)
+    return scan_table(spark, tbl, EVENTS_STREAM).select("event_id", "dt", "hour")
+
+
+@query("retention", f"""
+SELECT event_id, strftime(ts, '%Y-%m-%d') AS dt FROM events
+WHERE {_CLOSED} AND strftime(ts, '%Y-%m-%d') >= '2024-01-10'""")
+def retention(spark, sf):
+    root = scratch_dir(spark, "retention")
+    raw, tbl = f"{root}/raw", f"{root}/table"
+    _land_events(spark, sf, raw)
+    CP.compact(spark, raw, tbl, now=FIXED_NOW, ddl={EVENTS_STREAM: EVENTS_DDL})
+    CP.purge_raw(spark, raw, tbl, now=FIXED_NOW, keep_hours=48)
+    CP.purge_table(spark, tbl, EVENTS_STREAM, now=FIXED_NOW, keep_days=20)
+    return scan_table(spark, tbl, EVENTS_STREAM).select("event_id", "dt")
+
+
+@query("scan_hour_files", f"""
+SELECT event_id, strftime(ts, '%Y-%m-%d') AS dt, strftime(ts, '%H') AS hour FROM events WHERE {_CLOSED}""")
+def scan_hour_files_q(spark, sf):
+    """Rewrite the compacted table in the original ``dt=/hour=HH.parquet`` file layout, read it back."""
+    root, _, _ = shared_lake(spark, sf)
+    t = scan_table(spark, f"{root}/table", EVENTS_STREAM)
+    out = scratch_dir(spark, "hourfiles")
+    stage = f"{out}/_stage"
+    t.repartition("dt", "hour").write.partitionBy("dt", "hour").parquet(stage)
+    for path, _, _ in inv.list_files(spark, stage):
+        d, h = _dt_hour_of(path)
+        inv.mkdirs(spark, f"{out}/{EVENTS_STREAM}/dt={d}")
+        inv.rename(spark, path, f"{out}/{EVENTS_STREAM}/dt={d}/hour={h}.parquet")
+    return scan_hour_files(spark, out, EVENTS_STREAM).select("event_id", "dt", "hour")
+
+
+def _dt_hour_of(path: str) -> tuple[str, str]:
+    import re
+    m = re.search(r"/dt=([^/]+)/hour=([^/]+)/", path)
+    return m.group(1), m.group(2)
+
+
+# ---------------------------------------------------------------- JSONL scan
+@query("jsonl_scan", """
+SELECT event_id, user_id, CASE WHEN event_type = 'purchase' THEN value END AS amount
+FROM events WHERE event_type <> 'error'""")
+def jsonl_scan(spark, sf):
+    ev = table(spark, sf, "events")
+    root = scratch_dir(spark, "jsonl")
+    plain = ev.where(~F.col("event_type").isin("purchase", "error")).select(
+        F.to_json(F.struct("event_id", "user_id")).alias("value"))
+    extra = ev.where(F.col("event_type") == "purchase").select(
+        F.to_json(F.struct("event_id", "user_id", F.col("value").alias("amount"), F.lit("x").alias("note"))).alias("value"))
+    broken = ev.where(F.col("event_type") == "error").select(F.format_string('{"event_id":%d,', "event_id").alias("value"))
+    plain.unionByName(broken).write.text(f"{root}/a")
+    extra.write.text(f"{root}/b")
+    rows, bad = scan_jsonl(spark, [f"{root}/a", f"{root}/b"], "event_id BIGINT, user_id BIGINT, amount DOUBLE",
+                           with_quarantine=True)
+    return rows
+
+
+# ---------------------------------------------------------------- typed casts
+@query("typed_cast", """
+SELECT event_id,
+  CASE WHEN event_id % 4 = 0 THEN epoch_us(ts) ELSE (epoch_us(ts) // 1000) * 1000 END AS ts_us,
+  CAST(floor(epoch_us(ts) / 1000000) AS BIGINT) * 1000000 AS ts_s_us,
+  CAST(CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) AS DECIMAL(38,18))::DOUBLE AS value_dec,
+  NULL::DOUBLE AS bad_dec
+FROM events""")
+def typed_cast(spark, sf):
+    ev = table(spark, sf, "events")
+    ts = F.col("ts").cast("timestamp")
+    m = F.col("event_id") % 4
+    text = (F.when(m == 0, F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
+            .when(m == 1, F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSS'+00:00'"))
+            .when(m == 2, F.date_format(ts, "yyyy-MM-dd HH:mm:ss.SSS'+00'"))
+            .otherwise(F.floor(F.unix_micros(ts) / 1000).cast("string")))
+    parsed = F.when(m == 3, C.epoch_millis_text(text)).otherwise(C.parse_time(text))
+    secs = F.floor(F.unix_micros(ts) / 1_000_000).cast("bigint")
+    return ev.select("event_id", F.unix_micros(parsed).alias("ts_us"),
+                     F.unix_micros(C.epoch_seconds_int(secs)).alias("ts_s_us"),
+                     C.to_decimal(F.col("value").cast("decimal(18,2)").cast("string")).cast("double").alias("value_dec"),
+                     C.to_decimal(F.concat(F.lit("x"), F.col("value").cast("string"))).cast("double").alias("bad_dec"))
+
+
+# ---------------------------------------------------------------- key tagging
+@query("tag_and_wrap", """
+SELECT c_custkey,
+  CASE WHEN c_custkey % 3 = 1 THEN 'own' || c_custkey ELSE CAST(c_nationkey AS VARCHAR) END AS condition_id,
+  CASE WHEN c_custkey % 3 = 2 THEN CAST(c_custkey AS VARCHAR) END AS data,
+  CASE WHEN c_custkey % 3 = 2 THEN NULL ELSE 'w' || c_custkey END AS proxyWallet
+FROM customer""")
+def tag_and_wrap(spark, sf):
+    c = table(spark, sf, "customer")
+    m = F.col("c_custkey") % 3
+    entry = (F.when(m == 0, F.format_string('{"proxyWallet":"w%d"}', "c_custkey"))
+             .when(m == 1, F.format_string('{"condition_id":"own%d","proxyWallet":"w%d"}', "c_custkey", "c_custkey"))
+             .otherwise(F.format_string("%d", "c_custkey")))
+    line = wrap_non_object(entry, "condition_id", F.col("c_nationkey").cast("string"))
+    return c.select("c_custkey", J.key_text(line, "condition_id").alias("condition_id"),
+                    J.key_text(line, "data").alias("data"), J.key_text(line, "proxyWallet").alias("proxyWallet"))
+
+
+@query("price_record", """
+SELECT CASE WHEN p_size > 45 THEN '' ELSE CAST(p_partkey AS VARCHAR) END AS token_id,
+       CASE WHEN p_size < 3 THEN NULL ELSE p_retailprice END AS price FROM part""")
+def price_record_q(spark, sf):
+    p = table(spark, sf, "part")
+    raw = p.select(F.when(F.col("p_size") <= 45, F.col("p_partkey")).alias("token_id"),
+                   F.when(F.col("p_size") >= 3, F.col("p_retailprice")).alias("price"), "p_name")
+    return M.price_record(raw)
+
+
+# ---------------------------------------------------------------- nested fields
+@query("drop_nested", """
+SELECT CAST(p_partkey AS VARCHAR) AS id, p_name AS title, 'brand' AS extra_keys, p_brand AS brand FROM part""")
+def drop_nested(spark, sf):
+    p = table(spark, sf, "part")
+    raw = p.select(F.format_string('{"id":"%d","title":"%s","events":[{"id":%d},{"id":%d}],"brand":"%s"}',
+                                   "p_partkey", "p_name", "p_partkey", "p_size", "p_brand").alias("raw"))
+    rec = CP.typed_records(raw, "raw", "gamma/series")
+    return rec.where("_good").select(
+        F.col("_rec.id").alias("id"), F.col("_rec.title").alias("title"),
+        F.array_join(F.sort_array(F.map_keys("_extra")), ",").alias("extra_keys"),
+        F.variant_get(F.col("_extra")["brand"], "$", "string").alias("brand"))
+
+
+@query("event_children", """
+SELECT o_orderkey, i AS child_no, o_orderkey * 10 + i + 1 AS market_id FROM orders, range(2) t(i)
+WHERE o_orderstatus = 'O'
+UNION ALL SELECT o_orderkey, NULL, NULL FROM orders WHERE o_orderstatus <> 'O'""")
+def event_children(spark, sf):
+    o = table(spark, sf, "orders")
+    markets = F.when(F.col("o_orderstatus") == "O",
+                     F.array(F.struct((F.col("o_orderkey") * 10 + 1).alias("id")),
+                             F.struct((F.col("o_orderkey") * 10 + 2).alias("id")))) \
+        .when(F.col("o_orderstatus") == "F", F.array().cast("array<struct<id:bigint>>"))
+    ev = o.select("o_orderkey", markets.alias("markets"))
+    out = M.explode_children(ev, ["o_orderkey"], "markets")
+    return out.select("o_orderkey", F.col("child_no").cast("bigint").alias("child_no"),
+                      F.col("child.id").alias("market_id"))
+
+
+@query("event_tags", """
+SELECT o_orderkey, 0 AS child_no, o_orderpriority AS tag_label FROM orders""")
+def event_tags(spark, sf):
+    o = table(spark, sf, "orders")
+    ev = o.select("o_orderkey", F.array(F.struct(F.col("o_orderpriority").alias("label"))).alias("tags"))
+    out = M.explode_children(ev, ["o_orderkey"], "tags")
+    return out.select("o_orderkey", F.col("child_no").cast("bigint").alias("child_no"),
+                      F.col("child.label").alias("tag_label"))
+
+
+# ---------------------------------------------------------------- quotes for a work-list
+@query("quotes_for", """
+SELECT l_partkey AS token_id, l_extendedprice / l_quantity AS midpoint FROM lineitem
+WHERE l_partkey IN (SELECT p_partkey FROM part WHERE p_size > 45)
+QUALIFY row_number() OVER (PARTITION BY l_partkey ORDER BY l_shipdate DESC, l_orderkey DESC, l_linenumber DESC) = 1""")
+def quotes_for(spark, sf):
+    li, p = table(spark, sf, "lineitem"), table(spark, sf, "part")
+    mids = li.select(F.col("l_partkey").alias("token_id"), (F.col("l_extendedprice") / F.col("l_quantity")).alias("midpoint"),
+                     "l_shipdate", "l_orderkey", "l_linenumber")
+    wanted = p.where(F.col("p_size") > 45).select(F.col("p_partkey").alias("token_id"))
+    latest = M.latest_per_key(M.restrict_to_worklist(mids, wanted, "token_id"), ["token_id"],
+                              ["l_shipdate"], ["l_orderkey", "l_linenumber"])
+    return latest.select("token_id", "midpoint")
+
+
+# ---------------------------------------------------------------- resumable ingest
+_RUN1 = 25000
+
+
+@query("resumable_ingest", f"""
+WITH r AS (SELECT l_orderkey * 8 + l_linenumber AS item_offset,
+                  row_number() OVER (ORDER BY l_orderkey * 8 + l_linenumber) - 1 AS rn FROM lineitem)
+SELECT item_offset, CASE WHEN rn < {_RUN1} THEN 1 ELSE 2 END AS run,
+       CASE WHEN rn < {_RUN1} THEN rn // 100 ELSE (rn - {_RUN1}) // 100 END AS page FROM r""")
+def resumable_ingest_q(spark, sf):
+    items = table(spark, sf, "lineitem").select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("item_offset"))
+    run1 = PG.resumable_ingest(items, cursor=0, limit=_RUN1)
+    cursor = PG.next_cursor(run1, 0).first()["cursor"]
+    run2 = PG.resumable_ingest(items, cursor=cursor)
+    return run1.withColumn("run", F.lit(1)).unionByName(run2.withColumn("run", F.lit(2))) \
+        .select("item_offset", "run", "page")
+
+
+# ---------------------------------------------------------------- state (K9)
+@query("state_roundtrip", """
+SELECT 'customer' AS kind, CAST(c_custkey AS VARCHAR) AS id, c_acctbal AS first_seen FROM customer
+UNION ALL SELECT 'part', CAST(p_partkey AS VARCHAR), p_retailprice FROM part""")
+def state_roundtrip(spark, sf):
+    c, p = table(spark, sf, "customer"), table(spark, sf, "part")
+    ids = D.id_union(
+        c.select(F.lit("customer").alias("kind"), F.col("c_custkey").cast("string").alias("id"),
+                 F.col("c_acctbal").alias("first_seen")),
+        p.select(F.lit("part").alias("kind"), F.col("p_partkey").cast("string").alias("id"),
+                 F.col("p_retailprice").alias("first_seen")))
+    root = scratch_dir(spark, "state")
+    lf = c.groupBy(F.col("c_mktsegment").alias("source")).agg(F.max("c_acctbal").alias("last_fetch"))
+    cursor = spark.createDataFrame([("backfill", 0, False)], ST.CURSOR_SCHEMA)
+    ST.save_state(spark, root, {"ids": ids, "last_fetch": lf, "cursor": cursor})
+    assert not ST.save_state(spark, root, {"ids": ids, "last_fetch": lf, "cursor": cursor})
+    return ST.load_state(spark, root)["ids"]
+
+
+# ---------------------------------------------------------------- streaming
+def _stream_frames(spark, sf):
+    """Market frames (the detect_route shapes) with a ``seq`` key, plus arrival time."""
+    from quaylake.plans.catalog import detect_frame_spark
+    ev = table(spark, sf, "events")
+    raw = F.concat(F.format_string('{"seq":%d,', "event_id"), F.expr("substr(raw0, 2)"))
+    return (ev.select("event_id", "user_id", "event_type", "ts", detect_frame_spark().alias("raw0"))
+              .select(F.lit("ws_market").alias("channel"), raw.alias("raw"), L.epoch_seconds("ts").alias("_fetched_at"),
+                      "event_type", "ts"))
+
+
+def _run(q):
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+
+
+def _read_seq(spark, raw_root):
+    r = S.read_routed(spark, raw_root)
+    return r.select(J.key_text("line", "seq").cast("bigint").alias("seq"), "stream",
+                    J.key_text("line", "_source").alias("_source"), "label")
+
+
+_STREAM_ROUTE_SQL = f"""
+SELECT event_id AS seq, 'ws_market/' || {{route}} AS stream, 'ws_market/' || {{route}} AS _source,
+       strftime(ts, '%Y-%m-%dT%H') AS label
+FROM (SELECT event_id, ts, {{detect}} AS t FROM (SELECT event_id, ts, {{frame}} AS f FROM events))"""
+
+
+def _stream_route_sql():
+    from quaylake.plans.catalog import _DETECT_FRAME_SQL, _DETECT_SQL, _ROUTE_SQL
+    return _STREAM_ROUTE_SQL.format(route=f"({_ROUTE_SQL})", detect=_DETECT_SQL, frame=_DETECT_FRAME_SQL)
+
+
+@query("stream_route", _stream_route_sql())
+def stream_route(spark, sf):
+    root = scratch_dir(spark, "stream-route")
+    S.land_frames(_stream_frames(spark, sf).repartitionByRange(4, "_fetched_at"), f"{root}/frames")
+    _run(S.route_stream(spark, f"{root}/frames", f"{root}/raw", f"{root}/quarantine", f"{root}/ckpt",
+                        max_files_per_trigger=2))
+    return _read_seq(spark, f"{root}/raw")
+
+
+@query("stream_recovery", _stream_route_sql())
+def stream_recovery(spark, sf):
+    """Two availableNow runs on one checkpoint: the second sees only the new files."""
+    root = scratch_dir(spark, "stream-recovery")
+    frames = _stream_frames(spark, sf)
+    S.land_frames(frames.where(F.col("event_type") != "error"), f"{root}/frames")
+    args = (spark, f"{root}/frames", f"{root}/raw", f"{root}/quarantine", f"{root}/ckpt")
+    _run(S.route_stream(*args))
+    S.land_frames(frames.where(F.col("event_type") == "error"), f"{root}/frames")
+    _run(S.route_stream(*args))
+    return _read_seq(spark, f"{root}/raw")
+
+
+@query("stream_split", """
+SELECT event_id AS seq,
+  CASE WHEN event_type IN ('click', 'view') THEN 'ws_sports/events'
+       WHEN event_type = 'purchase' THEN 'ws_rtds/crypto_prices' ELSE 'ws_rtds/activity' END AS stream,
+  CASE WHEN event_type IN ('click', 'view') THEN 'ws_sports'
+       WHEN event_type = 'purchase' THEN 'ws_rtds/crypto_prices' ELSE 'ws_rtds' END AS _source,
+  strftime(ts, '%Y-%m-%dT%H') AS label
+FROM events WHERE event_type <> 'signup' OR user_id % 2 = 0""")
+def stream_split(spark, sf):
+    ev = table(spark, sf, "events")
+    et = F.col("event_type")
+    channel = F.when(et.isin("click", "view") | (et == "signup"), "ws_sports").otherwise("ws_rtds")
+    raw = (F.when(et.isin("click", "view"), F.format_string('{"seq":%d,"sport":"u%d"}', "event_id", "user_id"))
+           .when((et == "signup") & (F.col("user_id") % 2 == 1), F.lit(" ping "))
+           .when(et == "signup", F.format_string('{"seq":%d,"channel":"x"}', "event_id"))
+           .when(et == "purchase", F.format_string('{"seq":%d,"channel":"crypto_prices"}', "event_id"))
+           .otherwise(F.format_string('{"seq":%d,"channel":"activity"}', "event_id")))
+    channel = F.when((et == "signup") & (F.col("user_id") % 2 == 0), F.lit("ws_rtds")).otherwise(channel)
+    frames = ev.select(channel.alias("channel"), raw.alias("raw"), L.epoch_seconds("ts").alias("_fetched_at"))
+    root = scratch_dir(spark, "stream-split")
+    S.land_frames(frames.repartitionByRange(4, "_fetched_at"), f"{root}/frames")
+    _run(S.route_stream(spark, f"{root}/frames", f"{root}/raw", f"{root}/quarantine", f"{root}/ckpt",
+                        max_files_per_trigger=1))
+    return _read_seq(spark, f"{root}/raw")
+
+
+@query("stream_new_ids", """
+SELECT DISTINCT CAST(user_id AS VARCHAR) AS id FROM events WHERE event_id % 8 = 0""")
+def stream_new_ids(spark, sf):
+    root = scratch_dir(spark, "stream-ids")
+    S.land_frames(_stream_frames(spark, sf).repartitionByRange(3, "_fetched_at"), f"{root}/frames")
+    _run(S.new_ids_stream(spark, f"{root}/frames", f"{root}/out", f"{root}/ckpt", id_path="$.user",
+                          max_files_per_trigger=1))
+    return spark.read.parquet(f"{root}/out").select("id")
+
+
+def _land_in_order(frames, path: str, parts: int = 4) -> None:
+    """Publish frames as ``parts`` files in arrival order, one write each, so the
+    file source (which orders new files by modification time) replays them in order."""
+    bounds = frames.agg(F.min("_fetched_at").alias("lo"), F.max("_fetched_at").alias("hi")).first()
+    lo, hi = bounds["lo"], bounds["hi"]
+    step = (hi - lo) / parts
+    for i in range(parts):
+        a = lo + i * step
+        cond = F.col("_fetched_at") >= F.lit(a)
+        if i < parts - 1:
+            cond = cond & (F.col("_fetched_at") < F.lit(lo + (i + 1) * step))
+        S.land_frames(frames.where(cond).coalesce(1), path)
+
+
+def _stream_hourly_sql():
+    from quaylake.plans.catalog import _DETECT_FRAME_SQL, _DETECT_SQL, _ROUTE_SQL
+    return f"""
+SELECT strftime(date_trunc('hour', ts), '%Y-%m-%dT%H') AS label, 'ws_market/' || ({_ROUTE_SQL}) AS stream,
+       count(*)::BIGINT AS n
+FROM (SELECT ts, {_DETECT_SQL} AS t FROM (SELECT ts, {_DETECT_FRAME_SQL} AS f FROM events))
+WHERE date_trunc('hour', ts) + INTERVAL 2 HOUR <= (SELECT max(ts) FROM events)
+GROUP BY ALL"""
+
+
+@query("stream_hourly", _stream_hourly_sql())
+def stream_hourly(spark, sf):
+    root = scratch_dir(spark, "stream-hourly")
+    _land_in_order(_stream_frames(spark, sf), f"{root}/frames")
+    _run(S.hourly_stream(spark, f"{root}/frames", f"{root}/out", f"{root}/ckpt", max_files_per_trigger=1))
+    return spark.read.parquet(f"{root}/out")

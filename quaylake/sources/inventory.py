@@ -68,10 +68,35 @@ def list_files(spark: SparkSession, root: str, suffixes: tuple[str, ...] = ()) -
     return out
 
 
+def file_listing(spark: SparkSession, root: str) -> DataFrame:
+    """(path, size, mtime_ms) of every data file under ``root``, listed by Spark.
+
+    Non-empty files come from a column-pruned ``binaryFile`` scan (file contents
+    are never read; listing is parallel for large trees). That source skips
+    zero-length files, so those are found as the difference with the file
+    index of a text scan and stat-ed one by one (they are rare).
+    """
+    if not exists(spark, root):
+        return spark.createDataFrame([], INVENTORY_SCHEMA)
+    listed = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+              .select(norm_path("path").alias("path"), F.col("length").alias("size"),
+                      F.unix_millis("modificationTime").alias("mtime_ms")))
+    names = [norm_path_py(p) for p in spark.read.option("recursiveFileLookup", "true").text(root).inputFiles()]
+    non_empty = {r["path"] for r in listed.select("path").collect()}
+    empty = []
+    for p in names:
+        if p not in non_empty:
+            fs, jpath = _fs(spark, p)
+            st = fs.getFileStatus(jpath)
+            empty.append((p, int(st.getLen()), int(st.getModificationTime())))
+    if empty:
+        listed = listed.unionByName(spark.createDataFrame(empty, INVENTORY_SCHEMA))
+    return listed
+
+
 def raw_inventory(spark: SparkSession, raw_root: str) -> DataFrame:
-    """Landed raw files with stream, label and validity, ordered by path."""
-    rows = list_files(spark, raw_root)
-    df = spark.createDataFrame(rows, INVENTORY_SCHEMA)
+    """Landed raw files with stream, label and validity, ordered by path."""
+    df = file_listing(spark, raw_root)
     return (df.withColumn("stream", L.stream_of_path("path"))
               .withColumn("label", L.label_of_path("path"))
               .withColumn("mtime", F.timestamp_millis("mtime_ms"))
@@ -81,9 +106,11 @@ def raw_inventory(spark: SparkSession, raw_root: str) -> DataFrame:
 
 def delete_paths(spark: SparkSession, paths: list[str], recursive: bool = False) -> int:
     n = 0
+    fs = None
     for p in paths:
-        fs, jpath = _fs(spark, p)
-        if fs.exists(jpath) and fs.delete(jpath, recursive):
+        if fs is None:
+            fs, _ = _fs(spark, p)
+        if fs.delete(_jvm(spark).org.apache.hadoop.fs.Path(p), recursive):
             n += 1
     return n
 
@@ -133,3 +160,8 @@ def list_dirs(spark: SparkSession, root: str) -> list[str]:
     if not fs.exists(jpath):
         return []
     return [norm_path_py(st.getPath().toString()) for st in fs.listStatus(jpath) if st.isDirectory()]
+
+
+def mkdirs(spark: SparkSession, path: str) -> bool:
+    fs, jpath = _fs(spark, path)
+    return bool(fs.mkdirs(jpath))

@@ -69,16 +69,18 @@ def cut_pages(pages: DataFrame, crawl: str = "crawl_id", page_no: str = "page_no
 
 def resumable_ingest(items: DataFrame, cursor: int, offset_col: str = "item_offset",
                      limit: int | None = None, page_size: int = 100) -> DataFrame:
-    """Items from ``cursor`` on, at most ``limit`` of them.
+    """Items from ``cursor`` on, at most ``limit`` of them, with their page.
 
-    Each item keeps its global ``item_offset``, so reruns and resumed runs
-    are idempotent (a rerun selects the same offsets). The page a row would
-    have come in is ``(offset - cursor) // page_size``.
+    Each item keeps its global ``item_offset``, so reruns and resumed runs are
+    idempotent (a rerun selects the same offsets). The position inside the run
+    comes from a distributed global index (no single-task ``limit`` gather),
+    and the page is ``position // page_size``.
     """
-    df = items.where(F.col(offset_col) >= F.lit(cursor))
+    from quaylake.operators.discovery import global_index
+    df = global_index(items.where(F.col(offset_col) >= F.lit(cursor)), [offset_col], col="_run_pos")
     if limit is not None:
-        df = df.where(F.col(offset_col) < F.lit(cursor + limit))
-    return df.withColumn("page", F.floor((F.col(offset_col) - F.lit(cursor)) / F.lit(page_size)).cast("bigint"))
+        df = df.where(F.col("_run_pos") < F.lit(limit))
+    return df.withColumn("page", F.floor(F.col("_run_pos") / F.lit(page_size)).cast("bigint")).drop("_run_pos")
 
 
 def next_cursor(done: DataFrame, cursor: int, offset_col: str = "item_offset") -> DataFrame:
