@@ -45,21 +45,21 @@ def stripped(raw: Column | str) -> Column:
     return F.regexp_replace(_c(raw), r"^\s+|\s+$", "")
 
 
-def json_shape(raw: Column | str) -> Column:
+def json_shape(raw: Column | str, trimmed: Column | None = None) -> Column:
     """'object' | 'array' | 'scalar' | 'empty' from the first non-space character."""
-    first = F.substring(stripped(raw), 1, 1)
+    first = F.substring(stripped(raw) if trimmed is None else trimmed, 1, 1)
     return (F.when(first == "{", "object").when(first == "[", "array")
             .when(first == "", "empty").otherwise("scalar"))
 
 
-def strict_json(raw: Column | str) -> Column:
+def strict_json(raw: Column | str, trimmed: Column | None = None) -> Column:
     """True when ``raw`` is one complete JSON value.
 
     ``try_parse_json`` alone accepts trailing text after an object or array,
     so the last non-space character must close the first one.
     """
-    s = stripped(raw)
-    shape = json_shape(raw)
+    s = stripped(raw) if trimmed is None else trimmed
+    shape = json_shape(raw, s)
     last = F.substring(s, -1, 1)
     closes = (F.when(shape == "object", last == "}")
               .when(shape == "array", last == "]")
@@ -86,12 +86,18 @@ def array_elements(raw: Column | str) -> Column:
     return F.transform(F.from_json(_c(raw), "array<variant>"), lambda x: F.to_json(x))
 
 
-def detect_event_type(raw: Column | str) -> Column:
-    return (F.when(has_key(raw, "event_type"), key_text(raw, "event_type"))
-            .when(has_key(raw, "price_changes"), F.lit("price_change"))
-            .when(has_key(raw, "last_trade_price"), F.lit("last_trade_price"))
-            .when(has_key(raw, "bids") | has_key(raw, "asks"), F.lit("book"))
-            .when(has_key(raw, "type"), key_text(raw, "type"))
+def detect_event_type(raw: Column | str, keys: Column | None = None) -> Column:
+    """Message type by key presence; pass ``keys`` (= ``object_keys(raw)``, computed
+    once in an earlier projection) so the key list is not re-parsed per branch."""
+    k = object_keys(raw) if keys is None else keys
+
+    def has(name):
+        return F.array_contains(k, name)
+    return (F.when(has("event_type"), key_text(raw, "event_type"))
+            .when(has("price_changes"), F.lit("price_change"))
+            .when(has("last_trade_price"), F.lit("last_trade_price"))
+            .when(has("bids") | has("asks"), F.lit("book"))
+            .when(has("type"), key_text(raw, "type"))
             .otherwise(F.lit(UNKNOWN_TYPE)))
 
 

@@ -32,6 +32,16 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[str], tie: list[s
               .select(*keys, *[F.col("_r")[c].alias(c) for c in rest]))
 
 
+def lookup_by_id(df: DataFrame, key: str, value, order: list[str], tie: list[str] | None = None) -> DataFrame:
+    """Single market / event by id (S11): the latest snapshot row of that id."""
+    return latest_per_key(df.where(F.col(key) == F.lit(value)), [key], order, tie)
+
+
+def holders_of(df: DataFrame, condition_id: str, keep: list[str], key: str = "condition_id") -> DataFrame:
+    """Holder rows of one market (S14): filter, then one row per holder."""
+    return explode_holders(df.where(F.col(key) == F.lit(condition_id)), keep)
+
+
 def open_only(df: DataFrame, active: str = "active", closed: str = "closed") -> DataFrame:
     """Open markets/events."""
     return df.where(is_open(active, closed))

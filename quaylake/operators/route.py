@@ -49,24 +49,28 @@ def decode_frames(frames: DataFrame) -> DataFrame:
     Output: channel, frame_no (if present), elem_no, elem (JSON text),
     event_type, route, stream, reason, _fetched_at.
     """
-    ch, raw = F.col("channel"), F.col("raw")
-    valid = J.strict_json(raw)
-    shape = J.json_shape(raw)
+    keep = [c for c in frames.columns if c not in ("channel", "raw", "_fetched_at")]
+    # trimmed text, validity and shape once per frame (no repeated regex/parse per branch)
+    pre = (frames.where(~J.is_control_frame("channel", "raw"))
+           .withColumn("_t", J.stripped("raw")))
+    pre = pre.withColumn("_shape", J.json_shape("raw", F.col("_t"))) \
+        .withColumn("_valid", J.strict_json("raw", F.col("_t")))
+    ch, raw, shape, valid = F.col("channel"), F.col("raw"), F.col("_shape"), F.col("_valid")
     is_list_msg = (ch == "ws_market") & valid & (shape == "array")
     elems = F.when(is_list_msg, J.array_elements(raw)).otherwise(F.array(raw))
     reason = (F.when(~valid, "bad_json")
               .when(is_list_msg, F.lit(None))
               .when(shape != "object", F.when(shape == "array", "list_not_supported")
                     .otherwise("not_object")))
-    keep = [c for c in frames.columns if c not in ("channel", "raw", "_fetched_at")]
-    staged = (frames.where(~J.is_control_frame(ch, raw))
-              .select(*keep, "channel", "_fetched_at", raw.alias("_raw"),
-                      is_list_msg.alias("_is_list"), reason.alias("_reason"),
-                      F.posexplode(elems).alias("elem_no", "elem")))
+    staged = pre.select(*keep, "channel", "_fetched_at", raw.alias("_raw"),
+                        is_list_msg.alias("_is_list"), reason.alias("_reason"),
+                        F.posexplode(elems).alias("elem_no", "elem"))
+    # key list of each entry parsed once, reused by every detection branch
+    staged = staged.withColumn("_keys", F.when(F.col("_reason").isNull(), J.object_keys("elem")))
     e = F.col("elem")
-    elem_obj = J.json_shape(e) == "object"
+    elem_obj = F.when(F.col("_is_list"), J.json_shape(e) == "object").otherwise(F.lit(True))
     ev_type = F.when(F.col("_is_list") | F.col("_reason").isNotNull(), F.lit(None)) \
-        .otherwise(J.detect_event_type(e))
+        .otherwise(J.detect_event_type(e, F.col("_keys")))
     route = (F.when(F.col("_reason").isNotNull(), F.lit(None))
              .when(F.col("_is_list") & ~elem_obj, F.lit(None))
              .when(F.col("_is_list"), F.lit("book"))

@@ -507,3 +507,49 @@ def stream_hourly(spark, sf):
     _land_in_order(_stream_frames(spark, sf), f"{root}/frames")
     _run(S.hourly_stream(spark, f"{root}/frames", f"{root}/out", f"{root}/ckpt", max_files_per_trigger=1))
     return spark.read.parquet(f"{root}/out")
+
+
+# ---------------------------------------------------------------- reference lists (S12), progress
+@query("reference_tables", """
+SELECT 'tags' AS kind, n_nationkey, i AS item_no,
+       '{"id":"' || (n_nationkey * 10 + i) || '","label":"' || n_name || '"}' AS item
+FROM nation, range(2) t(i) WHERE n_nationkey % 2 = 0
+UNION ALL SELECT 'tags', n_nationkey, 0, '{"id":"' || n_nationkey || '","label":"' || n_name || '"}'
+FROM nation WHERE n_nationkey % 2 = 1
+UNION ALL SELECT 'series', n_nationkey, 0, '{"id":"s' || n_nationkey || '","title":"' || n_name || '"}'
+FROM nation WHERE n_nationkey % 4 <> 3
+UNION ALL SELECT 'sports', n_nationkey, 0, '{"id":' || n_nationkey || ',"sport":"' || n_name || '"}'
+FROM nation WHERE n_nationkey % 3 <> 0""")
+def reference_tables(spark, sf):
+    n = table(spark, sf, "nation")
+    k = F.col("n_nationkey")
+    tag = lambda i: F.format_string('{"id":"%d","label":"%s"}', k * 10 + i, F.col("n_name"))
+    tags = F.when(k % 2 == 0, F.concat(F.lit("["), tag(0), F.lit(","), tag(1), F.lit("]"))) \
+        .otherwise(F.format_string('{"id":"%d","label":"%s"}', k, F.col("n_name")))
+    series = F.when(k % 4 != 3, F.format_string('[{"id":"s%d","title":"%s","events":[{"id":1}]}]', k, F.col("n_name"))) \
+        .otherwise(F.format_string('{"id":"s%d"}', k))
+    sports = F.when(k % 3 != 0, F.format_string('[{"id":%d,"sport":"%s"}]', k, F.col("n_name"))) \
+        .otherwise(F.lit('{"error":"unavailable"}'))
+    out = None
+    for kind, body in (("tags", tags), ("series", series), ("sports", sports)):
+        resp = n.select("n_nationkey", body.alias("body"))
+        part = PG.reference_items(resp, kind, ["n_nationkey"]).select(
+            F.lit(kind).alias("kind"), "n_nationkey", F.col("item_no").cast("bigint").alias("item_no"), "item")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("ingest_progress", """
+WITH p AS (SELECT l_orderkey // 100 AS page, count(*) AS n, min(epoch_us(l_shipdate)) / 1000000.0 AS s,
+                  max(epoch_us(l_shipdate)) / 1000000.0 AS e FROM lineitem GROUP BY 1)
+SELECT sum(n)::BIGINT AS items, count(*)::BIGINT AS pages, max(e) - min(s) AS elapsed,
+       sum(n) / (max(e) - min(s)) AS items_per_s FROM p""")
+def ingest_progress_q(spark, sf):
+    from quaylake.operators.monitor import ingest_progress
+    li = table(spark, sf, "lineitem")
+    ts = L.epoch_seconds("l_shipdate")
+    manifest = li.groupBy(F.floor(F.col("l_orderkey") / 100).alias("page")).agg(
+        F.count(F.lit(1)).alias("rows"), F.lit(1).alias("pages"), F.min(ts).alias("started_at"),
+        F.max(ts).alias("finished_at"))
+    return ingest_progress(manifest).select(F.col("items").cast("bigint").alias("items"),
+                                            F.col("pages").cast("bigint").alias("pages"), "elapsed", "items_per_s")

@@ -86,3 +86,25 @@ def resumable_ingest(items: DataFrame, cursor: int, offset_col: str = "item_offs
 def next_cursor(done: DataFrame, cursor: int, offset_col: str = "item_offset") -> DataFrame:
     """Cursor after a run = max offset + 1 (or the old cursor when nothing ran)."""
     return done.agg(F.coalesce(F.max(offset_col) + 1, F.lit(cursor)).alias("cursor"))
+
+
+def reference_items(responses: DataFrame, kind: str, keep: list[str], body: str = "body") -> DataFrame:
+    """Reference lists (S12) from landed responses of one kind.
+
+    tags: a list gives its items, a non-empty object is one record;
+    series and sports: only a list gives items (anything else: none);
+    series items lose their nested ``events`` field before landing (P9).
+    """
+    b = F.col(body)
+    ok = J.strict_json(b)
+    shape = J.json_shape(b)
+    items = F.when(ok & (shape == "array"), J.array_elements(b))
+    if kind == "tags":
+        non_empty_obj = ok & (shape == "object") & (F.size(J.object_keys(b)) > 0)
+        items = items.when(non_empty_obj, F.array(b))
+    items = items.otherwise(F.array().cast("array<string>"))
+    out = responses.select(*keep, F.posexplode(items).alias("item_no", "item"))
+    if kind == "series":
+        stripped = F.to_json(F.map_filter(F.from_json("item", "map<string,variant>"), lambda k, v: k != "events"))
+        out = out.withColumn("item", F.when(J.json_shape("item") == "object", stripped).otherwise(F.col("item")))
+    return out
