@@ -1,9 +1,9 @@
 """Feed monitoring.
 
-Logs of polls, connections and requests are tables; cadence, streaks and rate
-audits are windows over them. The rate audit first aggregates to one row per
-(group, second), so the window runs over a table bounded by time, not by
-request volume, and a hot group is reduced map-side before it is shuffled.
+Logs of polls, connections and requests are tables. Cadence and streaks are run
+lengths computed by a blocked scan that splits hot keys across tasks; the rate
+audit is an aggregate over (group, second) counts. The only per-key windows run
+over small per-block tables.
 """
 
 from __future__ import annotations
@@ -33,6 +33,42 @@ def snapshot_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("rows")).withColumn("n_columns", F.lit(len(df.columns)))
 
 
+def run_length(log: DataFrame, key: str, order: list[str], flag: Column | str,
+               num_blocks: int | None = None, col: str = "run") -> DataFrame:
+    """Length of the current run of consecutive ``flag`` rows per key, ending at
+    each row (0 where ``flag`` is false). ``order`` must be a total order.
+
+    Skew-safe blocked scan: rows are range-partitioned on (key, order), so a key
+    holding a third of all rows is cut into many contiguous blocks of similar
+    size. Each block computes its local runs; a small per-block table (one row
+    per key and block) carries the trailing run of earlier blocks into the next
+    one. No task ever sorts a whole key.
+    """
+    spark = log.sparkSession
+    n = num_blocks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    f = F.col(flag) if isinstance(flag, str) else flag
+    blocked = (log.withColumn("_flag", F.coalesce(f, F.lit(False)))
+               .repartitionByRange(n, key, *order)
+               .withColumn("_blk", F.spark_partition_id()))
+    w = Window.partitionBy(key, "_blk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    blocked = blocked.withColumn("_rst", F.sum((~F.col("_flag")).cast("int")).over(w))
+    w2 = Window.partitionBy(key, "_blk", "_rst").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    blocked = blocked.withColumn("_lrun", F.sum(F.col("_flag").cast("int")).over(w2))
+    # per block: did it reset, and how long is its trailing run
+    blocks = blocked.groupBy(key, "_blk").agg(
+        F.max("_rst").alias("_resets"),
+        F.max_by("_lrun", F.struct(*[F.col(c) for c in order])).alias("_tail"))
+    wb = Window.partitionBy(key).orderBy("_blk")
+    blocks = blocks.withColumn("_g", F.sum((F.col("_resets") > 0).cast("int")).over(
+        wb.rowsBetween(Window.unboundedPreceding, 0)))
+    blocks = blocks.withColumn("_s", F.sum("_tail").over(
+        Window.partitionBy(key, "_g").orderBy("_blk").rowsBetween(Window.unboundedPreceding, 0)))
+    blocks = blocks.withColumn("_carry", F.coalesce(F.lag("_s").over(wb), F.lit(0))).select(key, "_blk", "_carry")
+    out = blocked.join(blocks, [key, "_blk"], "left")
+    run = F.col("_lrun") + F.when(F.col("_rst") == 0, F.col("_carry")).otherwise(F.lit(0))
+    return out.withColumn(col, run.cast("bigint")).drop("_flag", "_blk", "_rst", "_lrun", "_carry")
+
+
 def next_interval(log: DataFrame, key: str, order: list[str], changed: Column | str,
                   min_s: float, max_s: float) -> DataFrame:
     """Adaptive cadence as a log analytic.
@@ -40,43 +76,39 @@ def next_interval(log: DataFrame, key: str, order: list[str], changed: Column |
     After a poll that changed something the next wait is ``min``; otherwise the
     previous wait doubles, capped at ``max`` (the first wait is ``min``):
     with k = unchanged polls since the last change, ``least(min * 2^k, max)``.
+    k is a run length (skew-safe blocked scan).
     """
     ch = F.col(changed) if isinstance(changed, str) else changed
-    w = Window.partitionBy(key).orderBy(*order)
-    grp = F.sum(ch.cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    staged = log.withColumn("_changed", ch).withColumn("_grp", grp)
-    pos = F.row_number().over(Window.partitionBy(key, "_grp").orderBy(*order))
-    k = pos - F.when(F.col("_grp") > 0, 1).otherwise(0)
-    interval = F.least(F.lit(float(min_s)) * F.pow(F.lit(2.0), k.cast("double")), F.lit(float(max_s)))
-    return staged.withColumn("unchanged_run", k.cast("bigint")).withColumn("next_interval", interval) \
-        .drop("_grp")
+    out = run_length(log, key, order, ~F.coalesce(ch, F.lit(False)), col="unchanged_run")
+    interval = F.least(F.lit(float(min_s)) * F.pow(F.lit(2.0), F.col("unchanged_run").cast("double")),
+                       F.lit(float(max_s)))
+    return out.withColumn("next_interval", interval)
 
 
 def failure_streak(log: DataFrame, key: str, order: list[str], failed: Column | str,
                    threshold: int = 5) -> DataFrame:
     """Consecutive failures per key; a success resets; flag at ``>= threshold``."""
-    f = F.col(failed) if isinstance(failed, str) else failed
-    w = Window.partitionBy(key).orderBy(*order)
-    grp = F.sum((~f).cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    staged = log.withColumn("_failed", f).withColumn("_grp", grp)
-    run = F.sum(F.col("_failed").cast("int")).over(
-        Window.partitionBy(key, "_grp").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
-    return (staged.withColumn("streak", run.cast("bigint"))
-                  .withColumn("fallback", F.col("streak") >= F.lit(threshold)).drop("_grp", "_failed"))
+    out = run_length(log, key, order, failed, col="streak")
+    return out.withColumn("fallback", F.col("streak") >= F.lit(threshold))
 
 
 def rate_audit(log: DataFrame, group: str, ts: str, limits: DataFrame | None = None,
                window_s: int = 10) -> DataFrame:
     """Requests per group in the sliding ``window_s`` seconds ending at each second.
 
-    Output per (group, sec): n, n_window, and with a ``limits(group, rps)`` table
-    ``over = n_window > rps * window_s``.
+    Pure aggregation, no window: requests are first counted per (group, second)
+    (map-side partial aggregate, so a hot group is reduced before the shuffle);
+    each second then contributes its count to the ``window_s`` windows that
+    contain it, and those contributions are summed per (group, window end).
+    Output per (group, sec) with requests: n, n_window and, with a
+    ``limits(group, rps)`` table, ``over = n_window > rps * window_s``.
     """
     per_sec = (log.groupBy(F.col(group).alias("grp"),
                            F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / 1_000_000).cast("bigint").alias("sec"))
                .agg(F.count(F.lit(1)).alias("n")))
-    w = Window.partitionBy("grp").orderBy("sec").rangeBetween(-(window_s - 1), 0)
-    out = per_sec.withColumn("n_window", F.sum("n").over(w))
+    spread = per_sec.select("grp", F.explode(F.sequence(F.col("sec"), F.col("sec") + (window_s - 1))).alias("sec"), "n")
+    sums = spread.groupBy("grp", "sec").agg(F.sum("n").alias("n_window"))
+    out = per_sec.join(sums, ["grp", "sec"], "left")
     if limits is not None:
         out = out.join(F.broadcast(limits.select(F.col(limits.columns[0]).alias("grp"),
                                                  F.col(limits.columns[1]).alias("rps"))), "grp", "left") \

@@ -422,7 +422,7 @@ def _stream_route_sql():
 @query("stream_route", _stream_route_sql())
 def stream_route(spark, sf):
     root = scratch_dir(spark, "stream-route")
-    S.land_frames(_stream_frames(spark, sf).repartitionByRange(4, "_fetched_at"), f"{root}/frames")
+    S.land_frames(_stream_frames(spark, sf).repartitionByRange("_fetched_at"), f"{root}/frames")
     _run(S.route_stream(spark, f"{root}/frames", f"{root}/raw", f"{root}/quarantine", f"{root}/ckpt",
                         max_files_per_trigger=2))
     return _read_seq(spark, f"{root}/raw")
@@ -461,7 +461,7 @@ def stream_split(spark, sf):
     channel = F.when((et == "signup") & (F.col("user_id") % 2 == 0), F.lit("ws_rtds")).otherwise(channel)
     frames = ev.select(channel.alias("channel"), raw.alias("raw"), L.epoch_seconds("ts").alias("_fetched_at"))
     root = scratch_dir(spark, "stream-split")
-    S.land_frames(frames.repartitionByRange(4, "_fetched_at"), f"{root}/frames")
+    S.land_frames(frames.repartitionByRange("_fetched_at"), f"{root}/frames")
     _run(S.route_stream(spark, f"{root}/frames", f"{root}/raw", f"{root}/quarantine", f"{root}/ckpt",
                         max_files_per_trigger=1))
     return _read_seq(spark, f"{root}/raw")
@@ -471,26 +471,12 @@ def stream_split(spark, sf):
 SELECT DISTINCT CAST(user_id AS VARCHAR) AS id FROM events WHERE event_id % 8 = 0""")
 def stream_new_ids(spark, sf):
     root = scratch_dir(spark, "stream-ids")
-    S.land_frames(_stream_frames(spark, sf).repartitionByRange(3, "_fetched_at"), f"{root}/frames")
+    S.land_frames(_stream_frames(spark, sf).repartitionByRange("_fetched_at"), f"{root}/frames")
     _run(S.new_ids_stream(spark, f"{root}/frames", f"{root}/out", f"{root}/ckpt", id_path="$.user",
                           max_files_per_trigger=1))
     return spark.read.parquet(f"{root}/out").select("id")
 
 
-def _land_in_order(frames, path: str, parts: int = 4) -> None:
-    """Publish frames as ``parts`` files in arrival order, one write each, so the
-    file source (which orders new files by modification time) replays them in order."""
-    bounds = frames.agg(F.min("_fetched_at").alias("lo"), F.max("_fetched_at").alias("hi")).first()
-    lo, hi = bounds["lo"], bounds["hi"]
-    step = (hi - lo) / parts
-    for i in range(parts):
-        a = lo + i * step
-        cond = F.col("_fetched_at") >= F.lit(a)
-        if i < parts - 1:
-            cond = cond & (F.col("_fetched_at") < F.lit(lo + (i + 1) * step))
-        S.land_frames(frames.where(cond).coalesce(1), path)
-
-
 def _stream_hourly_sql():
     from quaylake.plans.catalog import _DETECT_FRAME_SQL, _DETECT_SQL, _ROUTE_SQL
     return f"""
@@ -504,8 +490,9 @@ GROUP BY ALL"""
 @query("stream_hourly", _stream_hourly_sql())
 def stream_hourly(spark, sf):
     root = scratch_dir(spark, "stream-hourly")
-    _land_in_order(_stream_frames(spark, sf), f"{root}/frames")
-    _run(S.hourly_stream(spark, f"{root}/frames", f"{root}/out", f"{root}/ckpt", max_files_per_trigger=1))
+    # one backlog batch, then the closing batch emits every window the watermark has passed
+    S.land_frames(_stream_frames(spark, sf), f"{root}/frames")
+    _run(S.hourly_stream(spark, f"{root}/frames", f"{root}/out", f"{root}/ckpt"))
     return spark.read.parquet(f"{root}/out")
 
 

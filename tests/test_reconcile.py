@@ -128,3 +128,19 @@ def test_state_corrupt_pointer_is_empty(spark, scratch):
     for text in ["not valid json{{{", "[1,2,3]"]:
         inv.write_text_file(spark, f"{scratch}/_CURRENT", text)
         assert ST.load_state(spark, scratch)["ids"].count() == 0
+
+
+def test_run_length_hot_key_matches_sequential(spark):
+    import random
+    rnd = random.Random(7)
+    rows = []
+    for i in range(2000):
+        key = "hot" if rnd.random() < 0.9 else f"k{rnd.randint(0, 20)}"
+        rows.append((key, i, rnd.random() < 0.7))
+    df = spark.createDataFrame(rows, "k string, i int, f boolean")
+    got = {(r["k"], r["i"]): r["run"] for r in MON.run_length(df, "k", ["i"], "f", num_blocks=8).collect()}
+    expect, runs = {}, {}
+    for k, i, f in rows:
+        runs[k] = runs.get(k, 0) + 1 if f else 0
+        expect[(k, i)] = runs[k]
+    assert got == expect
