@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from quaylake.functions import jsonfn as J
 from quaylake.functions import labels as L
-from quaylake.session import apply_conf
+from quaylake.session import apply_conf, partitioned_write
 from quaylake.sources import inventory as inv
 from quaylake.specs import spec_for
 
@@ -136,12 +136,15 @@ def parse_raw(spark: SparkSession, paths: list[str], stream: str, ddl: str | Non
 
 def compact(spark: SparkSession, raw_root: str, table_root: str, now=None,
             streams: list[str] | None = None, ddl: dict[str, str] | None = None,
-            codec: str = "zstd", delete_sources: bool = True) -> DataFrame:
-    """Compact all closed raw files; returns the per-file report (A5)."""
+            codec: str = "zstd", delete_sources: bool = True, inventory: DataFrame | None = None) -> DataFrame:
+    """Compact all closed raw files; returns the per-file report (A5).
+
+    ``inventory`` may be a listing the caller already holds (``raw_inventory``).
+    """
     apply_conf(spark)
     table_root = table_root.rstrip("/")
     ddl = ddl or {}
-    inventory = inv.raw_inventory(spark, raw_root)
+    inventory = inventory if inventory is not None else inv.raw_inventory(spark, raw_root)
     cls = classify(inventory, now, read_manifest(spark, table_root))
     if streams is not None:
         cls = cls.where(F.col("stream").isin(streams))
@@ -160,9 +163,10 @@ def compact(spark: SparkSession, raw_root: str, table_root: str, now=None,
             rec_fields = parsed.select("_rec.*").columns
             good = parsed.where("_good").select(
                 *[F.col("_rec")[c].alias(c) for c in rec_fields], "_extra", "dt", "hour", "src")
-            (good.hint("rebalance", "dt", "hour", "src").write.mode("overwrite")
-                 .option("partitionOverwriteMode", "dynamic").option("compression", codec)
-                 .partitionBy("dt", "hour", "src").parquet(f"{table_root}/{stream}"))
+            with partitioned_write(spark):
+                (good.hint("rebalance", "dt", "hour", "src").write.mode("overwrite")
+                     .option("partitionOverwriteMode", "dynamic").option("compression", codec)
+                     .partitionBy("dt", "hour", "src").parquet(f"{table_root}/{stream}"))
             bad = parsed.where(~F.col("_good")).select(
                 "stream", "path", F.lit("bad_json_or_not_object").alias("reason"),
                 J.preview("raw").alias("preview"), "raw", "dt", "hour", "src")
@@ -190,12 +194,30 @@ def compact(spark: SparkSession, raw_root: str, table_root: str, now=None,
         # sources go only after their rows are in the table (or quarantine) and
         # the manifest says so; zero-byte files are simply removed
         drop = [p for p, r in report.items() if r["status"] in ("compacted", "empty")]
-        inv.delete_paths(spark, drop)
+        inv.delete_paths(spark, _collapse_dirs(drop, list(report)))
     rows = [(r["path"], r["stream"], r["label"], r["size"], r["status"], r["rows"], r["corrupt"],
              r["src"]) for r in sorted(report.values(), key=lambda x: x["path"])]
     return spark.createDataFrame(rows, REPORT_SCHEMA)
 
 
+def _collapse_dirs(drop: list[str], listed: list[str]) -> list[str]:
+    """Replace files by their ``label=`` directory when every listed file in it is
+    dropped (one delete per directory instead of one per file)."""
+    from collections import defaultdict
+    by_dir, dropped = defaultdict(set), defaultdict(set)
+    for p in listed:
+        by_dir[p.rsplit("/", 1)[0]].add(p)
+    for p in drop:
+        dropped[p.rsplit("/", 1)[0]].add(p)
+    out = []
+    for d, files in dropped.items():
+        if "/label=" in d.rsplit("/", 1)[-1] and files == by_dir[d]:
+            out.append(d + "/")
+        else:
+            out.extend(sorted(files))
+    return out
+
+
 def purge_raw(spark: SparkSession, raw_root: str, table_root: str, now=None,
               keep_hours: float = 48, force: bool = False) -> list[str]:
     """Delete raw files older than the retention (K7).

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from quaylake.functions import labels as L
 from quaylake.functions import jsonfn as J
+from quaylake.session import partitioned_write
 
 META_COLS = ("_fetched_at", "_source")
 
@@ -55,22 +56,35 @@ def with_label(df: DataFrame, daily: bool = False, col: str = "label") -> DataFr
     return df.withColumn(col, L.rotation_label(L.from_epoch_seconds("_fetched_at"), daily))
 
 
-def land_jsonl(df: DataFrame, raw_root: str, stream: str, daily: bool = False,
-               source: str | None = None, fetched_at: Column | float | None = None) -> str:
-    """Append records as JSON lines under their rotation label (K1, K2).
+def json_lines(df: DataFrame, stream: str, daily: bool = False, source: str | None = None,
+               fetched_at: Column | float | None = None) -> DataFrame:
+    """Records -> ``(label, value)`` JSON lines with metadata first; null fields kept
+    as ``null`` so key presence survives landing."""
+    out = with_label(with_metadata(df, stream, source, fetched_at), daily)
+    body = [c for c in out.columns if c != "label"]
+    return out.select("label", F.to_json(F.struct(*body), {"ignoreNullFields": "false"}).alias("value"))
+
+
+def land_lines(lines: DataFrame, raw_root: str, stream: str) -> str:
+    """Append ``(label, value)`` lines under ``<raw_root>/<stream>/label=<label>/`` (K1, K2).
 
     One Spark job = one atomic batch. The write is rebalanced on the label so a
     hot hour is split across tasks by AQE instead of landing in one task, and
-    small batches are coalesced into few files. Null fields are written as
-    ``null`` so key presence survives landing.
+    small batches are coalesced into few files.
     """
-    out = with_label(with_metadata(df, stream, source, fetched_at), daily)
     path = f"{raw_root.rstrip('/')}/{stream}"
-    (out.hint("rebalance", "label").write.mode("append").partitionBy("label")
-        .option("ignoreNullFields", "false").json(path))
+    with partitioned_write(lines.sparkSession):
+        (lines.select("label", "value").hint("rebalance", "label").write.mode("append")
+              .partitionBy("label").text(path))
     return path
 
 
+def land_jsonl(df: DataFrame, raw_root: str, stream: str, daily: bool = False,
+               source: str | None = None, fetched_at: Column | float | None = None) -> str:
+    """Append records as JSON lines under their rotation label (K1, K2)."""
+    return land_lines(json_lines(df, stream, daily, source, fetched_at), raw_root, stream)
+
+
 def with_defaults_json(record: Column | str, defaults: list[tuple[str, Column]]) -> Column:
     """``{**defaults, **record}`` on JSON text: keys come first, the record's own values win."""
     rec = F.from_json(J._c(record), "map<string,variant>")
@@ -101,6 +115,7 @@ def land_routed(routed: DataFrame, raw_root: str, channel: str, daily: bool = Fa
     """Write routed frames (columns ``route``, ``line``, ``_fetched_at``) in one pass (K3)."""
     out = with_label(routed.select("route", "line", "_fetched_at"), daily).select("route", "label", "line")
     path = f"{raw_root.rstrip('/')}/{channel}"
-    (out.hint("rebalance", "route", "label").write.mode("append")
-        .partitionBy("route", "label").text(path))
+    with partitioned_write(routed.sparkSession):
+        (out.hint("rebalance", "route", "label").write.mode("append")
+            .partitionBy("route", "label").text(path))
     return path

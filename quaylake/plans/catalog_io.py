@@ -21,7 +21,7 @@ from quaylake.operators import compact as CP
 from quaylake.operators import discovery as D
 from quaylake.operators import market as M
 from quaylake.operators import state as ST
-from quaylake.operators.land import land_jsonl, wrap_non_object
+from quaylake.operators.land import json_lines, land_jsonl, land_lines, wrap_non_object
 from quaylake.plans.catalog import FIXED_NOW, HOUR_NOW, table
 from quaylake.session import scratch_dir
 from quaylake.sources import inventory as inv
@@ -69,16 +69,19 @@ def shared_lake(spark, sf):
         return _SHARED[key]
     root = scratch_dir(spark, "lake")
     raw = f"{root}/raw"
-    _land_events(spark, sf, raw)
-    broken = (event_records(spark, sf).where(F.col("event_type") == "error")
+    recs = event_records(spark, sf)
+    broken = (recs.where(F.col("event_type") == "error")
               .select(L.hour_label(L.from_epoch_seconds("_fetched_at")).alias("label"),
                       F.format_string('{"event_id":%d,"ts_us":', "event_id").alias("value")))
-    broken.write.mode("append").partitionBy("label").text(f"{raw}/{EVENTS_STREAM}")
+    land_lines(json_lines(recs, EVENTS_STREAM).unionByName(broken), raw, EVENTS_STREAM)
     inv.write_text_file(spark, f"{raw}/{EVENTS_STREAM}/label=2024-01-02T03/empty.json", "")
     inv.write_text_file(spark, f"{raw}/{EVENTS_STREAM}/old.jsonl", '{"event_id":-1}\n')
-    snapshot = CP.classify(inv.raw_inventory(spark, raw), FIXED_NOW).select("label", "status").distinct()
+    listing = inv.raw_inventory(spark, raw)
+    listing = spark.createDataFrame(listing.collect(), listing.schema)
+    snapshot = CP.classify(listing, FIXED_NOW).select("label", "status").distinct()
     snapshot = spark.createDataFrame(snapshot.collect(), "label STRING, status STRING")
-    report = CP.compact(spark, raw, f"{root}/table", now=FIXED_NOW, ddl={EVENTS_STREAM: EVENTS_DDL})
+    report = CP.compact(spark, raw, f"{root}/table", now=FIXED_NOW, ddl={EVENTS_STREAM: EVENTS_DDL},
+                        inventory=listing)
     report = spark.createDataFrame(report.collect(), CP.REPORT_SCHEMA)
     _SHARED[key] = (root, report, snapshot)
     return _SHARED[key]

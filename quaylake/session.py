@@ -9,6 +9,7 @@ resolution (feeds carry keys that differ only in case) and AQE.
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 
 from pyspark.sql import SparkSession
@@ -67,3 +68,25 @@ def shared_root(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique directory under the shared root for one run of a job."""
     return f"{shared_root(spark)}/quaylake/{name}-{uuid.uuid4().hex[:12]}"
+
+
+@contextlib.contextmanager
+def partitioned_write(spark: SparkSession, min_partition_bytes: str = "64k"):
+    """Scope for writes partitioned by label / hour / slice.
+
+    Their cost is per output file, not per byte: AQE would coalesce a small
+    rebalanced batch into one task that then writes every partition serially.
+    Lowering the minimum coalesced size keeps about ``defaultParallelism``
+    writer tasks for small batches; large batches are unaffected (their
+    partitions are far above the threshold and AQE still splits skewed ones).
+    """
+    key = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+    prev = spark.conf.get(key, None)
+    spark.conf.set(key, min_partition_bytes)
+    try:
+        yield
+    finally:
+        if prev is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, prev)

@@ -78,10 +78,11 @@ def file_listing(spark: SparkSession, root: str) -> DataFrame:
     """
     if not exists(spark, root):
         return spark.createDataFrame([], INVENTORY_SCHEMA)
-    listed = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-              .select(norm_path("path").alias("path"), F.col("length").alias("size"),
-                      F.unix_millis("modificationTime").alias("mtime_ms")))
-    names = [norm_path_py(p) for p in spark.read.option("recursiveFileLookup", "true").text(root).inputFiles()]
+    scan = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    listed = scan.select(norm_path("path").alias("path"), F.col("length").alias("size"),
+                         F.unix_millis("modificationTime").alias("mtime_ms"))
+    # the scan's file index (listed once, reused by the scan) still holds the empty files
+    names = [norm_path_py(p) for p in scan.inputFiles()]
     non_empty = {r["path"] for r in listed.select("path").collect()}
     empty = []
     for p in names:
@@ -105,12 +106,14 @@ def raw_inventory(spark: SparkSession, raw_root: str) -> DataFrame:
 
 
 def delete_paths(spark: SparkSession, paths: list[str], recursive: bool = False) -> int:
+    """Delete files (and directories given with a trailing ``/``)."""
     n = 0
     fs = None
     for p in paths:
         if fs is None:
             fs, _ = _fs(spark, p)
-        if fs.delete(_jvm(spark).org.apache.hadoop.fs.Path(p), recursive):
+        is_dir = p.endswith("/")
+        if fs.delete(_jvm(spark).org.apache.hadoop.fs.Path(p.rstrip("/")), recursive or is_dir):
             n += 1
     return n
 

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from quaylake.functions import labels as L
 from quaylake.operators.route import decode_frames, quarantine_rows, routed_lines
+from quaylake.session import partitioned_write
 
 FRAME_SCHEMA = "channel STRING, raw STRING, _fetched_at DOUBLE"
 
@@ -52,9 +53,10 @@ def route_batch(batch: DataFrame, epoch_id: int, raw_root: str, quarantine_path:
         lines = routed_lines(decoded)
         lines = (_with_hour_label(lines).withColumn("epoch", F.lit(int(epoch_id)))
                  .select("channel", "route", "label", "epoch", "line"))
-        (lines.hint("rebalance", "channel", "route", "label").write.mode("overwrite")
-              .option("partitionOverwriteMode", "dynamic")
-              .partitionBy("channel", "route", "label", "epoch").text(raw_root))
+        with partitioned_write(batch.sparkSession):
+            (lines.hint("rebalance", "channel", "route", "label").write.mode("overwrite")
+                  .option("partitionOverwriteMode", "dynamic")
+                  .partitionBy("channel", "route", "label", "epoch").text(raw_root))
         q = quarantine_rows(decoded).withColumn("epoch", F.lit(int(epoch_id)))
         (q.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
           .partitionBy("epoch").parquet(quarantine_path))
