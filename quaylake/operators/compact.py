@@ -88,16 +88,25 @@ def read_manifest(spark: SparkSession, table_root: str) -> DataFrame:
 
 
 def typed_records(df, raw: str, stream: str, ddl: str | None = None, schema=None):
-    """JSON-text records -> ``_good`` flag, typed ``_rec`` struct and ``_extra``
-    (unknown top-level keys as ``map<string,variant>``; dropped fields never parsed)."""
+    """JSON-text records -> ``_good`` flag, typed ``_rec`` struct, ``_extra``
+    (unknown top-level keys as ``map<string,variant>``; dropped fields never
+    parsed) and ``_cast_errors`` (declared fields present with a non-null value
+    that does not fit the declared type; the typed value is null) (P17)."""
     spec = spec_for(stream, ddl)
     schema = schema or spec.schema
     known = [f.name for f in schema.fields] + list(spec.drop_fields)
     good = J.strict_json(raw) & (J.json_shape(raw) == "object")
     extra = F.map_filter(F.from_json(raw, "map<string,variant>"),
                          lambda k, v: ~F.array_contains(F.array(*[F.lit(x) for x in known]), k))
-    return df.withColumn("_good", good).withColumn("_rec", F.from_json(raw, schema)) \
-        .withColumn("_extra", extra)
+    out = df.withColumn("_good", good).withColumn("_rec", F.from_json(raw, schema)) \
+        .withColumn("_v", F.try_parse_json(raw)).withColumn("_extra", extra)
+
+    def failed(name):
+        val = F.variant_get(F.col("_v"), f"$['{name}']", "variant")
+        return F.when(val.isNotNull() & ~F.is_variant_null(val) & F.col("_rec")[name].isNull(), F.lit(name))
+    errors = F.array_compact(F.array(*[failed(f.name) for f in schema.fields])) if schema.fields \
+        else F.array().cast("array<string>")
+    return out.withColumn("_cast_errors", errors).drop("_v")
 
 
 def parse_raw(spark: SparkSession, paths: list[str], stream: str, ddl: str | None = None) -> DataFrame:
@@ -129,7 +138,7 @@ def parse_raw(spark: SparkSession, paths: list[str], stream: str, ddl: str | Non
     text = typed_records(text.where(J.stripped("raw") != ""), "raw", stream, ddl, schema)
     label = L.label_of_path("path")
     return text.select(
-        "path", "raw", "_good", "_rec", "_extra",
+        "path", "raw", "_good", "_rec", "_extra", "_cast_errors",
         F.lit(stream).alias("stream"), L.label_dt(label).alias("dt"), L.label_hour(label).alias("hour"),
         slice_id(F.col("path"), F.col("size"), F.col("mtime_ms")).alias("src"))
 
@@ -162,7 +171,7 @@ def compact(spark: SparkSession, raw_root: str, table_root: str, now=None,
         try:
             rec_fields = parsed.select("_rec.*").columns
             good = parsed.where("_good").select(
-                *[F.col("_rec")[c].alias(c) for c in rec_fields], "_extra", "dt", "hour", "src")
+                *[F.col("_rec")[c].alias(c) for c in rec_fields], "_extra", "_cast_errors", "dt", "hour", "src")
             with partitioned_write(spark):
                 (good.hint("rebalance", "dt", "hour", "src").write.mode("overwrite")
                      .option("partitionOverwriteMode", "dynamic").option("compression", codec)

@@ -63,8 +63,12 @@ def run_length(log: DataFrame, key: str, order: list[str], flag: Column | str,
         wb.rowsBetween(Window.unboundedPreceding, 0)))
     blocks = blocks.withColumn("_s", F.sum("_tail").over(
         Window.partitionBy(key, "_g").orderBy("_blk").rowsBetween(Window.unboundedPreceding, 0)))
-    blocks = blocks.withColumn("_carry", F.coalesce(F.lag("_s").over(wb), F.lit(0))).select(key, "_blk", "_carry")
-    out = blocked.join(blocks, [key, "_blk"], "left")
+    blocks = blocks.withColumn("_carry", F.coalesce(F.lag("_s").over(wb), F.lit(0))).select(
+        F.col(key).alias("_bkey"), F.col("_blk").alias("_bblk"), "_carry")
+    # every (key, block) of ``blocked`` has exactly one summary row; a null-safe
+    # inner join keeps both branches identical so their shuffles are reused
+    cond = F.col(key).eqNullSafe(F.col("_bkey")) & (F.col("_blk") == F.col("_bblk"))
+    out = blocked.join(blocks, cond, "inner").drop("_bkey", "_bblk")
     run = F.col("_lrun") + F.when(F.col("_rst") == 0, F.col("_carry")).otherwise(F.lit(0))
     return out.withColumn(col, run.cast("bigint")).drop("_flag", "_blk", "_rst", "_lrun", "_carry")
 

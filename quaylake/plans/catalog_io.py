@@ -102,7 +102,7 @@ SELECT event_id, epoch_us(ts) AS ts_us, user_id, event_type, value, props,
 FROM events WHERE {_CLOSED}""")
 def compact_roundtrip(spark, sf):
     root, _, _ = shared_lake(spark, sf)
-    return scan_table(spark, f"{root}/table", EVENTS_STREAM).drop("_extra")
+    return scan_table(spark, f"{root}/table", EVENTS_STREAM).drop("_extra", "_cast_errors")
 
 
 @query("stream_volume", f"""
@@ -155,7 +155,7 @@ def scan_dt_q(spark, sf):
 
 
 @query("snapshot_count", f"""
-SELECT count(*)::BIGINT AS rows, 11 AS n_columns FROM events WHERE {_CLOSED}""")
+SELECT count(*)::BIGINT AS rows, 12 AS n_columns FROM events WHERE {_CLOSED}""")
 def snapshot_count_q(spark, sf):
     from quaylake.operators.monitor import snapshot_count
     root, _, _ = shared_lake(spark, sf)

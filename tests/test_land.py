@@ -68,3 +68,12 @@ def test_series_events_field_dropped(spark):
     r = typed_records(df, "raw", "gamma/series").first()
     assert r["_rec"]["id"] == "s1" and sorted(r["_extra"].keys()) == ["new"]
     assert "events" not in [f.name for f in SPECS["gamma/series"].schema.fields]
+
+
+def test_cast_errors(spark):
+    from quaylake.operators.compact import typed_records
+    df = spark.createDataFrame([('{"id":"1","value":"x","other":null}',), ('{"id":"2","value":5}',),
+                                ('{"id":"3","value":null}',)], "raw string")
+    rows = typed_records(df, "raw", "s", ddl="id STRING, value BIGINT").orderBy("raw").collect()
+    assert [r["_cast_errors"] for r in rows] == [["value"], [], []]
+    assert [r["_rec"]["value"] for r in rows] == [None, 5, None]
