@@ -72,11 +72,11 @@ def price_record(df: DataFrame, key: str = "token_id", price: str = "price") ->
 def restrict_to_worklist(df: DataFrame, worklist: DataFrame, key: str, n_max: int | None = None) -> DataFrame:
     """Rows whose key is on the work-list.
 
-    A work-list built with ``limit(n)`` has a proven size bound and is
-    broadcast; otherwise the semi-join is left to AQE.
+    A work-list built with ``limit(n)`` (``n_max`` given, at most 100,000) has a
+    proven size bound and is broadcast; otherwise the semi-join is left to AQE.
     """
     wl = worklist.select(key).distinct()
-    if n_max is not None:
+    if n_max is not None and n_max <= 100_000:
         wl = F.broadcast(wl)
     return df.join(wl, key, "left_semi")
 

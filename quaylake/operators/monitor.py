@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from quaylake.session import bounded_broadcast
+
 
 def last_fetch(log: DataFrame, source: str = "_source", ts: str = "_fetched_at") -> DataFrame:
     """Latest successful fetch per source (A2)."""
@@ -114,8 +116,8 @@ def rate_audit(log: DataFrame, group: str, ts: str, limits: DataFrame | None = N
     sums = spread.groupBy("grp", "sec").agg(F.sum("n").alias("n_window"))
     out = per_sec.join(sums, ["grp", "sec"], "left")
     if limits is not None:
-        out = out.join(F.broadcast(limits.select(F.col(limits.columns[0]).alias("grp"),
-                                                 F.col(limits.columns[1]).alias("rps"))), "grp", "left") \
+        lim = limits.select(F.col(limits.columns[0]).alias("grp"), F.col(limits.columns[1]).alias("rps"))
+        out = out.join(bounded_broadcast(lim), "grp", "left") \
                  .withColumn("over", F.col("n_window") > F.col("rps") * F.lit(window_s))
     return out.withColumnRenamed("grp", group)
 
@@ -124,9 +126,9 @@ def staleness(last: DataFrame, intervals: DataFrame, now_s: float, source: str =
     """Sources whose last fetch is older than their max interval.
 
     ``intervals(source, max_interval)`` is a configuration table (one row per
-    poller), broadcast by its declared size.
+    poller), broadcast after a size check.
     """
-    return (last.join(F.broadcast(intervals), source, "left")
+    return (last.join(bounded_broadcast(intervals), source, "left")
                 .withColumn("age", F.lit(float(now_s)) - F.col("last_fetch"))
                 .withColumn("stale", F.col("age") > F.col("max_interval")))
 

@@ -90,3 +90,14 @@ def partitioned_write(spark: SparkSession, min_partition_bytes: str = "64k"):
             spark.conf.unset(key)
         else:
             spark.conf.set(key, prev)
+
+
+def bounded_broadcast(df, max_rows: int = 100_000):
+    """Broadcast ``df`` only after checking its size; otherwise leave the join to AQE.
+
+    The check reads at most ``max_rows + 1`` rows of the (small, caller-supplied)
+    side, so it stays cheap even when the side turns out to be large.
+    """
+    from pyspark.sql import functions as F
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
