@@ -77,8 +77,10 @@ def has_key(raw: Column | str, key: str) -> Column:
 
 
 def key_text(raw: Column | str, key: str) -> Column:
-    """Value of a top-level key as text (strings unquoted, others as JSON)."""
-    return F.get_json_object(_c(raw), f"$.{key}")
+    """Value of a top-level key as text (strings unquoted, others as JSON; JSON
+    null -> null). Read from the parsed value, so a repeated key gives its last
+    value, as a dict-based decoder does."""
+    return F.variant_get(F.try_parse_json(_c(raw)), f"$['{key}']", "string")
 
 
 def array_elements(raw: Column | str) -> Column:

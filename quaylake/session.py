@@ -23,6 +23,8 @@ RUNTIME_CONF = {
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "zstd",
+    # feeds may repeat a key; like the collector's decoder, accept it (last wins)
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 

@@ -48,7 +48,7 @@ def test_stream_and_label_of_path(spark, path, stream, label):
 
 @pytest.mark.parametrize("raw,ok", [
     ('{"a":1}', True), ('[1,2]', True), ("3", True), ('{"a":1', False), ("{'a':1}", False),
-    ('{"a":1} xx', False), ("pong", False), ("", False),
+    ('{"a":1} xx', False), ("pong", False), ("", False), ('{"a":1,"a":2}', True),
 ])
 def test_strict_json(spark, raw, ok):
     assert one(spark, J.strict_json(F.col("x")), raw) is ok
@@ -66,6 +66,7 @@ def test_strict_json(spark, raw, ok):
     ('{"type":"new_market"}', "new_market", "book"),
     ('{"type":"something_random"}', "something_random", "book"),
     ('{"event_type":null,"price_changes":[]}', None, "book"),
+    ('{"event_type":"x","event_type":"price_change"}', "price_change", "price_change"),
 ])
 def test_detect_and_route(spark, frame, etype, route):
     df = spark.createDataFrame([(frame,)], "x string")
