@@ -377,10 +377,14 @@ def id_union_q(spark, sf):
 
 
 @query("unsubscribed", """
-SELECT p_partkey AS token_id FROM part WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_partkey = p_partkey)""")
+SELECT p_partkey AS token_id FROM part WHERE NOT EXISTS (
+  SELECT 1 FROM lineitem WHERE l_partkey = p_partkey AND l_shipdate < TIMESTAMP '1996-01-01')""")
 def unsubscribed_q(spark, sf):
+    """Tokens not yet subscribed: all parts vs the parts already traded before the split."""
     tokens = table(spark, sf, "part").select(F.col("p_partkey").alias("token_id"))
-    subscribed = table(spark, sf, "lineitem").select(F.col("l_partkey").alias("token_id"))
+    li = table(spark, sf, "lineitem")
+    subscribed = li.where(F.col("l_shipdate") < F.lit(dt.datetime(1996, 1, 1)).cast("timestamp_ntz")) \
+        .select(F.col("l_partkey").alias("token_id"))
     return D.unsubscribed(tokens, subscribed, "token_id")
 
 
