@@ -43,3 +43,24 @@ def test_dt_partition_filter(spark):
 def test_rate_audit_preaggregates(spark):
     p = plan(E.queries()["rate_audit"](spark, SF))
     assert p.index("partial_count") > 0
+
+
+def test_no_single_partition_window_over_data(spark):
+    """The global index behind chunking: the only single-partition exchange is
+    over the per-partition count table (one row per partition), never the ids."""
+    p = plan(E.queries()["chunk_ids"](spark, SF))
+    lines = p.splitlines()
+    singles = [i for i, line in enumerate(lines) if "SinglePartition" in line]
+    assert len(singles) == 1
+    below = "\n".join(lines[singles[0]:singles[0] + 4])
+    assert "HashAggregate(keys=[_pid" in below
+
+
+def test_run_length_has_no_key_only_window_over_rows(spark):
+    """Cadence windows are partitioned by (key, block) over the rows; key-only
+    windows appear only over the per-block summary."""
+    p = plan(E.queries()["next_interval"](spark, SF))
+    assert "rangepartitioning(user_id" in p and "hashpartitioning(user_id#" in p
+    for line in p.splitlines():
+        if "Window [" in line and "windowspecdefinition(user_id" in line and "_blk" not in line.split("windowspecdefinition(")[1].split(",")[1]:
+            assert "_s#" in line or "_g#" in line or "_we0" in line
