@@ -47,10 +47,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _s(col) -> F.Column:
-    return F.col(col).cast("string")
-
-
 # ---------------------------------------------------------------- labels
 @query("hour_label_counts", """
 SELECT strftime(ts, '%Y-%m-%dT%H') AS label, event_type, count(*)::BIGINT AS n
@@ -235,8 +231,9 @@ _ITEM_SQL = """'{"c":' || o_custkey || ',"k":' || o_orderkey || '}'"""
 
 
 def _page_bodies(orders: DataFrame, page_key, shape) -> DataFrame:
-    """Pages of at most 100 orders each (the page key is ``orderkey div 100``,
-    so the group size is bounded by construction), bodies in several shapes."""
+    """Pages of at most 100 orders each, bodies in several shapes. Order keys are
+    unique, so a page key ``orderkey div 100`` holds at most 100 rows: the
+    ``collect_list`` below is bounded by construction, not by the data."""
     grouped = (orders.groupBy(page_key.alias("page_no"))
                .agg(F.sort_array(F.collect_list(F.struct("o_orderkey", item_spark().alias("item")))).alias("its")))
     arr = F.concat(F.lit("["), F.array_join(F.transform("its", lambda x: x["item"]), ","), F.lit("]"))
@@ -283,6 +280,8 @@ SELECT k.crawl_id, k.page_no, k.truncated,
        row_number() OVER (PARTITION BY o.crawl_id, o.page_no ORDER BY o.o_orderkey) - 1 AS item_no, o.item
 FROM kept k JOIN o USING (crawl_id, page_no)""")
 def cut_pages_q(spark, sf):
+    # pages of at most 10 unique order keys each (bounded collect_list); orders
+    # with status 'P' are left out so that some pages come out short
     orders = table(spark, sf, "orders").where(F.col("o_orderstatus") != "P")
     crawl = F.floor(F.col("o_orderkey") / 1000).cast("bigint")
     page = F.floor((F.col("o_orderkey") % 1000) / 10).cast("bigint")

@@ -9,7 +9,7 @@ Unknown top-level keys are kept in ``_extra`` (``map<string,variant>``).
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql.types import StructType
 
