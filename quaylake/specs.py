@@ -101,11 +101,6 @@ SPECS: dict[str, StreamSpec] = {s.name: s for s in [
     StreamSpec("ws_rtds/activity", "channel STRING", source_value="ws_rtds", key=()),
     StreamSpec("ws_rtds/crypto_prices", "channel STRING", key=()),
 ]}
-# Market-channel route key -> stream; RTDS split -> stream.
-MARKET_STREAMS = {"book": "ws_market/book", "price_change": "ws_market/price_change",
-                  "last_trade_price": "ws_market/last_trade_price"}
-RTDS_STREAMS = {"activity": "ws_rtds/activity", "crypto_prices": "ws_rtds/crypto_prices"}
-SPORTS_STREAM = "ws_sports/events"
 # ---------------------------------------------------------------------------
 
 

@@ -77,3 +77,34 @@ def test_cast_errors(spark):
     rows = typed_records(df, "raw", "s", ddl="id STRING, value BIGINT").orderBy("raw").collect()
     assert [r["_cast_errors"] for r in rows] == [["value"], [], []]
     assert [r["_rec"]["value"] for r in rows] == [None, 5, None]
+
+
+SAMPLES = {
+    "gamma/markets": '{"id":"1","question":"Q?","clobTokenIds":"[\\"1\\",\\"2\\"]","volume":"12.5","active":true,"closed":false,"rewardsMinSize":5,"newKey":1}',
+    "gamma/events": '{"id":"e1","markets":[{"id":"1"},{"x":[1,2]}],"tags":[{"id":"t","label":"L","slug":"l"}],"openInterest":3}',
+    "gamma/tags": '{"id":"t1","label":"Politics","requiresTranslation":false}',
+    "gamma/series": '{"id":"s1","title":"S","events":[{"id":"e"}],"commentCount":2}',
+    "gamma/sports": '{"id":7,"sport":"nba","tags":"1,2"}',
+    "clob/prices": '{"token_id":"t","price":{"error":"no book"},"midpoint":"0.5"}',
+    "clob/books": '{"asset_id":"a","bids":[{"price":"0.4","size":"10"}],"asks":[],"neg_risk":false}',
+    "data_api/trades": '{"proxyWallet":"w","side":"BUY","asset":"a","size":1.5,"price":0.5,"timestamp":1772800000,"outcomeIndex":0}',
+    "data_api/holders": '{"condition_id":"m","data":7}',
+    "ws_market/book": '{"market":"m","asset_id":"a","bids":[],"asks":[{"price":"0.6","size":"1"}]}',
+    "ws_market/price_change": '{"market":"m","price_changes":[{"asset_id":"a","price":"0.5","side":"BUY"}]}',
+    "ws_market/last_trade_price": '{"market":"m","last_trade_price":0.42}',
+    "ws_sports/events": '{"game":1}',
+    "ws_rtds/activity": '{"channel":"activity","x":1}',
+    "ws_rtds/crypto_prices": '{"channel":"crypto_prices","p":1}',
+}
+
+
+def test_every_registered_stream_parses_a_sample(spark):
+    from quaylake.operators.compact import typed_records
+    assert set(SAMPLES) == set(SPECS)
+    for stream, line in SAMPLES.items():
+        df = spark.createDataFrame([("{" + '"_fetched_at":1.0,"_source":"x",' + line[1:],)], "raw string")
+        r = typed_records(df, "raw", stream).first()
+        assert r["_good"] and r["_cast_errors"] == [], stream
+        assert r["_rec"]["_fetched_at"] == 1.0
+    r = typed_records(spark.createDataFrame([(SAMPLES["gamma/markets"],)], "raw string"), "raw", "gamma/markets").first()
+    assert r["_rec"]["volume"] == "12.5" and r["_rec"]["active"] is True and list(r["_extra"].keys()) == ["newKey"]
