@@ -73,7 +73,7 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 
 
 @contextlib.contextmanager
-def partitioned_write(spark: SparkSession, min_partition_bytes: str = "64k"):
+def partitioned_write(spark: SparkSession, min_partition_bytes: str = "8k"):
     """Scope for writes partitioned by label / hour / slice.
 
     Their cost is per output file, not per byte: AQE would coalesce a small
