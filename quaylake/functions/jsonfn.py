@@ -52,11 +52,12 @@ def json_shape(raw: Column | str, trimmed: Column | None = None) -> Column:
             .when(first == "", "empty").otherwise("scalar"))
 
 
-def strict_json(raw: Column | str, trimmed: Column | None = None) -> Column:
+def strict_json(raw: Column | str, trimmed: Column | None = None, parsed: Column | None = None) -> Column:
     """True when ``raw`` is one complete JSON value.
 
     ``try_parse_json`` alone accepts trailing text after an object or array,
-    so the last non-space character must close the first one.
+    so the last non-space character must close the first one. Pass ``parsed``
+    (= ``try_parse_json(raw)`` from an earlier projection) to avoid a re-parse.
     """
     s = stripped(raw) if trimmed is None else trimmed
     shape = json_shape(raw, s)
@@ -64,7 +65,8 @@ def strict_json(raw: Column | str, trimmed: Column | None = None) -> Column:
     closes = (F.when(shape == "object", last == "}")
               .when(shape == "array", last == "]")
               .otherwise(shape == "scalar"))
-    return F.try_parse_json(_c(raw)).isNotNull() & closes
+    v = F.try_parse_json(_c(raw)) if parsed is None else parsed
+    return v.isNotNull() & closes
 
 
 def object_keys(raw: Column | str) -> Column:

@@ -95,18 +95,20 @@ def typed_records(df, raw: str, stream: str, ddl: str | None = None, schema=None
     spec = spec_for(stream, ddl)
     schema = schema or spec.schema
     known = [f.name for f in schema.fields] + list(spec.drop_fields)
-    good = J.strict_json(raw) & (J.json_shape(raw) == "object")
-    extra = F.map_filter(F.from_json(raw, "map<string,variant>"),
+    # one variant parse per line, reused by the strictness check, _extra and _cast_errors
+    out = df.withColumn("_v", F.try_parse_json(raw)).withColumn("_t", J.stripped(raw))
+    good = J.strict_json(raw, F.col("_t"), F.col("_v")) & (J.json_shape(raw, F.col("_t")) == "object")
+    extra = F.map_filter(F.try_variant_get(F.col("_v"), "$", "map<string,variant>"),
                          lambda k, v: ~F.array_contains(F.array(*[F.lit(x) for x in known]), k))
-    out = df.withColumn("_good", good).withColumn("_rec", F.from_json(raw, schema)) \
-        .withColumn("_v", F.try_parse_json(raw)).withColumn("_extra", extra)
+    out = out.withColumn("_good", good).withColumn("_rec", F.from_json(raw, schema)) \
+        .withColumn("_extra", F.when(F.col("_good"), extra))
 
     def failed(name):
         val = F.variant_get(F.col("_v"), f"$['{name}']", "variant")
         return F.when(val.isNotNull() & ~F.is_variant_null(val) & F.col("_rec")[name].isNull(), F.lit(name))
     errors = F.array_compact(F.array(*[failed(f.name) for f in schema.fields])) if schema.fields \
         else F.array().cast("array<string>")
-    return out.withColumn("_cast_errors", errors).drop("_v")
+    return out.withColumn("_cast_errors", errors).drop("_v", "_t")
 
 
 def parse_raw(spark: SparkSession, paths: list[str], stream: str, ddl: str | None = None) -> DataFrame:
@@ -138,7 +140,7 @@ def parse_raw(spark: SparkSession, paths: list[str], stream: str, ddl: str | Non
     text = typed_records(text.where(J.stripped("raw") != ""), "raw", stream, ddl, schema)
     label = L.label_of_path("path")
     return text.select(
-        "path", "raw", "_good", "_rec", "_extra", "_cast_errors",
+        "path", F.when(~F.col("_good"), F.col("raw")).alias("raw"), "_good", "_rec", "_extra", "_cast_errors",
         F.lit(stream).alias("stream"), L.label_dt(label).alias("dt"), L.label_hour(label).alias("hour"),
         slice_id(F.col("path"), F.col("size"), F.col("mtime_ms")).alias("src"))
 
