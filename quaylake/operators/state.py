@@ -1,9 +1,10 @@
 """Collector state as versioned tables (K9).
 
 State = id sets ``(kind, id, first_seen)``, last fetch per source and an ingest
-cursor. Each save writes a complete new version directory, then swaps a small
-pointer file; a reader follows the pointer, so it sees either the old or the new
-version. Missing, unreadable or malformed state loads as empty tables of the
+cursor. Each save writes a complete new version directory, then publishes a new small
+pointer file ``_CURRENT-<millis>-<version>`` (created, never overwritten); a
+reader follows the newest pointer, so it sees either the old or the new
+version and never a missing one. Older pointers and versions are pruned after. Missing, unreadable or malformed state loads as empty tables of the
 right schema. Saving unchanged state is a no-op.
 """
 
@@ -22,8 +23,19 @@ CURSOR_SCHEMA = "name STRING, item_offset BIGINT, completed BOOLEAN"
 POINTER = "_CURRENT"
 
 
+def _pointers(spark: SparkSession, root: str) -> list[str]:
+    fs, jpath = inv._fs(spark, root)
+    if not fs.exists(jpath):
+        return []
+    names = [st.getPath().getName() for st in fs.listStatus(jpath)]
+    return sorted(n for n in names if n.startswith(POINTER))
+
+
 def _pointer(spark: SparkSession, root: str) -> dict | None:
-    text = inv.read_text_file(spark, f"{root}/{POINTER}")
+    names = _pointers(spark, root)
+    if not names:
+        return None
+    text = inv.read_text_file(spark, f"{root}/{names[-1]}")
     if text is None:
         return None
     try:
@@ -71,8 +83,13 @@ def save_state(spark: SparkSession, root: str, tables: dict[str, DataFrame]) ->
     version = uuid.uuid4().hex[:12]
     for name, df in tables.items():
         df.write.mode("overwrite").parquet(f"{root}/v={version}/{name}")
-    tmp = f"{root}/_pointer-{version}.tmp"
-    inv.write_text_file(spark, tmp, json.dumps({"version": version, "fingerprint": fp}))
-    inv.delete_paths(spark, [f"{root}/{POINTER}"])
-    inv.rename(spark, tmp, f"{root}/{POINTER}")
+    import time
+    name = f"{POINTER}-{int(time.time() * 1000):013d}-{version}"
+    inv.write_text_file(spark, f"{root}/{name}", json.dumps({"version": version, "fingerprint": fp}))
+    # keep the new and the previous version (a reader may still be on it)
+    keep = {f"v={version}"} | ({f"v={ptr['version']}"} if ptr else set())
+    old = [d for d in inv.list_dirs(spark, root) if d.rstrip("/").rsplit("/", 1)[-1] not in keep
+           and d.rstrip("/").rsplit("/", 1)[-1].startswith("v=")]
+    old += [f"{root}/{p}" for p in _pointers(spark, root) if p != name]
+    inv.delete_paths(spark, old, recursive=True)
     return True

@@ -125,8 +125,8 @@ def test_state_round_trip(spark, scratch):
 
 
 def test_state_corrupt_pointer_is_empty(spark, scratch):
-    for text in ["not valid json{{{", "[1,2,3]"]:
-        inv.write_text_file(spark, f"{scratch}/_CURRENT", text)
+    for i, text in enumerate(["not valid json{{{", "[1,2,3]"]):
+        inv.write_text_file(spark, f"{scratch}/_CURRENT-999999999999{i}-x", text)
         assert ST.load_state(spark, scratch)["ids"].count() == 0
 
 
@@ -144,3 +144,13 @@ def test_run_length_hot_key_matches_sequential(spark):
         runs[k] = runs.get(k, 0) + 1 if f else 0
         expect[(k, i)] = runs[k]
     assert got == expect
+
+
+def test_state_keeps_two_versions(spark, scratch):
+    ids = spark.createDataFrame([("m", "a", 1.0)], ST.IDS_SCHEMA)
+    for i in range(4):
+        lf = spark.createDataFrame([("s", float(i))], ST.LAST_FETCH_SCHEMA)
+        assert ST.save_state(spark, scratch, {"ids": ids, "last_fetch": lf})
+    versions = [d for d in inv.list_dirs(spark, scratch) if "/v=" in d]
+    assert len(versions) == 2
+    assert ST.load_state(spark, scratch)["last_fetch"].first()["last_fetch"] == 3.0

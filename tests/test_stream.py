@@ -58,3 +58,14 @@ def test_replayed_epoch_is_idempotent(spark, scratch):
     S.route_batch(frames, 7, f"{scratch}/raw", f"{scratch}/q")
     got = sorted((r["stream"], r["line"]) for r in S.read_routed(spark, f"{scratch}/raw").collect())
     assert got == batch_result(spark)
+
+
+def test_new_ids_stream_plain_and_bounded_state(spark, scratch):
+    rows = [("ws_market", '{"user":"%d"}' % (i % 5), 1772800000.0 + i * 60) for i in range(40)]
+    frames = spark.createDataFrame(rows, S.FRAME_SCHEMA)
+    S.land_frames(frames.coalesce(1), f"{scratch}/frames")
+    S.new_ids_stream(spark, f"{scratch}/frames", f"{scratch}/a", f"{scratch}/ca").awaitTermination()
+    S.new_ids_stream(spark, f"{scratch}/frames", f"{scratch}/b", f"{scratch}/cb", within="1 hour").awaitTermination()
+    a = sorted(r["id"] for r in spark.read.parquet(f"{scratch}/a").collect())
+    b = sorted(r["id"] for r in spark.read.parquet(f"{scratch}/b").collect())
+    assert a == ["0", "1", "2", "3", "4"] and b == a
