@@ -248,10 +248,21 @@ def purge_raw(spark: SparkSession, raw_root: str, table_root: str, now=None,
 
 
 def purge_table(spark: SparkSession, table_root: str, stream: str, now=None,
-                keep_days: int = 365) -> list[str]:
-    """Drop whole ``dt=`` partitions older than the retention, by data time (K8)."""
-    cutoff = (_now(now) - dt.timedelta(days=keep_days)).strftime("%Y-%m-%d")
+                keep_days: int = 365, by: str = "dt") -> list[str]:
+    """Drop expired compacted data (K8).
+
+    ``by="dt"`` (default) drops whole ``dt=`` partitions older than the
+    retention by data date; ``by="mtime"`` deletes files whose modification
+    time is older than the retention, as the original collector does.
+    """
     base = f"{table_root.rstrip('/')}/{stream}"
+    if by == "mtime":
+        listing = inv.file_listing(spark, base)
+        old = expired(listing, now, keep_days * 86400.0)
+        gone = sorted(r["path"] for r in old.select("path").collect())
+        inv.delete_paths(spark, gone)
+        return gone
+    cutoff = (_now(now) - dt.timedelta(days=keep_days)).strftime("%Y-%m-%d")
     gone = []
     for d in inv.list_dirs(spark, base):
         name = d.rstrip("/").rsplit("/", 1)[-1]

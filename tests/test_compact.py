@@ -115,3 +115,17 @@ def test_table_retention_by_dt(spark, scratch):
     gone = CP.purge_table(spark, f"{scratch}/table", "s", now=NOW, keep_days=365)
     assert [g.rsplit("/", 1)[1] for g in gone] == ["dt=2025-01-01"]
     assert [r["id"] for r in scan_table(spark, f"{scratch}/table", "s").collect()] == ["2"]
+
+
+def test_table_retention_by_mtime(spark, scratch):
+    put(spark, scratch, "s/2026-03-01T01.jsonl", ['{"id":"1","value":1}'])
+    put(spark, scratch, "s/2026-03-01T02.jsonl", ['{"id":"2","value":2}'])
+    CP.compact(spark, f"{scratch}/raw", f"{scratch}/table", now=NOW, ddl={"s": DDL})
+    files = [p for p, _, _ in inv.list_files(spark, f"{scratch}/table/s")]
+    old = [p for p in files if "hour=01" in p]
+    now_ms = int(dt.datetime.now(dt.timezone.utc).timestamp() * 1000)
+    for p in old:
+        inv.set_mtime(spark, p, now_ms - 400 * 86400 * 1000)
+    gone = CP.purge_table(spark, f"{scratch}/table", "s", keep_days=365, by="mtime")
+    assert sorted(gone) == sorted(old)
+    assert [r["id"] for r in scan_table(spark, f"{scratch}/table", "s").collect()] == ["2"]

@@ -154,3 +154,14 @@ def test_state_keeps_two_versions(spark, scratch):
     versions = [d for d in inv.list_dirs(spark, scratch) if "/v=" in d]
     assert len(versions) == 2
     assert ST.load_state(spark, scratch)["last_fetch"].first()["last_fetch"] == 3.0
+
+
+def test_lookup_by_id_and_holders_of(spark):
+    snaps = spark.createDataFrame([("m1", 1.0, "a"), ("m1", 2.0, "b"), ("m2", 3.0, "c")],
+                                  "id string, _fetched_at double, q string")
+    assert [tuple(r) for r in M.lookup_by_id(snaps, "id", "m1", ["_fetched_at"]).collect()] == [("m1", 2.0, "b")]
+    holders = spark.createDataFrame(
+        [("m1", [("w1", 5.0), ("w2", 3.0)]), ("m2", [("w3", 1.0)])],
+        "condition_id string, holders array<struct<proxyWallet:string,amount:double>>")
+    got = [(r["holder_no"], r["proxyWallet"]) for r in M.holders_of(holders, "m1", ["condition_id"]).collect()]
+    assert sorted(got) == [(0, "w1"), (1, "w2")]
