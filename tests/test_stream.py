@@ -69,3 +69,16 @@ def test_new_ids_stream_plain_and_bounded_state(spark, scratch):
     a = sorted(r["id"] for r in spark.read.parquet(f"{scratch}/a").collect())
     b = sorted(r["id"] for r in spark.read.parquet(f"{scratch}/b").collect())
     assert a == ["0", "1", "2", "3", "4"] and b == a
+
+
+def test_processing_time_trigger(spark, scratch):
+    frames = spark.createDataFrame(FRAMES, S.FRAME_SCHEMA)
+    S.land_frames(frames.coalesce(1), f"{scratch}/frames")
+    q = S.route_stream(spark, f"{scratch}/frames", f"{scratch}/raw", f"{scratch}/q", f"{scratch}/ckpt",
+                       available_now=False, interval="1 second")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    got = sorted((r["stream"], r["line"]) for r in S.read_routed(spark, f"{scratch}/raw").collect())
+    assert got == batch_result(spark)
