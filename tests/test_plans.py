@@ -64,3 +64,14 @@ def test_run_length_has_no_key_only_window_over_rows(spark):
     for line in p.splitlines():
         if "Window [" in line and "windowspecdefinition(user_id" in line and "_blk" not in line.split("windowspecdefinition(")[1].split(",")[1]:
             assert "_s#" in line or "_g#" in line or "_we0" in line
+
+
+def test_bounded_broadcast_checks_size(spark):
+    from quaylake.session import bounded_broadcast
+    small = spark.range(5)
+    big = spark.range(50)
+
+    def hinted(df):
+        return "broadcast" in df._jdf.queryExecution().analyzed().toString().lower()
+    assert hinted(bounded_broadcast(small, max_rows=10))
+    assert not hinted(bounded_broadcast(big, max_rows=10))
