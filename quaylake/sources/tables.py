@@ -34,6 +34,17 @@ def scan_table(spark: SparkSession, table_root: str, stream: str, keep_src: bool
     """Compacted stream table with string ``dt`` / ``hour`` partition columns."""
     apply_conf(spark)
     path = f"{table_root.rstrip('/')}/{stream}"
+    if not inv.exists(spark, path):
+        # nothing compacted yet: an empty table with the declared columns
+        from quaylake.specs import spec_for
+        from pyspark.sql import types as T
+        fields = list(spec_for(stream).schema.fields) + [
+            T.StructField("_extra", T.MapType(T.StringType(), T.VariantType())),
+            T.StructField("_cast_errors", T.ArrayType(T.StringType())),
+            T.StructField("dt", T.StringType()), T.StructField("hour", T.StringType())]
+        if keep_src:
+            fields.append(T.StructField("src", T.StringType()))
+        return spark.createDataFrame([], T.StructType(fields))
     reader = spark.read.option("basePath", path)
     if merge_schema:
         reader = reader.option("mergeSchema", "true")

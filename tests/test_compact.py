@@ -129,3 +129,9 @@ def test_table_retention_by_mtime(spark, scratch):
     gone = CP.purge_table(spark, f"{scratch}/table", "s", keep_days=365, by="mtime")
     assert sorted(gone) == sorted(old)
     assert [r["id"] for r in scan_table(spark, f"{scratch}/table", "s").collect()] == ["2"]
+
+
+def test_scan_of_uncompacted_stream_is_empty(spark, scratch):
+    t = scan_table(spark, f"{scratch}/table", "clob/prices")
+    assert t.count() == 0
+    assert t.columns[:3] == ["_fetched_at", "_source", "token_id"] and t.columns[-2:] == ["dt", "hour"]
