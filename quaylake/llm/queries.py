@@ -6,21 +6,40 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quaylake.llm import linkgraph, rules
+from quaylake.llm import bpe, linkgraph, packing, pii, rules
 from quaylake.llm.common import table
 from quaylake.llm.sql import PROPAGATION_SQL, QUALITY_RULES_SQL
 
 
+# the key of the surrogates is a secret of the job that runs; this one serves the test tables
+PII_KEY = "test-tables"
+
+
+def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encoded_documents(spark, table(spark, sf_dir, "documents"))
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed_documents(table(spark, sf_dir, "documents"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.apply_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymize(table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY)
+
+
 def op10_link_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linkgraph.judge_pages(table(spark, sf_dir, "pages"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_bpe": op1_bpe,
+    "op2_packing": op2_packing,
     "op3_quality_rules": op3_quality_rules,
+    "op5_pii_surrogates": op5_pii_surrogates,
     "op10_link_graph": op10_link_graph,
 }
 
