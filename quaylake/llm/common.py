@@ -53,3 +53,24 @@ def vocabulary_path(name: str) -> str:
     if not os.path.exists(path):
         raise FileNotFoundError(path)
     return path
+
+
+def hashed_sample(ids: DataFrame, per_class: int) -> DataFrame:
+    """At most ``per_class`` rows (doc_id, label) of each label value 0 and 1, by a hash of the id.
+
+    Bounded by ``2 * per_class`` rows of two numbers, so it may be broadcast.
+    """
+    picked = [ids.where(F.col("label") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
+              for label in (0, 1)]
+    return picked[0].unionByName(picked[1]).select("doc_id", "label")
+
+
+def training_rows(docs: DataFrame, labels: DataFrame, name: str, per_class: int) -> DataFrame:
+    """(doc_id, text, label) of a bounded labelled sample outside the held-out fold."""
+    ids = one_label(labels, name).where(F.col("label").isin(0, 1) & ~held_out(F.col("doc_id")))
+    return docs.select("doc_id", "text").join(F.broadcast(hashed_sample(ids, per_class)), "doc_id")
+
+
+def sigmoid(x):
+    import numpy as np
+    return 1.0 / (1.0 + np.exp(-np.clip(x, -60, 60)))
