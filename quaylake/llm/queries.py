@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quaylake.llm import bpe, linkgraph, packing, pii, rules
+from quaylake.llm import bpe, crf, gam, linkgraph, nbsvm, packing, permutation, pii, rules
 from quaylake.llm.common import table
 from quaylake.llm.sql import PROPAGATION_SQL, QUALITY_RULES_SQL
 
@@ -27,10 +27,29 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.apply_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_gam_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return gam.score_documents(docs, gam.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op5_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymize(table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY)
 
 
+def op6_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return permutation.neighbours_of_sample(table(spark, sf_dir, "embeddings"))
+
+
+def op8_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return crf.label_documents(docs, crf.train(docs))
+
+
+def op9_nb_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return nbsvm.score_documents(docs, nbsvm.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op10_link_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linkgraph.judge_pages(table(spark, sf_dir, "pages"))
 
@@ -39,7 +58,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_packing": op2_packing,
     "op3_quality_rules": op3_quality_rules,
+    "op4_gam_quality": op4_gam_quality,
     "op5_pii_surrogates": op5_pii_surrogates,
+    "op6_permutation_index": op6_permutation_index,
+    "op8_crf_language": op8_crf_language,
+    "op9_nb_toxicity": op9_nb_toxicity,
     "op10_link_graph": op10_link_graph,
 }
 
