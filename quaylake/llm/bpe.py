@@ -16,15 +16,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quaylake.llm.common import materialize, vocabulary_path
+from quaylake.llm.common import vocabulary_path
 from quaylake.llm.pretokens import ChunkTable, gather, text_groups
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-BLOCK_CHARS = 16_000_000
-BUCKETS_PER_PARTITION = 4
+BLOCK_CHARS = 8_000_000
 UNKNOWN = "�".encode()
 BLOCKS = ("block long, doc_ids array<bigint>, sizes array<bigint>, codes binary, n_words long, "
           "parts array<struct<bucket:int,words:binary>>")
@@ -64,7 +64,7 @@ def pack_words(words: list[str]) -> bytes:
     import zstandard
     data = [w.encode() for w in words]
     sizes = pack_ints(np.array([len(w) for w in data], dtype=np.uint32))
-    return len(sizes).to_bytes(4, "little") + sizes + zstandard.ZstdCompressor(level=3).compress(b"".join(data))
+    return len(sizes).to_bytes(4, "little") + sizes + zstandard.ZstdCompressor(level=9).compress(b"".join(data))
 
 
 def unpack_words(data: bytes) -> list[bytes]:
@@ -83,24 +83,25 @@ def _word_blocks(buckets: int, block_chars: int):
         from pyspark import TaskContext
 
         find_all = regex.compile(pattern()).findall
-        base, number = TaskContext.get().partitionId() << 32, 0
+        digest = xxhash.xxh3_64(str(TaskContext.get().partitionId()).encode())
         words: dict[str, int] = {}
         table = ChunkTable(find_all, lambda piece: [words.setdefault(piece, len(words))], 1 << 62)
         ids, sizes, flats, chars = [], [], [], 0
 
         def block() -> pa.RecordBatch:
             flat = np.concatenate(flats) if flats else np.zeros(0, dtype=np.uint32)
-            # words in order of bucket, then position; codes follow that order
+            # words in order of bucket, then alphabet (neighbours compress well); codes follow that order
             listed = list(words)
             bucket = np.array([xxhash.xxh3_64_intdigest(w) % buckets for w in listed], dtype=np.int64)
-            order = np.argsort(bucket, kind="stable")
+            order = np.array(sorted(range(len(listed)), key=listed.__getitem__), dtype=np.int64)
+            order = order[np.argsort(bucket[order], kind="stable")]
             place = np.empty(len(order), dtype=np.uint32)
             place[order] = np.arange(len(order), dtype=np.uint32)
             parts = []
             for part in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1) if len(order) else []:
                 parts.append({"bucket": int(bucket[part[0]]), "words": pack_words([listed[i] for i in part])})
             return pa.RecordBatch.from_pylist(
-                [{"block": base + number, "doc_ids": ids, "sizes": sizes,
+                [{"block": digest.intdigest() >> 1, "doc_ids": ids, "sizes": sizes,
                   "codes": pack_ints(place[flat] if len(flat) else flat), "n_words": len(listed), "parts": parts}],
                 schema=pa.schema([("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())),
                                   ("sizes", pa.list_(pa.int64())), ("codes", pa.binary()), ("n_words", pa.int64()),
@@ -110,13 +111,16 @@ def _word_blocks(buckets: int, block_chars: int):
             keys, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
             for a, b in text_groups(texts):
                 flat, n = table.expand(texts[a:b])
+                # a block is named by its partition and all its partition held so far
+                for text in texts[a:b]:
+                    digest.update(text.encode("utf-8", "replace"))
+                    digest.update(b"\xff")
                 ids += keys[a:b]
                 sizes += n.tolist()
                 flats.append(flat)
                 chars += sum(map(len, texts[a:b]))
                 if chars >= block_chars:
                     yield block()
-                    number += 1
                     words.clear()
                     table.reset()
                     ids, sizes, flats, chars = [], [], [], 0
@@ -125,6 +129,17 @@ def _word_blocks(buckets: int, block_chars: int):
     return run
 
 
+def _word_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each word list of a block."""
+    for batch in batches:
+        blocks = batch.column(batch.schema.get_field_index("block"))
+        parts = batch.column(batch.schema.get_field_index("parts"))
+        owner = pc.list_parent_indices(parts)
+        part = pc.list_flatten(parts)
+        yield pa.RecordBatch.from_arrays([blocks.take(owner), pc.struct_field(part, "bucket"),
+                                          pc.struct_field(part, "words")], names=["block", "bucket", "words"])
+
+
 def _encode_words(ranks):
     """Function that encodes the word lists of a bucket, each distinct word once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,6 +173,9 @@ def _reassemble(blocks: pa.Table, encoded: pa.Table) -> pa.Table:
         parts = sorted(encoded.to_pylist(), key=lambda r: r["bucket"])
         sizes = np.concatenate([unpack_ints(p["sizes"]) for p in parts] or [np.zeros(0, np.uint32)]).astype(np.int64)
         flat = np.concatenate([unpack_ints(p["ids"]) for p in parts] or [np.zeros(0, np.uint32)])
+        if len(sizes) != row["n_words"]:
+            raise ValueError(f"block {row['block']}: {len(sizes)} of {row['n_words']} words came back; "
+                             "the input changed between two reads")
         starts = np.cumsum(sizes) - sizes
         codes = unpack_ints(row["codes"]).astype(np.int64)
         ids = gather(flat, starts, sizes, codes)
@@ -183,16 +201,15 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], block_chars: int = BLOCK_CH
     """
     spark = docs.sparkSession
     if buckets is None:
-        buckets = BUCKETS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     shared = spark.sparkContext.broadcast(ranks)  # the vocabulary file, under 1 MB
-    blocks = materialize(docs.select(F.col("doc_id").cast("long"), "text")
-                         .mapInArrow(_word_blocks(buckets, block_chars), BLOCKS), "bpe-blocks")
-    words = (blocks.select("block", F.explode("parts").alias("part"))
-             .select("block", "part.bucket", "part.words")
-             .repartition("bucket").sortWithinPartitions("bucket"))
-    encoded = words.mapInArrow(_encode_words(shared), "block long, bucket int, sizes binary, ids binary")
-    return (blocks.select("block", "doc_ids", "sizes", "codes").groupBy("block")
-            .cogroup(encoded.groupBy("block"))
+    # both uses of the blocks read this one exchange, which the last step needs anyway
+    blocks = (docs.select(F.col("doc_id").cast("long"), "text")
+              .mapInArrow(_word_blocks(buckets, block_chars), BLOCKS).repartition("block"))
+    words = blocks.mapInArrow(_word_lists, "block long, bucket int, words binary")
+    encoded = (words.repartition("bucket").sortWithinPartitions("bucket")
+               .mapInArrow(_encode_words(shared), "block long, bucket int, sizes binary, ids binary"))
+    return (blocks.groupBy("block").cogroup(encoded.groupBy("block"))
             .applyInArrow(_reassemble, "doc_id long, ids array<int>"))
 
 

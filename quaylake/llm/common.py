@@ -74,3 +74,17 @@ def training_rows(docs: DataFrame, labels: DataFrame, name: str, per_class: int)
 def sigmoid(x):
     import numpy as np
     return 1.0 / (1.0 + np.exp(-np.clip(x, -60, 60)))
+
+
+def share_code(spark: SparkSession) -> SparkSession:
+    """Let Python workers import this library from where the driver has it.
+
+    Where the library is installed on the workers, or shipped with ``--py-files``,
+    this changes nothing.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+    return spark

@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quaylake.llm import bpe, crf, gam, linkgraph, nbsvm, packing, permutation, pii, rules
-from quaylake.llm.common import table
+from quaylake.llm import bpe, crf, gam, linkgraph, minhash, nbsvm, packing, permutation, pii, rules
+from quaylake.llm.common import share_code, table
 from quaylake.llm.sql import PROPAGATION_SQL, QUALITY_RULES_SQL
 
 
@@ -40,6 +40,10 @@ def op6_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return permutation.neighbours_of_sample(table(spark, sf_dir, "embeddings"))
 
 
+def op7_bottom_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=2)
+
+
 def op8_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return crf.label_documents(docs, crf.train(docs))
@@ -54,18 +58,25 @@ def op10_link_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linkgraph.judge_pages(table(spark, sf_dir, "pages"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_packing": op2_packing,
     "op3_quality_rules": op3_quality_rules,
     "op4_gam_quality": op4_gam_quality,
     "op5_pii_surrogates": op5_pii_surrogates,
     "op6_permutation_index": op6_permutation_index,
+    "op7_bottom_k": op7_bottom_k,
     "op8_crf_language": op8_crf_language,
     "op9_nb_toxicity": op9_nb_toxicity,
     "op10_link_graph": op10_link_graph,
 }
 
+def _with_code(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: query(share_code(spark), sf_dir)
+
+
+QUERIES = {name: _with_code(query) for name, query in _QUERIES.items()}
+
 ORACLE: dict[str, str] = {
     "op3_quality_rules": QUALITY_RULES_SQL,
     "op10_link_graph": PROPAGATION_SQL,
