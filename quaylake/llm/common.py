@@ -88,3 +88,21 @@ def share_code(spark: SparkSession) -> SparkSession:
     if root not in paths:
         environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
     return spark
+
+
+def keep_rows(docs: DataFrame, decide, text: str = "text") -> DataFrame:
+    """The rows whose text ``decide`` accepts, with all their columns, in one pass without a shuffle.
+
+    ``decide()`` is called once per task and returns a function from a list of
+    texts (None for null) to a list of booleans.
+    """
+    position = docs.columns.index(text)
+
+    def run(batches):
+        import pyarrow as pa
+        accept = decide()
+        for batch in batches:
+            mask = pa.array(accept(batch.column(position).to_pylist()), pa.bool_())
+            yield batch.filter(mask)
+
+    return docs.mapInArrow(run, docs.schema)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quaylake.llm.common import held_out
+from quaylake.llm.common import held_out, keep_rows
 from quaylake.llm.pretokens import text_groups
 
 UNKNOWN = "und"
@@ -284,3 +284,20 @@ def label_documents(docs: DataFrame, model: ChainModel) -> DataFrame:
 
     return (docs.select(F.col("doc_id").cast("long"), held_out(F.col("doc_id")).alias("held_out"), "text")
             .mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double"))
+
+
+def keep_identified(docs: DataFrame, model: ChainModel, least: float) -> DataFrame:
+    """The rows of ``docs`` with a language (null texts and texts without a letter go) and a score of ``least``."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def decide():
+        labeller = Labeller(shared.value)
+
+        def accept(texts: list[str | None]) -> list[bool]:
+            found = []
+            for a, b in text_groups([t or "" for t in texts]):
+                found += [lang != UNKNOWN and score >= least for lang, score in labeller.predict(texts[a:b])]
+            return found
+        return accept
+
+    return keep_rows(docs, decide)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quaylake.llm.common import held_out, sigmoid, training_rows
+from quaylake.llm.common import held_out, keep_rows, sigmoid, training_rows
 
 FEATURES = ("log_words", "word_chars", "symbols", "marks", "upper", "digits", "distinct_words", "top_word",
             "compression", "distinct_lines", "line_words", "short_words", "symbol_words", "title_words")
@@ -227,3 +227,16 @@ def score_documents(docs: DataFrame, model: AdditiveModel, threshold: float = 0.
     return (docs.select(F.col("doc_id").cast("long"), held_out(F.col("doc_id")).alias("held_out"), "text")
             .mapInArrow(run, "doc_id long, held_out boolean, score double")
             .withColumn("predicted", (F.col("score") >= threshold).cast("int")))
+
+
+def keep_good(docs: DataFrame, model: AdditiveModel, least: float) -> DataFrame:
+    """The rows of ``docs`` that score ``least`` or more, with all their columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def decide():
+        def accept(texts: list[str | None]) -> list[bool]:
+            x = np.array([text_features(t or "") for t in texts]).reshape(-1, len(FEATURES))
+            return (shared.value.score(x) >= least).tolist()
+        return accept
+
+    return keep_rows(docs, decide)
