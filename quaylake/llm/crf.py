@@ -76,8 +76,8 @@ class ChainModel:
 
     def emissions(self, words: list[str]) -> np.ndarray:
         """Log potentials of each word's labels; n-grams count with their mean."""
-        if not words:
-            return np.zeros((0, len(self.labels)), dtype=np.float32)
+        if not words or not self.labels:
+            return np.zeros((len(words), len(self.labels)), dtype=np.float32)
         flat, sizes = word_features(words)
         starts = np.cumsum(sizes) - sizes
         out = np.add.reduceat(self.weights[flat], starts, axis=0) / sizes[:, None]
@@ -219,8 +219,8 @@ class Labeller:
             self.table = np.concatenate((self.table, self.model.emissions(new)))
             self.letters = np.concatenate((self.letters, np.array([any(c.isalpha() for c in w) for w in new])))
         sizes = np.array([len(w) for w in texts], dtype=np.int64)
-        if not len(code):
-            return np.zeros((0, len(self.model.labels))), np.zeros(0, dtype=bool)
+        if not len(code) or not self.model.labels:
+            return np.zeros((len(code), len(self.model.labels))), self.letters[code]
         marginals, _ = forward_backward(self.table[code], sizes[sizes > 0], self.model.transitions, self.model.start)
         return marginals, self.letters[code]
 
