@@ -39,13 +39,22 @@ _MIX = np.uint64(0x9E3779B97F4A7C15)
 _MIX2 = np.uint64(0xBF58476D1CE4E5B9)
 
 
+class _WordHashes(dict):
+    def __init__(self, hash_of):
+        super().__init__()
+        self.hash_of = hash_of
+
+    def __missing__(self, word: bytes) -> int:
+        value = self[word] = self.hash_of(word)
+        return value
+
+
 class Shingler:
     """Sorted distinct 64-bit hashes of a text's word shingles."""
 
     def __init__(self, width: int):
         import xxhash
-        self.width, self.hash = width, xxhash.xxh3_64_intdigest
-        self.known: dict[bytes, int] = {}
+        self.width, self.known = width, _WordHashes(xxhash.xxh3_64_intdigest)
 
     def __call__(self, text: str | None) -> np.ndarray:
         words = (text or "").encode("utf-8", "replace").lower().split()
@@ -53,10 +62,7 @@ class Shingler:
             return np.zeros(0, dtype=np.uint64)
         if len(self.known) > REMEMBERED_WORDS:
             self.known.clear()
-        known = self.known
-        for w in set(words) - known.keys():
-            known[w] = self.hash(w)
-        codes = np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
+        codes = np.fromiter(map(self.known.__getitem__, words), dtype=np.uint64, count=len(words))
         width = min(self.width, len(words))
         size = len(codes) - width + 1
         h = np.full(size, width, dtype=np.uint64)
