@@ -3,7 +3,7 @@ comma lists, key tagging (P10, P11, P17-P20, P22)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MONEY = "decimal(38,18)"
@@ -22,10 +22,6 @@ def to_decimal(col: Column | str, dtype: str = MONEY) -> Column:
     return _c(col).cast("string").try_cast(dtype)
 
 
-def to_double(col: Column | str) -> Column:
-    return _c(col).cast("string").try_cast("double")
-
-
 def to_long(col: Column | str) -> Column:
     return _c(col).cast("string").try_cast("bigint")
 
@@ -45,6 +41,17 @@ def epoch_seconds_int(col: Column | str) -> Column:
     return F.timestamp_seconds(to_long(col))
 
 
+def normalise_times(df: DataFrame, stream: str) -> DataFrame:
+    """Time fields of a stream's table as TIMESTAMP, each read in the form its stream sends.
+
+    Text that is no time becomes null; a table without one of the fields keeps its columns.
+    """
+    from quaylake.specs import spec_for
+    forms = {"iso": parse_time, "millis": epoch_millis_text, "seconds": epoch_seconds_int}
+    times = {c: forms[form](c) for c, form in spec_for(stream).times.items() if c in df.columns}
+    return df.withColumns(times) if times else df
+
+
 def split_csv(col: Column | str) -> Column:
     """'1, 2,3' -> ['1','2','3'] (empty items dropped)."""
     parts = F.transform(F.split(_c(col), ","), lambda x: F.trim(x))

@@ -1,7 +1,7 @@
 """JSON decoding, message-shape detection and routing as Column expressions.
 
 No Python UDFs: key presence comes from ``json_object_keys`` (it lists keys whose
-value is null), strictness from ``try_parse_json`` plus an end-character check.
+value is null), strictness from one parse that a closing mark has to end.
 """
 
 from __future__ import annotations
@@ -52,21 +52,29 @@ def json_shape(raw: Column | str, trimmed: Column | None = None) -> Column:
             .when(first == "", "empty").otherwise("scalar"))
 
 
-def strict_json(raw: Column | str, trimmed: Column | None = None, parsed: Column | None = None) -> Column:
+# closes the one-element list that a text is parsed in; no feed sends it
+END_MARK = "\u241e end of text"
+
+
+def parse_one(raw: Column | str) -> Column:
+    """The text as a VARIANT when it is exactly one JSON value, else null.
+
+    The parser stops at the end of the first value, so the text is parsed as the
+    first element of a list that a mark has to close: trailing text, a second
+    value or an unclosed one leave the mark out of its place.
+    """
+    wrapped = F.try_parse_json(F.concat(F.lit("["), _c(raw), F.lit(f',"{END_MARK}"]')))
+    whole = (F.try_variant_get(wrapped, "$[1]", "string") == END_MARK) & \
+        F.variant_get(wrapped, "$[2]", "variant").isNull()
+    return F.when(whole, F.variant_get(wrapped, "$[0]", "variant"))
+
+
+def strict_json(raw: Column | str, parsed: Column | None = None) -> Column:
     """True when ``raw`` is one complete JSON value.
 
-    ``try_parse_json`` alone accepts trailing text after an object or array,
-    so the last non-space character must close the first one. Pass ``parsed``
-    (= ``try_parse_json(raw)`` from an earlier projection) to avoid a re-parse.
+    Pass ``parsed`` (= ``parse_one(raw)`` from an earlier projection) to avoid a re-parse.
     """
-    s = stripped(raw) if trimmed is None else trimmed
-    shape = json_shape(raw, s)
-    last = F.substring(s, -1, 1)
-    closes = (F.when(shape == "object", last == "}")
-              .when(shape == "array", last == "]")
-              .otherwise(shape == "scalar"))
-    v = F.try_parse_json(_c(raw)) if parsed is None else parsed
-    return v.isNotNull() & closes
+    return (parse_one(raw) if parsed is None else parsed).isNotNull()
 
 
 def object_keys(raw: Column | str) -> Column:
@@ -86,8 +94,14 @@ def key_text(raw: Column | str, key: str) -> Column:
 
 
 def array_elements(raw: Column | str) -> Column:
-    """JSON array -> array of element JSON texts (null when not an array)."""
-    return F.transform(F.from_json(_c(raw), "array<variant>"), lambda x: F.to_json(x))
+    """JSON array -> array of element JSON texts (null when not an array).
+
+    Objects and lists keep the very text they were sent in, so long numbers are
+    not rewritten; scalars are written anew (a string needs its quotes).
+    """
+    return F.zip_with(F.from_json(_c(raw), "array<string>"), F.from_json(_c(raw), "array<variant>"),
+                      lambda text, v: F.when(F.schema_of_variant(v).rlike("^(OBJECT|ARRAY)"), text)
+                      .otherwise(F.to_json(v)))
 
 
 def detect_event_type(raw: Column | str, keys: Column | None = None) -> Column:
@@ -137,5 +151,13 @@ def parse_id_list(text: Column | str) -> Column:
         .otherwise(F.array().cast("array<string>"))
 
 
+def id_list(value: Column) -> Column:
+    """Ids of a VARIANT field that is a list or a string holding a list; anything else -> []."""
+    kind = F.schema_of_variant(value)
+    return (F.when(kind == "STRING", parse_id_list(F.try_variant_get(value, "$", "string")))
+            .when(kind.startswith("ARRAY"), F.from_json(F.to_json(value), "array<string>"))
+            .otherwise(F.array().cast("array<string>")))
+
+
 def preview(raw: Column | str, n: int = 200) -> Column:
     return F.substring(_c(raw), 1, n)

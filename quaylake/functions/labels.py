@@ -8,6 +8,8 @@ Fixed formats that must equal the reference's file naming:
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -73,15 +75,18 @@ def valid_label(label: Column | str) -> Column:
     return _c(label).rlike(LABEL_RE)
 
 
-def stream_of_path(path: Column | str) -> Column:
-    """Stream name = the part between ``/raw/`` and ``/label=…`` (or the file name).
+def stream_of_path(path: Column | str, raw_root: str) -> Column:
+    """Stream name = the part between ``raw_root`` and ``/label=…`` (or the file name).
 
     Routed frames live under ``channel=<c>/route=<key>/label=…`` -> ``<c>/<key>``.
+    A path outside ``raw_root`` has the stream ``""``.
     """
-    p = _c(path)
+    root = re.sub(r"^file:/+", "/", raw_root).rstrip("/") + "/"
+    p = F.regexp_replace(_c(path), r"^file:/+", "/")
+    inside = F.when(F.startswith(p, F.lit(root)), F.substring(p, F.lit(len(root) + 1), F.length(p))).otherwise(F.lit(""))
     in_label_dir = F.regexp_replace(
-        F.regexp_extract(p, r"/raw/(.+?)/label=[^/]+/", 1), r"(channel|route)=", "")
-    flat = F.regexp_extract(p, r"/raw/(.+)/[^/]+$", 1)
+        F.regexp_extract(inside, r"^(.+?)/label=[^/]+/", 1), r"(channel|route)=", "")
+    flat = F.regexp_extract(inside, r"^(.+)/[^/]+$", 1)
     return F.when(in_label_dir != "", in_label_dir).otherwise(flat)
 
 

@@ -12,7 +12,7 @@ def _c(col: Column | str) -> Column:
 
 def is_open(active: Column | str, closed: Column | str) -> Column:
     """Truthy ``active`` and falsy ``closed``; a null/absent ``closed`` counts as open."""
-    return F.coalesce(_c(active), F.lit(False)) & ~F.coalesce(_c(closed), F.lit(False))
+    return truthy(active) & ~truthy(closed)
 
 
 def has_id(id_col: Column | str) -> Column:
@@ -33,4 +33,17 @@ def fetched_after(fetched_at: Column | str, ts_seconds: float,
 
 
 def truthy(col: Column | str) -> Column:
-    return F.coalesce(_c(col).cast("boolean"), F.lit(False))
+    """False for null, false, zero and the empty text; everything else is true."""
+    text = _c(col).cast("string")
+    zero = F.coalesce(text.try_cast("double") == 0, F.lit(False))
+    return F.coalesce((text != "") & (text != "false") & ~zero, F.lit(False))
+
+
+def truthy_json(value: Column | str) -> Column:
+    """The same for a VARIANT: empty lists and objects are false, and a text is true unless empty."""
+    v = _c(value)
+    kind, text = F.schema_of_variant(v), F.to_json(v)
+    plain = truthy(F.try_variant_get(v, "$", "string"))
+    return F.coalesce(F.when(kind == "STRING", text != '""')
+                      .when(kind.rlike("^(OBJECT|ARRAY)"), ~text.isin("[]", "{}"))
+                      .when(kind == "VOID", F.lit(False)).otherwise(plain), F.lit(False))

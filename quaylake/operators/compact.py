@@ -1,39 +1,40 @@
 """Exactly-once compaction of closed raw files into partitioned zstd Parquet.
 
 Plan per run (K4-K8, K10, A5, F5, F6, F8, T3):
-  1. list raw files (metadata only) and classify: empty / bad label / current /
-     future / already compacted / eligible;
-  2. one distributed job per *stream* reads all its eligible files together;
-     label and slice id ``src = xxhash64(path, size, mtime)`` come from the file
-     metadata columns, so no per-file driver loop and no join;
-  3. good rows -> ``<table>/<stream>/dt=/hour=/src=`` with dynamic partition
-     overwrite (a crashed rerun rewrites only its own slices; a re-created or
-     late file has a new mtime and adds a new slice); bad lines -> quarantine;
-  4. manifest append; only then sources are deleted.
+  1. list and classify the raw files and write that table as the run's record
+     ``_runs/<run>/files`` before any data: it fixes the file set of the run;
+  2. per stream, read the label folders (single files only where a folder is
+     not taken whole) and write good rows to ``<table>/<stream>/dt=/hour=/run=``,
+     one file group per stream-hour, bad lines to the quarantine;
+  3. mark the run as committed; only then the sources are deleted, and the run
+     is marked as cleared.
+A run that was recorded but not committed is written again under its own id,
+so its partitions are replaced instead of doubled. Files, counts and report
+are DataFrames; the driver holds one row per label folder.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import time
+import uuid
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quaylake.functions import jsonfn as J
 from quaylake.functions import labels as L
-from quaylake.session import apply_conf, partitioned_write
+from quaylake.session import apply_conf
 from quaylake.sources import inventory as inv
 from quaylake.specs import spec_for
 
-MANIFEST_DIR = "_manifest"
+RUNS_DIR = "_runs"
 QUARANTINE_DIR = "_quarantine"
+SCHEMA_FILE = "_schema.json"
+COMMITTED, CLEARED = "_committed", "_cleared"
 
-MANIFEST_SCHEMA = (
-    "path STRING, size BIGINT, mtime_ms BIGINT, stream STRING, label STRING, src STRING, "
-    "rows BIGINT, corrupt BIGINT, compacted_at DOUBLE")
+FILES_SCHEMA = ("path STRING, size BIGINT, mtime_ms BIGINT, stream STRING, label STRING, status STRING, src STRING, "
+                "run STRING")
 REPORT_SCHEMA = (
     "path STRING, stream STRING, label STRING, size BIGINT, status STRING, rows BIGINT, "
     "corrupt BIGINT, src STRING")
@@ -48,20 +49,22 @@ def _now(now) -> dt.datetime:
 
 
 def slice_id(path, size, mtime_ms):
-    """Slice id of one raw file version (hex of xxhash64)."""
+    """Id of one raw file version (hex of xxhash64)."""
     return F.lower(F.hex(F.xxhash64(path, size.cast("bigint"), mtime_ms.cast("bigint"))))
 
 
-def classify(inventory: DataFrame, now, manifest: DataFrame | None = None) -> DataFrame:
-    """Status per raw file against a fixed ``now`` (F5, F6, ``label < now``)."""
+def classify(inventory: DataFrame, now, done: DataFrame | None = None) -> DataFrame:
+    """Status per raw file against a fixed ``now`` (F5, F6, ``label < now``).
+
+    ``done`` are files of committed runs that still lie in the raw folder.
+    """
     n = _now(now)
     hour_now, day_now = n.strftime("%Y-%m-%dT%H"), n.strftime("%Y-%m-%d")
     lab = F.col("label")
     is_hourly = lab.contains("T")
     df = inventory.withColumn("src", slice_id(F.col("path"), F.col("size"), F.col("mtime_ms")))
-    if manifest is not None:
-        done = manifest.select("path", "size", "mtime_ms", F.lit(True).alias("_done")).distinct()
-        df = df.join(done, ["path", "size", "mtime_ms"], "left")
+    if done is not None:
+        df = df.join(done.select("src", F.lit(True).alias("_done")).distinct(), "src", "left")
     else:
         df = df.withColumn("_done", F.lit(None).cast("boolean"))
     status = (F.when(F.col("_done"), "compacted")
@@ -80,11 +83,30 @@ def expired(inventory: DataFrame, now, keep_seconds: float) -> DataFrame:
     return inventory.where(F.col("mtime_ms") < F.lit(cutoff_ms))
 
 
-def read_manifest(spark: SparkSession, table_root: str) -> DataFrame:
-    path = f"{table_root.rstrip('/')}/{MANIFEST_DIR}"
-    if not inv.exists(spark, path):
-        return spark.createDataFrame([], MANIFEST_SCHEMA)
-    return spark.read.schema(MANIFEST_SCHEMA).parquet(path)
+def _runs(spark: SparkSession, table_root: str) -> dict[str, set[str]]:
+    """Runs and the marks they carry."""
+    out = {}
+    for d in inv.list_dirs(spark, f"{table_root}/{RUNS_DIR}"):
+        d = d.rstrip("/")
+        out[d.rsplit("/", 1)[-1]] = {m for m in (COMMITTED, CLEARED) if inv.exists(spark, f"{d}/{m}")}
+    return out
+
+
+def run_files(spark: SparkSession, table_root: str, runs: list[str] | None = None) -> DataFrame:
+    """Recorded files (path, size, mtime_ms, stream, label, status, src, run) of the given runs, or of all."""
+    root = table_root.rstrip("/")
+    names = sorted(_runs(spark, root)) if runs is None else runs
+    paths = [f"{root}/{RUNS_DIR}/{r}/files" for r in names]
+    if not paths:
+        return spark.createDataFrame([], FILES_SCHEMA)
+    return spark.read.schema(FILES_SCHEMA).parquet(*paths)
+
+
+def read_manifest(spark: SparkSession, table_root: str, all_runs: bool = False) -> DataFrame:
+    """Files whose rows are in the table: of committed runs that may still have sources, or of all committed runs."""
+    root = table_root.rstrip("/")
+    runs = [r for r, marks in _runs(spark, root).items() if COMMITTED in marks and (all_runs or CLEARED not in marks)]
+    return run_files(spark, root, sorted(runs)).where(F.col("status") == "eligible")
 
 
 def typed_records(df, raw: str, stream: str, ddl: str | None = None, schema=None):
@@ -96,8 +118,8 @@ def typed_records(df, raw: str, stream: str, ddl: str | None = None, schema=None
     schema = schema or spec.schema
     known = [f.name for f in schema.fields] + list(spec.drop_fields)
     # one variant parse per line, reused by the strictness check, _extra and _cast_errors
-    out = df.withColumn("_v", F.try_parse_json(raw)).withColumn("_t", J.stripped(raw))
-    good = J.strict_json(raw, F.col("_t"), F.col("_v")) & (J.json_shape(raw, F.col("_t")) == "object")
+    out = df.withColumn("_v", J.parse_one(raw))
+    good = J.strict_json(raw, F.col("_v")) & (J.json_shape(raw) == "object")
     extra = F.map_filter(F.try_variant_get(F.col("_v"), "$", "map<string,variant>"),
                          lambda k, v: ~F.array_contains(F.array(*[F.lit(x) for x in known]), k))
     out = out.withColumn("_good", good).withColumn("_rec", F.from_json(raw, schema)) \
@@ -108,36 +130,29 @@ def typed_records(df, raw: str, stream: str, ddl: str | None = None, schema=None
         return F.when(val.isNotNull() & ~F.is_variant_null(val) & F.col("_rec")[name].isNull(), F.lit(name))
     errors = F.array_compact(F.array(*[failed(f.name) for f in schema.fields])) if schema.fields \
         else F.array().cast("array<string>")
-    return out.withColumn("_cast_errors", errors).drop("_v", "_t")
+    return out.withColumn("_cast_errors", errors).drop("_v")
+
+
+def apply_schema(df: DataFrame, raw: str, stream: str, ddl: str | None = None) -> DataFrame:
+    """Good records of a stream as its typed table: declared fields, ``_extra``, ``_cast_errors``."""
+    rec = typed_records(df, raw, stream, ddl).where("_good")
+    return rec.select("_rec.*", "_extra", "_cast_errors")
 
 
 def parse_raw(spark: SparkSession, paths: list[str], stream: str, ddl: str | None = None) -> DataFrame:
-    """Read raw JSONL files of one stream into typed rows + ``_extra`` + a good/bad flag.
+    """Read raw JSONL folders or files of one stream into typed rows + ``_extra`` + a good/bad flag.
 
     Lines are read as text so strictness, quarantine and unknown keys are under
-    our control; blank lines are skipped.
+    our control; blank lines are skipped. A stream without a declaration has the
+    metadata columns only and keeps every other key in ``_extra``, so a key may
+    change its type from run to run.
     """
-    spec = spec_for(stream, ddl)
-    if spec.ddl or stream in ("ws_sports/events",):
-        schema = spec.schema
-    else:   # undeclared stream: one inference pass over exactly these files
-        schema = T.StructType([f for f in spark.read.json(paths).schema.fields
-                               if f.name != "_corrupt_record"])
-    # the paths are leaf files we just listed: stat them on the driver instead
-    # of launching a parallel listing job with one task per file
-    key = "spark.sql.sources.parallelPartitionDiscovery.threshold"
-    prev = spark.conf.get(key)
-    spark.conf.set(key, str(max(int(prev), min(len(paths) + 1, 10000))))
-    try:
-        base = spark.read.text(paths)
-    finally:
-        spark.conf.set(key, prev)
-    text = base.select(
-        inv.norm_path(F.col("_metadata.file_path")).alias("path"),
+    text = spark.read.text(paths).select(
+        inv.metadata_path().alias("path"),
         F.col("_metadata.file_size").alias("size"),
         F.unix_millis(F.col("_metadata.file_modification_time")).alias("mtime_ms"),
         F.col("value").alias("raw"))
-    text = typed_records(text.where(J.stripped("raw") != ""), "raw", stream, ddl, schema)
+    text = typed_records(text.where(J.stripped("raw") != ""), "raw", stream, ddl)
     label = L.label_of_path("path")
     return text.select(
         "path", F.when(~F.col("_good"), F.col("raw")).alias("raw"), "_good", "_rec", "_extra", "_cast_errors",
@@ -145,94 +160,128 @@ def parse_raw(spark: SparkSession, paths: list[str], stream: str, ddl: str | Non
         slice_id(F.col("path"), F.col("size"), F.col("mtime_ms")).alias("src"))
 
 
-def compact(spark: SparkSession, raw_root: str, table_root: str, now=None,
-            streams: list[str] | None = None, ddl: dict[str, str] | None = None,
-            codec: str = "zstd", delete_sources: bool = True, inventory: DataFrame | None = None) -> DataFrame:
-    """Compact all closed raw files; returns the per-file report (A5).
+def _sources(files: DataFrame, stream: str) -> list[str]:
+    """Folders of the stream that the run takes whole, else their single files.
 
-    ``inventory`` may be a listing the caller already holds (``raw_inventory``).
+    One row per folder comes to the driver; a folder is split into files only
+    when it also holds files the run leaves alone.
     """
+    of_stream = files.where(F.col("stream") == stream).withColumn("dir", F.regexp_extract("path", "^(.*)/[^/]*$", 1))
+    dirs = (of_stream.groupBy("dir").agg(F.count_if(F.col("status") == "eligible").alias("n"),
+                                         F.count_if(~F.col("status").isin("eligible", "empty")).alias("other"))
+            .where("n > 0").collect())
+    whole = sorted(r["dir"] for r in dirs if not r["other"])
+    mixed = [r["dir"] for r in dirs if r["other"]]
+    single = of_stream.where(F.col("dir").isin(mixed) & (F.col("status") == "eligible")) if mixed else None
+    return whole + (sorted(r["path"] for r in single.select("path").toLocalIterator()) if mixed else [])
+
+
+def _keep_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """Record the table's columns next to it; columns of earlier runs stay."""
+    import json
+    known = stream_schema(spark, path)
+    names = {f.name for f in known.fields} if known else set()
+    merged = T.StructType((known.fields if known else []) + [f for f in schema.fields if f.name not in names])
+    if known != merged:
+        inv.write_text_file(spark, f"{path}/{SCHEMA_FILE}", json.dumps(merged.jsonValue()))
+
+
+def stream_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    """Columns recorded for a compacted stream (without dt, hour and run), or None."""
+    import json
+    text = inv.read_text_file(spark, f"{path}/{SCHEMA_FILE}")
+    return T.StructType.fromJson(json.loads(text)) if text else None
+
+
+def _write_run(spark: SparkSession, table_root: str, run: str, ddl: dict[str, str], codec: str) -> None:
+    """Write the rows of a recorded run, stream by stream, and commit it.
+
+    Sources added to a folder after the listing are not part of the run: rows
+    are kept only from files that the record names (by path, size and mtime).
+    """
+    files = run_files(spark, table_root, [run])
+    streams = [r["stream"] for r in files.where(F.col("status") == "eligible").select("stream").distinct().collect()]
+    for stream in sorted(streams):
+        paths = _sources(files, stream)
+        wanted = files.where((F.col("stream") == stream) & (F.col("status") == "eligible")).select("src").distinct()
+        parsed = parse_raw(spark, paths, stream, ddl.get(stream)).join(wanted, "src", "left_semi") \
+            .withColumn("run", F.lit(run))
+        seen = Observation()
+        rec_fields = parsed.select("_rec.*").columns
+        good = (parsed.observe(seen, F.count_if(~F.col("_good")).alias("bad")).where("_good")
+                .select(*[F.col("_rec")[c].alias(c) for c in rec_fields], "_extra", "_cast_errors", "src",
+                        "dt", "hour", "run"))
+        target = f"{table_root}/{stream}"
+        (good.hint("rebalance", "dt", "hour").write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").option("compression", codec)
+             .partitionBy("dt", "hour", "run").parquet(target))
+        _keep_schema(spark, target, good.drop("dt", "hour", "run").schema)
+        if seen.get["bad"]:
+            bad = parsed.where(~F.col("_good")).select(
+                "stream", "path", F.lit("bad_json_or_not_object").alias("reason"),
+                J.preview("raw").alias("preview"), "raw", "src", "dt", "hour", "run")
+            (bad.hint("rebalance", "dt", "hour").write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic").option("compression", codec)
+                .partitionBy("dt", "hour", "run").parquet(f"{table_root}/{QUARANTINE_DIR}/{stream}"))
+    inv.write_text_file(spark, f"{table_root}/{RUNS_DIR}/{run}/{COMMITTED}", "")
+
+
+def _clear_run(spark: SparkSession, table_root: str, run: str) -> None:
+    """Delete the sources of a committed run (empty files included) and mark it as cleared."""
+    files = run_files(spark, table_root, [run]).where(F.col("status").isin("eligible", "empty", "compacted"))
+    inv.delete_paths(spark, (r["path"] for r in files.select("path").toLocalIterator()))
+    inv.write_text_file(spark, f"{table_root}/{RUNS_DIR}/{run}/{CLEARED}", "")
+
+
+def run_counts(spark: SparkSession, table_root: str, files: DataFrame, run: str) -> DataFrame:
+    """Rows and corrupt lines per source file of a run, counted in what was written."""
+    parts = [spark.createDataFrame([], "src STRING, rows BIGINT, corrupt BIGINT")]
+    for stream in [r["stream"] for r in files.where(F.col("status") == "eligible").select("stream").distinct().collect()]:
+        for base, rows, corrupt in ((f"{table_root}/{stream}", 1, 0), (f"{table_root}/{QUARANTINE_DIR}/{stream}", 0, 1)):
+            if inv.exists(spark, base) and inv.has_data(spark, base):
+                t = spark.read.schema("src STRING, dt STRING, hour STRING, run STRING").parquet(base)
+                parts.append(t.where(F.col("run") == run).select(
+                    "src", F.lit(rows).cast("bigint").alias("rows"), F.lit(corrupt).cast("bigint").alias("corrupt")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.groupBy("src").agg(F.sum("rows").alias("rows"), F.sum("corrupt").alias("corrupt"))
+
+
+def compact(spark: SparkSession, raw_root: str, table_root: str, now=None,
+            streams: list[str] | None = None, ddl: dict[str, str] | None = None,
+            codec: str = "zstd", delete_sources: bool = True) -> DataFrame:
+    """Compact all closed raw files; returns the per-file report of this run (A5)."""
     apply_conf(spark)
     table_root = table_root.rstrip("/")
     ddl = ddl or {}
-    inventory = inventory if inventory is not None else inv.raw_inventory(spark, raw_root)
-    cls = classify(inventory, now, read_manifest(spark, table_root))
+    for run, marks in sorted(_runs(spark, table_root).items()):
+        if COMMITTED not in marks and inv.exists(spark, f"{table_root}/{RUNS_DIR}/{run}/files/_SUCCESS"):
+            _write_run(spark, table_root, run, ddl, codec)
+            marks.add(COMMITTED)
+        if delete_sources and COMMITTED in marks and CLEARED not in marks:
+            _clear_run(spark, table_root, run)
+    listed = classify(inv.raw_inventory(spark, raw_root), now, read_manifest(spark, table_root))
     if streams is not None:
-        cls = cls.where(F.col("stream").isin(streams))
-    files = [r.asDict() for r in cls.select("path", "stream", "label", "size", "mtime_ms",
-                                            "status", "src").collect()]
-    report: dict[str, dict] = {f["path"]: {**f, "rows": 0, "corrupt": 0} for f in files}
-    by_stream: dict[str, list[str]] = {}
-    for f in sorted(files, key=lambda r: r["path"]):
-        if f["status"] == "eligible":
-            by_stream.setdefault(f["stream"], []).append(f["path"])
-
-    manifest_rows = []
-    for stream, paths in sorted(by_stream.items()):
-        parsed = parse_raw(spark, paths, stream, ddl.get(stream)).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            rec_fields = parsed.select("_rec.*").columns
-            good = parsed.where("_good").select(
-                *[F.col("_rec")[c].alias(c) for c in rec_fields], "_extra", "_cast_errors", "dt", "hour", "src")
-            with partitioned_write(spark):
-                (good.hint("rebalance", "dt", "hour", "src").write.mode("overwrite")
-                     .option("partitionOverwriteMode", "dynamic").option("compression", codec)
-                     .partitionBy("dt", "hour", "src").parquet(f"{table_root}/{stream}"))
-            counts = (parsed.groupBy("path")
-                      .agg(F.count_if("_good").alias("rows"), F.count_if(~F.col("_good")).alias("corrupt"))
-                      .collect())
-            if any(c["corrupt"] for c in counts):
-                bad = parsed.where(~F.col("_good")).select(
-                    "stream", "path", F.lit("bad_json_or_not_object").alias("reason"),
-                    J.preview("raw").alias("preview"), "raw", "dt", "hour", "src")
-                (bad.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                    .option("compression", codec).partitionBy("dt", "hour", "src")
-                    .parquet(f"{table_root}/{QUARANTINE_DIR}"))
-        finally:
-            parsed.unpersist()
-        for c in counts:
-            report[c["path"]].update(rows=c["rows"], corrupt=c["corrupt"])
-        stamp = time.time()
-        for p in paths:
-            r = report[p]
-            r["status"] = "compacted" if (r["rows"] + r["corrupt"]) > 0 else "no_rows"
-            if r["status"] == "compacted":
-                manifest_rows.append((p, r["size"], r["mtime_ms"], stream, r["label"], r["src"],
-                                      r["rows"], r["corrupt"], stamp))
-    if manifest_rows:
-        (spark.createDataFrame(manifest_rows, MANIFEST_SCHEMA).coalesce(1)
-             .write.mode("append").parquet(f"{table_root}/{MANIFEST_DIR}"))
+        listed = listed.where(F.col("stream").isin(streams))
+    run = uuid.uuid4().hex[:12]
+    (listed.withColumn("run", F.lit(run)).select(*[f.split()[0] for f in FILES_SCHEMA.split(", ")])
+     .write.parquet(f"{table_root}/{RUNS_DIR}/{run}/files"))
+    _write_run(spark, table_root, run, ddl, codec)
+    files = run_files(spark, table_root, [run])
+    counts = run_counts(spark, table_root, files, run)
     if delete_sources:
-        # sources go only after their rows are in the table (or quarantine) and
-        # the manifest says so; zero-byte files are simply removed
-        drop = [p for p, r in report.items() if r["status"] in ("compacted", "empty")]
-        inv.delete_paths(spark, _collapse_dirs(drop, list(report)))
-    rows = [(r["path"], r["stream"], r["label"], r["size"], r["status"], r["rows"], r["corrupt"],
-             r["src"]) for r in sorted(report.values(), key=lambda x: x["path"])]
-    return spark.createDataFrame(rows, REPORT_SCHEMA)
-
-
-def _collapse_dirs(drop: list[str], listed: list[str]) -> list[str]:
-    """Replace files by their ``label=`` directory when every listed file in it is
-    dropped (one delete per directory instead of one per file)."""
-    from collections import defaultdict
-    by_dir, dropped = defaultdict(set), defaultdict(set)
-    for p in listed:
-        by_dir[p.rsplit("/", 1)[0]].add(p)
-    for p in drop:
-        dropped[p.rsplit("/", 1)[0]].add(p)
-    out = []
-    for d, files in dropped.items():
-        if "/label=" in d.rsplit("/", 1)[-1] and files == by_dir[d]:
-            out.append(d + "/")
-        else:
-            out.extend(sorted(files))
-    return out
+        _clear_run(spark, table_root, run)
+    status = F.when(F.col("status") == "eligible", F.lit("compacted")).otherwise(F.col("status"))
+    return (files.join(counts, "src", "left")
+            .select("path", "stream", "label", "size", status.alias("status"),
+                    F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows"),
+                    F.coalesce("corrupt", F.lit(0)).cast("bigint").alias("corrupt"), "src"))
 
 
 def purge_raw(spark: SparkSession, raw_root: str, table_root: str, now=None,
-              keep_hours: float = 48, force: bool = False) -> list[str]:
-    """Delete raw files older than the retention (K7).
+              keep_hours: float = 48, force: bool = False) -> int:
+    """Delete raw files older than the retention (K7); returns how many.
 
     Unlike the original, an expired file that was never compacted is kept
     unless ``force`` (its rows would otherwise be lost).
@@ -240,16 +289,14 @@ def purge_raw(spark: SparkSession, raw_root: str, table_root: str, now=None,
     inventory = inv.raw_inventory(spark, raw_root)
     old = expired(inventory, now, keep_hours * 3600)
     if not force:
-        man = read_manifest(spark, table_root).select("path").distinct()
-        old = old.join(man, "path", "left_semi").unionByName(old.where(F.col("size") == 0))
-    paths = [r["path"] for r in old.select("path").distinct().collect()]
-    inv.delete_paths(spark, paths)
-    return sorted(paths)
+        done = read_manifest(spark, table_root, all_runs=True).select("path").distinct()
+        old = old.join(done, "path", "left_semi").unionByName(old.where(F.col("size") == 0))
+    return inv.delete_paths(spark, (r["path"] for r in old.select("path").distinct().toLocalIterator()))
 
 
 def purge_table(spark: SparkSession, table_root: str, stream: str, now=None,
-                keep_days: int = 365, by: str = "dt") -> list[str]:
-    """Drop expired compacted data (K8).
+                keep_days: int = 365, by: str = "dt") -> int:
+    """Drop expired compacted data (K8); returns how many folders or files.
 
     ``by="dt"`` (default) drops whole ``dt=`` partitions older than the
     retention by data date; ``by="mtime"`` deletes files whose modification
@@ -257,16 +304,9 @@ def purge_table(spark: SparkSession, table_root: str, stream: str, now=None,
     """
     base = f"{table_root.rstrip('/')}/{stream}"
     if by == "mtime":
-        listing = inv.file_listing(spark, base)
+        listing = inv.file_listing(spark, base).where(~F.col("path").endswith(SCHEMA_FILE))
         old = expired(listing, now, keep_days * 86400.0)
-        gone = sorted(r["path"] for r in old.select("path").collect())
-        inv.delete_paths(spark, gone)
-        return gone
+        return inv.delete_paths(spark, (r["path"] for r in old.select("path").toLocalIterator()))
     cutoff = (_now(now) - dt.timedelta(days=keep_days)).strftime("%Y-%m-%d")
-    gone = []
-    for d in inv.list_dirs(spark, base):
-        name = d.rstrip("/").rsplit("/", 1)[-1]
-        if name.startswith("dt=") and name[3:] < cutoff:
-            gone.append(d)
-    inv.delete_paths(spark, gone, recursive=True)
-    return sorted(gone)
+    names = ((d, d.rstrip("/").rsplit("/", 1)[-1]) for d in inv.list_dirs(spark, base))
+    return inv.delete_paths(spark, [d for d, n in names if n.startswith("dt=") and n[3:] < cutoff], recursive=True)

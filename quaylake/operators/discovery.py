@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from quaylake.functions.predicates import has_id
+from quaylake.session import write_shared
 
 
 def distinct_ids(df: DataFrame, key: str = "id") -> DataFrame:
@@ -59,7 +60,9 @@ def global_index(df: DataFrame, order: list[str], num_partitions: int | None = N
     Range-partition by the order, take the in-partition position from
     ``monotonically_increasing_id`` and add per-partition offsets from a tiny
     count table (one row per partition, so its broadcast is bounded by the
-    partition count, not by the data).
+    partition count, not by the data). The positions are written to the shared
+    folder first: counts and rows then come from the same partitions, whatever
+    the optimizer reuses or recomputes.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -67,11 +70,12 @@ def global_index(df: DataFrame, order: list[str], num_partitions: int | None = N
                .withColumn("_mid", F.monotonically_increasing_id()))
     ordered = ordered.withColumn("_pid", F.shiftright(F.col("_mid"), 33)) \
         .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)))
+    ordered = write_shared(ordered.drop("_mid"), "global-index")
     counts = ordered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select("_pid", (F.sum("_n").over(Window.orderBy("_pid")) - F.col("_n")).alias("_off"))
     return (ordered.join(F.broadcast(offsets), "_pid")
                    .withColumn(col, F.col("_off") + F.col("_pos"))
-                   .drop("_mid", "_pid", "_pos", "_off"))
+                   .drop("_pid", "_pos", "_off"))
 
 
 def chunk_ids(ids: DataFrame, key: str, size: int, previously_subscribed: bool = False,
@@ -88,7 +92,10 @@ def chunk_ids(ids: DataFrame, key: str, size: int, previously_subscribed: bool =
 
 def discovery_summary(markets: DataFrame, events: DataFrame, new_markets: DataFrame,
                       new_events: DataFrame, new_tokens: DataFrame, tokens: DataFrame) -> DataFrame:
-    """One-row crawl summary (A4): counts, new counts, ``changed``.
+    """One-row crawl summary (A4): counts, new counts and what changed.
+
+    ``markets_changed`` (new markets or tokens) paces the market poller,
+    ``events_changed`` the event poller; ``changed`` is either.
 
     All inputs are tagged and unioned, then counted in one aggregate (no joins).
     """
@@ -99,4 +106,6 @@ def discovery_summary(markets: DataFrame, events: DataFrame, new_markets: DataFr
         t = df.select(F.lit(name).alias("metric"))
         tagged = t if tagged is None else tagged.unionByName(t)
     out = tagged.agg(*[F.count_if(F.col("metric") == name).alias(name) for name in parts])
-    return out.withColumn("changed", (F.col("new_markets") + F.col("new_events") + F.col("new_tokens")) > 0)
+    return (out.withColumn("markets_changed", (F.col("new_markets") + F.col("new_tokens")) > 0)
+            .withColumn("events_changed", F.col("new_events") > 0)
+            .withColumn("changed", F.col("markets_changed") | F.col("events_changed")))

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from quaylake.functions import labels as L
 from quaylake.functions import jsonfn as J
-from quaylake.session import partitioned_write
 
 META_COLS = ("_fetched_at", "_source")
 
@@ -73,9 +72,8 @@ def land_lines(lines: DataFrame, raw_root: str, stream: str) -> str:
     small batches are coalesced into few files.
     """
     path = f"{raw_root.rstrip('/')}/{stream}"
-    with partitioned_write(lines.sparkSession):
-        (lines.select("label", "value").hint("rebalance", "label").write.mode("append")
-              .partitionBy("label").text(path))
+    (lines.select("label", "value").hint("rebalance", "label").write.mode("append")
+          .partitionBy("label").text(path))
     return path
 
 
@@ -86,11 +84,25 @@ def land_jsonl(df: DataFrame, raw_root: str, stream: str, daily: bool = False,
 
 
 def with_defaults_json(record: Column | str, defaults: list[tuple[str, Column]]) -> Column:
-    """``{**defaults, **record}`` on JSON text: keys come first, the record's own values win."""
-    rec = F.from_json(J._c(record), "map<string,variant>")
-    meta = F.from_json(F.to_json(F.struct(*[c.alias(k) for k, c in defaults])), "map<string,variant>")
-    meta = F.map_filter(meta, lambda k, v: ~F.array_contains(F.map_keys(rec), k))
-    return F.to_json(F.map_concat(meta, rec))
+    """``{**defaults, **record}`` on JSON text: keys come first, the record's own values win.
+
+    The defaults are spliced into the record's text, so what the feed sent (digits
+    of long numbers, repeated keys) stays as it was.
+    """
+    rec = J.stripped(record)
+    own = J.object_keys(rec)
+    parts = [F.when(~F.array_contains(own, k), _json_entry(k, c)) for k, c in defaults]
+    head = F.array_join(F.filter(F.array(*parts), lambda p: p.isNotNull() & (p != "")), ",")
+    body = F.substring(rec, F.lit(2), F.length(rec))
+    return (F.when(head == "", rec)
+            .when(F.size(own) == 0, F.concat(F.lit("{"), head, F.lit("}")))
+            .otherwise(F.concat(F.lit("{"), head, F.lit(","), F.ltrim(body))))
+
+
+def _json_entry(key: str, value: Column) -> Column:
+    """``"key":value`` as JSON text; empty for a null value."""
+    text = F.to_json(F.struct(value.alias(key)))
+    return F.substring(text, F.lit(2), F.length(text) - 2)
 
 
 def metadata_json(record: Column | str, fetched_at: Column, source: Column) -> Column:
@@ -107,15 +119,5 @@ def tag_key(record: Column | str, key: str, value: Column) -> Column:
 def wrap_non_object(record: Column | str, key: str, value: Column, data_key: str = "data") -> Column:
     """Object entries are tagged (P10); anything else becomes ``{key: value, "data": entry}``."""
     r = J._c(record)
-    wrapped = F.to_json(F.struct(value.alias(key), F.parse_json(r).alias(data_key)))
+    wrapped = F.concat(F.lit("{"), _json_entry(key, value), F.lit(f',"{data_key}":'), J.stripped(r), F.lit("}"))
     return F.when(J.json_shape(r) == "object", tag_key(r, key, value)).otherwise(wrapped)
-
-
-def land_routed(routed: DataFrame, raw_root: str, channel: str, daily: bool = False) -> str:
-    """Write routed frames (columns ``route``, ``line``, ``_fetched_at``) in one pass (K3)."""
-    out = with_label(routed.select("route", "line", "_fetched_at"), daily).select("route", "label", "line")
-    path = f"{raw_root.rstrip('/')}/{channel}"
-    with partitioned_write(routed.sparkSession):
-        (out.hint("rebalance", "route", "label").write.mode("append")
-            .partitionBy("route", "label").text(path))
-    return path

@@ -69,16 +69,38 @@ def price_record(df: DataFrame, key: str = "token_id", price: str = "price") ->
                      F.col(price).alias(price))
 
 
-def restrict_to_worklist(df: DataFrame, worklist: DataFrame, key: str, n_max: int | None = None) -> DataFrame:
-    """Rows whose key is on the work-list.
+def restrict_to_worklist(df: DataFrame, worklist: DataFrame, key: str) -> DataFrame:
+    """Rows whose key is on the work-list (J4, S17); how to join is left to adaptive execution."""
+    return df.join(worklist.select(key).distinct(), key, "left_semi")
 
-    A work-list built with ``limit(n)`` (``n_max`` given, at most 100,000) has a
-    proven size bound and is broadcast; otherwise the semi-join is left to AQE.
+
+def quotes_for(quotes: DataFrame, wanted: DataFrame, key: str, order: list[str], tie: list[str] | None = None
+               ) -> DataFrame:
+    """Latest quote of every wanted key that has one."""
+    return latest_per_key(restrict_to_worklist(quotes, wanted, key), [key], order, tie)
+
+
+def to_markets(facts: DataFrame, markets: DataFrame, fact_key: str, market_key: str) -> DataFrame:
+    """Facts with the columns of their market (J6, trades side): an equi-join on the market's id."""
+    return facts.join(markets, facts[fact_key] == markets[market_key])
+
+
+def books_to_markets(books: DataFrame, markets: DataFrame, keep: list[str], asset: str = "asset_id",
+                     **lists: str) -> DataFrame:
+    """Books with the market and outcome their token belongs to (J6, books side).
+
+    A market lists its tokens; they are exploded to rows of (``keep``, outcome,
+    token_id) and joined on the token.
     """
-    wl = worklist.select(key).distinct()
-    if n_max is not None and n_max <= 100_000:
-        wl = F.broadcast(wl)
-    return df.join(wl, key, "left_semi")
+    tokens = explode_outcomes(markets, keep, **lists).select(*keep, "outcome", "token_id")
+    return books.join(tokens, books[asset] == tokens["token_id"]).drop("token_id")
+
+
+def sports_to_tags(sports: DataFrame, tags: DataFrame, keep: list[str], col: str = "tags", tag_key: str = "id"
+                   ) -> DataFrame:
+    """One row per sport and tag with the tag's columns."""
+    rows = csv_to_rows(sports, keep, col)
+    return rows.join(tags, rows["tag_id"] == tags[tag_key].cast("string"))
 
 
 def two_key_join(left: DataFrame, right: DataFrame, left_key: str, right_keys: list[str]) -> DataFrame:
@@ -99,29 +121,53 @@ def two_key_join(left: DataFrame, right: DataFrame, left_key: str, right_keys: l
 
 
 def best_prices(bids: Column | str, asks: Column | str) -> dict[str, Column]:
-    """Best bid/ask, midpoint, spread and notional depth from level arrays.
+    """Best bid/ask, midpoint and spread from level arrays.
 
     Level order is not trusted: max over bids, min over asks.
     """
     b = F.col(bids) if isinstance(bids, str) else bids
     a = F.col(asks) if isinstance(asks, str) else asks
-    bp = F.transform(b, lambda x: x["price"].try_cast(MONEY))
-    ap = F.transform(a, lambda x: x["price"].try_cast(MONEY))
-    best_bid = F.array_max(bp)
-    best_ask = F.array_min(ap)
-
-    def depth(levels):
-        return F.aggregate(levels, F.lit(0).cast("decimal(38,8)"),
-                           lambda acc, x: (acc + x["price"].try_cast("decimal(20,8)")
-                                           * x["size"].try_cast("decimal(20,8)")).cast("decimal(38,8)"))
+    best_bid = F.array_max(F.transform(b, lambda x: x["price"].try_cast(MONEY)))
+    best_ask = F.array_min(F.transform(a, lambda x: x["price"].try_cast(MONEY)))
     return {"best_bid": best_bid, "best_ask": best_ask,
-            "midpoint": (best_bid + best_ask) / F.lit(2), "spread": best_ask - best_bid,
-            "bid_depth": depth(b), "ask_depth": depth(a)}
+            "midpoint": (best_bid + best_ask) / F.lit(2), "spread": best_ask - best_bid}
+
+
+def _side(levels: Column, best) -> Column:
+    """One pass over a side: best price, notional depth and the number of unreadable levels.
+
+    A level counts when its price and size are numbers; others are skipped and counted.
+    """
+    start = F.struct(F.lit(None).cast(MONEY).alias("best"), F.lit(0).cast("decimal(38,16)").alias("depth"),
+                     F.lit(0).alias("bad"))
+
+    def step(acc, x):
+        price, size = x["price"].try_cast(MONEY), x["size"].try_cast("decimal(20,8)")
+        fits = price.isNotNull() & size.isNotNull()
+        notional = (price.cast("decimal(20,8)") * size).cast("decimal(38,16)")
+        return F.struct(
+            F.when(fits, F.coalesce(best(acc["best"], price), price)).otherwise(acc["best"]).alias("best"),
+            F.when(fits, (acc["depth"] + F.coalesce(notional, F.lit(0))).cast("decimal(38,16)"))
+            .otherwise(acc["depth"]).alias("depth"),
+            F.when(fits, acc["bad"]).otherwise(acc["bad"] + 1).alias("bad"))
+    return F.aggregate(levels, start, step)
 
 
 def book_quote(df: DataFrame, bids: str = "bids", asks: str = "asks", keep: list[str] | None = None) -> DataFrame:
-    q = best_prices(bids, asks)
-    return df.select(*(keep or []), *[v.alias(k) for k, v in q.items()])
+    """Best bid/ask, midpoint, spread, notional depth per side and skipped levels."""
+    sides = df.select(*(keep or []), _side(F.col(bids), F.greatest).alias("_b"), _side(F.col(asks), F.least).alias("_a"))
+    bid, ask = F.col("_b.best"), F.col("_a.best")
+    return sides.select(*(keep or []), bid.alias("best_bid"), ask.alias("best_ask"),
+                        ((bid + ask) / F.lit(2)).alias("midpoint"), (ask - bid).alias("spread"),
+                        F.col("_b.depth").alias("bid_depth"), F.col("_a.depth").alias("ask_depth"),
+                        (F.col("_b.bad") + F.col("_a.bad")).alias("bad_levels"))
+
+
+def token_quote(books: DataFrame, token, field: str, order: list[str], tie: list[str] | None = None,
+                key: str = "asset_id") -> DataFrame:
+    """One field (best_bid, best_ask, midpoint or spread) of one token's latest book."""
+    last = lookup_by_id(books, key, token, order, tie)
+    return last.select(key, best_prices("bids", "asks")[field].alias(field))
 
 
 def explode_book_levels(df: DataFrame, keep: list[str], bids: str = "bids", asks: str = "asks") -> DataFrame:

@@ -2,8 +2,8 @@
 
 Logs of polls, connections and requests are tables. Cadence and streaks are run
 lengths computed by a blocked scan that splits hot keys across tasks; the rate
-audit is an aggregate over (group, second) counts. The only per-key windows run
-over small per-block tables.
+audit works within the seconds of a group. The only per-key windows run over
+small per-block tables.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from quaylake.session import bounded_broadcast
+from quaylake.session import write_shared
 
 
 def last_fetch(log: DataFrame, source: str = "_source", ts: str = "_fetched_at") -> DataFrame:
@@ -25,6 +25,13 @@ def health(ids: DataFrame, kind: str = "kind") -> DataFrame:
     return ids.groupBy(kind).agg(F.count(F.lit(1)).alias("n"))
 
 
+def fallback_flags(streaks: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """Per connection the latest ``streak`` and whether it has fallen back (A3 with W2's output)."""
+    last = F.struct(*[F.col(c) for c in order])
+    return streaks.groupBy(key).agg(F.max_by("streak", last).alias("streak"),
+                                    F.max_by("fallback", last).alias("fallback"))
+
+
 def stream_volume(df: DataFrame, cols: tuple[str, ...] = ("stream", "dt", "hour")) -> DataFrame:
     """Records per stream-hour."""
     return df.groupBy(*cols).agg(F.count(F.lit(1)).alias("n"))
@@ -52,6 +59,8 @@ def run_length(log: DataFrame, key: str, order: list[str], flag: Column | str,
     blocked = (log.withColumn("_flag", F.coalesce(f, F.lit(False)))
                .repartitionByRange(n, key, *order)
                .withColumn("_blk", F.spark_partition_id()))
+    # the block of a row is data from here on: both uses below see the same blocks
+    blocked = write_shared(blocked, "run-length")
     w = Window.partitionBy(key, "_blk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     blocked = blocked.withColumn("_rst", F.sum((~F.col("_flag")).cast("int")).over(w))
     w2 = Window.partitionBy(key, "_blk", "_rst").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
@@ -67,8 +76,7 @@ def run_length(log: DataFrame, key: str, order: list[str], flag: Column | str,
         Window.partitionBy(key, "_g").orderBy("_blk").rowsBetween(Window.unboundedPreceding, 0)))
     blocks = blocks.withColumn("_carry", F.coalesce(F.lag("_s").over(wb), F.lit(0))).select(
         F.col(key).alias("_bkey"), F.col("_blk").alias("_bblk"), "_carry")
-    # every (key, block) of ``blocked`` has exactly one summary row; a null-safe
-    # inner join keeps both branches identical so their shuffles are reused
+    # every (key, block) of ``blocked`` has exactly one summary row
     cond = F.col(key).eqNullSafe(F.col("_bkey")) & (F.col("_blk") == F.col("_bblk"))
     out = blocked.join(blocks, cond, "inner").drop("_bkey", "_bblk")
     run = F.col("_lrun") + F.when(F.col("_rst") == 0, F.col("_carry")).otherwise(F.lit(0))
@@ -100,25 +108,40 @@ def failure_streak(log: DataFrame, key: str, order: list[str], failed: Column |
 
 def rate_audit(log: DataFrame, group: str, ts: str, limits: DataFrame | None = None,
                window_s: int = 10) -> DataFrame:
-    """Requests per group in the sliding ``window_s`` seconds ending at each second.
+    """Most requests of a group in any ``window_s`` seconds that end in each second.
 
-    Pure aggregation, no window: requests are first counted per (group, second)
-    (map-side partial aggregate, so a hot group is reduced before the shuffle);
-    each second then contributes its count to the ``window_s`` windows that
-    contain it, and those contributions are summed per (group, window end).
+    The window slides on microseconds: it holds the requests in (t - window, t]
+    for a request at t. Whole seconds inside it come from counts per (group,
+    second); at both ends the requests of one second are ranked by time. So rows
+    meet only within a group's second, and a hot group is spread over its seconds.
     Output per (group, sec) with requests: n, n_window and, with a
     ``limits(group, rps)`` table, ``over = n_window > rps * window_s``.
     """
-    per_sec = (log.groupBy(F.col(group).alias("grp"),
-                           F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / 1_000_000).cast("bigint").alias("sec"))
-               .agg(F.count(F.lit(1)).alias("n")))
-    spread = per_sec.select("grp", F.explode(F.sequence(F.col("sec"), F.col("sec") + (window_s - 1))).alias("sec"), "n")
-    sums = spread.groupBy("grp", "sec").agg(F.sum("n").alias("n_window"))
-    out = per_sec.join(sums, ["grp", "sec"], "left")
+    span = window_s * 1_000_000
+    times = (log.groupBy(F.col(group).alias("grp"), F.unix_micros(F.col(ts).cast("timestamp")).alias("t"))
+             .agg(F.count(F.lit(1)).alias("c")).withColumn("sec", F.floor(F.col("t") / 1_000_000).cast("bigint")))
+    per_sec = times.groupBy("grp", "sec").agg(F.sum("c").alias("n"))
+    inner = (per_sec.select("grp", F.explode(F.sequence(F.col("sec") + 1, F.col("sec") + (window_s - 1))).alias("sec"), "n")
+             .groupBy("grp", "sec").agg(F.sum("n").alias("inner_n"))) if window_s > 1 else None
+    # each time looks at its own second and at the second in which its window begins
+    looks = (times.select("grp", "sec", F.col("t").alias("at"), "c", F.lit(True).alias("own"), "t")
+             .unionByName(times.select("grp", (F.col("sec") - window_s).alias("sec"), (F.col("t") - span).alias("at"),
+                                       F.lit(0).cast("bigint").alias("c"), F.lit(False).alias("own"), "t")))
+    upto = Window.partitionBy("grp", "sec").orderBy("at").rangeBetween(Window.unboundedPreceding, 0)
+    whole = Window.partitionBy("grp", "sec")
+    looks = looks.withColumn("part", F.when(F.col("own"), F.sum("c").over(upto))
+                             .otherwise(F.sum("c").over(whole) - F.sum("c").over(upto)))
+    ends = looks.groupBy("grp", "t").agg(F.sum("part").alias("part")) \
+        .withColumn("sec", F.floor(F.col("t") / 1_000_000).cast("bigint"))
+    top = ends.groupBy("grp", "sec").agg(F.max("part").alias("part"))
+    out = per_sec.join(top, ["grp", "sec"])
+    if inner is not None:
+        out = out.join(inner, ["grp", "sec"], "left")
+    extra = F.coalesce("inner_n", F.lit(0)) if inner is not None else F.lit(0)
+    out = out.select("grp", "sec", "n", (F.col("part") + extra).alias("n_window"))
     if limits is not None:
         lim = limits.select(F.col(limits.columns[0]).alias("grp"), F.col(limits.columns[1]).alias("rps"))
-        out = out.join(bounded_broadcast(lim), "grp", "left") \
-                 .withColumn("over", F.col("n_window") > F.col("rps") * F.lit(window_s))
+        out = out.join(lim, "grp", "left").withColumn("over", F.col("n_window") > F.col("rps") * F.lit(window_s))
     return out.withColumnRenamed("grp", group)
 
 
@@ -126,9 +149,9 @@ def staleness(last: DataFrame, intervals: DataFrame, now_s: float, source: str =
     """Sources whose last fetch is older than their max interval.
 
     ``intervals(source, max_interval)`` is a configuration table (one row per
-    poller), broadcast after a size check.
+    poller); adaptive execution broadcasts it when it is small.
     """
-    return (last.join(bounded_broadcast(intervals), source, "left")
+    return (last.join(intervals, source, "left")
                 .withColumn("age", F.lit(float(now_s)) - F.col("last_fetch"))
                 .withColumn("stale", F.col("age") > F.col("max_interval")))
 

@@ -15,17 +15,7 @@ from pyspark.sql import functions as F
 
 from quaylake.functions import jsonfn as J
 from quaylake.operators.land import metadata_json
-from quaylake.specs import SPECS
-
-# ---- fixed values: which channel routes how, and the stream each route lands in
-CHANNEL_STREAMS = {
-    "ws_market": {"book": "ws_market/book", "price_change": "ws_market/price_change",
-                  "last_trade_price": "ws_market/last_trade_price"},
-    "ws_sports": {"events": "ws_sports/events"},
-    "ws_rtds": {"activity": "ws_rtds/activity", "crypto_prices": "ws_rtds/crypto_prices"},
-}
-# ---------------------------------------------------------------------------
-
+from quaylake.specs import CHANNEL_STREAMS, SPECS
 
 def _stream_map():
     pairs = []
@@ -47,14 +37,15 @@ def decode_frames(frames: DataFrame) -> DataFrame:
     """Frames -> one row per message entry with ``route`` or ``reason``.
 
     Output: channel, frame_no (if present), elem_no, elem (JSON text),
-    event_type, route, stream, reason, _fetched_at.
+    event_type, route, stream, reason, _fetched_at; ``raw`` (the whole frame) and
+    ``preview`` for rejected entries.
     """
     keep = [c for c in frames.columns if c not in ("channel", "raw", "_fetched_at")]
     # trimmed text, validity and shape once per frame (no repeated regex/parse per branch)
     pre = (frames.where(~J.is_control_frame("channel", "raw"))
            .withColumn("_t", J.stripped("raw")))
     pre = pre.withColumn("_shape", J.json_shape("raw", F.col("_t"))) \
-        .withColumn("_valid", J.strict_json("raw", F.col("_t")))
+        .withColumn("_valid", J.strict_json("raw"))
     ch, raw, shape, valid = F.col("channel"), F.col("raw"), F.col("_shape"), F.col("_valid")
     is_list_msg = (ch == "ws_market") & valid & (shape == "array")
     elems = F.when(is_list_msg, J.array_elements(raw)).otherwise(F.array(raw))
@@ -84,6 +75,7 @@ def decode_frames(frames: DataFrame) -> DataFrame:
                         ev_type.alias("event_type"), route.alias("route"),
                         reason2.alias("reason"),
                         F.when(reason2.isNotNull(), J.preview("_raw")).alias("preview"),
+                        F.when(reason2.isNotNull(), F.col("_raw")).alias("raw"),
                         "_fetched_at")
     stream = F.try_element_at(_stream_map(), F.concat_ws("|", F.col("channel"), F.col("route")))
     return out.withColumn("stream", F.when(F.col("reason").isNull(), stream))
@@ -98,5 +90,6 @@ def routed_lines(decoded: DataFrame) -> DataFrame:
 
 
 def quarantine_rows(decoded: DataFrame) -> DataFrame:
+    """Rejected frames with their whole text; ``preview`` is only there to look at."""
     return decoded.where(F.col("reason").isNotNull()).select(
-        "channel", "reason", "preview", "_fetched_at")
+        "channel", "reason", "preview", "raw", "_fetched_at")

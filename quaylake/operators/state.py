@@ -1,8 +1,8 @@
 """Collector state as versioned tables (K9).
 
 State = id sets ``(kind, id, first_seen)``, last fetch per source and an ingest
-cursor. Each save writes a complete new version directory, then publishes a new small
-pointer file ``_CURRENT-<millis>-<version>`` (created, never overwritten); a
+cursor. Each save writes the tables it is given to a new version directory, then publishes a new small
+pointer file that names the place of every table, ``_CURRENT-<millis>-<version>`` (created, never overwritten); a
 reader follows the newest pointer, so it sees either the old or the new
 version and never a missing one. Older pointers and versions are pruned after. Missing, unreadable or malformed state loads as empty tables of the
 right schema. Saving unchanged state is a no-op.
@@ -42,54 +42,59 @@ def _pointer(spark: SparkSession, root: str) -> dict | None:
         obj = json.loads(text)
     except ValueError:
         return None
-    return obj if isinstance(obj, dict) and "version" in obj else None
+    return obj if isinstance(obj, dict) and isinstance(obj.get("tables"), dict) else None
+
+
+SCHEMAS = {"ids": IDS_SCHEMA, "last_fetch": LAST_FETCH_SCHEMA, "cursor": CURSOR_SCHEMA}
 
 
 def load_state(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """The newest state; a table that is missing there is empty."""
     root = root.rstrip("/")
-    ptr = _pointer(spark, root)
-    empty = {"ids": spark.createDataFrame([], IDS_SCHEMA),
-             "last_fetch": spark.createDataFrame([], LAST_FETCH_SCHEMA),
-             "cursor": spark.createDataFrame([], CURSOR_SCHEMA)}
-    if ptr is None:
-        return empty
-    base = f"{root}/v={ptr['version']}"
+    tables = (_pointer(spark, root) or {}).get("tables", {})
     out = {}
-    for name, schema in (("ids", IDS_SCHEMA), ("last_fetch", LAST_FETCH_SCHEMA), ("cursor", CURSOR_SCHEMA)):
-        path = f"{base}/{name}"
-        out[name] = spark.read.schema(schema).parquet(path) if inv.exists(spark, path) else empty[name]
+    for name, schema in SCHEMAS.items():
+        path = f"{root}/{tables[name]['path']}" if name in tables else None
+        out[name] = (spark.read.schema(schema).parquet(path) if path and inv.exists(spark, path)
+                     else spark.createDataFrame([], schema))
     return out
 
 
-def _fingerprint(tables: dict[str, DataFrame]) -> str:
+def _fingerprint(df: DataFrame) -> str:
     """Order-insensitive content hash, computed by Spark (no rows leave the executors)."""
     from pyspark.sql import functions as F
-    parts = []
-    for name in sorted(tables):
-        df = tables[name]
-        h = df.select(F.xxhash64(*[F.col(c) for c in df.columns]).alias("h")).agg(
-            F.count(F.lit(1)).alias("n"), F.sum(F.col("h").cast("decimal(38,0)")).alias("s")).first()
-        parts.append(f"{name}:{h['n']}:{h['s']}")
-    return "|".join(parts)
+    h = df.select(F.xxhash64(*[F.col(c) for c in df.columns]).alias("h")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("h").cast("decimal(38,0)")).alias("s")).first()
+    return f"{h['n']}:{h['s']}"
 
 
 def save_state(spark: SparkSession, root: str, tables: dict[str, DataFrame]) -> bool:
-    """Write a new version and swap the pointer; returns False when nothing changed."""
+    """Write the given tables as a new version and publish it; False when nothing changed.
+
+    Tables that are not given, or did not change, stay where the previous
+    version has them. Every input is computed once: it is written first, and its
+    fingerprint is taken from the written files.
+    """
+    import time
     root = root.rstrip("/")
-    fp = _fingerprint(tables)
-    ptr = _pointer(spark, root)
-    if ptr is not None and ptr.get("fingerprint") == fp:
-        return False
-    version = uuid.uuid4().hex[:12]
+    ptr = _pointer(spark, root) or {"tables": {}}
+    version = f"v={uuid.uuid4().hex[:12]}"
+    current = dict(ptr["tables"])
     for name, df in tables.items():
-        df.write.mode("overwrite").parquet(f"{root}/v={version}/{name}")
-    import time
-    name = f"{POINTER}-{int(time.time() * 1000):013d}-{version}"
-    inv.write_text_file(spark, f"{root}/{name}", json.dumps({"version": version, "fingerprint": fp}))
-    # keep the new and the previous version (a reader may still be on it)
-    keep = {f"v={version}"} | ({f"v={ptr['version']}"} if ptr else set())
-    old = [d for d in inv.list_dirs(spark, root) if d.rstrip("/").rsplit("/", 1)[-1] not in keep
-           and d.rstrip("/").rsplit("/", 1)[-1].startswith("v=")]
+        path = f"{version}/{name}"
+        df.write.mode("overwrite").parquet(f"{root}/{path}")
+        mark = _fingerprint(spark.read.schema(SCHEMAS[name]).parquet(f"{root}/{path}"))
+        if current.get(name, {}).get("fingerprint") != mark:
+            current[name] = {"path": path, "fingerprint": mark}
+    if current == ptr["tables"]:
+        inv.delete_paths(spark, [f"{root}/{version}/"])
+        return False
+    name = f"{POINTER}-{int(time.time() * 1000):013d}-{version[2:]}"
+    inv.write_text_file(spark, f"{root}/{name}", json.dumps({"version": version[2:], "tables": current}))
+    # a reader may still be on the previous version: keep what either names
+    keep = {t["path"].split("/")[0] for t in [*current.values(), *ptr["tables"].values()]}
+    dirs = ((d, d.rstrip("/").rsplit("/", 1)[-1]) for d in inv.list_dirs(spark, root))
+    old = [d for d, n in dirs if n.startswith("v=") and n not in keep]
     old += [f"{root}/{p}" for p in _pointers(spark, root) if p != name]
     inv.delete_paths(spark, old, recursive=True)
     return True

@@ -16,11 +16,11 @@ from pyspark.sql import functions as F
 
 from quaylake.functions import jsonfn as J
 from quaylake.functions import labels as L
-from quaylake.functions.predicates import is_open
+from quaylake.functions.predicates import is_open, truthy_json
 from quaylake.operators import discovery as D
 from quaylake.operators import market as M
 from quaylake.operators import monitor as MON
-from quaylake.operators.land import metadata_json
+from quaylake.operators.land import metadata_json, resolve_source
 from quaylake.operators.route import decode_frames
 from quaylake.session import apply_conf
 from quaylake.sources import pages as PG
@@ -85,7 +85,7 @@ def boundaries(spark, sf):
 @query("with_metadata", """
 SELECT event_id, epoch_us(ts) / 1000000.0 AS _fetched_at,
        CASE WHEN event_type = 'signup' THEN 'own'
-            WHEN event_type = 'error' THEN 'custom_source'
+            WHEN event_type = 'error' THEN 'desk-7'
             ELSE 'feed/events' END AS _source
 FROM events""")
 def with_metadata_q(spark, sf):
@@ -93,9 +93,10 @@ def with_metadata_q(spark, sf):
     rec = F.when(F.col("event_type") == "signup",
                  F.format_string('{"event_id":%d,"_source":"own"}', "event_id")) \
         .otherwise(F.format_string('{"event_id":%d}', "event_id"))
-    requested = (F.when(F.col("event_type") == "error", F.lit("custom_source"))
-                 .when(F.col("event_type") == "click", F.lit("")))
-    source = F.coalesce(F.nullif(requested, F.lit("")), F.lit("feed/events"))
+    stream = "feed/events"
+    source = (F.when(F.col("event_type") == "error", resolve_source("desk-7", stream))
+              .when(F.col("event_type") == "click", resolve_source("", stream))
+              .otherwise(resolve_source(None, stream)))
     line = metadata_json(rec, L.epoch_seconds("ts"), source)
     return ev.select(F.get_json_object(line, "$.event_id").cast("bigint").alias("event_id"),
                      F.get_json_object(line, "$._fetched_at").cast("double").alias("_fetched_at"),
@@ -125,9 +126,10 @@ def q_frame_spark():
     return (F.when(F.col("event_id") % 9 == 0, F.lit("PONG"))
                   .when(F.col("event_id") % 9 == 1, F.lit(" PONG "))
                   .when(F.col("event_id") % 9 == 2, F.lit("pong"))
-                  .when(F.col("event_id") % 9 == 3, F.format_string('{"event_id":%d', "event_id"))
+                  .when(F.col("event_id") % 9 == 3, F.concat(F.format_string('{"event_id":%d,"pad":"', "event_id"),
+                                                             F.repeat(F.lit("ab"), F.lit(300))))
                   .when(F.col("event_id") % 9 == 4, F.format_string("{'event_id':%d}", "event_id"))
-                  .when(F.col("event_id") % 9 == 5, F.format_string('{"event_id":%d} xx', "event_id"))
+                  .when(F.col("event_id") % 9 == 5, F.format_string('{"event_id":%d} {"b":2}', "event_id"))
                   .when(F.col("event_id") % 9 == 6, F.format_string("%d", "event_id"))
                   .otherwise(F.format_string('{"event_id":%d,"kind":"%s"}', "event_id", "event_type")))
 
@@ -136,13 +138,16 @@ def q_frame_spark():
 SELECT event_id,
        CASE WHEN m IN (2, 3, 4, 5) THEN 'bad_json' WHEN m = 6 THEN 'not_object' END AS reason,
        CASE WHEN m IN (7, 8) THEN 'book' END AS route,
-       CASE WHEN m IN (7, 8) THEN 'unknown' END AS event_type
+       CASE WHEN m IN (7, 8) THEN 'unknown' END AS event_type,
+       CASE m WHEN 2 THEN 'pong' WHEN 3 THEN '{"event_id":' || event_id || ',"pad":"' || repeat('ab', 300)
+              WHEN 4 THEN '{''event_id'':' || event_id || '}' WHEN 5 THEN '{"event_id":' || event_id || '} {"b":2}'
+              WHEN 6 THEN CAST(event_id AS VARCHAR) END AS raw
 FROM (SELECT event_id, event_id % 9 AS m FROM events) WHERE m NOT IN (0, 1)""")
 def quarantine_frames(spark, sf):
     ev = table(spark, sf, "events")
     frames = ev.select("event_id", F.lit("ws_market").alias("channel"), q_frame_spark().alias("raw"),
                        L.epoch_seconds("ts").alias("_fetched_at"))
-    return decode_frames(frames).select("event_id", "reason", "route", "event_type")
+    return decode_frames(frames).select("event_id", "reason", "route", "event_type", "raw")
 
 
 # ---------------------------------------------------------------- detect / route
@@ -262,27 +267,21 @@ def unwrap_pages_q(spark, sf):
     return PG.unwrap_pages(pages, ["page_no"])
 
 
-_CUT_LIMIT, _CUT_MAX = 10, 40
+_CUT_LIMIT = 3
 
 
 @query("cut_pages", f"""
 WITH o AS (SELECT o_orderkey // 1000 AS crawl_id, (o_orderkey % 1000) // 10 AS page_no, o_orderkey,
-                  {_ITEM_SQL} AS item FROM orders WHERE o_orderstatus <> 'P'),
+                  {_ITEM_SQL} AS item FROM orders),
 pg AS (SELECT crawl_id, page_no, count(*) AS n,
               (page_no = 23 AND crawl_id % 2 = 1) AS scalar FROM o GROUP BY ALL),
-stops AS (SELECT crawl_id, min(CASE WHEN scalar OR n < {_CUT_LIMIT} THEN page_no END) AS stop,
-                 count(*) FILTER (WHERE page_no < {_CUT_MAX}) AS n_in_cap FROM pg GROUP BY crawl_id),
-kept AS (SELECT pg.crawl_id, pg.page_no,
-                (stop IS NULL OR stop >= {_CUT_MAX}) AND n_in_cap >= {_CUT_MAX} AS truncated
-         FROM pg JOIN stops USING (crawl_id)
-         WHERE pg.page_no < {_CUT_MAX} AND (stop IS NULL OR pg.page_no <= stop) AND NOT scalar)
-SELECT k.crawl_id, k.page_no, k.truncated,
+stops AS (SELECT crawl_id, min(CASE WHEN scalar OR n < {_CUT_LIMIT} THEN page_no END) AS stop FROM pg GROUP BY crawl_id)
+SELECT o.crawl_id, o.page_no, coalesce(o.page_no > stop, false) AS after_end, stop IS NULL AS truncated,
        row_number() OVER (PARTITION BY o.crawl_id, o.page_no ORDER BY o.o_orderkey) - 1 AS item_no, o.item
-FROM kept k JOIN o USING (crawl_id, page_no)""")
+FROM o JOIN pg USING (crawl_id, page_no) JOIN stops USING (crawl_id) WHERE NOT scalar""")
 def cut_pages_q(spark, sf):
-    # pages of at most 10 unique order keys each (bounded collect_list); orders
-    # with status 'P' are left out so that some pages come out short
-    orders = table(spark, sf, "orders").where(F.col("o_orderstatus") != "P")
+    # pages of at most 10 unique order keys each (bounded collect_list)
+    orders = table(spark, sf, "orders")
     crawl = F.floor(F.col("o_orderkey") / 1000).cast("bigint")
     page = F.floor((F.col("o_orderkey") % 1000) / 10).cast("bigint")
     grouped = (orders.groupBy(crawl.alias("crawl_id"), page.alias("page_no"))
@@ -290,7 +289,21 @@ def cut_pages_q(spark, sf):
     arr = F.concat(F.lit("["), F.array_join(F.transform("its", lambda x: x["item"]), ","), F.lit("]"))
     scalar = (F.col("page_no") == 23) & (F.col("crawl_id") % 2 == 1)
     pages = grouped.select("crawl_id", "page_no", F.when(scalar, F.lit('"oops"')).otherwise(arr).alias("body"))
-    return PG.cut_pages(pages, limit=_CUT_LIMIT, max_pages=_CUT_MAX)
+    return PG.crawl_items(pages, limit=_CUT_LIMIT)
+
+
+@query("rejected_pages", """
+SELECT o_orderkey, CASE o_orderkey % 4 WHEN 1 THEN 'no_envelope_key' WHEN 2 THEN 'not_a_page' ELSE 'bad_json' END AS reason,
+       CASE o_orderkey % 4 WHEN 1 THEN '{"x":' || o_custkey || '}' WHEN 2 THEN CAST(o_custkey AS VARCHAR)
+                           ELSE '[{"c":' || o_custkey || '}' END AS raw
+FROM orders WHERE o_orderkey % 4 <> 0""")
+def rejected_pages_q(spark, sf):
+    o, m = table(spark, sf, "orders"), F.col("o_orderkey") % 4
+    body = (F.when(m == 0, F.format_string('{"data":[%d]}', "o_custkey"))
+            .when(m == 1, F.format_string('{"x":%d}', "o_custkey"))
+            .when(m == 2, F.format_string("%d", "o_custkey"))
+            .otherwise(F.format_string('[{"c":%d}', "o_custkey")))
+    return PG.rejected_pages(o.select("o_orderkey", body.alias("body")), ["o_orderkey"])
 
 
 # ---------------------------------------------------------------- markets
@@ -298,12 +311,36 @@ def cut_pages_q(spark, sf):
 SELECT o_orderkey, o_custkey FROM orders WHERE o_orderstatus IN ('O', 'P')""")
 def open_only_q(spark, sf):
     o = table(spark, sf, "orders")
-    active = F.col("o_orderstatus") != "F"
+    # flags as feeds send them: a word for true, zero for false
+    active = F.when(F.col("o_orderstatus") != "F", F.lit("abc")).otherwise(F.lit("0"))
     closed = F.when(F.col("o_orderstatus") == "F", True).when(F.col("o_orderstatus") == "O", False)
     markets = o.select("o_orderkey", "o_custkey", active.alias("active"), closed.alias("closed"))
     return M.open_only(markets).select("o_orderkey", "o_custkey")
 
 
+@query("truthy_flags", """
+SELECT o_orderkey, o_orderkey % 7 IN (1, 3, 5) AS flag FROM orders""")
+def truthy_flags(spark, sf):
+    """JSON truthiness of a flag that is not always boolean."""
+    o, m = table(spark, sf, "orders"), F.col("o_orderkey") % 7
+    raw = (F.when(m == 0, F.lit("{}")).when(m == 1, F.lit('{"f":"false"}')).when(m == 2, F.lit('{"f":0.0}'))
+           .when(m == 3, F.lit('{"f":[0]}')).when(m == 4, F.lit('{"f":{}}')).when(m == 5, F.lit('{"f":true}'))
+           .otherwise(F.lit('{"f":null}')))
+    return o.select("o_orderkey", truthy_json(F.variant_get(F.parse_json(raw), "$.f", "variant")).alias("flag"))
+
+
+@query("all_markets", """
+SELECT 'all' AS kind, o_orderkey FROM orders UNION ALL SELECT 'closed', o_orderkey FROM orders WHERE o_orderstatus = 'F'
+UNION ALL SELECT 'open', o_orderkey FROM orders WHERE o_orderstatus <> 'F'""")
+def all_markets_q(spark, sf):
+    o = table(spark, sf, "orders")
+    closed = F.when(F.col("o_orderstatus") == "F", True).when(F.col("o_orderstatus") == "O", False)
+    m = o.select("o_orderkey", closed.alias("closed"))
+    parts = [M.all_markets(m, want).select(F.lit(kind).alias("kind"), "o_orderkey")
+             for kind, want in (("all", None), ("closed", True), ("open", False))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 def ids_rec_spark():
     return (
     F.when(F.col("p_partkey") % 5 == 0,
@@ -325,11 +362,7 @@ WHERE p_size < 40""")
 def parse_ids(spark, sf):
     p = table(spark, sf, "part")
     rec = ids_rec_spark()
-    v = F.variant_get(F.parse_json(rec), "$.clobTokenIds", "variant")
-    kind = F.schema_of_variant(v)
-    tokens = (F.when(kind == "STRING", J.parse_id_list(F.variant_get(v, "$", "string")))
-              .when(kind.startswith("ARRAY"), F.from_json(F.to_json(v), "array<string>"))
-              .otherwise(F.array().cast("array<string>")))
+    tokens = J.id_list(F.variant_get(F.parse_json(rec), "$.clobTokenIds", "variant"))
     markets = p.select("p_partkey", (F.col("p_size") < 40).alias("active"), F.lit(None).cast("boolean").alias("closed"),
                        tokens.alias("tokens"))
     return M.open_only(markets).select("p_partkey", F.posexplode("tokens").alias("pos", "token"))
@@ -395,7 +428,7 @@ def worklist_semi(spark, sf):
     li = table(spark, sf, "lineitem")
     rev = li.groupBy("l_partkey").agg(F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("rev"))
     wl = D.worklist(rev, 100, [F.desc("rev"), F.asc("l_partkey")])
-    return M.restrict_to_worklist(li, wl, "l_partkey", n_max=100).select("l_orderkey", "l_linenumber", "l_partkey")
+    return M.restrict_to_worklist(li, wl, "l_partkey").select("l_orderkey", "l_linenumber", "l_partkey")
 
 
 @query("two_key_join", """
@@ -418,9 +451,22 @@ FROM lineitem JOIN part ON p_partkey = l_partkey JOIN supplier ON s_suppkey = l_
 JOIN nation ON n_nationkey = s_nationkey""")
 def trades_to_markets(spark, sf):
     li, p, s, n = (table(spark, sf, t) for t in ("lineitem", "part", "supplier", "nation"))
-    return (li.join(p, li.l_partkey == p.p_partkey).join(s, li.l_suppkey == s.s_suppkey)
-              .join(n, s.s_nationkey == n.n_nationkey)
-              .select("l_orderkey", "l_linenumber", "p_name", "s_name", "n_name"))
+    sellers = M.to_markets(s, n, "s_nationkey", "n_nationkey")
+    return (M.to_markets(M.to_markets(li, p, "l_partkey", "p_partkey"), sellers, "l_suppkey", "s_suppkey")
+            .select("l_orderkey", "l_linenumber", "p_name", "s_name", "n_name"))
+
+
+@query("books_to_markets", """
+SELECT l_orderkey, l_linenumber, p_partkey, p_name, CASE WHEN l_linenumber % 2 = 0 THEN 'Yes' ELSE 'No' END AS outcome
+FROM lineitem JOIN part ON p_partkey = l_partkey""")
+def books_to_markets_q(spark, sf):
+    li, p = table(spark, sf, "lineitem"), table(spark, sf, "part")
+    asset = F.concat(F.col("l_partkey").cast("string"), F.when(F.col("l_linenumber") % 2 == 0, "y").otherwise("n"))
+    books = li.select("l_orderkey", "l_linenumber", asset.alias("asset_id"))
+    markets = p.select("p_partkey", "p_name", F.lit('["Yes","No"]').alias("outcomes"),
+                       F.lit('["0.5","0.5"]').alias("outcomePrices"),
+                       F.format_string('["%dy","%dn"]', "p_partkey", "p_partkey").alias("clobTokenIds"))
+    return M.books_to_markets(books, markets, ["p_partkey", "p_name"]).drop("asset_id")
 
 
 # ---------------------------------------------------------------- latest state
@@ -434,6 +480,23 @@ def latest_per_key_q(spark, sf):
                       "o_totalprice")
 
 
+@query("lookup_by_id", """
+SELECT 'market' AS kind, o_custkey AS id, o_orderkey AS found FROM orders WHERE o_custkey = 7
+QUALIFY row_number() OVER (ORDER BY o_orderdate DESC, o_orderkey DESC) = 1
+UNION ALL SELECT 'holder', n_nationkey, n_nationkey * 10 + i FROM nation, range(3) t(i) WHERE n_nationkey = 5""")
+def lookup_by_id_q(spark, sf):
+    """Latest snapshot of one market and the holders of one market."""
+    o = table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderdate")
+    market = M.lookup_by_id(o, "o_custkey", 7, ["o_orderdate"], ["o_orderkey"])
+    n = table(spark, sf, "nation")
+    held = F.transform(F.sequence(F.lit(0), F.lit(2)), lambda i: F.struct((F.col("n_nationkey") * 10 + i).alias("w")))
+    holders = M.holders_of(n.select(F.col("n_nationkey").alias("condition_id"), held.alias("holders")), 5,
+                           ["condition_id"])
+    return market.select(F.lit("market").alias("kind"), F.col("o_custkey").alias("id"), F.col("o_orderkey").alias("found")) \
+        .unionByName(holders.select(F.lit("holder").alias("kind"), F.col("condition_id").cast("bigint").alias("id"),
+                                    F.col("w").cast("bigint").alias("found")))
+
+
 @query("dedup_trades", """
 SELECT l_orderkey, l_linenumber, l_partkey, min(f) AS _fetched_at, count(*)::BIGINT AS copies FROM (
   SELECT l_orderkey, l_linenumber, l_partkey, 1.0 AS f FROM lineitem WHERE l_shipdate < TIMESTAMP '1997-01-01'
@@ -478,11 +541,29 @@ SELECT l_orderkey, l_linenumber,
   CAST(list_min(list_transform(asks, lambda x: CAST(x.price AS DECIMAL(38,18))))
        - list_max(list_transform(bids, lambda x: CAST(x.price AS DECIMAL(38,18)))) AS DOUBLE) AS spread,
   CAST(list_sum(list_transform(bids, lambda x: CAST(x.price AS DECIMAL(20,8)) * CAST(x.size AS DECIMAL(20,8)))) AS DOUBLE) AS bid_depth,
-  CAST(list_sum(list_transform(asks, lambda x: CAST(x.price AS DECIMAL(20,8)) * CAST(x.size AS DECIMAL(20,8)))) AS DOUBLE) AS ask_depth
+  CAST(list_sum(list_transform(asks, lambda x: CAST(x.price AS DECIMAL(20,8)) * CAST(x.size AS DECIMAL(20,8)))) AS DOUBLE) AS ask_depth,
+  CASE WHEN l_linenumber % 3 = 0 THEN 1 ELSE 0 END AS bad_levels
 FROM {_BOOKS_SQL}""")
 def book_quote_q(spark, sf):
-    b = M.book_quote(_books(table(spark, sf, "lineitem")), keep=["l_orderkey", "l_linenumber"])
-    return b.select("l_orderkey", "l_linenumber", *[F.col(c).cast("double").alias(c) for c in b.columns[2:]])
+    # every third book has a level without a price: it is skipped and counted
+    junk = F.array(F.struct(F.lit("x").alias("price"), F.lit("1").alias("size")))
+    books = _books(table(spark, sf, "lineitem")).withColumn(
+        "bids", F.when(F.col("l_linenumber") % 3 == 0, F.concat("bids", junk)).otherwise(F.col("bids")))
+    b = M.book_quote(books, keep=["l_orderkey", "l_linenumber"])
+    return b.select("l_orderkey", "l_linenumber", *[F.col(c).cast("double").alias(c) for c in b.columns[2:-1]],
+                    "bad_levels")
+
+
+@query("token_quote", f"""
+SELECT l_partkey AS asset_id,
+  CAST((list_max(list_transform(bids, lambda x: CAST(x.price AS DECIMAL(38,18))))
+        + list_min(list_transform(asks, lambda x: CAST(x.price AS DECIMAL(38,18))))) / 2 AS DOUBLE) AS midpoint
+FROM {_BOOKS_SQL} WHERE l_partkey = 7
+QUALIFY row_number() OVER (PARTITION BY l_partkey ORDER BY l_shipdate DESC, l_orderkey DESC, l_linenumber DESC) = 1""")
+def token_quote_q(spark, sf):
+    books = _books(table(spark, sf, "lineitem")).withColumnRenamed("l_partkey", "asset_id")
+    return M.token_quote(books, 7, "midpoint", ["l_shipdate"], ["l_orderkey", "l_linenumber"]) \
+        .withColumn("midpoint", F.col("midpoint").cast("double"))
 
 
 @query("book_levels", f"""
@@ -548,8 +629,8 @@ JOIN nation ON n_nationkey IN (c_nationkey, (c_nationkey + 1) % 25)""")
 def csv_ids(spark, sf):
     c, n = table(spark, sf, "customer"), table(spark, sf, "nation")
     sports = c.select("c_custkey", F.format_string("%d, %d,", "c_nationkey", (F.col("c_nationkey") + 1) % 25).alias("tags"))
-    rows = M.csv_to_rows(sports, ["c_custkey"], "tags").withColumn("tag_id", F.col("tag_id").cast("int"))
-    return rows.join(n, rows.tag_id == n.n_nationkey).select("c_custkey", "tag_id", "n_name")
+    return M.sports_to_tags(sports, n, ["c_custkey"], tag_key="n_nationkey") \
+        .select("c_custkey", F.col("tag_id").cast("int").alias("tag_id"), "n_name")
 
 
 @query("top_holders", """
@@ -643,6 +724,19 @@ def health_q(spark, sf):
     return MON.health(ids)
 
 
+@query("health_flags", """
+WITH e AS (SELECT event_id, user_id, ts, event_type IN ('error', 'click') AS failed FROM events),
+g AS (SELECT *, sum((NOT failed)::INT) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS grp FROM e),
+k AS (SELECT *, sum(failed::INT) OVER (PARTITION BY user_id, grp ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS streak FROM g)
+SELECT user_id, streak::BIGINT AS streak, streak >= 2 AS fallback FROM k
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""")
+def health_flags(spark, sf):
+    """Current failure streak and fallback flag per connection."""
+    ev = table(spark, sf, "events")
+    streaks = MON.failure_streak(ev, "user_id", ["ts", "event_id"], F.col("event_type").isin("error", "click"), threshold=2)
+    return MON.fallback_flags(streaks, "user_id", ["ts", "event_id"])
+
+
 @query("next_interval", """
 WITH e AS (SELECT event_id, user_id, ts, event_type = 'purchase' AS changed FROM events),
 g AS (SELECT *, sum(changed::INT) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS grp FROM e),
@@ -672,13 +766,12 @@ _LIMITS = [("signup", 0.1), ("purchase", 0.2), ("error", 0.1), ("click", 0.3), (
 
 
 @query("rate_audit", f"""
-WITH s AS (SELECT event_type, CAST(floor(epoch_us(ts) / 1000000) AS BIGINT) AS sec, count(*)::BIGINT AS n
-           FROM events GROUP BY ALL),
+WITH w AS (SELECT event_type, epoch_us(ts) // 1000000 AS sec,
+                  count(*) OVER (PARTITION BY event_type ORDER BY epoch_us(ts)
+                                 RANGE BETWEEN 9999999 PRECEDING AND CURRENT ROW) AS k FROM events),
+s AS (SELECT event_type, CAST(sec AS BIGINT) AS sec, count(*)::BIGINT AS n, max(k)::BIGINT AS n_window FROM w GROUP BY ALL),
 lim(event_type, rps) AS (VALUES {", ".join(f"('{k}', {v})" for k, v in _LIMITS)})
-SELECT s.event_type, sec, n,
-       sum(n) OVER (PARTITION BY s.event_type ORDER BY sec RANGE BETWEEN 9 PRECEDING AND CURRENT ROW)::BIGINT AS n_window,
-       rps, sum(n) OVER (PARTITION BY s.event_type ORDER BY sec RANGE BETWEEN 9 PRECEDING AND CURRENT ROW) > rps * 10 AS over
-FROM s LEFT JOIN lim USING (event_type)""")
+SELECT s.event_type, sec, n, n_window, rps, n_window > rps * 10 AS over FROM s LEFT JOIN lim USING (event_type)""")
 def rate_audit_q(spark, sf):
     ev = table(spark, sf, "events")
     limits = spark.createDataFrame(_LIMITS, "event_type STRING, rps DOUBLE")
@@ -717,15 +810,20 @@ SELECT (SELECT count(*) FROM cur)::BIGINT AS markets,
        (SELECT count(DISTINCT o_custkey) FROM cur)::BIGINT AS events,
        (SELECT count(*) FROM (SELECT o_orderkey FROM cur EXCEPT SELECT o_orderkey FROM old))::BIGINT AS new_markets,
        (SELECT count(*) FROM (SELECT o_custkey FROM cur EXCEPT SELECT o_custkey FROM old))::BIGINT AS new_events,
-       0::BIGINT AS new_tokens,
-       (SELECT count(DISTINCT o_orderpriority) FROM orders)::BIGINT AS total_tokens,
+       (SELECT count(*) FROM (SELECT o_custkey, o_orderpriority FROM cur EXCEPT
+                              SELECT o_custkey, o_orderpriority FROM old))::BIGINT AS new_tokens,
+       (SELECT count(DISTINCT o_custkey || '-' || o_orderpriority) FROM orders)::BIGINT AS total_tokens,
+       (SELECT count(*) FROM (SELECT o_orderkey FROM cur EXCEPT SELECT o_orderkey FROM old)) > 0
+         OR (SELECT count(*) FROM (SELECT o_custkey, o_orderpriority FROM cur EXCEPT
+                                   SELECT o_custkey, o_orderpriority FROM old)) > 0 AS markets_changed,
+       (SELECT count(*) FROM (SELECT o_custkey FROM cur EXCEPT SELECT o_custkey FROM old)) > 0 AS events_changed,
        true AS changed""")
 def discovery_summary_q(spark, sf):
     o = table(spark, sf, "orders")
     split = F.lit(dt.datetime(1998, 1, 1)).cast("timestamp_ntz")
     cur, old = o.where(F.col("o_orderdate") >= split), o.where(F.col("o_orderdate") < split)
-    tokens = o.select("o_orderpriority").distinct()
+    token = F.concat_ws("-", "o_custkey", "o_orderpriority").alias("token")
     return D.discovery_summary(
         cur, cur.select("o_custkey").distinct(),
         D.new_ids(cur, old, "o_orderkey"), D.new_ids(cur, old, "o_custkey"),
-        D.new_ids(tokens, tokens, "o_orderpriority"), tokens)
+        D.new_ids(cur.select(token), old.select(token), "token"), o.select(token).distinct())

@@ -12,6 +12,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from quaylake.functions import jsonfn as J
 from quaylake.functions import labels as L
@@ -21,7 +22,7 @@ from quaylake.operators import compact as CP
 from quaylake.operators import discovery as D
 from quaylake.operators import market as M
 from quaylake.operators import state as ST
-from quaylake.operators.land import json_lines, land_jsonl, land_lines, wrap_non_object
+from quaylake.operators.land import json_lines, land_jsonl, land_lines, metadata_json, wrap_non_object
 from quaylake.plans.catalog import FIXED_NOW, HOUR_NOW, table
 from quaylake.session import scratch_dir
 from quaylake.sources import inventory as inv
@@ -62,8 +63,7 @@ def _land_events(spark, sf, raw, where=None):
 
 def shared_lake(spark, sf):
     """Land all events hourly, add a broken copy of every 'error' event, an
-    empty file and a stray stem; snapshot the inventory; compact. Cached per
-    application and input folder."""
+    empty file and a stray stem; compact. Kept per application and input folder."""
     key = (spark.sparkContext.applicationId, sf)
     if key in _SHARED:
         return _SHARED[key]
@@ -76,19 +76,13 @@ def shared_lake(spark, sf):
     land_lines(json_lines(recs, EVENTS_STREAM).unionByName(broken), raw, EVENTS_STREAM)
     inv.write_text_file(spark, f"{raw}/{EVENTS_STREAM}/label=2024-01-02T03/empty.json", "")
     inv.write_text_file(spark, f"{raw}/{EVENTS_STREAM}/old.jsonl", '{"event_id":-1}\n')
-    listing = inv.raw_inventory(spark, raw)
-    listing = spark.createDataFrame(listing.collect(), listing.schema)
-    snapshot = CP.classify(listing, FIXED_NOW).select("label", "status").distinct()
-    snapshot = spark.createDataFrame(snapshot.collect(), "label STRING, status STRING")
-    report = CP.compact(spark, raw, f"{root}/table", now=FIXED_NOW, ddl={EVENTS_STREAM: EVENTS_DDL},
-                        inventory=listing)
-    report = spark.createDataFrame(report.collect(), CP.REPORT_SCHEMA)
-    _SHARED[key] = (root, report, snapshot)
+    report = CP.compact(spark, raw, f"{root}/table", now=FIXED_NOW, ddl={EVENTS_STREAM: EVENTS_DDL})
+    _SHARED[key] = (root, report)
     return _SHARED[key]
 
 
 def flagship(spark, sf):
-    root, _, _ = shared_lake(spark, sf)
+    root, _ = shared_lake(spark, sf)
     t = scan_table(spark, f"{root}/table", EVENTS_STREAM)
     return t.groupBy(F.lit(EVENTS_STREAM).alias("stream"), "dt", "hour", "event_type") \
         .agg(F.count(F.lit(1)).alias("n"))
@@ -101,8 +95,14 @@ SELECT event_id, epoch_us(ts) AS ts_us, user_id, event_type, value, props,
        strftime(ts, '%Y-%m-%d') AS dt, strftime(ts, '%H') AS hour
 FROM events WHERE {_CLOSED}""")
 def compact_roundtrip(spark, sf):
-    root, _, _ = shared_lake(spark, sf)
-    return scan_table(spark, f"{root}/table", EVENTS_STREAM).drop("_extra", "_cast_errors")
+    """Everything landed comes back, from at most one file per stream-hour and writer."""
+    root, _ = shared_lake(spark, sf)
+    t = scan_table(spark, f"{root}/table", EVENTS_STREAM, keep_src=True)
+    raw_files = CP.run_files(spark, f"{root}/table").where(F.col("status") == "eligible").count()
+    table_files = inv.file_listing(spark, f"{root}/table/{EVENTS_STREAM}").where(F.col("path").endswith(".parquet")).count()
+    hours = t.select("dt", "hour").distinct().count()
+    assert table_files < raw_files or table_files == hours, f"{raw_files} raw files became {table_files}"
+    return t.drop("_extra", "_cast_errors", "src", "run")
 
 
 @query("stream_volume", f"""
@@ -110,7 +110,7 @@ SELECT 'feed/events' AS stream, strftime(ts, '%Y-%m-%d') AS dt, strftime(ts, '%H
 FROM events WHERE {_CLOSED} GROUP BY ALL""")
 def stream_volume_q(spark, sf):
     from quaylake.operators.monitor import stream_volume
-    root, _, _ = shared_lake(spark, sf)
+    root, _ = shared_lake(spark, sf)
     return stream_volume(scan_table(spark, f"{root}/table", EVENTS_STREAM).withColumn("stream", F.lit(EVENTS_STREAM)))
 
 
@@ -119,7 +119,7 @@ SELECT strftime(ts, '%Y-%m-%dT%H') AS label, count(*)::BIGINT AS rows,
        count(*) FILTER (WHERE event_type = 'error')::BIGINT AS corrupt
 FROM events WHERE {_CLOSED} GROUP BY 1""")
 def compaction_report(spark, sf):
-    _, report, _ = shared_lake(spark, sf)
+    _, report = shared_lake(spark, sf)
     return (report.where(F.col("status") == "compacted").groupBy("label")
             .agg(F.sum("rows").cast("bigint").alias("rows"), F.sum("corrupt").cast("bigint").alias("corrupt")))
 
@@ -132,15 +132,15 @@ FROM events
 UNION ALL SELECT '2024-01-02T03', 'empty'
 UNION ALL SELECT 'old', 'bad_label'""")
 def inventory_eligible(spark, sf):
-    _, _, snapshot = shared_lake(spark, sf)
-    return snapshot
+    root, _ = shared_lake(spark, sf)
+    return CP.run_files(spark, f"{root}/table").select("label", "status").distinct()
 
 
 @query("fetched_after", f"""
 SELECT event_id, event_type FROM events
 WHERE {_CLOSED} AND epoch_us(ts) / 1000000.0 > {dt.datetime(2024, 1, 20, 6, tzinfo=dt.timezone.utc).timestamp()}""")
 def fetched_after_q(spark, sf):
-    root, _, _ = shared_lake(spark, sf)
+    root, _ = shared_lake(spark, sf)
     t = scan_table(spark, f"{root}/table", EVENTS_STREAM)
     cut = dt.datetime(2024, 1, 20, 6, tzinfo=dt.timezone.utc).timestamp()
     return t.where(fetched_after("_fetched_at", cut)).select("event_id", "event_type")
@@ -150,7 +150,7 @@ def fetched_after_q(spark, sf):
 SELECT event_id, strftime(ts, '%H') AS hour FROM events
 WHERE {_CLOSED} AND strftime(ts, '%Y-%m-%d') = '2024-01-15'""")
 def scan_dt_q(spark, sf):
-    root, _, _ = shared_lake(spark, sf)
+    root, _ = shared_lake(spark, sf)
     return scan_dt(spark, f"{root}/table", EVENTS_STREAM, "2024-01-15").select("event_id", "hour")
 
 
@@ -158,20 +158,22 @@ def scan_dt_q(spark, sf):
 SELECT count(*)::BIGINT AS rows, 12 AS n_columns FROM events WHERE {_CLOSED}""")
 def snapshot_count_q(spark, sf):
     from quaylake.operators.monitor import snapshot_count
-    root, _, _ = shared_lake(spark, sf)
+    root, _ = shared_lake(spark, sf)
     return snapshot_count(scan_table(spark, f"{root}/table", EVENTS_STREAM)) \
         .withColumn("n_columns", F.col("n_columns").cast("int"))
 
 
 @query("unique_ids", f"""
-SELECT user_id, count(*)::BIGINT AS n FROM events WHERE {_CLOSED} GROUP BY user_id""")
+SELECT user_id, event_id, epoch_us(ts) / 1000000.0 AS _fetched_at, count(*) OVER (PARTITION BY user_id)::BIGINT AS n
+FROM events WHERE {_CLOSED}
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""")
 def unique_ids(spark, sf):
     """``unique("id")`` on a snapshot scan, deterministic form: latest row per id."""
-    root, _, _ = shared_lake(spark, sf)
+    root, _ = shared_lake(spark, sf)
     t = scan_table(spark, f"{root}/table", EVENTS_STREAM)
     counts = t.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
     last = M.latest_per_key(t.select("user_id", "_fetched_at", "event_id"), ["user_id"], ["_fetched_at"], ["event_id"])
-    return last.join(counts, "user_id").select("user_id", "n")
+    return last.join(counts, "user_id").select("user_id", "event_id", "_fetched_at", "n")
 
 
 @query("compact_rerun", f"""
@@ -191,23 +193,53 @@ def compact_rerun(spark, sf):
 
 
 @query("retention", f"""
-SELECT event_id, strftime(ts, '%Y-%m-%d') AS dt FROM events
-WHERE {_CLOSED} AND strftime(ts, '%Y-%m-%d') >= '2024-01-10'""")
+SELECT event_id, 'table' AS place FROM events WHERE {_CLOSED} AND strftime(ts, '%Y-%m-%d') >= '2024-01-10'
+UNION ALL SELECT event_id, 'raw' FROM events WHERE NOT ({_CLOSED})""")
 def retention(spark, sf):
+    """Compact without deleting, then let the raw and the table retention delete: raw files that were
+    compacted go when they are older than the retention, the open hours' files stay."""
     root = scratch_dir(spark, "retention")
     raw, tbl = f"{root}/raw", f"{root}/table"
     _land_events(spark, sf, raw)
-    CP.compact(spark, raw, tbl, now=FIXED_NOW, ddl={EVENTS_STREAM: EVENTS_DDL})
-    CP.purge_raw(spark, raw, tbl, now=FIXED_NOW, keep_hours=48)
+    CP.compact(spark, raw, tbl, now=FIXED_NOW, ddl={EVENTS_STREAM: EVENTS_DDL}, delete_sources=False)
+    later = dt.datetime.now(dt.timezone.utc) + dt.timedelta(hours=72)
+    assert CP.purge_raw(spark, raw, tbl, now=later, keep_hours=48) > 0, "no raw file was deleted"
     CP.purge_table(spark, tbl, EVENTS_STREAM, now=FIXED_NOW, keep_days=20)
-    return scan_table(spark, tbl, EVENTS_STREAM).select("event_id", "dt")
+    kept = scan_table(spark, tbl, EVENTS_STREAM).select("event_id", F.lit("table").alias("place"))
+    rest = spark.createDataFrame([], "event_id BIGINT")
+    if inv.has_data(spark, raw):
+        rest = scan_jsonl(spark, f"{raw}/{EVENTS_STREAM}", StructType.fromDDL("event_id BIGINT"))
+    return kept.unionByName(rest.select("event_id", F.lit("raw").alias("place")))
+
+
+@query("type_drift", """
+SELECT event_id, event_id AS v_number, NULL AS v_text FROM events WHERE event_type <> 'error'
+UNION ALL SELECT event_id, NULL, 'x' || event_id FROM events WHERE event_type = 'error'""")
+def type_drift(spark, sf):
+    """Two runs over an undeclared stream whose key changes its type, under a root with a blank and
+    another name than ``raw``."""
+    root = scratch_dir(spark, "drift")
+    raw, tbl = f"{root}/landing zone", f"{root}/table"
+    ev = table(spark, sf, "events")
+    for where, value in ((F.col("event_type") != "error", F.col("event_id")),
+                         (F.col("event_type") == "error", F.concat(F.lit("x"), F.col("event_id").cast("string")))):
+        lines = ev.where(where).select(F.lit("2024-01-02T03").alias("label"), F.to_json(F.struct(
+            "event_id", value.alias("v"))).alias("value"))
+        land_lines(lines, raw, "feed/loose")
+        CP.compact(spark, raw, tbl, now=FIXED_NOW)
+    t = scan_table(spark, tbl, "feed/loose")
+    v = F.col("_extra")["v"]
+    number = F.schema_of_variant(v) != "STRING"
+    return t.select(F.variant_get(F.col("_extra")["event_id"], "$", "bigint").alias("event_id"),
+                    F.when(number, F.try_variant_get(v, "$", "bigint")).alias("v_number"),
+                    F.when(~number, F.try_variant_get(v, "$", "string")).alias("v_text"))
 
 
 @query("scan_hour_files", f"""
 SELECT event_id, strftime(ts, '%Y-%m-%d') AS dt, strftime(ts, '%H') AS hour FROM events WHERE {_CLOSED}""")
 def scan_hour_files_q(spark, sf):
     """Rewrite the compacted table in the original ``dt=/hour=HH.parquet`` file layout, read it back."""
-    root, _, _ = shared_lake(spark, sf)
+    root, _ = shared_lake(spark, sf)
     t = scan_table(spark, f"{root}/table", EVENTS_STREAM)
     out = scratch_dir(spark, "hourfiles")
     stage = f"{out}/_stage"
@@ -227,8 +259,11 @@ def _dt_hour_of(path: str) -> tuple[str, str]:
 
 # ---------------------------------------------------------------- JSONL scan
 @query("jsonl_scan", """
-SELECT event_id, user_id, CASE WHEN event_type = 'purchase' THEN value END AS amount
-FROM events WHERE event_type <> 'error'""")
+SELECT event_id, user_id, CASE WHEN event_type = 'purchase' THEN value END AS amount, NULL AS raw
+FROM events WHERE event_type <> 'error'
+UNION ALL SELECT NULL, NULL, NULL, CASE WHEN event_id % 2 = 0 THEN '{"event_id":' || event_id || ','
+                                        ELSE '{"event_id":' || event_id || '} {"b":2}' END
+FROM events WHERE event_type = 'error'""")
 def jsonl_scan(spark, sf):
     ev = table(spark, sf, "events")
     root = scratch_dir(spark, "jsonl")
@@ -236,12 +271,14 @@ def jsonl_scan(spark, sf):
         F.to_json(F.struct("event_id", "user_id")).alias("value"))
     extra = ev.where(F.col("event_type") == "purchase").select(
         F.to_json(F.struct("event_id", "user_id", F.col("value").alias("amount"), F.lit("x").alias("note"))).alias("value"))
-    broken = ev.where(F.col("event_type") == "error").select(F.format_string('{"event_id":%d,', "event_id").alias("value"))
+    broken = ev.where(F.col("event_type") == "error").select(
+        F.when(F.col("event_id") % 2 == 0, F.format_string('{"event_id":%d,', "event_id"))
+        .otherwise(F.format_string('{"event_id":%d} {"b":2}', "event_id")).alias("value"))
     plain.unionByName(broken).write.text(f"{root}/a")
     extra.write.text(f"{root}/b")
     rows, bad = scan_jsonl(spark, [f"{root}/a", f"{root}/b"], "event_id BIGINT, user_id BIGINT, amount DOUBLE",
                            with_quarantine=True)
-    return rows
+    return rows.withColumn("raw", F.lit(None).cast("string")).unionByName(bad.select("raw"), allowMissingColumns=True)
 
 
 # ---------------------------------------------------------------- typed casts
@@ -268,6 +305,39 @@ def typed_cast(spark, sf):
                      C.to_decimal(F.concat(F.lit("x"), F.col("value").cast("string"))).cast("double").alias("bad_dec"))
 
 
+@query("normalise_times", """
+SELECT event_id, epoch_us(ts) AS created_us, NULL::BIGINT AS bad_us, (epoch_us(ts) // 1000) * 1000 AS book_us,
+       event_id % 3 = 0 AS bad_volume FROM events""")
+def normalise_times_q(spark, sf):
+    """Landed records through the typed layer of two streams and its time fields."""
+    ev = table(spark, sf, "events")
+    ts = F.col("ts").cast("timestamp")
+    market = F.to_json(F.struct(
+        F.col("event_id").cast("string").alias("id"), F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("createdAt"),
+        F.lit("soon").alias("endDate"), F.when(F.col("event_id") % 3 == 0, "n/a").alias("volumeNum")))
+    markets = C.normalise_times(CP.apply_schema(ev.select(market.alias("raw")), "raw", "gamma/markets"), "gamma/markets")
+    book = F.to_json(F.struct(F.col("event_id").cast("string").alias("asset_id"),
+                              F.floor(F.unix_micros(ts) / 1000).cast("string").alias("timestamp")))
+    books = C.normalise_times(CP.apply_schema(ev.select(book.alias("raw")), "raw", "clob/books"), "clob/books")
+    return (markets.join(books, markets["id"] == books["asset_id"])
+            .select(F.col("id").cast("bigint").alias("event_id"), F.unix_micros("createdAt").alias("created_us"),
+                    F.unix_micros("endDate").alias("bad_us"), F.unix_micros("timestamp").alias("book_us"),
+                    F.array_contains(markets["_cast_errors"], "volumeNum").alias("bad_volume")))
+
+
+@query("long_numbers", """
+SELECT event_id, repeat('7', 70) || event_id AS asset_id, 'feed/events' AS _source FROM events""")
+def long_numbers(spark, sf):
+    """Token ids sent as bare numbers keep all their digits when metadata is added."""
+    ev = table(spark, sf, "events")
+    raw = F.format_string('{"event_id":%d,"asset_id":%s%d}', F.col("event_id"), F.repeat(F.lit("7"), F.lit(70)),
+                          F.col("event_id"))
+    line = metadata_json(raw, F.lit(1.0), F.lit("feed/events"))
+    return ev.select(J.key_text(line, "event_id").cast("bigint").alias("event_id"),
+                     F.regexp_extract(line, r'"asset_id":(\d+)', 1).alias("asset_id"),
+                     J.key_text(line, "_source").alias("_source"))
+
+
 # ---------------------------------------------------------------- key tagging
 @query("tag_and_wrap", """
 SELECT c_custkey,
@@ -346,8 +416,7 @@ def quotes_for(spark, sf):
     mids = li.select(F.col("l_partkey").alias("token_id"), (F.col("l_extendedprice") / F.col("l_quantity")).alias("midpoint"),
                      "l_shipdate", "l_orderkey", "l_linenumber")
     wanted = p.where(F.col("p_size") > 45).select(F.col("p_partkey").alias("token_id"))
-    latest = M.latest_per_key(M.restrict_to_worklist(mids, wanted, "token_id"), ["token_id"],
-                              ["l_shipdate"], ["l_orderkey", "l_linenumber"])
+    latest = M.quotes_for(mids, wanted, "token_id", ["l_shipdate"], ["l_orderkey", "l_linenumber"])
     return latest.select("token_id", "midpoint")
 
 
@@ -362,9 +431,11 @@ SELECT item_offset, CASE WHEN rn < {_RUN1} THEN 1 ELSE 2 END AS run,
        CASE WHEN rn < {_RUN1} THEN rn // 100 ELSE (rn - {_RUN1}) // 100 END AS page FROM r""")
 def resumable_ingest_q(spark, sf):
     items = table(spark, sf, "lineitem").select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("item_offset"))
-    run1 = PG.resumable_ingest(items, cursor=0, limit=_RUN1)
-    cursor = PG.next_cursor(run1, 0).first()["cursor"]
-    run2 = PG.resumable_ingest(items, cursor=cursor)
+    root = scratch_dir(spark, "backfill")
+    run1 = PG.ingest_run(spark, root, items, limit=_RUN1)
+    run2 = PG.ingest_run(spark, root, items)
+    assert PG.ingest_run(spark, root, items).isEmpty(), "a completed ingest ran again"
+    assert ST.load_state(spark, root)["cursor"].first()["completed"]
     return run1.withColumn("run", F.lit(1)).unionByName(run2.withColumn("run", F.lit(2))) \
         .select("item_offset", "run", "page")
 
@@ -385,7 +456,11 @@ def state_roundtrip(spark, sf):
     cursor = spark.createDataFrame([("backfill", 0, False)], ST.CURSOR_SCHEMA)
     ST.save_state(spark, root, {"ids": ids, "last_fetch": lf, "cursor": cursor})
     assert not ST.save_state(spark, root, {"ids": ids, "last_fetch": lf, "cursor": cursor})
-    return ST.load_state(spark, root)["ids"]
+    # saving one table alone leaves the others as they are
+    assert ST.save_state(spark, root, {"cursor": cursor.withColumn("completed", F.lit(True))})
+    state = ST.load_state(spark, root)
+    assert state["cursor"].first()["completed"] and state["last_fetch"].count() == lf.count()
+    return state["ids"]
 
 
 # ---------------------------------------------------------------- streaming
@@ -444,6 +519,17 @@ def stream_recovery(spark, sf):
     return _read_seq(spark, f"{root}/raw")
 
 
+@query("stream_shared_root", _stream_route_sql())
+def stream_shared_root(spark, sf):
+    """Two streams with their own checkpoints land in the same folders; both start at epoch 0."""
+    root = scratch_dir(spark, "stream-shared")
+    frames = _stream_frames(spark, sf)
+    for name, where in (("a", F.col("event_type") != "error"), ("b", F.col("event_type") == "error")):
+        S.land_frames(frames.where(where), f"{root}/frames-{name}")
+        _run(S.route_stream(spark, f"{root}/frames-{name}", f"{root}/raw", f"{root}/quarantine", f"{root}/ckpt-{name}"))
+    return _read_seq(spark, f"{root}/raw")
+
+
 @query("stream_split", """
 SELECT event_id AS seq,
   CASE WHEN event_type IN ('click', 'view') THEN 'ws_sports/events'
@@ -471,32 +557,57 @@ def stream_split(spark, sf):
 
 
 @query("stream_new_ids", """
-SELECT DISTINCT CAST(user_id AS VARCHAR) AS id FROM events WHERE event_id % 8 = 0""")
+SELECT CAST(user_id AS VARCHAR) AS id, min(epoch_us(ts)) AS first_seen_us FROM events GROUP BY user_id""")
 def stream_new_ids(spark, sf):
     root = scratch_dir(spark, "stream-ids")
-    S.land_frames(_stream_frames(spark, sf).repartitionByRange("_fetched_at"), f"{root}/frames")
-    _run(S.new_ids_stream(spark, f"{root}/frames", f"{root}/out", f"{root}/ckpt", id_path="$.user",
-                          max_files_per_trigger=1))
-    return spark.read.parquet(f"{root}/out").select("id")
+    ev = table(spark, sf, "events")
+    frames = ev.select(F.lit("ws_market").alias("channel"), F.format_string('{"user":%d,"seq":%d}', "user_id", "event_id")
+                       .alias("raw"), L.epoch_seconds("ts").alias("_fetched_at"))
+    cut = F.lit(dt.datetime(2024, 1, 15).replace(tzinfo=dt.timezone.utc).timestamp())
+    for part in (frames.where(F.col("_fetched_at") < cut), frames.where(F.col("_fetched_at") >= cut)):
+        S.land_frames(part, f"{root}/frames")
+        _run(S.new_ids_stream(spark, f"{root}/frames", f"{root}/out", f"{root}/ckpt", id_path="$.user"))
+    return spark.read.parquet(f"{root}/out").select("id", F.unix_micros("first_seen").alias("first_seen_us"))
 
 
-def _stream_hourly_sql():
+def _stream_hourly_sql(late: str):
     from quaylake.plans.catalog import _DETECT_FRAME_SQL, _DETECT_SQL, _ROUTE_SQL
     return f"""
-SELECT strftime(date_trunc('hour', ts), '%Y-%m-%dT%H') AS label, 'ws_market/' || ({_ROUTE_SQL}) AS stream,
-       count(*)::BIGINT AS n
-FROM (SELECT ts, {_DETECT_SQL} AS t FROM (SELECT ts, {_DETECT_FRAME_SQL} AS f FROM events))
-WHERE date_trunc('hour', ts) + INTERVAL 2 HOUR <= (SELECT max(ts) FROM events)
+SELECT strftime(ts, '%Y-%m-%dT%H') AS label, 'ws_market/' || ({_ROUTE_SQL}) AS stream,
+       count(*)::BIGINT AS n, sum(CASE WHEN {late} THEN 1 ELSE 0 END)::BIGINT AS n_late
+FROM (SELECT ts, event_type, {_DETECT_SQL} AS t FROM (SELECT ts, event_type, {_DETECT_FRAME_SQL} AS f FROM events))
 GROUP BY ALL"""
 
 
-@query("stream_hourly", _stream_hourly_sql())
+@query("stream_hourly", _stream_hourly_sql("false"))
 def stream_hourly(spark, sf):
     root = scratch_dir(spark, "stream-hourly")
-    # one backlog batch, then the closing batch emits every window the watermark has passed
     S.land_frames(_stream_frames(spark, sf), f"{root}/frames")
     _run(S.hourly_stream(spark, f"{root}/frames", f"{root}/out", f"{root}/ckpt"))
-    return spark.read.parquet(f"{root}/out")
+    return S.hourly_counts(spark, f"{root}/out")
+
+
+@query("stream_late", _stream_hourly_sql("""event_type = 'error' AND strftime(ts, '%Y-%m-%dT%H') <
+  (SELECT max(strftime(ts, '%Y-%m-%dT%H')) FROM events WHERE event_type <> 'error')"""))
+def stream_late(spark, sf):
+    """A second run brings rows of hours that the first one had counted: they are a later slice."""
+    root = scratch_dir(spark, "stream-late")
+    frames = _stream_frames(spark, sf)
+    for where in (F.col("event_type") != "error", F.col("event_type") == "error"):
+        S.land_frames(frames.where(where), f"{root}/frames")
+        _run(S.hourly_stream(spark, f"{root}/frames", f"{root}/out", f"{root}/ckpt"))
+    return S.hourly_counts(spark, f"{root}/out")
+
+
+@query("closed_hours", f"""
+SELECT strftime(ts, '%Y-%m-%dT%H') AS label, count(*)::BIGINT AS n FROM events WHERE {_CLOSED} GROUP BY 1""")
+def closed_hours(spark, sf):
+    """The view of closed windows at the fixed clock."""
+    root = scratch_dir(spark, "closed-hours")
+    S.land_frames(_stream_frames(spark, sf), f"{root}/frames")
+    _run(S.hourly_stream(spark, f"{root}/frames", f"{root}/out", f"{root}/ckpt"))
+    counts = S.hourly_counts(spark, f"{root}/out", closed_before=HOUR_NOW)
+    return counts.groupBy("label").agg(F.sum("n").alias("n"))
 
 
 # ---------------------------------------------------------------- reference lists (S12), progress

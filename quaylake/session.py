@@ -9,7 +9,7 @@ resolution (feeds carry keys that differ only in case) and AQE.
 
 from __future__ import annotations
 
-import contextlib
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -23,6 +23,11 @@ RUNTIME_CONF = {
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "zstd",
+    # writes partitioned by label and hour cost per output file: small batches keep
+    # their parallelism instead of being coalesced into one writer task
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
+    # folders are listed in a few tasks, not in one task each
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "32",
     # feeds may repeat a key; like the collector's decoder, accept it (last wins)
     "spark.sql.variant.allowDuplicateKeys": "true",
 }
@@ -52,13 +57,16 @@ def build_session(master: str = "local[8]", app: str = "quaylake",
 def shared_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables and stream checkpoints.
 
-    Reads the cluster's ``spark.checkpoint.dir``. Only when nothing is
-    configured (unit tests on one machine) a local folder is chosen.
+    Reads the cluster's ``spark.checkpoint.dir``. Without it only a session on
+    one machine (master ``local``) may choose a local folder; elsewhere the
+    executors could not see it, so that is an error.
     """
     sc = spark.sparkContext
     root = sc.getCheckpointDir()
     if not root:
         root = sc.getConf().get("spark.checkpoint.dir", None)
+    if not root and not re.fullmatch(r"local(\[.*\])?", sc.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not root:
         import tempfile
         root = tempfile.mkdtemp(prefix="quaylake-ckpt-")
@@ -72,34 +80,13 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/quaylake/{name}-{uuid.uuid4().hex[:12]}"
 
 
-@contextlib.contextmanager
-def partitioned_write(spark: SparkSession, min_partition_bytes: str = "8k"):
-    """Scope for writes partitioned by label / hour / slice.
+def write_shared(df, name: str):
+    """Write ``df`` once under the shared root and read it back.
 
-    Their cost is per output file, not per byte: AQE would coalesce a small
-    rebalanced batch into one task that then writes every partition serially.
-    Lowering the minimum coalesced size keeps about ``defaultParallelism``
-    writer tasks for small batches; large batches are unaffected (their
-    partitions are far above the threshold and AQE still splits skewed ones).
+    For results that several later steps must see identically, such as a
+    partition id: nothing depends on whether the optimizer reuses an exchange.
     """
-    key = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
-    prev = spark.conf.get(key, None)
-    spark.conf.set(key, min_partition_bytes)
-    try:
-        yield
-    finally:
-        if prev is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, prev)
-
-
-def bounded_broadcast(df, max_rows: int = 100_000):
-    """Broadcast ``df`` only after checking its size; otherwise leave the join to AQE.
-
-    The check reads at most ``max_rows + 1`` rows of the (small, caller-supplied)
-    side, so it stays cheap even when the side turns out to be large.
-    """
-    from pyspark.sql import functions as F
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    spark = df.sparkSession
+    path = scratch_dir(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -6,6 +6,8 @@ metadata only: one row per landed file, never file contents.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -68,45 +70,63 @@ def list_files(spark: SparkSession, root: str, suffixes: tuple[str, ...] = ()) -
     return out
 
 
+def metadata_path() -> Column:
+    """Plain path of a row's file: the metadata column holds it as an encoded URI."""
+    return norm_path(F.url_decode(F.regexp_replace(F.col("_metadata.file_path"), r"\+", "%2B")))
+
+
+def empty_files(spark: SparkSession, root: str) -> list[tuple[str, int, int]]:
+    """Zero-length files (path, 0, mtime ms); the listing streams by and only they are kept."""
+    fs, jpath = _fs(spark, root)
+    out = []
+    it = fs.listFiles(jpath, True)
+    while it.hasNext():
+        st = it.next()
+        if st.getLen() == 0 and not st.getPath().getName().startswith((".", "_")):
+            out.append((norm_path_py(st.getPath().toString()), 0, int(st.getModificationTime())))
+    return out
+
+
+def has_data(spark: SparkSession, root: str) -> bool:
+    """True when a data file lies under ``root``."""
+    fs, jpath = _fs(spark, root)
+    it = fs.listFiles(jpath, True)
+    while it.hasNext():
+        if not it.next().getPath().getName().startswith((".", "_")):
+            return True
+    return False
+
+
 def file_listing(spark: SparkSession, root: str) -> DataFrame:
     """(path, size, mtime_ms) of every data file under ``root``, listed by Spark.
 
     Non-empty files come from a column-pruned ``binaryFile`` scan (file contents
     are never read; listing is parallel for large trees). That source skips
-    zero-length files, so those are found as the difference with the file
-    index of a text scan and stat-ed one by one (they are rare).
+    zero-length files, so those are added from the file system's own listing.
     """
     if not exists(spark, root):
         return spark.createDataFrame([], INVENTORY_SCHEMA)
-    scan = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    listed = scan.select(norm_path("path").alias("path"), F.col("length").alias("size"),
-                         F.unix_millis("modificationTime").alias("mtime_ms"))
-    # the scan's file index (listed once, reused by the scan) still holds the empty files
-    names = [norm_path_py(p) for p in scan.inputFiles()]
-    non_empty = {r["path"] for r in listed.select("path").collect()}
-    empty = []
-    for p in names:
-        if p not in non_empty:
-            fs, jpath = _fs(spark, p)
-            st = fs.getFileStatus(jpath)
-            empty.append((p, int(st.getLen()), int(st.getModificationTime())))
-    if empty:
-        listed = listed.unionByName(spark.createDataFrame(empty, INVENTORY_SCHEMA))
-    return listed
+    scan = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+            if has_data(spark, root) else None)
+    empty = spark.createDataFrame(empty_files(spark, root), INVENTORY_SCHEMA)
+    if scan is None:
+        return empty
+    return scan.select(norm_path("path").alias("path"), F.col("length").alias("size"),
+                       F.unix_millis("modificationTime").alias("mtime_ms")).unionByName(empty)
 
 
 def raw_inventory(spark: SparkSession, raw_root: str) -> DataFrame:
     """Landed raw files with stream, label and validity, ordered by path."""
     df = file_listing(spark, raw_root)
-    return (df.withColumn("stream", L.stream_of_path("path"))
+    return (df.withColumn("stream", L.stream_of_path("path", raw_root))
               .withColumn("label", L.label_of_path("path"))
               .withColumn("mtime", F.timestamp_millis("mtime_ms"))
               .withColumn("valid_label", L.valid_label("label"))
               .orderBy("path"))
 
 
-def delete_paths(spark: SparkSession, paths: list[str], recursive: bool = False) -> int:
-    """Delete files (and directories given with a trailing ``/``)."""
+def delete_paths(spark: SparkSession, paths: Iterable[str], recursive: bool = False) -> int:
+    """Delete files (and directories given with a trailing ``/``), one at a time as they come."""
     n = 0
     fs = None
     for p in paths:
@@ -118,12 +138,6 @@ def delete_paths(spark: SparkSession, paths: list[str], recursive: bool = False)
     return n
 
 
-def set_mtime(spark: SparkSession, path: str, mtime_ms: int) -> None:
-    """Test helper: back-date a file (retention fixtures)."""
-    fs, jpath = _fs(spark, path)
-    fs.setTimes(jpath, int(mtime_ms), -1)
-
-
 def write_text_file(spark: SparkSession, path: str, text: str) -> None:
     """Small driver-side file write (state pointers, fixtures). Overwrites."""
     fs, jpath = _fs(spark, path)

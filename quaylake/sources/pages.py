@@ -1,9 +1,9 @@
 """Landed API response pages.
 
 ``pages(crawl_id, page_no, body)``: one row per fetched page. Unwrapping works on
-page rows; the stop rule of a paginated crawl is a per-crawl *aggregate* over
-small page summaries joined back, so a crawl holding a third of all pages is
-pre-aggregated map-side instead of being sorted in one window task.
+page rows; where a paginated crawl ended is a per-crawl *aggregate* joined back,
+so a crawl holding a third of all pages is pre-aggregated map-side instead of
+being sorted in one window task.
 """
 
 from __future__ import annotations
@@ -45,26 +45,31 @@ def unwrap_pages(pages: DataFrame, keep: list[str], body: str = "body") -> DataF
     return page_items(pages, body).select(*keep, F.posexplode("items").alias("item_no", "item"))
 
 
-def cut_pages(pages: DataFrame, crawl: str = "crawl_id", page_no: str = "page_no", body: str = "body",
-              limit: int = 100, max_pages: int = 500) -> DataFrame:
-    """Items a paginated crawl would have collected.
+def rejected_pages(pages: DataFrame, keep: list[str], body: str = "body") -> DataFrame:
+    """Pages that give no item although they hold something, with the reason and the whole body."""
+    b = F.col(body)
+    shape = J.json_shape(b)
+    reason = (F.when(~J.strict_json(b), "bad_json").when(~shape.isin("array", "object"), "not_a_page")
+              .when((shape == "object") & ~F.arrays_overlap(J.object_keys(b), F.array(*[F.lit(k) for k in J.ENVELOPE_KEYS])),
+                    "no_envelope_key"))
+    return pages.select(*keep, reason.alias("reason"), b.alias("raw")).where(F.col("reason").isNotNull())
+
+
+def crawl_items(pages: DataFrame, crawl: str = "crawl_id", page_no: str = "page_no", body: str = "body",
+                limit: int = 100) -> DataFrame:
+    """Items of every landed page, with how far their crawl had come.
 
-    The crawl stops after the first page with fewer than ``limit`` items, at a
-    non-list/non-object body (which adds nothing), or after ``max_pages``
-    pages. ``truncated`` marks crawls cut by ``max_pages``.
+    A crawl ends with its first page of fewer than ``limit`` items or without a
+    list or object. No page is left out: ``after_end`` marks pages behind that
+    one (landed by a later, longer crawl of the same id) and ``truncated`` crawls
+    that never came to an end.
     """
     p = page_items(pages, body)
     stop_at = F.when(F.col("items").isNull() | (F.col("n_items") < limit), F.col(page_no))
-    stops = (p.groupBy(crawl)
-              .agg(F.min(stop_at).alias("_stop"),
-                   F.count_if(F.col(page_no) < max_pages).alias("_n_in_cap")))
-    kept = (p.join(stops, crawl, "inner")
-             .where((F.col(page_no) < max_pages)
-                    & (F.col("_stop").isNull() | (F.col(page_no) <= F.col("_stop")))
-                    & F.col("items").isNotNull())
-             .withColumn("truncated", (F.col("_stop").isNull() | (F.col("_stop") >= max_pages))
-                         & (F.col("_n_in_cap") >= max_pages)))
-    return kept.select(crawl, page_no, "truncated", F.posexplode("items").alias("item_no", "item"))
+    stops = p.groupBy(crawl).agg(F.min(stop_at).alias("_stop"))
+    return (p.where(F.col("items").isNotNull()).join(stops, crawl)
+            .select(crawl, page_no, F.coalesce(F.col(page_no) > F.col("_stop"), F.lit(False)).alias("after_end"),
+                    F.col("_stop").isNull().alias("truncated"), F.posexplode("items").alias("item_no", "item")))
 
 
 def resumable_ingest(items: DataFrame, cursor: int, offset_col: str = "item_offset",
@@ -73,13 +78,14 @@ def resumable_ingest(items: DataFrame, cursor: int, offset_col: str = "item_offs
 
     Each item keeps its global ``item_offset``, so reruns and resumed runs are
     idempotent (a rerun selects the same offsets). The position inside the run
-    comes from a distributed global index (no single-task ``limit`` gather),
-    and the page is ``position // page_size``.
+    comes from a distributed global index, taken over the ``limit`` first items
+    only when there is a limit; the page is ``position // page_size``.
     """
     from quaylake.operators.discovery import global_index
-    df = global_index(items.where(F.col(offset_col) >= F.lit(cursor)), [offset_col], col="_run_pos")
+    rest = items.where(F.col(offset_col) >= F.lit(cursor))
     if limit is not None:
-        df = df.where(F.col("_run_pos") < F.lit(limit))
+        rest = rest.orderBy(offset_col).limit(limit)
+    df = global_index(rest, [offset_col], col="_run_pos")
     return df.withColumn("page", F.floor(F.col("_run_pos") / F.lit(page_size)).cast("bigint")).drop("_run_pos")
 
 
@@ -88,6 +94,29 @@ def next_cursor(done: DataFrame, cursor: int, offset_col: str = "item_offset") -
     return done.agg(F.coalesce(F.max(offset_col) + 1, F.lit(cursor)).alias("cursor"))
 
 
+def ingest_run(spark, state_root: str, items: DataFrame, name: str = "backfill", offset_col: str = "item_offset",
+               limit: int | None = None, page_size: int = 100, reset: bool = False) -> DataFrame:
+    """One run of a resumable ingest whose cursor lives in the saved state.
+
+    Starts at the saved cursor (0 with ``reset`` or without one); a completed
+    ingest gives nothing until it is reset. The run is written to the shared
+    folder, then its cursor is saved, ``completed`` when nothing lies beyond it.
+    """
+    from quaylake.operators import state as ST
+    from quaylake.session import write_shared
+    cursors = ST.load_state(spark, state_root)["cursor"]
+    saved = None if reset else cursors.where(F.col("name") == name).first()
+    if saved is not None and saved["completed"]:
+        return resumable_ingest(items.limit(0), 0, offset_col, None, page_size)
+    cursor = saved["item_offset"] if saved is not None else 0
+    run = write_shared(resumable_ingest(items, cursor, offset_col, limit, page_size), f"ingest-{name}")
+    reached = next_cursor(run, cursor, offset_col).first()["cursor"]
+    completed = items.where(F.col(offset_col) >= reached).isEmpty()
+    mine = spark.createDataFrame([(name, reached, completed)], ST.CURSOR_SCHEMA)
+    ST.save_state(spark, state_root, {"cursor": cursors.where(F.col("name") != name).unionByName(mine)})
+    return run
+
+
 def reference_items(responses: DataFrame, kind: str, keep: list[str], body: str = "body") -> DataFrame:
     """Reference lists (S12) from landed responses of one kind.
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.types import StructType
 
 from quaylake.functions import jsonfn as J
@@ -19,7 +20,7 @@ def scan_jsonl(spark: SparkSession, paths: list[str] | str, schema: StructType,
     to the second DataFrame when ``with_quarantine`` (raw text + file path).
     """
     text = spark.read.text(paths).select(
-        inv.norm_path(F.col("_metadata.file_path")).alias("path"), F.col("value").alias("raw"))
+        inv.metadata_path().alias("path"), F.col("value").alias("raw"))
     text = text.where(J.stripped("raw") != "")
     good = J.strict_json("raw") & (J.json_shape("raw") == "object")
     rows = text.where(good).select(F.from_json("raw", schema).alias("r")).select("r.*")
@@ -29,27 +30,29 @@ def scan_jsonl(spark: SparkSession, paths: list[str] | str, schema: StructType,
     return rows, bad
 
 
-def scan_table(spark: SparkSession, table_root: str, stream: str, keep_src: bool = False,
-               merge_schema: bool = False) -> DataFrame:
-    """Compacted stream table with string ``dt`` / ``hour`` partition columns."""
+def scan_table(spark: SparkSession, table_root: str, stream: str, keep_src: bool = False) -> DataFrame:
+    """Compacted stream table with string ``dt`` / ``hour`` partition columns.
+
+    The columns are those recorded at compaction, never inferred: files written
+    before a column was declared give nulls for it. ``keep_src`` adds the source
+    file id and the run.
+    """
+    from quaylake.operators.compact import stream_schema
+    from quaylake.specs import spec_for
     apply_conf(spark)
     path = f"{table_root.rstrip('/')}/{stream}"
-    if not inv.exists(spark, path):
-        # nothing compacted yet: an empty table with the declared columns
-        from quaylake.specs import spec_for
-        from pyspark.sql import types as T
-        fields = list(spec_for(stream).schema.fields) + [
-            T.StructField("_extra", T.MapType(T.StringType(), T.VariantType())),
-            T.StructField("_cast_errors", T.ArrayType(T.StringType())),
-            T.StructField("dt", T.StringType()), T.StructField("hour", T.StringType())]
-        if keep_src:
-            fields.append(T.StructField("src", T.StringType()))
-        return spark.createDataFrame([], T.StructType(fields))
-    reader = spark.read.option("basePath", path)
-    if merge_schema:
-        reader = reader.option("mergeSchema", "true")
-    df = reader.parquet(path)
-    return df if keep_src else df.drop("src")
+    schema = stream_schema(spark, path)
+    if schema is None:
+        # nothing compacted yet: the declared columns
+        schema = T.StructType([*spec_for(stream).schema.fields,
+                               T.StructField("_extra", T.MapType(T.StringType(), T.VariantType())),
+                               T.StructField("_cast_errors", T.ArrayType(T.StringType())),
+                               T.StructField("src", T.StringType())])
+    parts = [T.StructField(c, T.StringType()) for c in ("dt", "hour", "run")]
+    schema = T.StructType([*schema.fields, *parts])
+    df = (spark.read.option("basePath", path).schema(schema).parquet(path) if inv.exists(spark, path)
+          else spark.createDataFrame([], schema))
+    return df if keep_src else df.drop("src", "run")
 
 
 def scan_dt(spark: SparkSession, table_root: str, stream: str, day: str) -> DataFrame:

@@ -41,6 +41,10 @@ class StreamSpec:
     def known_keys(self) -> list[str]:
         return [f.name for f in self.schema.fields] + list(self.drop_fields)
 
+    @property
+    def times(self) -> dict[str, str]:
+        return TIME_FIELDS.get(self.name, {})
+
 
 # ---- fixed values: stream names, rotations and _source values -------------
 SPECS: dict[str, StreamSpec] = {s.name: s for s in [
@@ -101,6 +105,22 @@ SPECS: dict[str, StreamSpec] = {s.name: s for s in [
     StreamSpec("ws_rtds/activity", "channel STRING", source_value="ws_rtds", key=()),
     StreamSpec("ws_rtds/crypto_prices", "channel STRING", key=()),
 ]}
+# which channel routes how, and the stream each route lands in
+CHANNEL_STREAMS = {
+    "ws_market": {"book": "ws_market/book", "price_change": "ws_market/price_change",
+                  "last_trade_price": "ws_market/last_trade_price"},
+    "ws_sports": {"events": "ws_sports/events"},
+    "ws_rtds": {"activity": "ws_rtds/activity", "crypto_prices": "ws_rtds/crypto_prices"},
+}
+# fields that hold a time, by the form they are sent in
+TIME_FIELDS = {
+    "gamma/markets": {"startDate": "iso", "endDate": "iso", "createdAt": "iso", "updatedAt": "iso"},
+    "gamma/events": {"startDate": "iso", "endDate": "iso"},
+    "gamma/tags": {"publishedAt": "iso", "createdAt": "iso", "updatedAt": "iso"},
+    "clob/books": {"timestamp": "millis"},
+    "ws_market/book": {"timestamp": "millis"},
+    "data_api/trades": {"timestamp": "seconds"},
+}
 # ---------------------------------------------------------------------------
 
 

@@ -5,25 +5,27 @@
   Admission is bounded by ``maxFilesPerTrigger`` (durable back-pressure instead
   of a lossy in-memory queue, R5). Only closed, atomically published files may
   enter the watched folder: the file source never re-reads a file it has seen.
-* Routing: the same ``decode_frames`` transform as batch (R1-R4); each
-  micro-batch is persisted once and written twice (routed lines + quarantine)
-  with dynamic partition overwrite on an ``epoch`` partition, so a replayed
-  micro-batch rewrites its own slice instead of appending duplicates.
-* Hourly volume: event-time tumbling windows with a watermark (R6-R8).
-* New ids: streaming de-duplication with state in the checkpoint (R9).
+* Routing: the same ``decode_frames`` transform as batch (R1-R4); a micro-batch
+  writes routed lines, and quarantine rows if it has any, with dynamic partition
+  overwrite on a ``slice`` partition (stream and epoch), so a replayed
+  micro-batch rewrites its own slice instead of appending duplicates and other
+  streams on the same folders are left alone.
+* Hourly volume: partial counts per micro-batch, late rows in later slices (R6-R8).
+* New ids: an anti-join of each micro-batch with the table of known ids (R9).
 * Recovery and cadence: checkpoints in the shared folder (R10), ``availableNow``
   or processing-time triggers (R11).
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+import hashlib
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from quaylake.functions import labels as L
 from quaylake.operators.route import decode_frames, quarantine_rows, routed_lines
-from quaylake.session import partitioned_write
+from quaylake.sources.inventory import exists, has_data, metadata_path
 
 FRAME_SCHEMA = "channel STRING, raw STRING, _fetched_at DOUBLE"
 
@@ -46,22 +48,34 @@ def _trigger(writer, available_now: bool, interval: str | None):
     return writer.trigger(processingTime=interval or "60 seconds")
 
 
-def route_batch(batch: DataFrame, epoch_id: int, raw_root: str, quarantine_path: str) -> None:
-    """One micro-batch (or one batch job): routed lines and quarantine rows, idempotent per epoch (K3)."""
-    decoded = decode_frames(batch).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        lines = routed_lines(decoded)
-        lines = (_with_hour_label(lines).withColumn("epoch", F.lit(int(epoch_id)))
-                 .select("channel", "route", "label", "epoch", "line"))
-        with partitioned_write(batch.sparkSession):
-            (lines.hint("rebalance", "channel", "route", "label").write.mode("overwrite")
-                  .option("partitionOverwriteMode", "dynamic")
-                  .partitionBy("channel", "route", "label", "epoch").text(raw_root))
-        q = quarantine_rows(decoded).withColumn("epoch", F.lit(int(epoch_id)))
+def stream_id(checkpoint: str) -> str:
+    """Stable short name of a stream: its checkpoint's path decides, so a restart keeps it."""
+    return hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:10]
+
+
+def _slice(stream: str, epoch_id: int) -> str:
+    """Name of what one epoch of one stream wrote: a replay rewrites it, nothing else touches it."""
+    return f"{stream}-{int(epoch_id):010d}"
+
+
+def route_batch(batch: DataFrame, epoch_id: int, raw_root: str, quarantine_path: str, stream: str = "batch") -> None:
+    """One micro-batch (or one batch job): routed lines and quarantine rows, idempotent per epoch (K3).
+
+    Both writes carry ``slice``, the stream's id and the epoch, as a partition, so
+    several streams may land in the same folders.
+    """
+    decoded = decode_frames(batch)
+    seen = Observation()
+    lines = _with_hour_label(routed_lines(decoded.observe(seen, F.count_if(F.col("reason").isNotNull()).alias("bad"))))
+    lines = (lines.withColumn("slice", F.lit(_slice(stream, epoch_id)))
+             .select("channel", "route", "label", "slice", "line"))
+    (lines.hint("rebalance", "channel", "route", "label").write.mode("overwrite")
+          .option("partitionOverwriteMode", "dynamic")
+          .partitionBy("channel", "route", "label", "slice").text(raw_root))
+    if seen.get["bad"]:
+        q = quarantine_rows(decoded).withColumn("slice", F.lit(_slice(stream, epoch_id)))
         (q.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-          .partitionBy("epoch").parquet(quarantine_path))
-    finally:
-        decoded.unpersist()
+          .partitionBy("slice").parquet(quarantine_path))
 
 
 def _with_hour_label(df: DataFrame) -> DataFrame:
@@ -73,50 +87,101 @@ def route_stream(spark: SparkSession, frames_path: str, raw_root: str, quarantin
                  checkpoint: str, max_files_per_trigger: int | None = None,
                  available_now: bool = True, interval: str | None = None):
     """Start the routing stream; returns the StreamingQuery."""
+    name = stream_id(checkpoint)
     src = frames_source(spark, frames_path, max_files_per_trigger)
     writer = (src.writeStream.option("checkpointLocation", checkpoint)
-              .foreachBatch(lambda b, e: route_batch(b, e, raw_root, quarantine_path)))
+              .foreachBatch(lambda b, e: route_batch(b, e, raw_root, quarantine_path, name)))
     return _trigger(writer, available_now, interval).start()
 
 
 def read_routed(spark: SparkSession, raw_root: str) -> DataFrame:
     """Routed raw lines read back with stream and label from their paths."""
     t = spark.read.option("recursiveFileLookup", "true").text(raw_root)
-    p = F.col("_metadata.file_path")
-    return t.select(L.stream_of_path(p).alias("stream"), L.label_of_path(p).alias("label"),
+    p = metadata_path()
+    return t.select(L.stream_of_path(p, raw_root).alias("stream"), L.label_of_path(p).alias("label"),
                     F.col("value").alias("line"))
 
 
+def count_batch(batch: DataFrame, epoch_id: int, out_path: str, stream: str) -> None:
+    """Message counts of one micro-batch per hour and route, written as a slice of their own.
+
+    ``late`` marks hours before the newest hour that earlier slices hold: their
+    rows come after the hour was closed, and are added as a later slice.
+    """
+    spark = batch.sparkSession
+    name = _slice(stream, epoch_id)
+    newest = None
+    if exists(spark, out_path) and has_data(spark, out_path):
+        newest = read_counts(spark, out_path).where(F.col("slice") < name).agg(F.max("label").alias("m")).first()["m"]
+    counts = (_with_hour_label(decode_frames(batch).where(F.col("reason").isNull()))
+              .groupBy("label", "stream").agg(F.count(F.lit(1)).alias("n"))
+              .withColumn("late", F.col("label") < F.lit(newest) if newest else F.lit(False))
+              .withColumn("slice", F.lit(name)))
+    (counts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .partitionBy("slice").parquet(out_path))
+
+
+COUNTS_SCHEMA = "label STRING, stream STRING, n BIGINT, late BOOLEAN, slice STRING"
+
+
+def read_counts(spark: SparkSession, out_path: str) -> DataFrame:
+    """All slices written by ``hourly_stream``."""
+    return spark.read.schema(COUNTS_SCHEMA).parquet(out_path)
+
+
+def hourly_counts(spark: SparkSession, out_path: str, closed_before: str | None = None) -> DataFrame:
+    """Messages per hour and route over all slices, and how many of them came late.
+
+    ``closed_before`` keeps the hours before that label: those that a run at this
+    time regards as closed (R7). Open hours are only left out of that view.
+    """
+    out = read_counts(spark, out_path)
+    if closed_before is not None:
+        out = out.where(F.col("label") < closed_before)
+    return out.groupBy("label", "stream").agg(
+        F.sum("n").alias("n"), F.sum(F.when(F.col("late"), F.col("n")).otherwise(0)).alias("n_late"))
+
+
 def hourly_stream(spark: SparkSession, frames_path: str, out_path: str, checkpoint: str,
-                  delay: str = "1 hour", max_files_per_trigger: int | None = None,
-                  available_now: bool = True):
-    """Per-hour, per-route message counts on arrival time; a window is written
-    once the watermark has passed its end (append mode, R6-R8)."""
+                  max_files_per_trigger: int | None = None, available_now: bool = True):
+    """Per-hour, per-route message counts on arrival time.
+
+    Every micro-batch adds its partial counts, so no window waits in state and no
+    row is too late to be counted.
+    """
     src = frames_source(spark, frames_path, max_files_per_trigger)
-    decoded = decode_frames(src).where(F.col("reason").isNull())
-    counts = (decoded.withColumn("ts", L.from_epoch_seconds("_fetched_at"))
-              .withWatermark("ts", delay)
-              .groupBy(F.window("ts", "1 hour").alias("w"), "stream")
-              .agg(F.count(F.lit(1)).alias("n"))
-              .select(F.date_format("w.start", L.HOUR_FMT).alias("label"), "stream", "n"))
-    writer = (counts.writeStream.outputMode("append").format("parquet")
-              .option("checkpointLocation", checkpoint).option("path", out_path))
+    name = stream_id(checkpoint)
+    writer = (src.writeStream.option("checkpointLocation", checkpoint)
+              .foreachBatch(lambda b, e: count_batch(b, e, out_path, name)))
     return _trigger(writer, available_now, None).start()
 
 
+IDS_SCHEMA = "id STRING, first_seen TIMESTAMP, slice STRING"
+
+
+def ids_batch(batch: DataFrame, epoch_id: int, out_path: str, stream: str, id_path: str) -> None:
+    """Ids of one micro-batch that no other slice holds, each once with its first sighting."""
+    spark = batch.sparkSession
+    name = _slice(stream, epoch_id)
+    ids = (batch.select(F.get_json_object("raw", id_path).alias("id"),
+                        L.from_epoch_seconds("_fetched_at").alias("first_seen")).where(F.col("id").isNotNull())
+           .groupBy("id").agg(F.min("first_seen").alias("first_seen")))
+    if exists(spark, out_path) and has_data(spark, out_path):
+        known = spark.read.schema(IDS_SCHEMA).parquet(out_path).where(F.col("slice") != name)
+        ids = ids.join(known.select("id"), "id", "left_anti")
+    (ids.withColumn("slice", F.lit(name)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("slice").parquet(out_path))
+
+
 def new_ids_stream(spark: SparkSession, frames_path: str, out_path: str, checkpoint: str,
-                   id_path: str = "$.user", within: str | None = None,
-                   max_files_per_trigger: int | None = None, available_now: bool = True):
-    """First sighting of each id (R9). Plain ``dropDuplicates`` keeps every id
-    forever in state (the cumulative set); ``within`` bounds the state with
-    ``dropDuplicatesWithinWatermark`` at the cost of forgetting old ids."""
+                   id_path: str = "$.user", max_files_per_trigger: int | None = None, available_now: bool = True):
+    """First sighting of each id.
+
+    What is known lies in the output table itself, so nothing is forgotten and no
+    state grows in the executors: a micro-batch is one anti-join with that table.
+    """
     src = frames_source(spark, frames_path, max_files_per_trigger)
-    ids = src.select(F.get_json_object("raw", id_path).alias("id"),
-                     L.from_epoch_seconds("_fetched_at").alias("first_seen")).where(F.col("id").isNotNull())
-    if within:
-        ids = ids.withWatermark("first_seen", within).dropDuplicatesWithinWatermark(["id"])
-    else:
-        ids = ids.dropDuplicates(["id"])
-    writer = (ids.writeStream.outputMode("append").format("parquet")
-              .option("checkpointLocation", checkpoint).option("path", out_path))
+    name = stream_id(checkpoint)
+    writer = (src.writeStream.option("checkpointLocation", checkpoint)
+              .foreachBatch(lambda b, e: ids_batch(b, e, out_path, name, id_path)))
     return _trigger(writer, available_now, None).start()

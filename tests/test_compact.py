@@ -1,4 +1,4 @@
-"""Compaction cases from the reference's compactor tests, plus reruns and late files.
+"""Compaction, reruns, late files and retention.
 
 Fixed clock: 2026-03-06T15:30:00Z.
 """
@@ -7,6 +7,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from files import set_mtime
 from quaylake.operators import compact as CP
 from quaylake.sources import inventory as inv
 from quaylake.sources.tables import scan_table
@@ -29,7 +30,7 @@ def test_closed_hour_compacts_and_source_goes(spark, scratch):
          '{"_fetched_at":2.0,"_source":"test","id":"b","value":2}'])
     rep = CP.compact(spark, f"{scratch}/raw", f"{scratch}/table", now=NOW, ddl={"gamma/markets": DDL})
     assert status(rep) == {"gamma/markets/2026-03-06T14.jsonl": "compacted"}
-    t = scan_table(spark, f"{scratch}/table", "gamma/markets")
+    t = scan_table(spark, f"{scratch}/table", "gamma/markets", keep_src=True)
     assert sorted(r["id"] for r in t.collect()) == ["a", "b"]
     assert {(r["dt"], r["hour"]) for r in t.collect()} == {("2026-03-06", "14")}
     assert not inv.exists(spark, f"{scratch}/raw/gamma/markets/2026-03-06T14.jsonl")
@@ -52,10 +53,11 @@ def test_empty_file_deleted_no_table(spark, scratch):
 
 
 def test_daily_file_goes_to_hour_00(spark, scratch):
-    put(spark, scratch, "tags/2026-03-05.jsonl", ['{"tag":"politics"}'])
+    put(spark, scratch, "tags/2026-03-05.jsonl", ['{"tag":"harbour"}'])
     CP.compact(spark, f"{scratch}/raw", f"{scratch}/table", now=NOW)
-    r = scan_table(spark, f"{scratch}/table", "tags").first()
-    assert (r["dt"], r["hour"], r["tag"]) == ("2026-03-05", "00", "politics")
+    r = scan_table(spark, f"{scratch}/table", "tags").select(
+        "dt", "hour", F.variant_get(F.col("_extra")["tag"], "$", "string").alias("tag")).first()
+    assert (r["dt"], r["hour"], r["tag"]) == ("2026-03-05", "00", "harbour")
 
 
 def test_two_streams_and_missing_dir(spark, scratch):
@@ -74,7 +76,7 @@ def test_bad_lines_quarantined_and_stray_stem_reported(spark, scratch):
     st = {r["path"].rsplit("/", 1)[1]: (r["status"], r["rows"], r["corrupt"]) for r in rep.collect()}
     assert st["2026-03-06T13.jsonl"] == ("compacted", 1, 2)
     assert st["old.jsonl"][0] == "bad_label"
-    q = spark.read.parquet(f"{scratch}/table/{CP.QUARANTINE_DIR}")
+    q = spark.read.parquet(f"{scratch}/table/{CP.QUARANTINE_DIR}/s")
     assert sorted(r["raw"] for r in q.collect()) == ['3', '{"id":"2"']
 
 
@@ -91,21 +93,58 @@ def test_rerun_is_noop_and_late_file_adds_slice(spark, scratch):
     assert t.select("src").distinct().count() == 2
 
 
+def test_files_of_an_hour_become_one(spark, scratch):
+    for i in range(6):
+        put(spark, scratch, f"s/label=2026-03-06T12/part-{i}.json", [f'{{"id":"{i}","value":{i}}}'])
+    rep = CP.compact(spark, f"{scratch}/raw", f"{scratch}/table", now=NOW, ddl={"s": DDL})
+    assert rep.where("status = 'compacted' AND rows = 1").count() == 6
+    assert len(inv.list_files(spark, f"{scratch}/table/s", (".parquet",))) == 1
+
+
+def test_recorded_run_is_finished_under_its_own_id(spark, scratch):
+    put(spark, scratch, "s/2026-03-06T12.jsonl", ['{"id":"1","value":1}'])
+    CP.compact(spark, f"{scratch}/raw", f"{scratch}/table", now=NOW, ddl={"s": DDL}, delete_sources=False)
+    # as after a crash between the data and the commit
+    run = inv.list_dirs(spark, f"{scratch}/table/{CP.RUNS_DIR}")[0]
+    inv.delete_paths(spark, [f"{run}/{CP.COMMITTED}"])
+    put(spark, scratch, "s/2026-03-06T13.jsonl", ['{"id":"2","value":2}'])
+    CP.compact(spark, f"{scratch}/raw", f"{scratch}/table", now=NOW, ddl={"s": DDL})
+    t = scan_table(spark, f"{scratch}/table", "s", keep_src=True)
+    assert sorted(r["id"] for r in t.collect()) == ["1", "2"] and t.select("run").distinct().count() == 2
+    assert not inv.list_files(spark, f"{scratch}/raw")
+
+
+def test_blank_file_and_odd_roots(spark, scratch):
+    put(spark, f"{scratch}/a b", "s/2026-03-06T12.jsonl", ["", "  "])
+    put(spark, f"{scratch}/a b", "raw/s/2026-03-06T11.jsonl", ['{"id":"1","value":1}'])
+    rep = CP.compact(spark, f"{scratch}/a b/raw", f"{scratch}/table", now=NOW, ddl={"s": DDL, "raw/s": DDL})
+    assert {(r["stream"], r["rows"]) for r in rep.collect()} == {("s", 0), ("raw/s", 1)}
+    assert not inv.list_files(spark, f"{scratch}/a b/raw")
+
+
+def test_changed_type_of_an_undeclared_key(spark, scratch):
+    for value in ("1", '"x"'):
+        put(spark, scratch, "loose/2026-03-06T12.jsonl", [f'{{"v":{value}}}'])
+        CP.compact(spark, f"{scratch}/raw", f"{scratch}/table", now=NOW)
+    got = scan_table(spark, f"{scratch}/table", "loose").select(F.to_json(F.col("_extra")["v"]).alias("v")).collect()
+    assert sorted(r["v"] for r in got) == ['"x"', "1"]
+
+
 def test_raw_retention(spark, scratch):
-    put(spark, scratch, "test/old.jsonl", ['{"id":"1"}'])
-    put(spark, scratch, "test/recent.jsonl", ['{"id":"2"}'])
+    put(spark, scratch, "test/stale.jsonl", ['{"id":"1"}'])
+    put(spark, scratch, "test/fresh.jsonl", ['{"id":"2"}'])
     now_ms = int(dt.datetime.now(dt.timezone.utc).timestamp() * 1000)
-    inv.set_mtime(spark, f"{scratch}/raw/test/old.jsonl", now_ms - 48 * 3600 * 1000)
+    set_mtime(spark, f"{scratch}/raw/test/stale.jsonl", now_ms - 48 * 3600 * 1000)
     gone = CP.purge_raw(spark, f"{scratch}/raw", f"{scratch}/table", keep_hours=24, force=True)
-    assert [g.rsplit("/", 1)[1] for g in gone] == ["old.jsonl"]
-    assert inv.exists(spark, f"{scratch}/raw/test/recent.jsonl")
+    assert gone == 1 and not inv.exists(spark, f"{scratch}/raw/test/stale.jsonl")
+    assert inv.exists(spark, f"{scratch}/raw/test/fresh.jsonl")
 
 
 def test_uncompacted_expired_file_kept_without_force(spark, scratch):
-    put(spark, scratch, "test/old.jsonl", ['{"id":"1"}'])
+    put(spark, scratch, "test/stale.jsonl", ['{"id":"1"}'])
     now_ms = int(dt.datetime.now(dt.timezone.utc).timestamp() * 1000)
-    inv.set_mtime(spark, f"{scratch}/raw/test/old.jsonl", now_ms - 72 * 3600 * 1000)
-    assert CP.purge_raw(spark, f"{scratch}/raw", f"{scratch}/table", keep_hours=48) == []
+    set_mtime(spark, f"{scratch}/raw/test/stale.jsonl", now_ms - 72 * 3600 * 1000)
+    assert CP.purge_raw(spark, f"{scratch}/raw", f"{scratch}/table", keep_hours=48) == 0
 
 
 def test_table_retention_by_dt(spark, scratch):
@@ -113,7 +152,7 @@ def test_table_retention_by_dt(spark, scratch):
     put(spark, scratch, "s/2026-03-01T01.jsonl", ['{"id":"2","value":2}'])
     CP.compact(spark, f"{scratch}/raw", f"{scratch}/table", now=NOW, ddl={"s": DDL})
     gone = CP.purge_table(spark, f"{scratch}/table", "s", now=NOW, keep_days=365)
-    assert [g.rsplit("/", 1)[1] for g in gone] == ["dt=2025-01-01"]
+    assert gone == 1
     assert [r["id"] for r in scan_table(spark, f"{scratch}/table", "s").collect()] == ["2"]
 
 
@@ -121,13 +160,13 @@ def test_table_retention_by_mtime(spark, scratch):
     put(spark, scratch, "s/2026-03-01T01.jsonl", ['{"id":"1","value":1}'])
     put(spark, scratch, "s/2026-03-01T02.jsonl", ['{"id":"2","value":2}'])
     CP.compact(spark, f"{scratch}/raw", f"{scratch}/table", now=NOW, ddl={"s": DDL})
-    files = [p for p, _, _ in inv.list_files(spark, f"{scratch}/table/s")]
+    files = [p for p, _, _ in inv.list_files(spark, f"{scratch}/table/s", (".parquet",))]
     old = [p for p in files if "hour=01" in p]
     now_ms = int(dt.datetime.now(dt.timezone.utc).timestamp() * 1000)
     for p in old:
-        inv.set_mtime(spark, p, now_ms - 400 * 86400 * 1000)
+        set_mtime(spark, p, now_ms - 400 * 86400 * 1000)
     gone = CP.purge_table(spark, f"{scratch}/table", "s", keep_days=365, by="mtime")
-    assert sorted(gone) == sorted(old)
+    assert gone == len(old) == 1
     assert [r["id"] for r in scan_table(spark, f"{scratch}/table", "s").collect()] == ["2"]
 
 

@@ -34,27 +34,30 @@ def test_label_parts(spark, label, dt_, hour):
     assert (r["d"], r["h"]) == (dt_, hour)
 
 
-@pytest.mark.parametrize("path,stream,label", [
-    ("/d/raw/gamma/markets/2026-03-06T14.jsonl", "gamma/markets", "2026-03-06T14"),
-    ("/d/raw/gamma/markets/label=2026-03-06T14/part-0.json", "gamma/markets", "2026-03-06T14"),
-    ("/d/raw/channel=ws_market/route=book/label=2026-03-06T14/epoch=3/part-0.txt", "ws_market/book", "2026-03-06T14"),
-    ("/d/raw/tags/2026-03-05.jsonl", "tags", "2026-03-05"),
+@pytest.mark.parametrize("root,path,stream,label", [
+    ("/d/raw", "/d/raw/gamma/markets/2026-03-06T14.jsonl", "gamma/markets", "2026-03-06T14"),
+    ("/d/raw/", "/d/raw/gamma/markets/label=2026-03-06T14/part-0.json", "gamma/markets", "2026-03-06T14"),
+    ("/d/raw", "/d/raw/channel=ws_market/route=book/label=2026-03-06T14/slice=a-3/part-0.txt", "ws_market/book", "2026-03-06T14"),
+    ("file:///d/in box", "/d/in box/tags/2026-03-05.jsonl", "tags", "2026-03-05"),
+    ("/d/raw/proj/raw", "/d/raw/proj/raw/tags/2026-03-05.jsonl", "tags", "2026-03-05"),
+    ("/elsewhere", "/d/raw/tags/2026-03-05.jsonl", "", "2026-03-05"),
 ])
-def test_stream_and_label_of_path(spark, path, stream, label):
+def test_stream_and_label_of_path(spark, root, path, stream, label):
     df = spark.createDataFrame([(path,)], "p string")
-    r = df.select(L.stream_of_path("p").alias("s"), L.label_of_path("p").alias("l")).first()
+    r = df.select(L.stream_of_path("p", root).alias("s"), L.label_of_path("p").alias("l")).first()
     assert (r["s"], r["l"]) == (stream, label)
 
 
 @pytest.mark.parametrize("raw,ok", [
     ('{"a":1}', True), ('[1,2]', True), ("3", True), ('{"a":1', False), ("{'a':1}", False),
-    ('{"a":1} xx', False), ("pong", False), ("", False), ('{"a":1,"a":2}', True),
+    ('{"a":1} xx', False), ('{"a":1} {"b":2}', False), ('{"a":1},{"b":2}', False), ("1] [2", False), ("null", True),
+    (' {"a":[1,{"b":"]"}]} ', True), ('"a","b"', False), ("pong", False), ("", False), ('{"a":1,"a":2}', True),
 ])
 def test_strict_json(spark, raw, ok):
     assert one(spark, J.strict_json(F.col("x")), raw) is ok
 
 
-# detection cases from the reference's market-channel tests
+# detection by key presence
 @pytest.mark.parametrize("frame,etype,route", [
     ('{"event_type":"resolution"}', "resolution", "book"),
     ('{"price_changes":[]}', "price_change", "price_change"),

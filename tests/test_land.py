@@ -1,4 +1,4 @@
-"""Landing cases from the reference's writer tests."""
+"""Landing: metadata, labels, tagging and the tolerant scan."""
 
 from pyspark.sql import functions as F
 
@@ -8,16 +8,16 @@ from quaylake.specs import SPECS
 
 
 def test_metadata_added(spark, scratch):
-    df = spark.createDataFrame([("abc", "Will X happen?")], "id string, question string")
+    df = spark.createDataFrame([("abc", "Does the ferry run?")], "id string, question string")
     land_jsonl(df, f"{scratch}/raw", "gamma/markets", fetched_at=1772800000.5)
     out = spark.read.json(f"{scratch}/raw/gamma/markets")
     r = out.first()
     assert r["_source"] == "gamma/markets" and isinstance(r["_fetched_at"], float)
-    assert r["_fetched_at"] == 1772800000.5 and r["id"] == "abc" and r["question"] == "Will X happen?"
+    assert r["_fetched_at"] == 1772800000.5 and r["id"] == "abc" and r["question"] == "Does the ferry run?"
 
 
 def test_source_override_and_fallback():
-    assert resolve_source("custom_source", "s") == "custom_source"
+    assert resolve_source("desk-7", "s") == "desk-7"
     assert resolve_source("", "s") == "s" and resolve_source(None, "s") == "s"
 
 
@@ -48,6 +48,10 @@ def test_record_keys_win_and_tagging(spark):
     import json
     assert list(json.loads(lines[0]).items()) == [("_fetched_at", 5.0), ("_source", "s"), ("a", 1)]
     assert '"_source":"own"' in lines[1] and '"_source":"s"' not in lines[1]
+    long_id = '{"asset_id":' + "7" * 77 + '}'
+    kept = spark.createDataFrame([(long_id,), ("{}",)], "r string").select(metadata_json("r", F.lit(5.0), F.lit("s"))).collect()
+    assert kept[0][0] == '{"_fetched_at":5.0,"_source":"s","asset_id":' + "7" * 77 + '}'
+    assert kept[1][0] == '{"_fetched_at":5.0,"_source":"s"}'
     t = spark.createDataFrame([('{"token_id":"own"}',), ('{"x":1}',), ("7",)], "r string")
     got = [r["l"] for r in t.select(wrap_non_object("r", "token_id", F.lit("tid")).alias("l")).collect()]
     assert got == ['{"token_id":"own"}', '{"token_id":"tid","x":1}', '{"token_id":"tid","data":7}']

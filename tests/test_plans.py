@@ -60,18 +60,28 @@ def test_run_length_has_no_key_only_window_over_rows(spark):
     """Cadence windows are partitioned by (key, block) over the rows; key-only
     windows appear only over the per-block summary."""
     p = plan(E.queries()["next_interval"](spark, SF))
-    assert "rangepartitioning(user_id" in p and "hashpartitioning(user_id#" in p
+    assert "hashpartitioning(user_id#" in p
     for line in p.splitlines():
         if "Window [" in line and "windowspecdefinition(user_id" in line and "_blk" not in line.split("windowspecdefinition(")[1].split(",")[1]:
             assert "_s#" in line or "_g#" in line or "_we0" in line
 
 
-def test_bounded_broadcast_checks_size(spark):
-    from quaylake.session import bounded_broadcast
-    small = spark.range(5)
-    big = spark.range(50)
-
-    def hinted(df):
-        return "broadcast" in df._jdf.queryExecution().analyzed().toString().lower()
-    assert hinted(bounded_broadcast(small, max_rows=10))
-    assert not hinted(bounded_broadcast(big, max_rows=10))
+def test_worklist_join_is_left_to_the_optimizer(spark):
+    from quaylake.operators.market import restrict_to_worklist
+    df = restrict_to_worklist(spark.range(100).withColumnRenamed("id", "k"), spark.range(5).withColumnRenamed("id", "k"), "k")
+    assert "broadcast" not in df._jdf.queryExecution().analyzed().toString().lower()
+
+
+def test_index_and_runs_do_not_need_exchange_reuse(spark):
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        from pyspark.sql import functions as F
+        from quaylake.operators.discovery import global_index
+        from quaylake.operators.monitor import run_length
+        df = spark.range(0, 50_000).withColumn("v", F.xxhash64("id"))
+        wrong = global_index(df, ["v"]).orderBy("v").collect()
+        assert [r["idx"] for r in wrong] == list(range(50_000))
+        runs = run_length(df.withColumn("k", F.lit(1)).withColumn("f", F.lit(True)), "k", ["id"], "f")
+        assert runs.agg(F.max("run")).first()[0] == 50_000
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")

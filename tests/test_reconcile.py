@@ -1,4 +1,4 @@
-"""Pages, id sets, quotes, cadence, streaks, chunks, state (reference cases + our own)."""
+"""Pages, id sets, quotes, cadence, streaks, chunks, state."""
 
 import json
 
@@ -30,14 +30,35 @@ def _pages(spark, sizes, crawl=1):
     return spark.createDataFrame(rows, "crawl_id int, page_no int, body string")
 
 
-def test_cut_pages_stops_at_short_page(spark):
-    out = PG.cut_pages(_pages(spark, [100, 100, 37, 100]), limit=100, max_pages=500)
-    assert out.count() == 237 and out.where("truncated").count() == 0
+def test_no_landed_page_is_left_out(spark):
+    out = PG.crawl_items(_pages(spark, [100, 100, 37, 100]), limit=100)
+    assert out.count() == 337 and out.where("truncated").count() == 0
+    assert {r["page_no"] for r in out.where("after_end").collect()} == {3}
 
 
-def test_cut_pages_caps_and_flags(spark):
-    out = PG.cut_pages(_pages(spark, [3] * 12), limit=3, max_pages=10)
-    assert out.count() == 30 and out.where("truncated").count() == 30
+def test_endless_crawls_are_flagged(spark):
+    out = PG.crawl_items(_pages(spark, [3] * 12), limit=3)
+    assert out.count() == 36 and out.where("truncated").count() == 36
+
+
+def test_rejected_pages_keep_their_text(spark):
+    bodies = ['[1]', '{"data":[]}', '{"x":' + '1' * 400 + '}', '7', '[1', '[1] [2]']
+    df = spark.createDataFrame(list(enumerate(bodies)), "page_no int, body string")
+    got = {r["page_no"]: (r["reason"], r["raw"]) for r in PG.rejected_pages(df, ["page_no"]).collect()}
+    assert got == {2: ("no_envelope_key", bodies[2]), 3: ("not_a_page", "7"), 4: ("bad_json", "[1"),
+                   5: ("bad_json", "[1] [2]")}
+
+
+def test_ingest_run_keeps_its_cursor_in_the_state(spark, scratch):
+    items = spark.range(0, 250).select(F.col("id").alias("item_offset"))
+    first = PG.ingest_run(spark, scratch, items, limit=120)
+    cursor = ST.load_state(spark, scratch)["cursor"].first()
+    assert first.count() == 120 and (cursor["item_offset"], cursor["completed"]) == (120, False)
+    rest = PG.ingest_run(spark, scratch, items)
+    assert rest.agg(F.min("item_offset"), F.max("item_offset")).first()[:] == (120, 249)
+    assert ST.load_state(spark, scratch)["cursor"].first()["completed"]
+    assert PG.ingest_run(spark, scratch, items).count() == 0
+    assert PG.ingest_run(spark, scratch, items, reset=True).count() == 250
 
 
 def test_resumable_ingest_limit_then_resume(spark):
@@ -125,11 +146,38 @@ def test_state_round_trip(spark, scratch):
 
 
 def test_state_corrupt_pointer_is_empty(spark, scratch):
-    for i, text in enumerate(["not valid json{{{", "[1,2,3]"]):
+    for i, text in enumerate(["version: 3, tables", "[1,2,3]"]):
         inv.write_text_file(spark, f"{scratch}/_CURRENT-999999999999{i}-x", text)
         assert ST.load_state(spark, scratch)["ids"].count() == 0
 
 
+def test_partial_save_keeps_the_other_tables(spark, scratch):
+    ids = spark.createDataFrame([("m", "a", 1.0)], ST.IDS_SCHEMA)
+    cur = spark.createDataFrame([("x", 3, False)], ST.CURSOR_SCHEMA)
+    ST.save_state(spark, scratch, {"ids": ids, "cursor": cur})
+    assert ST.save_state(spark, scratch, {"ids": ids.withColumn("first_seen", F.lit(2.0))})
+    st = ST.load_state(spark, scratch)
+    assert st["cursor"].first()["item_offset"] == 3 and st["ids"].first()["first_seen"] == 2.0
+
+
+def test_sliding_rate_counts_bursts_across_a_second(spark):
+    # 3 requests end a second, 3 begin the one ten seconds on, within 10 s of the last of them only
+    times = [1_000_900_000, 1_000_950_000, 1_000_990_000, 1_010_800_000, 1_010_960_000, 1_010_980_000]
+    log = spark.createDataFrame([("g", t) for t in times], "g string, us long").select(
+        "g", F.timestamp_micros("us").alias("ts"))
+    got = {r["sec"]: (r["n"], r["n_window"]) for r in MON.rate_audit(log, "g", "ts").collect()}
+    best = max(sum(t - 10_000_000 < x <= t for x in times) for t in times[3:])
+    assert got == {1000: (3, 3), 1010: (3, best)}
+
+
+def test_book_quote_skips_bad_levels(spark):
+    df = spark.createDataFrame([([("x", "1"), ("0.4", "10")], [("0.5", None), ("0.6", "2")])],
+                               "bids array<struct<price:string,size:string>>, asks array<struct<price:string,size:string>>")
+    r = M.book_quote(df).first()
+    assert float(r["best_bid"]) == 0.4 and float(r["best_ask"]) == 0.6 and r["bad_levels"] == 2
+    assert float(r["bid_depth"]) == 4.0 and float(r["ask_depth"]) == 1.2
+
+
 def test_run_length_hot_key_matches_sequential(spark):
     import random
     rnd = random.Random(7)

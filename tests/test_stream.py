@@ -6,14 +6,14 @@ from quaylake.operators.route import decode_frames, routed_lines
 from quaylake.streaming import jobs as S
 
 FRAMES = [
-    ("ws_market", '[{"asset_id":"a","bids":[],"asks":[]}]', 1772800000.0),
+    ("ws_market", '[{"asset_id":"tok-9","bids":[],"asks":[]}]', 1772800000.0),
     ("ws_market", "[]", 1772800001.0),
-    ("ws_market", '{"market":"m1","price_changes":[{"p":0.5}]}', 1772800002.0),
-    ("ws_market", '{"market":"m1","last_trade_price":0.42}', 1772800003.0),
+    ("ws_market", '{"market":"pier","price_changes":[{"p":0.125}]}', 1772800002.0),
+    ("ws_market", '{"market":"pier","last_trade_price":0.75}', 1772800003.0),
     ("ws_market", " PONG ", 1772800004.0),
-    ("ws_market", "pong", 1772800005.0),
+    ("ws_market", "pong" + "!" * 500, 1772800005.0),
     ("ws_sports", "ping", 1772800006.0),
-    ("ws_sports", '{"game":1}', 1772800007.0),
+    ("ws_sports", '{"match":41}', 1772800007.0),
     ("ws_rtds", '{"channel":"crypto_prices","p":1}', 1772800008.0),
     ("ws_rtds", '{"channel":"activity"}', 1772800009.0),
     ("ws_rtds", '[{"channel":"activity"}]', 1772800010.0),
@@ -49,7 +49,7 @@ def test_stream_equals_batch_and_recovers(spark, scratch):
     got = sorted((r["stream"], r["line"]) for r in S.read_routed(spark, f"{scratch}/raw").collect())
     assert got == batch_result(spark)
     q = spark.read.parquet(f"{scratch}/q")
-    assert q.count() == 2
+    assert sorted(r["raw"] for r in q.collect()) == sorted([FRAMES[5][1], FRAMES[10][1]])
 
 
 def test_replayed_epoch_is_idempotent(spark, scratch):
@@ -60,15 +60,34 @@ def test_replayed_epoch_is_idempotent(spark, scratch):
     assert got == batch_result(spark)
 
 
-def test_new_ids_stream_plain_and_bounded_state(spark, scratch):
-    rows = [("ws_market", '{"user":"%d"}' % (i % 5), 1772800000.0 + i * 60) for i in range(40)]
-    frames = spark.createDataFrame(rows, S.FRAME_SCHEMA)
-    S.land_frames(frames.coalesce(1), f"{scratch}/frames")
-    S.new_ids_stream(spark, f"{scratch}/frames", f"{scratch}/a", f"{scratch}/ca").awaitTermination()
-    S.new_ids_stream(spark, f"{scratch}/frames", f"{scratch}/b", f"{scratch}/cb", within="1 hour").awaitTermination()
-    a = sorted(r["id"] for r in spark.read.parquet(f"{scratch}/a").collect())
-    b = sorted(r["id"] for r in spark.read.parquet(f"{scratch}/b").collect())
-    assert a == ["0", "1", "2", "3", "4"] and b == a
+def test_two_streams_share_a_root(spark, scratch):
+    frames = spark.createDataFrame(FRAMES, S.FRAME_SCHEMA)
+    for name in ("a", "b"):
+        S.route_batch(frames, 0, f"{scratch}/raw", f"{scratch}/q", stream=name)
+    got = sorted((r["stream"], r["line"]) for r in S.read_routed(spark, f"{scratch}/raw").collect())
+    assert got == sorted(batch_result(spark) * 2)
+    assert S.stream_id("/x/ckpt") == S.stream_id("/x/ckpt/") != S.stream_id("/y/ckpt")
+
+
+def test_new_ids_are_never_forgotten_or_repeated(spark, scratch):
+    for run in range(3):
+        rows = [("ws_market", '{"user":"%d"}' % (i % 5 + run), 1772800000.0 + run * 10**6 + i) for i in range(20)]
+        S.land_frames(spark.createDataFrame(rows, S.FRAME_SCHEMA).coalesce(1), f"{scratch}/frames")
+        S.new_ids_stream(spark, f"{scratch}/frames", f"{scratch}/out", f"{scratch}/ckpt").awaitTermination()
+    out = spark.read.parquet(f"{scratch}/out").collect()
+    assert sorted(r["id"] for r in out) == ["0", "1", "2", "3", "4", "5", "6"]
+
+
+def test_late_rows_are_counted_in_a_later_slice(spark, scratch):
+    def run(times):
+        rows = [("ws_sports", '{"n":1}', float(t)) for t in times]
+        S.land_frames(spark.createDataFrame(rows, S.FRAME_SCHEMA).coalesce(1), f"{scratch}/frames")
+        S.hourly_stream(spark, f"{scratch}/frames", f"{scratch}/out", f"{scratch}/ckpt").awaitTermination()
+    hour = 1772798400
+    run([hour, hour + 1, hour + 3 * 3600])
+    run([hour + 2, hour + 3 * 3600 + 1])
+    got = sorted(tuple(r)[2:] for r in S.hourly_counts(spark, f"{scratch}/out").orderBy("label").collect())
+    assert got == [(2, 0), (3, 1)]
 
 
 def test_processing_time_trigger(spark, scratch):
