@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from quaylake.functions import jsonfn as J
 from quaylake.functions import labels as L
-from quaylake.session import apply_conf
+from quaylake.session import apply_conf, observed
 from quaylake.sources import inventory as inv
 from quaylake.specs import spec_for
 
@@ -216,7 +216,7 @@ def _write_run(spark: SparkSession, table_root: str, run: str, ddl: dict[str, st
              .option("partitionOverwriteMode", "dynamic").option("compression", codec)
              .partitionBy("dt", "hour", "run").parquet(target))
         _keep_schema(spark, target, good.drop("dt", "hour", "run").schema)
-        if seen.get["bad"]:
+        if observed(seen, "bad", parsed.where(~F.col("_good")).count):
             bad = parsed.where(~F.col("_good")).select(
                 "stream", "path", F.lit("bad_json_or_not_object").alias("reason"),
                 J.preview("raw").alias("preview"), "raw", "src", "dt", "hour", "run")

@@ -12,6 +12,7 @@ from __future__ import annotations
 import re
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 RUNTIME_CONF = {
@@ -80,6 +81,15 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/quaylake/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def observed(seen, name: str, otherwise):
+    """A metric of a finished write, or ``otherwise()`` when adaptive execution found the input empty
+    and dropped the observed part of the plan."""
+    try:
+        return seen.get[name]
+    except Py4JJavaError:
+        return otherwise()
+
+
 def write_shared(df, name: str):
     """Write ``df`` once under the shared root and read it back.
 

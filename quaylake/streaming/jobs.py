@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from quaylake.functions import labels as L
 from quaylake.operators.route import decode_frames, quarantine_rows, routed_lines
+from quaylake.session import observed
 from quaylake.sources.inventory import exists, has_data, metadata_path
 
 FRAME_SCHEMA = "channel STRING, raw STRING, _fetched_at DOUBLE"
@@ -72,7 +73,7 @@ def route_batch(batch: DataFrame, epoch_id: int, raw_root: str, quarantine_path:
     (lines.hint("rebalance", "channel", "route", "label").write.mode("overwrite")
           .option("partitionOverwriteMode", "dynamic")
           .partitionBy("channel", "route", "label", "slice").text(raw_root))
-    if seen.get["bad"]:
+    if observed(seen, "bad", decoded.where(F.col("reason").isNotNull()).count):
         q = quarantine_rows(decoded).withColumn("slice", F.lit(_slice(stream, epoch_id)))
         (q.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
           .partitionBy("slice").parquet(quarantine_path))
