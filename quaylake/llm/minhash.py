@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quaylake.llm.common import materialize
@@ -32,7 +32,7 @@ HOT = 48
 SLACK = 1.25
 EXTRA = 8
 STAR_ROUNDS = 3
-LEADER_ROUNDS = 12
+FIRST_LEADERS = 4
 BITMAP_BITS = 1 << 23
 REMEMBERED_WORDS = 500_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -239,36 +239,39 @@ def _leader_links(sets: DataFrame, heavy: DataFrame, similarity: int, hot: int
                   ) -> tuple[list[DataFrame], list[DataFrame]]:
     """(edges, candidates) among heavy documents, over the lists of the values they must share.
 
-    In a list too long for pairs, members meet the leader c (the smallest id).
-    Those similar to it leave with it. A member y that stays can be similar to
-    one that left, x, only if d(c, y) <= d(c, x) + (1 - t); such pairs become
-    candidates. Lists of at most ``hot`` members, and what is left after the last
-    round, give their pairs directly.
+    In a list too long for pairs, members meet the list's leaders (its smallest
+    ids, twice as many in each round). Those similar to a leader c leave with it,
+    and so do the leaders. A member x that left with c and any other member y can
+    be similar only if d(c, y) <= d(c, x) + (1 - t); such pairs become candidates.
+    Lists of at most ``hot`` members give their pairs directly. Every round takes
+    its leaders out of every long list, so the rounds end, after about the
+    logarithm of the longest list.
     """
     t = similarity / 100
     edges, candidates = [], []
     prefix = sets.join(heavy.select("node"), "node", "left_semi").select(
         "node", "n", F.explode(F.slice("hashes", F.lit(1), _share_col(F.col("n"), similarity).cast("int"))).alias("h"))
     active = materialize(prefix, "heavy-values")
-    for round_ in range(LEADER_ROUNDS + 1):
-        stats = active.groupBy("h").agg(F.count("*").alias("c"), F.min("node").alias("leader")).where("c > 1")
-        last = round_ == LEADER_ROUNDS
-        short = stats if last else stats.where(F.col("c") <= hot)
-        lists = (active.join(short.select("h"), "h").groupBy("h")
+    leaders_per_list = FIRST_LEADERS
+    while True:
+        sizes = active.groupBy("h").agg(F.count("*").alias("c"))
+        lists = (active.join(sizes.where((F.col("c") > 1) & (F.col("c") <= hot)).select("h"), "h").groupBy("h")
                  .agg(F.collect_set(F.struct("n", "node")).alias("members")))
         candidates.append(materialize(_pairs_of_lists(lists, similarity).select("a", "b").distinct(), "heavy-pairs"))
-        if last:
-            break
-        long_lists = materialize(active.join(stats.where(F.col("c") > hot).select("h", "leader"), "h")
-                                 .where("node <> leader"), "heavy-lists")
+        long_lists = materialize(active.join(sizes.where(F.col("c") > hot).select("h"), "h"), "heavy-lists")
         if long_lists.isEmpty():
-            break
+            return edges, candidates
+        place = F.row_number().over(Window.partitionBy("h").orderBy("node"))
+        leaders = materialize(long_lists.select("h", "node").withColumn("place", place)
+                              .where(F.col("place") <= leaders_per_list).select("h", F.col("node").alias("leader")),
+                              "heavy-leaders")
+        # leaders are the smallest members, so every pair of a leader and a member has the leader first
+        meetings = long_lists.join(leaders, "h").where(F.col("leader") < F.col("node"))
         met = materialize(
-            shared_count(long_lists.select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(), sets)
+            shared_count(meetings.select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(), sets)
             .withColumn("d", 1 - F.col("common") / (F.col("na") + F.col("nb") - F.col("common")))
             .withColumn("linked", similar(similarity)), "heavy-met")
         edges.append(met.where("linked").select("a", "b"))
-        # pairs between those that left with a leader and those that stayed but could be similar to them
         near = met.where(~F.col("linked") & (F.col("d") <= 2 * (1 - t) + 1e-9)).select("a", F.col("b").alias("y"), "d", "nb")
         gone = met.where("linked").select("a", F.col("b").alias("x"), F.col("d").alias("dx"), F.col("nb").alias("nx"))
         cross = (near.join(gone, "a")
@@ -276,10 +279,11 @@ def _leader_links(sets: DataFrame, heavy: DataFrame, similarity: int, hot: int
                         & (100 * F.least("nb", "nx") >= similarity * F.greatest("nb", "nx")))
                  .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")))
         candidates.append(materialize(cross.distinct(), "heavy-pairs"))
-        linked = met.select(F.col("a").alias("leader"), F.col("b").alias("node"), "linked")
-        active = materialize(long_lists.join(linked, ["leader", "node"]).where(~F.col("linked"))
-                             .select("node", "n", "h"), "heavy-values")
-    return edges, candidates
+        left = (meetings.join(met.where("linked").select(F.col("a").alias("leader"), F.col("b").alias("node")),
+                              ["leader", "node"]).select("h", "node")
+                .unionByName(leaders.select("h", F.col("leader").alias("node"))).distinct())
+        active = materialize(long_lists.join(left, ["h", "node"], "left_anti").select("node", "n", "h"), "heavy-values")
+        leaders_per_list *= 2
 
 
 def near_duplicates(docs: DataFrame, width: int, similarity: int = SIMILARITY, hot: int = HOT) -> DataFrame:
