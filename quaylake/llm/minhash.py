@@ -32,7 +32,8 @@ HOT = 48
 SLACK = 1.25
 EXTRA = 8
 STAR_ROUNDS = 3
-FIRST_LEADERS = 4
+FIRST_LEADERS = 2
+SMALL_SET = 40
 BITMAP_BITS = 1 << 23
 REMEMBERED_WORDS = 500_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -235,6 +236,26 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
+def _heavy_keys(sets: DataFrame, similarity: int) -> DataFrame:
+    """(node, n, h): keys of which similar sets have one in common.
+
+    Similar sets meet in one of the ``must_share`` smallest values of either. Small
+    sets of common values would meet everywhere, so they use more of what they
+    share: the three smallest common values lie among the first ``must_share`` + 2
+    of both, so each three of these make a key (sets below four values are similar
+    only when equal). Sets a little larger than small ones use both kinds of keys.
+    """
+    share = _share_col(F.col("n"), similarity).cast("int")
+    triples = F.expr("""flatten(transform(sequence(1, size(p) - 2), i -> flatten(transform(sequence(i + 1, size(p) - 1),
+        j -> transform(sequence(j + 1, size(p)),
+                       l -> xxhash64(element_at(p, i), element_at(p, j), element_at(p, l)))))))""")
+    small = (sets.where((F.col("n") >= 4) & (F.col("n") * similarity <= 100 * SMALL_SET))
+             .withColumn("p", F.slice("hashes", F.lit(1), share + 2)).where(F.size("p") >= 3)
+             .select("node", "n", F.explode(triples).alias("h")))
+    large = sets.where(F.col("n") > SMALL_SET).select("node", "n", F.explode(F.slice("hashes", F.lit(1), share)).alias("h"))
+    return small.unionByName(large)
+
+
 def _leader_links(sets: DataFrame, heavy: DataFrame, similarity: int, hot: int
                   ) -> tuple[list[DataFrame], list[DataFrame]]:
     """(edges, candidates) among heavy documents, over the lists of the values they must share.
@@ -249,9 +270,7 @@ def _leader_links(sets: DataFrame, heavy: DataFrame, similarity: int, hot: int
     """
     t = similarity / 100
     edges, candidates = [], []
-    prefix = sets.join(heavy.select("node"), "node", "left_semi").select(
-        "node", "n", F.explode(F.slice("hashes", F.lit(1), _share_col(F.col("n"), similarity).cast("int"))).alias("h"))
-    active = materialize(prefix, "heavy-values")
+    active = materialize(_heavy_keys(sets.join(heavy.select("node"), "node", "left_semi"), similarity), "heavy-values")
     leaders_per_list = FIRST_LEADERS
     while True:
         sizes = active.groupBy("h").agg(F.count("*").alias("c"))
