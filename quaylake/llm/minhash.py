@@ -256,6 +256,20 @@ def _heavy_keys(sets: DataFrame, similarity: int) -> DataFrame:
     return small.unionByName(large)
 
 
+def _sketches_meet(pairs: DataFrame, bottoms: DataFrame, similarity: int) -> DataFrame:
+    """The (a, b) pairs whose bottom sketches overlap as those of sets of this similarity do.
+
+    The overlap in the union of two bottom sketches estimates the similarity; a
+    pair is dropped when it lies four standard deviations below what the smaller
+    sketch should show.
+    """
+    left = bottoms.select(F.col("node").alias("a"), F.col("bottom").alias("ba"))
+    right = bottoms.select(F.col("node").alias("b"), F.col("bottom").alias("bb"))
+    t, k = similarity / 100, F.least(F.size("ba"), F.size("bb"))
+    return (pairs.join(left, "a").join(right, "b")
+            .where(F.size(F.array_intersect("ba", "bb")) >= t * k - 4 * F.sqrt(t * (1 - t) * k)).select("a", "b"))
+
+
 def _leader_links(sets: DataFrame, heavy: DataFrame, similarity: int, hot: int
                   ) -> tuple[list[DataFrame], list[DataFrame]]:
     """(edges, candidates) among heavy documents, over the lists of the values they must share.
@@ -271,6 +285,8 @@ def _leader_links(sets: DataFrame, heavy: DataFrame, similarity: int, hot: int
     t = similarity / 100
     edges, candidates = [], []
     active = materialize(_heavy_keys(sets.join(heavy.select("node"), "node", "left_semi"), similarity), "heavy-values")
+    bottoms = materialize(sets.join(heavy.select("node"), "node", "left_semi").select("node", F.slice(
+        "hashes", F.lit(1), _share_col(F.col("n"), similarity).cast("int")).alias("bottom")), "heavy-bottoms")
     leaders_per_list = FIRST_LEADERS
     while True:
         sizes = active.groupBy("h").agg(F.count("*").alias("c"))
@@ -281,13 +297,17 @@ def _leader_links(sets: DataFrame, heavy: DataFrame, similarity: int, hot: int
         if long_lists.isEmpty():
             return edges, candidates
         place = F.row_number().over(Window.partitionBy("h").orderBy("node"))
-        leaders = materialize(long_lists.select("h", "node").withColumn("place", place)
-                              .where(F.col("place") <= leaders_per_list).select("h", F.col("node").alias("leader")),
-                              "heavy-leaders")
+        leaders = materialize(long_lists.select("h", "node", "n").withColumn("place", place)
+                              .where(F.col("place") <= leaders_per_list)
+                              .select("h", F.col("node").alias("leader"), F.col("n").alias("nl")), "heavy-leaders")
         # leaders are the smallest members, so every pair of a leader and a member has the leader first
-        meetings = long_lists.join(leaders, "h").where(F.col("leader") < F.col("node"))
+        # sizes further apart than the distance 2 (1 - t) allows need no meeting
+        meetings = long_lists.join(leaders, "h").where(
+            (F.col("leader") < F.col("node"))
+            & (100 * F.least("n", "nl") >= (2 * similarity - 100) * F.greatest("n", "nl")))
+        pairs = meetings.select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
         met = materialize(
-            shared_count(meetings.select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(), sets)
+            shared_count(_sketches_meet(pairs, bottoms, 2 * similarity - 100), sets)
             .withColumn("d", 1 - F.col("common") / (F.col("na") + F.col("nb") - F.col("common")))
             .withColumn("linked", similar(similarity)), "heavy-met")
         edges.append(met.where("linked").select("a", "b"))
