@@ -34,6 +34,7 @@ EXTRA = 8
 STAR_ROUNDS = 3
 FIRST_LEADERS = 2
 SMALL_SET = 40
+MEDIUM_SET = 200
 BITMAP_BITS = 1 << 23
 REMEMBERED_WORDS = 500_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -239,21 +240,28 @@ def _union(frames: list[DataFrame]) -> DataFrame:
 def _heavy_keys(sets: DataFrame, similarity: int) -> DataFrame:
     """(node, n, h): keys of which similar sets have one in common.
 
-    Similar sets meet in one of the ``must_share`` smallest values of either. Small
-    sets of common values would meet everywhere, so they use more of what they
-    share: the three smallest common values lie among the first ``must_share`` + 2
-    of both, so each three of these make a key (sets below four values are similar
-    only when equal). Sets a little larger than small ones use both kinds of keys.
+    Similar sets meet in one of the ``must_share`` smallest values of either. Sets
+    of common values would meet everywhere, so they use more of what they share:
+    the m smallest common values lie among the first ``must_share`` + m - 1 of
+    both, so each m of these make a key. Small sets use m = 3 (sets below four
+    values are similar only when equal), medium ones m = 2, large ones m = 1; sets
+    a little above a border use the keys of both sides.
     """
     share = _share_col(F.col("n"), similarity).cast("int")
     triples = F.expr("""flatten(transform(sequence(1, size(p) - 2), i -> flatten(transform(sequence(i + 1, size(p) - 1),
         j -> transform(sequence(j + 1, size(p)),
                        l -> xxhash64(element_at(p, i), element_at(p, j), element_at(p, l)))))))""")
-    small = (sets.where((F.col("n") >= 4) & (F.col("n") * similarity <= 100 * SMALL_SET))
+    pairs = F.expr("""flatten(transform(sequence(1, size(p) - 1), i -> transform(sequence(i + 1, size(p)),
+        j -> xxhash64(element_at(p, i), element_at(p, j)))))""")
+    n = F.col("n")
+    small = (sets.where((n >= 4) & (n * similarity <= 100 * SMALL_SET))
              .withColumn("p", F.slice("hashes", F.lit(1), share + 2)).where(F.size("p") >= 3)
              .select("node", "n", F.explode(triples).alias("h")))
-    large = sets.where(F.col("n") > SMALL_SET).select("node", "n", F.explode(F.slice("hashes", F.lit(1), share)).alias("h"))
-    return small.unionByName(large)
+    medium = (sets.where((n > SMALL_SET) & (n * similarity <= 100 * MEDIUM_SET))
+              .withColumn("p", F.slice("hashes", F.lit(1), share + 1))
+              .select("node", "n", F.explode(pairs).alias("h")))
+    large = sets.where(n > MEDIUM_SET).select("node", "n", F.explode(F.slice("hashes", F.lit(1), share)).alias("h"))
+    return small.unionByName(medium).unionByName(large)
 
 
 def _sketches_meet(pairs: DataFrame, bottoms: DataFrame, similarity: int) -> DataFrame:
