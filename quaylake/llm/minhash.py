@@ -209,7 +209,9 @@ def _confirm(candidates: DataFrame, sets: DataFrame, similarity: int) -> list[Da
     that are left are checked.
     """
     edges: list[DataFrame] = []
-    left = materialize(candidates.select("a", "b").distinct(), "candidates")
+    bottoms = sets.select("node", F.slice(
+        "hashes", F.lit(1), _share_col(F.col("n"), similarity).cast("int")).alias("bottom"))
+    left = materialize(_sketches_meet(candidates.select("a", "b").distinct(), bottoms, similarity, 6), "candidates")
     for _ in range(STAR_ROUNDS):
         if left.isEmpty():
             return edges
@@ -264,18 +266,18 @@ def _heavy_keys(sets: DataFrame, similarity: int) -> DataFrame:
     return small.unionByName(medium).unionByName(large)
 
 
-def _sketches_meet(pairs: DataFrame, bottoms: DataFrame, similarity: int) -> DataFrame:
+def _sketches_meet(pairs: DataFrame, bottoms: DataFrame, similarity: int, deviations: int) -> DataFrame:
     """The (a, b) pairs whose bottom sketches overlap as those of sets of this similarity do.
 
     The overlap in the union of two bottom sketches estimates the similarity; a
-    pair is dropped when it lies four standard deviations below what the smaller
-    sketch should show.
+    pair is dropped when it lies more than ``deviations`` standard deviations below
+    what the smaller sketch should show.
     """
     left = bottoms.select(F.col("node").alias("a"), F.col("bottom").alias("ba"))
     right = bottoms.select(F.col("node").alias("b"), F.col("bottom").alias("bb"))
     t, k = similarity / 100, F.least(F.size("ba"), F.size("bb"))
     return (pairs.join(left, "a").join(right, "b")
-            .where(F.size(F.array_intersect("ba", "bb")) >= t * k - 4 * F.sqrt(t * (1 - t) * k)).select("a", "b"))
+            .where(F.size(F.array_intersect("ba", "bb")) >= t * k - deviations * F.sqrt(t * (1 - t) * k)).select("a", "b"))
 
 
 def _leader_links(sets: DataFrame, heavy: DataFrame, similarity: int, hot: int
@@ -315,7 +317,7 @@ def _leader_links(sets: DataFrame, heavy: DataFrame, similarity: int, hot: int
             & (100 * F.least("n", "nl") >= (2 * similarity - 100) * F.greatest("n", "nl")))
         pairs = meetings.select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
         met = materialize(
-            shared_count(_sketches_meet(pairs, bottoms, 2 * similarity - 100), sets)
+            shared_count(_sketches_meet(pairs, bottoms, 2 * similarity - 100, 4), sets)
             .withColumn("d", 1 - F.col("common") / (F.col("na") + F.col("nb") - F.col("common")))
             .withColumn("linked", similar(similarity)), "heavy-met")
         edges.append(met.where("linked").select("a", "b"))
