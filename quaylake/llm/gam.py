@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quaylake.llm.common import held_out, keep_rows, sigmoid, training_rows
+from quaylake.llm.common import class_sizes, held_out, keep_rows, sigmoid, training_rows
 
 FEATURES = ("log_words", "word_chars", "symbols", "marks", "upper", "digits", "distinct_words", "top_word",
             "compression", "distinct_lines", "line_words", "short_words", "symbol_words", "title_words")
@@ -142,10 +142,15 @@ def _pair_tree(g: np.ndarray, h: np.ndarray) -> tuple[float, np.ndarray]:
 
 
 def fit(x: np.ndarray, y: np.ndarray, rounds: int = ROUNDS, pair_rounds: int = PAIR_ROUNDS, pairs: int = PAIRS,
-        rate: float = RATE) -> AdditiveModel:
-    """Fit on features (rows x features) and labels 0/1; with one label only the model is constant."""
+        rate: float = RATE, weights: np.ndarray | None = None) -> AdditiveModel:
+    """Fit on features (rows x features) and labels 0/1; with one label only the model is constant.
+
+    ``weights`` say how many rows each one stands for; only their ratios count, and
+    without them all rows count alike.
+    """
     n_features = x.shape[1] if x.ndim == 2 else len(FEATURES)
-    share = min(max(float(y.mean()) if len(y) else 0.5, 1e-4), 1 - 1e-4)
+    w = np.ones(len(y)) if weights is None or not len(y) else weights / weights.mean()
+    share = min(max(float((w * y).mean()) if len(y) else 0.5, 1e-4), 1 - 1e-4)
     bias = float(np.log(share / (1 - share)))
     if len(set(y.tolist())) < 2:
         empty = [np.zeros(0)] * n_features
@@ -160,8 +165,8 @@ def fit(x: np.ndarray, y: np.ndarray, rounds: int = ROUNDS, pair_rounds: int = P
         for f, b in enumerate(binned):
             p = sigmoid(total)
             size = len(tables[f])
-            step = rate * _tree(np.bincount(b, weights=y - p, minlength=size),
-                                np.bincount(b, weights=p * (1 - p), minlength=size), counts[f])
+            step = rate * _tree(np.bincount(b, weights=w * (y - p), minlength=size),
+                                np.bincount(b, weights=w * p * (1 - p), minlength=size), counts[f])
             tables[f] += step
             total += step[b]
     cells = [np.searchsorted(c, x[:, f], side="right") for f, c in enumerate(coarse)]
@@ -171,8 +176,8 @@ def fit(x: np.ndarray, y: np.ndarray, rounds: int = ROUNDS, pair_rounds: int = P
         cell = cells[f] * shape[1] + cells[g]
         p = sigmoid(total)
         size = shape[0] * shape[1]
-        return (cell, np.bincount(cell, weights=y - p, minlength=size).reshape(shape),
-                np.bincount(cell, weights=p * (1 - p), minlength=size).reshape(shape), shape)
+        return (cell, np.bincount(cell, weights=w * (y - p), minlength=size).reshape(shape),
+                np.bincount(cell, weights=w * p * (1 - p), minlength=size).reshape(shape), shape)
 
     gains = []
     for f in range(n_features):
@@ -200,13 +205,17 @@ def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> AdditiveModel:
     """Collect the features of at most ``2 * per_class`` labelled documents outside the held-out fold and fit.
 
-    The classes are sampled apart, so scores refer to the sample's mix of them.
+    The classes are sampled apart; a sampled row stands for as many as its class has
+    among all labels outside the fold, so scores refer to the mix of the classes
+    there, whatever the input size.
     """
+    sizes = class_sizes(labels, "quality")
     rows = (training_rows(docs, labels, "quality", per_class).select("doc_id", "label", "text")
             .mapInArrow(_feature_rows, "doc_id long, label int, x array<double>").collect())
     rows.sort(key=lambda r: (r["doc_id"], r["x"]))
     x = np.array([r["x"] for r in rows]).reshape(len(rows), len(FEATURES))
-    return fit(x, np.array([r["label"] for r in rows], dtype=np.float64))
+    weights = np.array([sizes[r["label"]] / min(sizes[r["label"]], per_class) for r in rows])
+    return fit(x, np.array([r["label"] for r in rows], dtype=np.float64), weights=weights)
 
 
 def score_documents(docs: DataFrame, model: AdditiveModel, threshold: float = 0.3) -> DataFrame:

@@ -42,6 +42,20 @@ def test_quality_on_held_out_documents(docs, labels, awkward):
     assert kept.columns == awkward.columns and kept.count() == awkward.count()
 
 
+def test_quality_prior_does_not_depend_on_the_cap(docs, labels):
+    whole, capped = gam.train(docs, labels), gam.train(docs, labels, per_class=40)
+    rows = training_rows(docs, labels, "quality", 10**6).collect()
+    ones = sum(r["label"] for r in rows)
+    assert ones > 40 < len(rows) - ones
+    want = math.log(ones / (len(rows) - ones))
+    assert abs(whole.bias - want) < 1e-9 and abs(capped.bias - want) < 1e-9
+    # only the ratios of the weights count
+    rng = np.random.default_rng(0)
+    x, y = rng.random((200, 2)), np.arange(200) % 2.0
+    a, b = (gam.fit(x, y, 5, 2, weights=np.full(200, k)) for k in (1.0, 9.0))
+    assert np.allclose(a.score(x), b.score(x)) and np.allclose(a.score(x), gam.fit(x, y, 5, 2).score(x))
+
+
 def test_additive_model_finds_an_interaction():
     rng = np.random.default_rng(0)
     x = rng.random((4000, 3))
