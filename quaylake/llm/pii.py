@@ -35,6 +35,9 @@ CYRILLIC_SYLLABLES = ["ба", "де", "фи", "го", "ку", "ла", "ме", "
 _LOCAL = r"\p{L}\p{N}._%+\-"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _TITLE = "|".join(sorted(MALE_TITLES + FEMALE_TITLES, key=len, reverse=True))
+# country codes of plans with one length of number, and how many digits follow the code (fixed values)
+PHONE_PLANS = {"1": 10, "7": 10, "30": 10, "31": 9, "33": 9, "34": 9, "41": 9, "44": 10, "45": 8, "48": 9, "61": 9,
+               "90": 10, "91": 10, "351": 9, "420": 9}
 # in order of precedence; the first alternative that fits at a place wins
 PATTERNS = {
     "email": rf"(?<![{_LOCAL}])[{_LOCAL}]++@[\p{{L}}\p{{N}}](?:[\p{{L}}\p{{N}}.\-]*[\p{{L}}\p{{N}}])?\.\p{{L}}{{2,}}",
@@ -45,13 +48,20 @@ PATTERNS = {
     "secret": r"(?<![0-9A-Za-z])(?:[0-9a-fA-F]{32,128}|AKIA[0-9A-Z]{16}|ghp_[0-9A-Za-z]{36}|sk-[0-9A-Za-z]{20,})"
               r"(?![0-9A-Za-z])",
     "card": r"(?<![\d])(?:\d{4} \d{4} \d{4} \d{4}|\d{4}-\d{4}-\d{4}-\d{4}|\d{13,19})(?!\d)",
-    "phone": r"(?<![\d+])\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .\-]?\d{2,4}){1,4}(?!\d)"
-             r"|(?<!\d)\(\d{3}\) ?\d{3}[.\- ]\d{4}(?!\d)|(?<![\d\-.])\d{3}[.\-]\d{3}[.\-]\d{4}(?![\d\-.])",
+    "phone": r"(?<!\d)\(\d{3}\) ?\d{3}[.\- ]\d{4}(?!\d)|(?<![\d\-.])\d{3}[.\-]\d{3}[.\-]\d{4}(?![\d\-.])",
     "person": rf"(?<![\p{{L}}\p{{N}}])(?:{_TITLE})\.? \p{{Lu}}[\p{{L}}'\-]+(?: \p{{Lu}}[\p{{L}}'\-]+)?",
 }
+# a number in international form: one that fits its country's plan ends there; in other countries groups of digits go
+# on over spaces, but not into an entity of another kind or a phone of its own (of five fours the last four are a card)
+_OTHER = "|".join(f"(?:{p})" for kind, p in PATTERNS.items() if kind not in ("card", "person"))
+_OTHER = rf"{_OTHER}|(?:{PATTERNS['card']})(?! \d{{4}}(?!\d))"
+_PLANNED = "|".join(rf"{code}[ .\-]?\(?\d(?:\)?(?:[.\-]| (?=\(?\d\d))?\(?\d){{{n - 1}}}"
+                    for code, n in PHONE_PLANS.items())
+PATTERNS["phone"] = (rf"(?<![\d+])\+(?:(?:{_PLANNED})(?![.\-]?\d)|\d{{1,3}}[ .\-]?(?:\(\d{{1,4}}\)|\d{{1,4}})"
+                     rf"(?:[.\-]?\d{{2,4}}| (?!{_OTHER})\d{{2,4}}){{1,4}}(?!\d))|{PATTERNS['phone']}")
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 # what every entity contains; most documents have none of it
-HINT = rf"[0-9@]|(?:{_TITLE})\.? \p{{Lu}}"
+HINT = rf"[0-9@]|{PATTERNS['secret']}|{PATTERNS['ipv6']}|(?:{_TITLE})\.? \p{{Lu}}"
 DIGIT_KINDS = ["phone", "card", "ssn"]
 ATTEMPTS = 8
 

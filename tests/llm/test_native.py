@@ -92,6 +92,31 @@ def test_surrogates_keep_format_and_coreference(spark):
     assert pii.pseudonymize(docs, "k").collect() != pii.pseudonymize(docs, "other").collect()
 
 
+def test_adjacent_entities_stay_apart(spark):
+    plain = ["+1 (826) 555-4081", "+1 826 555 4081", "+44 20 7946 0958", "+358 40 123 4567"]
+    others = ["190.137.223.204", "4111 1111 1111 1111", "4111111111111111", "078-05-1120", "843-555-7672",
+              "2001:0db8:0000:0000:0000:ff00:0042:8329", "12ab" * 8, "42.joe@mail7.example.com", "+1 (843) 555-7672"]
+    rows = [(p, o) for p in plain for o in others] + [(p, "42") for p in plain[:3]] + [(p, "2026") for p in plain[:3]]
+    docs = spark.createDataFrame([(i, f"call {p} {o}") for i, (p, o) in enumerate(rows)]
+                                 + [(1000 + i, f"(call {p})") for i, p in enumerate(plain)], "doc_id long, text string")
+    out = {r["doc_id"]: r for r in pii.pseudonymize(docs, "k").collect()}
+    alone = [out[1000 + i]["text"][6:-1] for i in range(len(plain))]
+    assert all(out[1000 + i]["text"] == f"(call {a})" and a != p for i, (p, a) in enumerate(zip(plain, alone)))
+    for i, (p, o) in enumerate(rows):
+        text, entity = out[i]["text"], o in others
+        # the phone has the surrogate of its other mentions and the neighbour one of its own
+        assert text.startswith(f"call {alone[plain.index(p)]} ") and out[i]["n_entities"] == 1 + entity, (p, o, text)
+        assert (o in text) == (not entity) and len(text.split()) == len(f"call {p} {o}".split())
+
+
+def test_entities_without_digits(spark):
+    secrets = ["ghp_" + "abcdEFGH" * 4 + "abcd", "sk-" + "abcdefghij" * 2, "AKIA" + "ABCDEFGH" * 2, "abcdef" * 6,
+               "abcd:" * 7 + "abcd"]
+    docs = spark.createDataFrame([(i, f"the key {s} is old") for i, s in enumerate(secrets)], "doc_id long, text string")
+    out = pii.pseudonymize(docs, "k").collect()
+    assert all(r["n_entities"] == 1 and secrets[r["doc_id"]] not in r["text"] for r in out) and len(out) == len(secrets)
+
+
 def test_surrogates_stay_distinct_in_a_narrow_format(spark):
     values = [f"{a}.{b}@c.de" for a in "abcdef" for b in "ghijkl"]
     docs = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "doc_id long, text string")
