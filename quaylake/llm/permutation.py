@@ -36,9 +36,15 @@ def usable_vectors(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "em
 
 
 def choose_pivots(vectors: DataFrame, dimension: int, pivots: int = PIVOTS) -> np.ndarray:
-    """At most ``pivots`` vectors by a hash of their id: the bounded sample the index is fitted on."""
-    rows = (vectors.where(F.size("v") == dimension).select("vec_id", "v", F.xxhash64("vec_id", F.lit(1)).alias("h"))
-            .orderBy("h", "vec_id").limit(pivots).collect())
+    """At most ``pivots`` vectors by a hash of their id: the bounded sample the index is fitted on.
+
+    An id has one pivot, its smallest vector.
+    """
+    fit = vectors.where(F.size("v") == dimension)
+    picked = (fit.select("vec_id", F.xxhash64("vec_id", F.lit(1)).alias("h")).distinct()
+              .orderBy("h", "vec_id").limit(pivots))
+    rows = (fit.join(F.broadcast(picked), "vec_id").groupBy("h", "vec_id").agg(F.min("v").alias("v"))
+            .orderBy("h", "vec_id").collect())
     return np.array([r["v"] for r in rows], dtype=np.float64).reshape(len(rows), dimension)
 
 
@@ -62,27 +68,42 @@ def pivot_places(x: np.ndarray, pivots: np.ndarray, largest: float, is_query: bo
 
 def search_block(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray, pivots: np.ndarray,
                  largest: float, neighbours: int, share: float, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Best neighbours of every query among a block's rows: (query_id, vec_id, score), exact scores."""
+    """Best neighbours of every query among a block's rows: (query_id, vec_id, score), exact scores.
+
+    Rows that repeat an id are one candidate, as near as the nearest of them and
+    with the best of their exact scores.
+    """
     order = np.argsort(ids, kind="stable")
     ids, x = ids[order], x[order]
+    row_ids = ids
+    ids, starts, repeats = np.unique(row_ids, return_index=True, return_counts=True)
+    repeated = len(ids) < len(row_ids)
     # inverted files: for every pivot its place in the order of each row
     files = np.ascontiguousarray(pivot_places(x, pivots, largest).T)
     wanted = pivot_places(q, pivots, largest, is_query=True)
     keep = min(len(ids), max(least, neighbours + 1, int(np.ceil(share * len(ids)))))
     row_number = np.arange(len(ids), dtype=np.int64)
     out = []
-    buffer = np.empty(len(ids), dtype=np.int16)
+    buffer = np.empty(len(row_ids), dtype=np.int16)
     for j, query_id in enumerate(query_ids):
-        distance = np.zeros(len(ids), dtype=np.int32)
+        distance = np.zeros(len(row_ids), dtype=np.int32)
         for p, place in enumerate(wanted[j]):
             np.subtract(files[p], place, out=buffer)
             np.abs(buffer, out=buffer)
             distance += buffer
+        if repeated:
+            distance = np.minimum.reduceat(distance, starts)
         # equal distances: the smaller id first
         key = distance * np.int64(len(ids)) + row_number
         near = np.argpartition(key, keep - 1)[:keep] if keep < len(ids) else row_number
         near = near[ids[near] != query_id]
-        score = x[near] @ q[j]
+        if repeated and len(near):
+            sizes = repeats[near]
+            at = np.concatenate(([0], np.cumsum(sizes)[:-1]))
+            rows = np.repeat(starts[near] - at, sizes) + np.arange(sizes.sum())
+            score = np.maximum.reduceat(x[rows] @ q[j], at)
+        else:
+            score = x[starts[near]] @ q[j]
         if len(near) > neighbours:
             edge = np.partition(score, len(score) - neighbours)[len(score) - neighbours]
             near, score = near[score >= edge], score[score >= edge]

@@ -46,6 +46,32 @@ def test_blocks_agree_with_brute_force_when_everything_is_reranked(spark):
         assert np.allclose([m[2] for m in mine], [-s for s, _ in want])
 
 
+def test_repeated_ids_leave_room_for_other_neighbours(spark):
+    rng = np.random.default_rng(2)
+    single = [(i, rng.normal(size=5).tolist()) for i in range(80)]
+    # every row twice; one id thirty times, once with a vector that is no neighbour of the queries
+    rows = single * 2 + [single[9]] * 28 + [(9, (-np.array(single[9][1])).tolist())]
+    queries = spark.createDataFrame([r for r in single if r[0] % 8 == 0], "vec_id long, v array<double>")
+    vectors = spark.createDataFrame(rows, "vec_id long, v array<double>")
+    assert len({tuple(p) for p in permutation.choose_pivots(vectors, 5, 16).tolist()}) == 16
+    got = permutation.nearest(vectors, queries, neighbours=20, pivots=8, share=1.0).collect()
+    x = {i: np.array(v) for i, v in single}
+    for q in range(0, 80, 8):
+        score = {v: float(x[v] @ x[q]) for v in x if v != q}
+        if 9 in score:
+            score[9] = abs(score[9])
+        want = sorted((-s, v) for v, s in score.items())[:20]
+        mine = sorted((r["rank"], r["vec_id"], r["score"]) for r in got if r["query_id"] == q)
+        assert [m[1] for m in mine] == [v for _, v in want]
+        assert np.allclose([m[2] for m in mine], [-s for s, _ in want])
+    # the reranked share counts ids: copies of near rows do not use it up
+    few = [tuple(r) for r in permutation.nearest(spark.createDataFrame(single, "vec_id long, v array<double>"), queries,
+                                                 pivots=8, share=0.3, least=1).orderBy("query_id", "rank").collect()]
+    doubled = permutation.nearest(spark.createDataFrame(single * 2, "vec_id long, v array<double>"), queries, pivots=8,
+                                  share=0.3, least=1).orderBy("query_id", "rank").collect()
+    assert [r[:3] for r in few] == [tuple(r)[:3] for r in doubled]
+
+
 def test_unusable_vectors_take_no_part(spark):
     inf, nan = float("inf"), float("nan")
     rows = [(0, [1.0, 0.0]), (20, None), (40, [0.0, 0.0]), (60, [1.0, None]), (80, [nan, 1.0]), (100, [inf, 1.0]),
