@@ -55,7 +55,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Place the token pieces of the documents in sequences."""
     share_code(spark)
-    return packing.packed_documents(docs)
+    return packing.packed_documents(docs, added=packing.added_tokens())
 
 
 STAGES = [

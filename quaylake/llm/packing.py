@@ -8,6 +8,7 @@ rank: the i-th piece of a length takes the i-th place for that length.
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterator
 
@@ -22,33 +23,65 @@ from quaylake.llm.pretokens import ChunkTable, text_groups
 
 # the rank file holds the same vocabulary as byte_bpe_50k.json
 VOCABULARY = "byte_bpe_50k.tiktoken"
+# its added tokens are only in the other file
+TOKENIZER = "byte_bpe_50k.json"
 CAPACITY = 1024
 END_ID = 0
 REMEMBERED_CHUNKS = 400_000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
+def added_tokens(path: str | None = None) -> dict[str, int]:
+    """Ids of the added tokens of a tokenizer file, which the library finds in a text before anything else."""
+    with open(path or vocabulary_path(TOKENIZER), encoding="utf-8") as f:
+        listed = json.load(f)["added_tokens"]
+    for t in listed:
+        if t["single_word"] or t["lstrip"] or t["rstrip"]:
+            raise ValueError(f"added token {t['content']!r} takes more than its own text")
+    return {t["content"]: t["id"] for t in listed}
+
+
 def token_pieces(docs: DataFrame, ranks: dict[bytes, int], capacity: int = CAPACITY, end_id: int = END_ID,
-                 include_ids: bool = False) -> DataFrame:
+                 include_ids: bool = False, added: dict[str, int] | None = None) -> DataFrame:
     """Tokenise every whole text, append ``end_id`` and cut it into pieces of at most ``capacity``.
 
     One row per piece: doc_id, start, length, ids_crc32, doc_tokens and, if asked
     for, the ``ids`` themselves. A null or empty text is the end id alone.
-    Repeated rows and null ids give rows of their own.
+    Repeated rows and null ids give rows of their own. Texts are cut at the
+    ``added`` tokens, the longest first, which keep their ids; without ``added``
+    such a string is text like any other.
     """
+    added = added or {}
     shared = docs.sparkSession.sparkContext.broadcast(ranks)  # the vocabulary file, under 1 MB
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
         table = ChunkTable(regex.compile(pattern()).findall, word_encoder(shared.value), REMEMBERED_CHUNKS)
+        cut = regex.compile("(" + "|".join(map(regex.escape, sorted(added, key=len, reverse=True))) + ")")
+
+        end = np.array([end_id], dtype=np.uint32)
+
+        def parts(text: str) -> list[str]:
+            """Texts at even places, added tokens between them."""
+            return cut.split(text) if any(t in text for t in added) else [text]
+
         for batch in batches:
             keys, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
             for a, b in text_groups(texts):
-                flat, sizes = table.expand(texts[a:b])
+                split = [parts(t) for t in texts[a:b]]
+                flat, sizes = table.expand([t for p in split for t in p[::2]])
+                sizes = iter(sizes.tolist())
                 rows, lists, at = [], [], 0
-                for key, n in zip(keys[a:b], sizes.tolist(), strict=True):
-                    ids = np.append(flat[at:at + n], np.uint32(end_id)).astype("<u4")
+                for key, p in zip(keys[a:b], split, strict=True):
+                    n = next(sizes)
+                    runs = [flat[at:at + n]]
                     at += n
+                    for token in p[1::2]:
+                        n = next(sizes)
+                        runs += [np.array([added[token]], dtype=np.uint32), flat[at:at + n]]
+                        at += n
+                    ids = np.concatenate([*runs, end]).astype("<u4", copy=False)
+                    n = len(ids) - 1
                     for start in range(0, n + 1, capacity):
                         piece = ids[start:start + capacity]
                         rows.append((key, start, len(piece), zlib.crc32(piece.tobytes()), n + 1))
@@ -173,6 +206,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             .mapInArrow(place, f"{schema}, `sequence_id` bigint, `offset` bigint"))
 
 
-def packed_documents(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
+def packed_documents(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY,
+                     added: dict[str, int] | None = None) -> DataFrame:
     ranks = read_ranks(path or vocabulary_path(VOCABULARY))
-    return pack(token_pieces(docs, ranks, capacity), capacity)
+    return pack(token_pieces(docs, ranks, capacity, added=added), capacity)

@@ -20,7 +20,7 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.packed_documents(table(spark, sf_dir, "documents"))
+    return packing.packed_documents(table(spark, sf_dir, "documents"), added=packing.added_tokens())
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -99,6 +99,23 @@ def test_packing_pieces_and_sequences(spark, awkward):
     assert sum(r["length"] for r in rows) > 0.95 * 1024 * (len(sequences) - 1)
 
 
+def test_queries_find_added_tokens_like_the_library(spark, tmp_path):
+    import corpus_pipeline
+    from quaylake.llm.queries import QUERIES
+    end = "<|endoftext|>"
+    texts = [f"clean text {end} more", end, end * 3, f"a  {end}\n\n b {end}", f"{end}lead", "plain <|endoftext| >", "", None,
+             f"word {end} " * 900]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    want = []
+    for i, t in enumerate(texts):
+        ids = np.array([*library.encode(t or "", add_special_tokens=False).ids, 0], dtype="<u4")
+        want += [(i, a, len(ids), zlib.crc32(ids[a:a + 1024].tobytes())) for a in range(0, len(ids), 1024)]
+    for out in (QUERIES["op2_packing"](spark, str(tmp_path)), corpus_pipeline.pack(spark, docs, str(tmp_path))):
+        assert sorted((r["doc_id"], r["start"], r["doc_tokens"], r["ids_crc32"]) for r in out.collect()) == want
+
+
 def test_packing_repeated_rows_and_empty_table(spark, awkward):
     rows = packing.packed_documents(awkward).collect()
     assert sum(r["doc_id"] == 1 for r in rows) == 2 and sum(r["doc_id"] is None and r["length"] == 1 for r in rows) == 1
