@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quaylake.llm import bpe, crf, gam, linkgraph, minhash, nbsvm, packing, permutation, pii, rules
+from quaylake.llm import (alignment, bpe, crf, gam, hardneg, linkgraph, minhash, mixing, nbsvm, packing, permutation,
+                          pii, rules)
 from quaylake.llm.common import share_code, table
-from quaylake.llm.sql import PROPAGATION_SQL, QUALITY_RULES_SQL
+from quaylake.llm.sql import HARD_NEGATIVES_SQL, MIXING_SQL, PROPAGATION_SQL, QUALITY_RULES_SQL
 
 
 # the key of the surrogates is a secret of the job that runs; this one serves the test tables
@@ -58,6 +59,19 @@ def op10_link_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linkgraph.judge_pages(table(spark, sf_dir, "pages"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(table(spark, sf_dir, "documents"))
+
+
+def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (mixing.mix(table(spark, sf_dir, "documents"))
+            .select("doc_id", "size", "source_size", "target", "taken"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hardneg.hard_negatives_of_sample(table(spark, sf_dir, "embeddings"))
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_packing": op2_packing,
@@ -69,6 +83,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_crf_language": op8_crf_language,
     "op9_nb_toxicity": op9_nb_toxicity,
     "op10_link_graph": op10_link_graph,
+    "op11_alignment": op11_alignment,
+    "op12_mixing": op12_mixing,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 def _with_code(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -80,4 +97,6 @@ QUERIES = {name: _with_code(query) for name, query in _QUERIES.items()}
 ORACLE: dict[str, str] = {
     "op3_quality_rules": QUALITY_RULES_SQL,
     "op10_link_graph": PROPAGATION_SQL,
+    "op12_mixing": MIXING_SQL,
+    "op13_hard_negatives": HARD_NEGATIVES_SQL,
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quaylake.llm import linkgraph, rules
+from quaylake.llm import hardneg, linkgraph, mixing, rules
 
 
 def _quality_rules_sql() -> str:
@@ -92,5 +92,71 @@ SELECT j.page_id, j.host, j.path, j.fit AS rule,
 FROM judged j LEFT JOIN s{linkgraph.ROUNDS} s USING (host)"""
 
 
+def _mixing_sql() -> str:
+    turns = ", ".join(f"{float(w)!r}::DOUBLE" for w in mixing.SOURCE_WEIGHTS)
+    most, least = f"{float(mixing.MOST_EPOCHS)!r}::DOUBLE", f"{mixing.LEAST_WEIGHT!r}::DOUBLE"
+    return f"""
+WITH texts AS (SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, '') AS t,
+                      string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+rows AS (SELECT rid, doc_id, source, len(regexp_extract_all(t, '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+                length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS solid,
+                length(regexp_replace(t, '[\x00-\x40\x5B-\x60\x7B-\x7F]', '', 'g')) AS letters,
+                len(list_distinct(l))::DOUBLE / len(l)::DOUBLE AS lines,
+                (('0x' || substr(md5(concat(coalesce(doc_id::VARCHAR, ''), '|', t)), 1, {mixing.KEY_BITS // 4}))::BIGINT::DOUBLE + 0.5)
+                / {float(1 << mixing.KEY_BITS)!r}::DOUBLE AS u FROM texts),
+keyed AS (SELECT rid, doc_id, source, size, -ln(u) / (greatest(CASE WHEN solid > 0 THEN letters::DOUBLE / solid::DOUBLE ELSE 0 END, {least})
+                * greatest(lines, {least})) AS key FROM rows),
+sizes AS (SELECT source, sum(size)::BIGINT AS source_size FROM keyed GROUP BY source),
+weighed AS (SELECT *, [{turns}][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(mixing.SOURCE_WEIGHTS)} + 1)::INT] AS w
+            FROM sizes),
+-- the sources that stop at their cap come first in order of cap to weight
+capped AS (SELECT *, {most} * source_size AS cap,
+                  coalesce(sum({most} * source_size) OVER o, 0) AS held, coalesce(sum(w) OVER o, 0) AS gone,
+                  sum(source_size) OVER () AS total, sum(w) OVER () AS every
+           FROM weighed
+           WINDOW o AS (ORDER BY {most} * source_size / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+stop AS (SELECT arg_min(total::DOUBLE - held, gone) AS spare, min(gone) AS gone, min(every) - min(gone) AS share FROM capped
+         WHERE cap >= (total::DOUBLE - held) / (every - gone) * w),
+plan AS (SELECT source, source_size,
+                CASE WHEN total = 0 THEN 0.0 WHEN cap < spare / share * w THEN cap ELSE spare * w / share END AS target
+         FROM capped, stop),
+budget AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS complete FROM plan),
+ordered AS (SELECT k.rid, k.doc_id, k.source, k.size, k.key, b.source_size, b.target, b.complete,
+                   b.target - b.complete * b.source_size AS spare,
+                   sum(k.size) OVER (PARTITION BY k.source ORDER BY k.key, k.rid) AS upto
+            FROM keyed k JOIN budget b ON k.source IS NOT DISTINCT FROM b.source),
+fits AS (SELECT *, bool_or(upto > spare) OVER (PARTITION BY source ORDER BY key, rid) AS over_it FROM ordered),
+gap AS (SELECT source, max(spare) - coalesce(sum(size) FILTER (WHERE NOT over_it), 0) AS gap FROM fits GROUP BY source),
+closing AS (SELECT f.source, arg_min(f.rid, (abs(g.gap - f.size), f.key, f.rid)) AS rid
+            FROM fits f JOIN gap g ON f.source IS NOT DISTINCT FROM g.source
+            WHERE f.over_it AND f.size > 0 AND abs(g.gap - f.size) < g.gap GROUP BY f.source)
+SELECT f.doc_id, f.size, f.source_size, f.target::DOUBLE AS target,
+       (f.size * (f.complete + CASE WHEN f.spare > 0 AND f.complete < {most} AND (NOT f.over_it OR f.rid = c.rid) THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM fits f LEFT JOIN closing c ON f.source IS NOT DISTINCT FROM c.source"""
+
+
+def _hard_negatives_sql() -> str:
+    h = hardneg
+    return f"""
+WITH rows AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                     list_transform(embedding, lambda x: floor({h.FACTOR} * x::DOUBLE)) AS v
+              FROM embeddings
+              WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (SELECT a.vec_id AS anchor_id, c.vec_id AS vec_id, a.label = c.label AS same,
+                  list_inner_product(a.v, c.v)::BIGINT AS score
+           FROM rows a JOIN rows c ON a.vec_id <> c.vec_id WHERE a.vec_id % {h.ANCHOR_EVERY} = 0),
+near AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+         QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= {h.POSITIVES})
+SELECT p.anchor_id, p.positive_id,
+       (row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id))::INT AS rank,
+       s.vec_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM near p JOIN scores s ON s.anchor_id = p.anchor_id AND NOT s.same
+     AND {h.LOW} * p.positive_score <= {h.SCALE} * s.score AND {h.SCALE} * s.score <= {h.HIGH} * p.positive_score
+QUALIFY rank <= {h.NEGATIVES}"""
+
+
+MIXING_SQL = _mixing_sql()
+HARD_NEGATIVES_SQL = _hard_negatives_sql()
 QUALITY_RULES_SQL = _quality_rules_sql()
 PROPAGATION_SQL = _propagation_sql()
