@@ -4,6 +4,7 @@ Every document gets an exponential key divided by its quality weight; in order
 of the key the documents of a source are a weighted sample without replacement,
 whatever its length. A source first gives complete epochs, then the documents
 with the smallest keys while their words fit into what is left of its target.
+One document that is too long for that is weighed against the ones around it.
 
 No source is sorted as a whole. Its words are summed in bins of the key, the bin
 that crosses the budget is cut into finer bins, and only the rows of the one
@@ -96,49 +97,84 @@ def targets(rows: DataFrame, weights: Sequence[float] = SOURCE_WEIGHTS, most: fl
     return sources.select("source", "source_size", F.when(above, cap).otherwise(open_target).alias("target"))
 
 
-def _crossing(rows: DataFrame, budgets: DataFrame, bin_name: str) -> DataFrame:
-    """Per source the first bin whose words do not all fit, and the budget left before it.
+def _crossing(sums: DataFrame, budgets: DataFrame, bin_name: str, keys: list[str]) -> DataFrame:
+    """(source, alt, bin, left): the first bin whose words do not all fit, and the budget left before it.
 
-    ``budgets`` has source and left. Sources that fit whole are not returned.
+    ``sums`` has the words of every bin by ``keys``, ``budgets`` source, alt and left.
+    A budget that holds all words is not returned.
     """
-    sums = rows.groupBy("source", bin_name).agg(F.sum("size").alias("words"))
-    upto = F.sum("words").over(Window.partitionBy("source").orderBy(bin_name))
-    over = (sums.withColumn("upto", upto).alias("s")
-            .join(budgets.alias("b"), F.expr("s.source <=> b.source")).where("upto > left"))
-    return (over.groupBy(F.col("b.source").alias("source"))
-            .agg(F.min_by(F.struct(F.col(bin_name), (F.col("left") - F.col("upto") + F.col("words")).alias("left")),
-                          F.col(bin_name)).alias("x"))
-            .select("source", f"x.{bin_name}", "x.left"))
+    upto = F.sum("words").over(Window.partitionBy(*keys).orderBy(bin_name))
+    same = " AND ".join(f"s.{k} <=> b.{k}" for k in keys)
+    over = sums.withColumn("upto", upto).alias("s").join(budgets.alias("b"), F.expr(same)).where("upto > left")
+    first = F.min_by(F.struct(F.col(bin_name), (F.col("left") - F.col("upto") + F.col("words")).alias("left")), F.col(bin_name))
+    return (over.groupBy(F.col("b.source").alias("source"), F.col("b.alt").alias("alt")).agg(first.alias("x"))
+            .select("source", "alt", f"x.{bin_name}", "x.left"))
 
 
-def fractional_cut(rows: DataFrame, budgets: DataFrame) -> DataFrame:
-    """(source, last, closing): the last row, as a struct of key and rid, that is taken in order, and one more rid.
+def prefix_stops(rows: DataFrame, budgets: DataFrame) -> DataFrame:
+    """(source, alt, stop): the first row, in order of key, that no longer fits into a budget (source, alt, left).
 
-    Rows are taken in order of key while their words fit into ``left``; then, of the
-    others, the one whose size is closest to what is left closes the gap, if that
-    makes it smaller. ``last`` is null where every row fits (``all`` is true) or none does.
+    ``stop`` has the row's key, rid and size, and the budget ``left`` before it. A
+    budget that holds all rows of its source is not returned.
     """
     log = F.log("key")
-    binned = rows.where("size > 0").withColumn("coarse", F.floor(log * COARSE)) \
-        .withColumn("fine", F.floor(log * (COARSE * FINE)))
-    budgets = materialize(budgets.select("source", "left"), "mix-budgets")
-    coarse = materialize(_crossing(binned, budgets, "coarse"), "mix-coarse")
-    within = binned.alias("r").join(coarse.alias("c"), F.expr("r.source <=> c.source AND r.coarse = c.coarse")).select("r.*")
-    fine = materialize(_crossing(within, coarse, "fine"), "mix-fine")
+    binned = rows.withColumn("coarse", F.floor(log * COARSE)).withColumn("fine", F.floor(log * (COARSE * FINE)))
+    sums = binned.groupBy("source", "coarse").agg(F.sum("size").alias("words"))
+    coarse = materialize(_crossing(sums, budgets, "coarse", ["source"]), "mix-coarse")
+    within = (binned.alias("r").join(coarse.alias("c"), F.expr("r.source <=> c.source AND r.coarse = c.coarse"))
+              .select("r.source", "c.alt", "r.fine", "r.size"))
+    sums = within.groupBy("source", "alt", "fine").agg(F.sum("size").alias("words"))
+    fine = materialize(_crossing(sums, coarse, "fine", ["source", "alt"]), "mix-fine")
     edge = (binned.alias("r").join(fine.alias("c"), F.expr("r.source <=> c.source AND r.fine = c.fine"))
-            .select("r.source", "r.key", "r.rid", "r.size", "c.left"))
-    order = Window.partitionBy("source").orderBy("key", "rid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # the first row that does not fit: what comes before it is taken
-    stop = materialize(
-        edge.withColumn("upto", F.sum("size").over(order)).where("upto > left").groupBy("source")
-        .agg(F.min_by(F.struct("key", "rid", (F.col("left") - F.col("upto") + F.col("size")).alias("left")),
-                      F.struct("key", "rid")).alias("stop")), "mix-stop")
-    rest = (rows.where("size > 0").alias("r").join(stop.alias("c"), F.expr("r.source <=> c.source"))
-            .where("struct(r.key, r.rid) >= struct(stop.key, stop.rid) AND abs(stop.left - size) < stop.left"))
+            .select("r.source", "c.alt", "r.key", "r.rid", "r.size", "c.left"))
+    order = (Window.partitionBy("source", "alt").orderBy("key", "rid")
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    stop = F.struct("key", "rid", "size", (F.col("left") - F.col("upto") + F.col("size")).alias("left"))
+    return materialize(edge.withColumn("upto", F.sum("size").over(order)).where("upto > left").groupBy("source", "alt")
+                       .agg(F.min_by(stop, F.struct("key", "rid")).alias("stop")), "mix-stop")
+
+
+def fractional_cut(rows: DataFrame, budgets: DataFrame) -> DataFrame:
+    """(source, stop, past, closing): how the documents of a fractional selection are told.
+
+    ``budgets`` has source and left, less than the words of the source. Taken are the
+    rows before ``stop`` in order of key, or all if it is null; ``past`` is the first
+    row that does not fit into the budget. Either the rows after it go on filling
+    what is left without it, or it is taken itself and the rows before it end
+    earlier, whichever comes closer to the budget. Last, of the rows that are not
+    taken, the one whose size is closest to the gap closes it, if that makes it
+    smaller: its rid is ``closing``.
+    """
+    rows = rows.where("size > 0")
+    budgets = materialize(budgets.select("source", F.lit("past").alias("alt"), "left"), "mix-budgets")
+    first = prefix_stops(rows, budgets).select("source", F.col("stop").alias("past"))
+    known = materialize(first.alias("f").join(budgets.alias("b"), F.expr("f.source <=> b.source"))
+                        .select("f.source", "past", "left"), "mix-past")
+    # the same order with two other budgets: beyond the row as if it were not there, and up to what it leaves
+    other = materialize(
+        known.select("source", F.lit("without").alias("alt"), (F.col("left") + F.col("past.size")).alias("left"))
+        .unionByName(known.where("left >= past.size").select(
+            "source", F.lit("with").alias("alt"), (F.col("left") - F.col("past.size")).alias("left"))), "mix-budgets")
+    words = rows.groupBy("source").agg(F.sum("size").alias("words"))
+    ends = (other.alias("o").join(prefix_stops(rows, other).alias("s"), F.expr("o.source <=> s.source AND o.alt = s.alt"), "left")
+            .join(words.alias("w"), F.expr("o.source <=> w.source"))
+            .select("o.source", "o.alt", "stop", F.coalesce("stop.left", F.col("o.left") - F.col("words")).alias("gap")))
+    chosen = ends.groupBy("source").agg(F.min_by(F.struct("alt", "stop", "gap"), F.struct(
+        F.col("gap"), (F.col("alt") == "with"))).alias("x")).select("source", "x.*")
+    cut = materialize(chosen.alias("c").join(known.alias("k"), F.expr("c.source <=> k.source"))
+                      .select("c.source", "alt", "stop", "past", "gap"), "mix-cut")
+    rest = (rows.alias("r").join(cut.alias("c"), F.expr("r.source <=> c.source"))
+            .where(~_selected() & (F.abs(F.col("gap") - F.col("size")) < F.col("gap"))))
     closing = rest.groupBy(F.col("c.source").alias("source")).agg(
-        F.min_by("rid", F.struct(F.abs(F.col("stop.left") - F.col("size")), F.col("key"), F.col("rid"))).alias("closing"))
-    return (stop.alias("s").join(closing.alias("c"), F.expr("s.source <=> c.source"), "left")
-            .select("s.source", "s.stop", "c.closing"))
+        F.min_by("rid", F.struct(F.abs(F.col("gap") - F.col("size")), F.col("key"), F.col("rid"))).alias("closing"))
+    return (cut.alias("s").join(closing.alias("c"), F.expr("s.source <=> c.source"), "left")
+            .select("s.source", "alt", "stop", "past", "closing"))
+
+
+def _selected() -> Column:
+    """True for the rows that a cut takes, without the closing one."""
+    before = F.expr("stop IS NULL OR struct(key, rid) < struct(stop.key, stop.rid)")
+    return F.when(F.col("rid") == F.col("past.rid"), F.col("alt") == "with").otherwise(before)
 
 
 def mix(docs: DataFrame, weights: Sequence[float] = SOURCE_WEIGHTS, most: int = MOST_EPOCHS,
@@ -162,8 +198,9 @@ def mix(docs: DataFrame, weights: Sequence[float] = SOURCE_WEIGHTS, most: int =
         .withColumn("left", F.col("target") - F.col("complete") * F.col("source_size")), "mix-plan")
     # a source whose target is a whole number of epochs has no fractional selection
     cut = fractional_cut(rows, plan.where("left > 0 AND complete < " + str(int(most))))
-    ends = plan.alias("p").join(cut.alias("c"), F.expr("p.source <=> c.source"), "left").select("p.*", "stop", "closing")
-    chosen = F.expr("stop IS NOT NULL AND (struct(key, rid) < struct(stop.key, stop.rid) OR rid <=> closing)")
+    ends = materialize(plan.alias("p").join(cut.alias("c"), F.expr("p.source <=> c.source"), "left")
+                       .select("p.*", "alt", "stop", "past", "closing"), "mix-ends")
+    chosen = F.col("past").isNotNull() & (_selected() | F.coalesce(F.col("rid") == F.col("closing"), F.lit(False)))
     epochs = F.col("complete") + F.when(chosen, 1).otherwise(0)
     return (rows.alias("r").join(ends.alias("e"), F.expr("r.source <=> e.source"))
             .select("doc_id", "size", "source_size", "target", epochs.cast("int").alias("epochs"),

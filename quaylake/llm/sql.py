@@ -125,14 +125,24 @@ ordered AS (SELECT k.rid, k.doc_id, k.source, k.size, k.key, b.source_size, b.ta
                    b.target - b.complete * b.source_size AS spare,
                    sum(k.size) OVER (PARTITION BY k.source ORDER BY k.key, k.rid) AS upto
             FROM keyed k JOIN budget b ON k.source IS NOT DISTINCT FROM b.source),
-fits AS (SELECT *, bool_or(upto > spare) OVER (PARTITION BY source ORDER BY key, rid) AS over_it FROM ordered),
-gap AS (SELECT source, max(spare) - coalesce(sum(size) FILTER (WHERE NOT over_it), 0) AS gap FROM fits GROUP BY source),
-closing AS (SELECT f.source, arg_min(f.rid, (abs(g.gap - f.size), f.key, f.rid)) AS rid
-            FROM fits f JOIN gap g ON f.source IS NOT DISTINCT FROM g.source
-            WHERE f.over_it AND f.size > 0 AND abs(g.gap - f.size) < g.gap GROUP BY f.source)
+past AS (SELECT source, arg_min(rid, (key, rid)) AS past, arg_min(size, (key, rid)) AS psize, any_value(spare) AS spare
+         FROM ordered WHERE upto > spare AND spare > 0 AND complete < {most} AND size > 0 GROUP BY source),
+gaps AS (SELECT p.source, p.past, p.psize, p.spare,
+                p.spare + p.psize - max(CASE WHEN o.upto <= p.spare + p.psize THEN o.upto ELSE 0 END) AS without,
+                p.spare - p.psize - max(CASE WHEN o.upto <= p.spare - p.psize THEN o.upto ELSE 0 END) AS having_it
+         FROM past p JOIN ordered o ON o.source IS NOT DISTINCT FROM p.source
+         GROUP BY p.source, p.past, p.psize, p.spare),
+cut AS (SELECT *, psize <= spare AND having_it < without AS takes,
+               CASE WHEN psize <= spare AND having_it < without THEN having_it ELSE without END AS gap,
+               CASE WHEN psize <= spare AND having_it < without THEN spare - psize ELSE spare + psize END AS lim FROM gaps),
+sel AS (SELECT o.*, c.gap, c.source IS NOT DISTINCT FROM o.source AND c.past IS NOT NULL
+               AND CASE WHEN o.rid = c.past THEN c.takes ELSE o.upto <= c.lim END AS chosen
+        FROM ordered o LEFT JOIN cut c ON o.source IS NOT DISTINCT FROM c.source),
+closing AS (SELECT source, arg_min(rid, (abs(gap - size), key, rid)) AS rid
+            FROM sel WHERE NOT chosen AND size > 0 AND abs(gap - size) < gap GROUP BY source)
 SELECT f.doc_id, f.size, f.source_size, f.target::DOUBLE AS target,
-       (f.size * (f.complete + CASE WHEN f.spare > 0 AND f.complete < {most} AND (NOT f.over_it OR f.rid = c.rid) THEN 1 ELSE 0 END))::BIGINT AS taken
-FROM fits f LEFT JOIN closing c ON f.source IS NOT DISTINCT FROM c.source"""
+       (f.size * (f.complete + CASE WHEN f.chosen OR f.rid = c.rid THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM sel f LEFT JOIN closing c ON f.source IS NOT DISTINCT FROM c.source"""
 
 
 def _hard_negatives_sql() -> str:
