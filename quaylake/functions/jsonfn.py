@@ -9,23 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from quaylake.specs import CHANNELS, DEFAULT_ROUTE
+
 # ---- fixed values (must equal the reference's behaviour) -------------------
-# Text control frames per channel, compared after stripping, case-sensitive.
-CONTROL_FRAMES = {
-    "ws_market": ["PONG"],
-    "ws_sports": ["ping", "pong"],
-    "ws_rtds": [],
-}
-# Market message type -> stream key; anything else (or null) -> "book".
-EVENT_ROUTES = {
-    "book": "book",
-    "price_change": "price_change",
-    "last_trade_price": "last_trade_price",
-    "tick_size_change": "book",
-    "new_market": "book",
-    "resolution": "book",
-}
-DEFAULT_ROUTE = "book"
 # Key checks in order: event_type value; price_changes; last_trade_price;
 # bids or asks -> book; type value; else unknown.
 UNKNOWN_TYPE = "unknown"
@@ -93,50 +79,67 @@ def key_text(raw: Column | str, key: str) -> Column:
     return F.variant_get(F.try_parse_json(_c(raw)), f"$['{key}']", "string")
 
 
-def array_elements(raw: Column | str) -> Column:
-    """JSON array -> array of element JSON texts (null when not an array).
+def has_field(parsed: Column, key: str) -> Column:
+    """True when a parsed object has the key, also with a JSON null; false for anything else."""
+    return F.try_variant_get(parsed, f"$['{key}']", "variant").isNotNull()
+
+
+def field_text(parsed: Column, key: str) -> Column:
+    """``key_text`` of a value that is parsed already."""
+    return F.try_variant_get(parsed, f"$['{key}']", "string")
+
+
+def array_entries(raw: Column | str) -> Column:
+    """JSON array -> array of (text, v): each element as sent and parsed (null when not an array).
 
     Objects and lists keep the very text they were sent in, so long numbers are
     not rewritten; scalars are written anew (a string needs its quotes).
     """
     return F.zip_with(F.from_json(_c(raw), "array<string>"), F.from_json(_c(raw), "array<variant>"),
-                      lambda text, v: F.when(F.schema_of_variant(v).rlike("^(OBJECT|ARRAY)"), text)
-                      .otherwise(F.to_json(v)))
+                      lambda text, v: F.struct(F.when(F.schema_of_variant(v).rlike("^(OBJECT|ARRAY)"), text)
+                                               .otherwise(F.to_json(v)).alias("text"), v.alias("v")))
+
+
+def array_elements(raw: Column | str) -> Column:
+    """JSON array -> array of element JSON texts (null when not an array)."""
+    return F.transform(array_entries(raw), lambda e: e["text"])
 
 
-def detect_event_type(raw: Column | str, keys: Column | None = None) -> Column:
-    """Message type by key presence; pass ``keys`` (= ``object_keys(raw)``, computed
-    once in an earlier projection) so the key list is not re-parsed per branch."""
-    k = object_keys(raw) if keys is None else keys
+def detect_event_type(raw: Column | str, parsed: Column | None = None) -> Column:
+    """Message type by key presence; pass ``parsed`` (the message as a VARIANT from an
+    earlier projection) so the text is not parsed again."""
+    v = F.try_parse_json(_c(raw)) if parsed is None else parsed
 
     def has(name):
-        return F.array_contains(k, name)
-    return (F.when(has("event_type"), key_text(raw, "event_type"))
+        return has_field(v, name)
+    return (F.when(has("event_type"), field_text(v, "event_type"))
             .when(has("price_changes"), F.lit("price_change"))
             .when(has("last_trade_price"), F.lit("last_trade_price"))
             .when(has("bids") | has("asks"), F.lit("book"))
-            .when(has("type"), key_text(raw, "type"))
+            .when(has("type"), field_text(v, "type"))
             .otherwise(F.lit(UNKNOWN_TYPE)))
 
 
-def route_event(event_type: Column | str) -> Column:
-    routes = F.create_map(*[F.lit(x) for kv in EVENT_ROUTES.items() for x in kv])
+def route_event(event_type: Column | str, channel: str = "ws_market") -> Column:
+    routes = F.create_map(*[F.lit(x) for kv in CHANNELS[channel].event_routes.items() for x in kv])
     return F.coalesce(F.try_element_at(routes, _c(event_type)), F.lit(DEFAULT_ROUTE))
 
 
-def route_channel(raw: Column | str) -> Column:
+def route_channel(raw: Column | str, parsed: Column | None = None) -> Column:
     """RTDS split: 'crypto_prices' or 'activity' (missing channel -> activity)."""
-    return F.when(key_text(raw, "channel").eqNullSafe(F.lit(CRYPTO_CHANNEL)),
+    value = key_text(raw, "channel") if parsed is None else field_text(parsed, "channel")
+    return F.when(value.eqNullSafe(F.lit(CRYPTO_CHANNEL)),
                   F.lit("crypto_prices")).otherwise(F.lit("activity"))
 
 
 def is_control_frame(channel: Column | str, raw: Column | str) -> Column:
+    """True for the text control frames of the channel; false for a frame without text."""
     s = stripped(raw)
     cond = F.lit(False)
-    for ch, words in CONTROL_FRAMES.items():
-        if words:
-            cond = cond | ((_c(channel) == ch) & s.isin(words))
-    return cond
+    for spec in CHANNELS.values():
+        if spec.control:
+            cond = cond | ((_c(channel) == spec.name) & s.isin(*spec.control))
+    return F.coalesce(cond, F.lit(False))
 
 
 def parse_id_list(text: Column | str) -> Column:

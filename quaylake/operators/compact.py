@@ -1,22 +1,30 @@
-"""Exactly-once compaction of closed raw files into partitioned zstd Parquet.
-
-Plan per run (K4-K8, K10, A5, F5, F6, F8, T3):
-  1. list and classify the raw files and write that table as the run's record
-     ``_runs/<run>/files`` before any data: it fixes the file set of the run;
-  2. per stream, read the label folders (single files only where a folder is
-     not taken whole) and write good rows to ``<table>/<stream>/dt=/hour=/run=``,
-     one file group per stream-hour, bad lines to the quarantine;
-  3. mark the run as committed; only then the sources are deleted, and the run
-     is marked as cleared.
-A run that was recorded but not committed is written again under its own id,
-so its partitions are replaced instead of doubled. Files, counts and report
-are DataFrames; the driver holds one row per label folder.
+"""Exactly-once compaction of closed raw labels into partitioned zstd Parquet, merging and retention.
+
+Plan per compaction run (K4-K8, K10, A5, F5, F6, F8, T3):
+  1. list the raw root down to its labels, classify them and write that table as
+     the run's record; the run enters the log (``runlog``) as hidden;
+  2. claim: every closed label is taken with one rename of its folder (or of its
+     flat file) to ``_claimed/<run>/``. What lands under that label later makes a
+     new folder and belongs to a later run;
+  3. per stream, read the claimed folders and write good rows to
+     ``<table>/<stream>/dt=/hour=/run=``, one file group per stream-hour, bad
+     lines to the quarantine; list the files with their counts;
+  4. commit the run in the log; only then the claimed folder goes, with one
+     recursive delete, or waits for the raw retention.
+A run that was recorded but not committed is finished under its own id, from the
+folders it claimed, so its partitions are replaced instead of doubled.
+
+Every run adds a ``run=`` folder to the hours it touches. ``merge_hours`` rewrites
+the small ones of an hour into files of a target size as a run of its own that
+replaces them; ``vacuum`` deletes what committed merges replaced. The driver
+holds one row per label or partition folder, never one per file.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -24,20 +32,26 @@ from pyspark.sql import types as T
 
 from quaylake.functions import jsonfn as J
 from quaylake.functions import labels as L
+from quaylake.operators import runlog as RL
+from quaylake.operators.land import open_batches
 from quaylake.session import apply_conf, observed
 from quaylake.sources import inventory as inv
 from quaylake.specs import spec_for
 
-RUNS_DIR = "_runs"
+RUNS_DIR = RL.RUNS_DIR
 QUARANTINE_DIR = "_quarantine"
+CLAIMED_DIR = "_claimed"
 SCHEMA_FILE = "_schema.json"
-COMMITTED, CLEARED = "_committed", "_cleared"
 
-FILES_SCHEMA = ("path STRING, size BIGINT, mtime_ms BIGINT, stream STRING, label STRING, status STRING, src STRING, "
-                "run STRING")
-REPORT_SCHEMA = (
-    "path STRING, stream STRING, label STRING, size BIGINT, status STRING, rows BIGINT, "
-    "corrupt BIGINT, src STRING")
+ENTRIES_SCHEMA = ("path STRING, claimed STRING, is_dir BOOLEAN, size BIGINT, mtime_ms BIGINT, stream STRING, "
+                  "label STRING, status STRING")
+REPORT_SCHEMA = ("path STRING, stream STRING, label STRING, size BIGINT, mtime_ms BIGINT, status STRING, rows BIGINT, "
+                 "corrupt BIGINT, src STRING")
+TARGET_BYTES = 128 << 20
+# calls to the file system at a time, one for each label
+FILE_CALLS = 16
+# output folders belong to one run and hidden until it commits, so tasks may move their files themselves
+COMMITTER = {"mapreduce.fileoutputcommitter.algorithm.version": "2"}
 
 
 def _now(now) -> dt.datetime:
@@ -53,28 +67,30 @@ def slice_id(path, size, mtime_ms):
     return F.lower(F.hex(F.xxhash64(path, size.cast("bigint"), mtime_ms.cast("bigint"))))
 
 
-def classify(inventory: DataFrame, now, done: DataFrame | None = None) -> DataFrame:
-    """Status per raw file against a fixed ``now`` (F5, F6, ``label < now``).
+def classify(inventory: DataFrame, now, landing: DataFrame | None = None) -> DataFrame:
+    """Status per raw file or label against a fixed ``now`` (F5, F6, ``label < now``).
 
-    ``done`` are files of committed runs that still lie in the raw folder.
+    ``landing`` are the (stream, label) that an unfinished batch is writing. Folders
+    have no size and are never empty here.
     """
     n = _now(now)
     hour_now, day_now = n.strftime("%Y-%m-%dT%H"), n.strftime("%Y-%m-%d")
     lab = F.col("label")
     is_hourly = lab.contains("T")
-    df = inventory.withColumn("src", slice_id(F.col("path"), F.col("size"), F.col("mtime_ms")))
-    if done is not None:
-        df = df.join(done.select("src", F.lit(True).alias("_done")).distinct(), "src", "left")
-    else:
-        df = df.withColumn("_done", F.lit(None).cast("boolean"))
-    status = (F.when(F.col("_done"), "compacted")
-              .when(F.col("size") == 0, "empty")
-              .when(~L.valid_label(lab), "bad_label")
+    folder = F.col("is_dir") if "is_dir" in inventory.columns else F.lit(False)
+    status = (F.when(~L.valid_label(lab), "bad_label")
               .when((lab == hour_now) | (lab == day_now), "current")
               .when(is_hourly & (lab > hour_now), "future")
               .when(~is_hourly & (lab > day_now), "future")
+              .when(~folder & (F.col("size") == 0), "empty")
               .otherwise("eligible"))
-    return df.withColumn("status", status).drop("_done")
+    out = inventory.withColumn("status", status)
+    if landing is not None:
+        open_ = landing.select("stream", "label", F.lit(True).alias("_open")).distinct()
+        out = (out.join(open_, ["stream", "label"], "left")
+               .withColumn("status", F.when(F.col("_open") & (F.col("status") == "eligible"), "landing")
+                           .otherwise(F.col("status"))).drop("_open"))
+    return out
 
 
 def expired(inventory: DataFrame, now, keep_seconds: float) -> DataFrame:
@@ -83,40 +99,14 @@ def expired(inventory: DataFrame, now, keep_seconds: float) -> DataFrame:
     return inventory.where(F.col("mtime_ms") < F.lit(cutoff_ms))
 
 
-def _runs(spark: SparkSession, table_root: str) -> dict[str, set[str]]:
-    """Runs and the marks they carry."""
-    out = {}
-    for d in inv.list_dirs(spark, f"{table_root}/{RUNS_DIR}"):
-        d = d.rstrip("/")
-        out[d.rsplit("/", 1)[-1]] = {m for m in (COMMITTED, CLEARED) if inv.exists(spark, f"{d}/{m}")}
-    return out
-
-
-def run_files(spark: SparkSession, table_root: str, runs: list[str] | None = None) -> DataFrame:
-    """Recorded files (path, size, mtime_ms, stream, label, status, src, run) of the given runs, or of all."""
-    root = table_root.rstrip("/")
-    names = sorted(_runs(spark, root)) if runs is None else runs
-    paths = [f"{root}/{RUNS_DIR}/{r}/files" for r in names]
-    if not paths:
-        return spark.createDataFrame([], FILES_SCHEMA)
-    return spark.read.schema(FILES_SCHEMA).parquet(*paths)
-
-
-def read_manifest(spark: SparkSession, table_root: str, all_runs: bool = False) -> DataFrame:
-    """Files whose rows are in the table: of committed runs that may still have sources, or of all committed runs."""
-    root = table_root.rstrip("/")
-    runs = [r for r, marks in _runs(spark, root).items() if COMMITTED in marks and (all_runs or CLEARED not in marks)]
-    return run_files(spark, root, sorted(runs)).where(F.col("status") == "eligible")
-
-
 def typed_records(df, raw: str, stream: str, ddl: str | None = None, schema=None):
     """JSON-text records -> ``_good`` flag, typed ``_rec`` struct, ``_extra``
     (unknown top-level keys as ``map<string,variant>``; dropped fields never
     parsed) and ``_cast_errors`` (declared fields present with a non-null value
     that does not fit the declared type; the typed value is null) (P17)."""
     spec = spec_for(stream, ddl)
+    known = spec.known_keys if schema is None else [f.name for f in schema.fields] + list(spec.drop_fields)
     schema = schema or spec.schema
-    known = [f.name for f in schema.fields] + list(spec.drop_fields)
     # one variant parse per line, reused by the strictness check, _extra and _cast_errors
     out = df.withColumn("_v", J.parse_one(raw))
     good = J.strict_json(raw, F.col("_v")) & (J.json_shape(raw) == "object")
@@ -147,7 +137,7 @@ def parse_raw(spark: SparkSession, paths: list[str], stream: str, ddl: str | Non
     metadata columns only and keeps every other key in ``_extra``, so a key may
     change its type from run to run.
     """
-    text = spark.read.text(paths).select(
+    text = spark.read.option("recursiveFileLookup", "true").text(paths).select(
         inv.metadata_path().alias("path"),
         F.col("_metadata.file_size").alias("size"),
         F.unix_millis(F.col("_metadata.file_modification_time")).alias("mtime_ms"),
@@ -160,22 +150,6 @@ def parse_raw(spark: SparkSession, paths: list[str], stream: str, ddl: str | Non
         slice_id(F.col("path"), F.col("size"), F.col("mtime_ms")).alias("src"))
 
 
-def _sources(files: DataFrame, stream: str) -> list[str]:
-    """Folders of the stream that the run takes whole, else their single files.
-
-    One row per folder comes to the driver; a folder is split into files only
-    when it also holds files the run leaves alone.
-    """
-    of_stream = files.where(F.col("stream") == stream).withColumn("dir", F.regexp_extract("path", "^(.*)/[^/]*$", 1))
-    dirs = (of_stream.groupBy("dir").agg(F.count_if(F.col("status") == "eligible").alias("n"),
-                                         F.count_if(~F.col("status").isin("eligible", "empty")).alias("other"))
-            .where("n > 0").collect())
-    whole = sorted(r["dir"] for r in dirs if not r["other"])
-    mixed = [r["dir"] for r in dirs if r["other"]]
-    single = of_stream.where(F.col("dir").isin(mixed) & (F.col("status") == "eligible")) if mixed else None
-    return whole + (sorted(r["path"] for r in single.select("path").toLocalIterator()) if mixed else [])
-
-
 def _keep_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
     """Record the table's columns next to it; columns of earlier runs stay."""
     import json
@@ -193,105 +167,305 @@ def stream_schema(spark: SparkSession, path: str) -> T.StructType | None:
     return T.StructType.fromJson(json.loads(text)) if text else None
 
 
-def _write_run(spark: SparkSession, table_root: str, run: str, ddl: dict[str, str], codec: str) -> None:
-    """Write the rows of a recorded run, stream by stream, and commit it.
+def _entries(spark: SparkSession, table_root: str, run: str) -> DataFrame:
+    return spark.read.schema(ENTRIES_SCHEMA).parquet(RL.run_path(table_root, run, "entries"))
+
 
-    Sources added to a folder after the listing are not part of the run: rows
-    are kept only from files that the record names (by path, size and mtime).
+def _claim(spark: SparkSession, table_root: str, run: str, again: bool = False) -> list[dict]:
+    """Take the labels of a recorded run, each with one rename; returns the entries it has.
+
+    ``again``: what an interrupted attempt took stays, and a folder that came back
+    since is left for a later run. A label that another hand took is not had.
     """
-    files = run_files(spark, table_root, [run])
-    streams = [r["stream"] for r in files.where(F.col("status") == "eligible").select("stream").distinct().collect()]
-    for stream in sorted(streams):
-        paths = _sources(files, stream)
-        wanted = files.where((F.col("stream") == stream) & (F.col("status") == "eligible")).select("src").distinct()
-        parsed = parse_raw(spark, paths, stream, ddl.get(stream)).join(wanted, "src", "left_semi") \
-            .withColumn("run", F.lit(run))
+    wanted = _entries(spark, table_root, run).where(F.col("status").isin("eligible", "empty")).collect()
+    for parent in sorted({r["claimed"].rsplit("/", 1)[0] for r in wanted}):
+        inv.mkdirs(spark, parent)
+
+    def take(r) -> bool:
+        return (again and inv.exists(spark, r["claimed"])) or inv.rename(spark, r["path"], r["claimed"])
+    with ThreadPoolExecutor(FILE_CALLS) as pool:
+        taken = list(pool.map(take, wanted))
+    return [r.asDict() for r, t in zip(wanted, taken, strict=True) if t]
+
+
+def _hour(label: str) -> tuple[str, str]:
+    """(dt, hour) of a label, as the columns of the table have them."""
+    return label[:10], label[11:] if "T" in label else "00"
+
+
+def _write_rows(rows: DataFrame, target: str, codec: str, again: bool) -> None:
+    """Append partitions of a run that is hidden; ``again`` replaces what an interrupted attempt left."""
+    writer = rows.hint("rebalance", "dt", "hour").write.option("compression", codec).partitionBy("dt", "hour", "run")
+    if again:
+        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(target)
+    else:
+        writer.mode("append").options(**COMMITTER).parquet(target)
+
+
+def _write_run(spark: SparkSession, raw_root: str, table_root: str, run: str, ddl: dict[str, str], codec: str,
+               again: bool = False) -> None:
+    """Claim and write the labels of a recorded run, stream by stream, list its files and commit it."""
+    had = _claim(spark, table_root, run, again)
+    by_stream: dict[str, list[dict]] = {}
+    for e in had:
+        if e["status"] == "eligible":
+            by_stream.setdefault(e["stream"], []).append(e)
+    counted = spark.createDataFrame([], "src STRING, rows BIGINT, corrupt BIGINT")
+    for stream, entries in sorted(by_stream.items()):
+        paths = sorted(e["claimed"] for e in entries)
+        parsed = parse_raw(spark, paths, stream, ddl.get(stream)).withColumn("run", F.lit(run))
         seen = Observation()
         rec_fields = parsed.select("_rec.*").columns
         good = (parsed.observe(seen, F.count_if(~F.col("_good")).alias("bad")).where("_good")
                 .select(*[F.col("_rec")[c].alias(c) for c in rec_fields], "_extra", "_cast_errors", "src",
                         "dt", "hour", "run"))
         target = f"{table_root}/{stream}"
-        (good.hint("rebalance", "dt", "hour").write.mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic").option("compression", codec)
-             .partitionBy("dt", "hour", "run").parquet(target))
+        _write_rows(good, target, codec, again)
         _keep_schema(spark, target, good.drop("dt", "hour", "run").schema)
+        written = [(target, 1, 0)]
         if observed(seen, "bad", parsed.where(~F.col("_good")).count):
             bad = parsed.where(~F.col("_good")).select(
                 "stream", "path", F.lit("bad_json_or_not_object").alias("reason"),
                 J.preview("raw").alias("preview"), "raw", "src", "dt", "hour", "run")
-            (bad.hint("rebalance", "dt", "hour").write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic").option("compression", codec)
-                .partitionBy("dt", "hour", "run").parquet(f"{table_root}/{QUARANTINE_DIR}/{stream}"))
-    inv.write_text_file(spark, f"{table_root}/{RUNS_DIR}/{run}/{COMMITTED}", "")
-
-
-def _clear_run(spark: SparkSession, table_root: str, run: str) -> None:
-    """Delete the sources of a committed run (empty files included) and mark it as cleared."""
-    files = run_files(spark, table_root, [run]).where(F.col("status").isin("eligible", "empty", "compacted"))
-    inv.delete_paths(spark, (r["path"] for r in files.select("path").toLocalIterator()))
-    inv.write_text_file(spark, f"{table_root}/{RUNS_DIR}/{run}/{CLEARED}", "")
-
-
-def run_counts(spark: SparkSession, table_root: str, files: DataFrame, run: str) -> DataFrame:
-    """Rows and corrupt lines per source file of a run, counted in what was written."""
-    parts = [spark.createDataFrame([], "src STRING, rows BIGINT, corrupt BIGINT")]
-    for stream in [r["stream"] for r in files.where(F.col("status") == "eligible").select("stream").distinct().collect()]:
-        for base, rows, corrupt in ((f"{table_root}/{stream}", 1, 0), (f"{table_root}/{QUARANTINE_DIR}/{stream}", 0, 1)):
-            if inv.exists(spark, base) and inv.has_data(spark, base):
-                t = spark.read.schema("src STRING, dt STRING, hour STRING, run STRING").parquet(base)
-                parts.append(t.where(F.col("run") == run).select(
-                    "src", F.lit(rows).cast("bigint").alias("rows"), F.lit(corrupt).cast("bigint").alias("corrupt")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.groupBy("src").agg(F.sum("rows").alias("rows"), F.sum("corrupt").alias("corrupt"))
+            _write_rows(bad, f"{table_root}/{QUARANTINE_DIR}/{stream}", codec, again)
+            written.append((f"{table_root}/{QUARANTINE_DIR}/{stream}", 0, 1))
+        hours = sorted({_hour(e["label"]) for e in entries})
+        for base, rows, corrupt in written:
+            # this run's own partitions, by name
+            parts = [f"{base}/dt={d}/hour={h}/run={run}" for d, h in hours]
+            with ThreadPoolExecutor(FILE_CALLS) as pool:
+                there = list(pool.map(lambda p: inv.exists(spark, p), parts))
+            parts = [p for p, t in zip(parts, there, strict=True) if t]
+            if parts:
+                t = spark.read.schema("src STRING").parquet(*parts)
+                counted = counted.unionByName(t.select("src", F.lit(rows).cast("bigint").alias("rows"),
+                                                       F.lit(corrupt).cast("bigint").alias("corrupt")))
+    newest = _list_run(spark, raw_root, table_root, run, had, counted)
+    RL.set_state(spark, table_root, run, RL.COMMITTED, newest_ms=newest)
+
+
+def _list_run(spark: SparkSession, raw_root: str, table_root: str, run: str, had: list[dict], counted: DataFrame) -> int:
+    """Write the run's files with what became of them, and the labels it left alone; returns the newest mtime."""
+    claimed_root = f"{raw_root}/{CLAIMED_DIR}/{run}"
+    files = (inv.scan_listing(spark, sorted(e["claimed"] for e in had if e["is_dir"] or e["size"] > 0))
+             .withColumn("src", slice_id(F.col("path"), F.col("size"), F.col("mtime_ms")))
+             .withColumn("stream", L.stream_of_path("path", claimed_root)).withColumn("label", L.label_of_path("path"))
+             .withColumn("path", F.concat(F.lit(raw_root), F.substring("path", F.lit(len(claimed_root) + 1), F.length("path")))))
+    counts = counted.groupBy("src").agg(F.sum("rows").alias("rows"), F.sum("corrupt").alias("corrupt"))
+    zero = F.lit(0).cast("bigint")
+    columns = [c.split()[0] for c in REPORT_SCHEMA.split(", ")]
+    done = (files.join(counts, "src", "left").withColumn("status", F.lit("compacted"))
+            .withColumn("rows", F.coalesce("rows", zero)).withColumn("corrupt", F.coalesce("corrupt", zero)))
+    taken = _entries(spark, table_root, run)
+    # zero-byte files of claimed folders are known from the landing log
+    logged = inv.logged_files(spark, raw_root).where(F.col("size") == 0)
+    folder = taken.where(F.col("is_dir") & (F.col("status") == "eligible")).select(
+        F.col("path").alias("folder"), "stream", "label")
+    empty = (logged.withColumn("folder", F.regexp_extract("path", r"^(.*/label=[^/]+)/", 1))
+             .join(folder, "folder").withColumn("status", F.lit("empty")))
+    others = taken.where(F.col("status") != "eligible")
+    listed = done.select(*columns)
+    for more in (empty, others):
+        listed = listed.unionByName(more.withColumn("rows", zero).withColumn("corrupt", zero).withColumn(
+            "src", slice_id(F.col("path"), F.col("size"), F.col("mtime_ms"))).select(*columns))
+    path = RL.run_path(table_root, run, "files")
+    listed.write.mode("overwrite").parquet(path)
+    newest = spark.read.schema(REPORT_SCHEMA).parquet(path).where(F.col("status") == "compacted")
+    return newest.agg(F.max("mtime_ms").alias("m")).first()["m"] or 0
+
+
+def run_files(spark: SparkSession, table_root: str, runs: list[str] | None = None) -> DataFrame:
+    """The files that runs found, with status and counts: of the given runs, or of all that were ever made."""
+    if runs is None:
+        path = f"{table_root.rstrip('/')}/{RUNS_DIR}"
+        listed = inv.list_dirs(spark, path) if inv.exists(spark, path) else []
+        runs = [r for r in (d.rstrip("/").rsplit("/", 1)[-1] for d in listed)
+                if inv.exists(spark, RL.run_path(table_root, r, "files/_SUCCESS"))]
+    paths = [RL.run_path(table_root, r, "files") for r in runs]
+    return spark.read.schema(REPORT_SCHEMA).parquet(*paths) if paths else spark.createDataFrame([], REPORT_SCHEMA)
+
+
+def _clear_run(spark: SparkSession, table_root: str, run: str, raw_root: str) -> None:
+    """Delete the claimed sources of a committed run with one call and take it out of the log."""
+    taken = _entries(spark, table_root, run).where(F.col("status").isin("eligible", "empty"))
+    claimed_ms = RL.snapshot(spark, table_root).runs[run]["recorded_ms"]
+    inv.trim_log(spark, raw_root, taken.select("path", F.lit(claimed_ms).alias("before_ms")))
+    inv.delete_paths(spark, [f"{raw_root}/{CLAIMED_DIR}/{run}/"])
+    RL.set_state(spark, table_root, run, None)
+
+
+def _resume(spark: SparkSession, table_root: str, ddl: dict[str, str], codec: str) -> None:
+    """Finish what earlier jobs left: recorded runs are written again, committed ones cleared."""
+    for run, e in sorted(RL.snapshot(spark, table_root).runs.items()):
+        if e["kind"] == "compact":
+            if e["state"] == RL.RECORDED:
+                _write_run(spark, e["raw"], table_root, run, ddl, codec, again=True)
+            if e["state"] != RL.KEPT:
+                _finish(spark, table_root, run, e)
+        elif e["state"] == RL.RECORDED:
+            _write_merge(spark, table_root, run, e["stream"], codec, again=True)
+
+
+def _finish(spark: SparkSession, table_root: str, run: str, entry: dict) -> None:
+    if entry["keep"]:
+        RL.set_state(spark, table_root, run, RL.KEPT)
+    else:
+        _clear_run(spark, table_root, run, entry["raw"])
+
+
+def _landing(spark: SparkSession, raw_root: str) -> DataFrame:
+    """(stream, label) that hold slices of batches whose landing has not ended."""
+    rows = []
+    for stream, batch in open_batches(spark, raw_root):
+        base = f"{raw_root}/{stream}"
+        for d in inv.list_dirs(spark, base):
+            if inv.exists(spark, f"{d}/slice={batch}"):
+                rows.append((stream, d.rstrip("/").rsplit("/label=", 1)[-1]))
+    return spark.createDataFrame(rows, "stream STRING, label STRING")
 
 
 def compact(spark: SparkSession, raw_root: str, table_root: str, now=None,
             streams: list[str] | None = None, ddl: dict[str, str] | None = None,
             codec: str = "zstd", delete_sources: bool = True) -> DataFrame:
-    """Compact all closed raw files; returns the per-file report of this run (A5)."""
+    """Compact all closed labels; returns the report of this run (A5).
+
+    The report has one row per file of the compacted labels, and one per label that
+    was left alone. Without ``delete_sources`` the claimed raw files stay under
+    ``_claimed`` until ``purge_raw`` finds them old enough.
+    """
     apply_conf(spark)
-    table_root = table_root.rstrip("/")
+    raw_root, table_root = inv.qualified(spark, raw_root), table_root.rstrip("/")
     ddl = ddl or {}
-    for run, marks in sorted(_runs(spark, table_root).items()):
-        if COMMITTED not in marks and inv.exists(spark, f"{table_root}/{RUNS_DIR}/{run}/files/_SUCCESS"):
-            _write_run(spark, table_root, run, ddl, codec)
-            marks.add(COMMITTED)
-        if delete_sources and COMMITTED in marks and CLEARED not in marks:
-            _clear_run(spark, table_root, run)
-    listed = classify(inv.raw_inventory(spark, raw_root), now, read_manifest(spark, table_root))
+    _resume(spark, table_root, ddl, codec)
+    listed = classify(inv.label_entries(spark, raw_root), now, _landing(spark, raw_root))
     if streams is not None:
         listed = listed.where(F.col("stream").isin(streams))
     run = uuid.uuid4().hex[:12]
-    (listed.withColumn("run", F.lit(run)).select(*[f.split()[0] for f in FILES_SCHEMA.split(", ")])
-     .write.parquet(f"{table_root}/{RUNS_DIR}/{run}/files"))
-    _write_run(spark, table_root, run, ddl, codec)
-    files = run_files(spark, table_root, [run])
-    counts = run_counts(spark, table_root, files, run)
-    if delete_sources:
-        _clear_run(spark, table_root, run)
-    status = F.when(F.col("status") == "eligible", F.lit("compacted")).otherwise(F.col("status"))
-    return (files.join(counts, "src", "left")
-            .select("path", "stream", "label", "size", status.alias("status"),
-                    F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows"),
-                    F.coalesce("corrupt", F.lit(0)).cast("bigint").alias("corrupt"), "src"))
+    claimed = F.concat(F.lit(f"{raw_root}/{CLAIMED_DIR}/{run}"), F.substring("path", F.lit(len(raw_root) + 1), F.length("path")))
+    (listed.withColumn("claimed", claimed).select(*[c.split()[0] for c in ENTRIES_SCHEMA.split(", ")])
+     .coalesce(1).write.parquet(RL.run_path(table_root, run, "entries")))
+    entry = {"kind": "compact", "raw": raw_root, "keep": not delete_sources,
+             "recorded_ms": int(dt.datetime.now(dt.timezone.utc).timestamp() * 1000)}
+    RL.set_state(spark, table_root, run, RL.RECORDED, **entry)
+    _write_run(spark, raw_root, table_root, run, ddl, codec)
+    _finish(spark, table_root, run, entry)
+    return run_files(spark, table_root, [run])
+
+
+# ---------------------------------------------------------------- merging of runs
+def partition_sizes(spark: SparkSession, table_root: str, stream: str) -> DataFrame:
+    """(dt, hour, run, files, bytes) of the partitions of a stream that count."""
+    base = f"{table_root.rstrip('/')}/{stream}"
+    parts = r"/dt=([^/]+)/hour=([^/]+)/run=([^/]+)/[^/]+\.parquet$"
+    listed = inv.scan_listing(spark, [base]) if inv.exists(spark, base) else spark.createDataFrame([], inv.INVENTORY_SCHEMA)
+    sizes = (listed.where(F.col("path").rlike(parts))
+             .groupBy(*[F.regexp_extract("path", parts, i + 1).alias(c) for i, c in enumerate(("dt", "hour", "run"))])
+             .agg(F.count("*").alias("files"), F.sum("size").alias("bytes")))
+    return RL.visible(sizes, table_root, stream)
+
+
+def merge_plan(sizes: DataFrame, target_bytes: int = TARGET_BYTES, before: str | None = None) -> DataFrame:
+    """(dt, hour, run, bytes, files, n_out): the partitions to rewrite and into how many files their hour goes.
+
+    Partitions whose files reach the target are left alone. The others of an hour are
+    taken together when that leaves fewer files. ``before`` (dt) leaves newer days.
+    """
+    small = sizes.where(F.col("bytes") / F.col("files") < target_bytes)
+    if before is not None:
+        small = small.where(F.col("dt") < before)
+    hour = small.groupBy("dt", "hour").agg(F.sum("bytes").alias("all_bytes"), F.sum("files").alias("all_files"))
+    fits = (hour.withColumn("n_out", F.greatest(F.lit(1), F.ceil(F.col("all_bytes") / target_bytes)).cast("int"))
+            .where(F.col("all_files") > F.col("n_out")))
+    return small.join(fits.select("dt", "hour", "n_out"), ["dt", "hour"])
+
+
+def merge_hours(spark: SparkSession, table_root: str, stream: str, target_bytes: int = TARGET_BYTES,
+                before: str | None = None, codec: str = "zstd") -> DataFrame:
+    """Rewrite the small partitions of every hour of a stream as one run that replaces them (K4).
+
+    Returns what was replaced (dt, hour, run, bytes, files, n_out). Readers see the
+    old partitions until the merge commits and the new ones from then on; the old
+    folders stay until ``vacuum``, or the next merge. A merge that was interrupted is finished by the
+    next call or by ``compact``.
+    """
+    apply_conf(spark)
+    table_root = table_root.rstrip("/")
+    _resume(spark, table_root, {}, codec)
+    vacuum(spark, table_root)
+    run = uuid.uuid4().hex[:12]
+    path = RL.run_path(table_root, run, "replaces")
+    plan = merge_plan(partition_sizes(spark, table_root, stream), target_bytes, before)
+    plan.withColumn("stream", F.lit(stream)).coalesce(1).write.parquet(path)
+    plan = spark.read.parquet(path)
+    if plan.isEmpty():
+        nothing = spark.createDataFrame([], plan.drop("stream").schema)
+        inv.delete_paths(spark, [f"{path.rsplit('/', 1)[0]}/"])
+        return nothing
+    RL.set_state(spark, table_root, run, RL.RECORDED, kind="merge", stream=stream)
+    _write_merge(spark, table_root, run, stream, codec)
+    return plan.drop("stream")
+
+
+def _write_merge(spark: SparkSession, table_root: str, run: str, stream: str, codec: str, again: bool = False) -> None:
+    base = f"{table_root}/{stream}"
+    plan = spark.read.parquet(RL.run_path(table_root, run, "replaces"))
+    folders = sorted(f"{base}/dt={r['dt']}/hour={r['hour']}/run={r['run']}" for r in plan.collect())
+    fields = [*stream_schema(spark, base).fields, *[T.StructField(c, T.StringType()) for c in ("dt", "hour", "run")]]
+    rows = spark.read.schema(T.StructType(fields)).option("basePath", base).parquet(*folders)
+    n_out = plan.groupBy("dt", "hour").agg(F.max("n_out").alias("_n_out"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # rows go to the files of their hour by their place in the old ones, alike in every attempt
+    place = F.xxhash64("_metadata.file_path", "_metadata.row_index")
+    dealt = rows.withColumn("_place", place).join(n_out, ["dt", "hour"]) \
+        .withColumn("_file", F.pmod("_place", "_n_out"))
+    out = (dealt.withColumn("run", F.lit(run)).repartition(parts, "dt", "hour", "_file").drop("_n_out", "_file", "_place")
+           .write.option("compression", codec).partitionBy("dt", "hour", "run"))
+    if again:
+        out.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(base)
+    else:
+        out.mode("append").options(**COMMITTER).parquet(base)
+    RL.set_state(spark, table_root, run, RL.COMMITTED)
+
+
+def vacuum(spark: SparkSession, table_root: str) -> int:
+    """Delete the partition folders that committed merges replaced; returns how many.
+
+    Call it when no reader that began before the merge is left.
+    """
+    n = 0
+    for run in RL.snapshot(spark, table_root).of_state(RL.COMMITTED, "merge"):
+        plan = spark.read.schema(RL.REPLACES_SCHEMA).parquet(RL.run_path(table_root, run, "replaces"))
+        n += inv.delete_paths(spark, (f"{table_root.rstrip('/')}/{r['stream']}/dt={r['dt']}/hour={r['hour']}/run={r['run']}/"
+                                      for r in plan.toLocalIterator()))
+        RL.set_state(spark, table_root, run, None)
+    return n
 
 
+# ---------------------------------------------------------------- retention
 def purge_raw(spark: SparkSession, raw_root: str, table_root: str, now=None,
               keep_hours: float = 48, force: bool = False) -> int:
-    """Delete raw files older than the retention (K7); returns how many.
+    """Delete raw data older than the retention (K7); returns how many folders or flat files.
 
-    Unlike the original, an expired file that was never compacted is kept
-    unless ``force`` (its rows would otherwise be lost).
+    The claimed folder of a compacted run goes, with one delete, when its newest file
+    is older. Unlike the original, expired labels that were never compacted are
+    kept unless ``force`` (their rows would otherwise be lost): then a label goes
+    when its newest file is older. Empty flat files go in either case.
     """
-    inventory = inv.raw_inventory(spark, raw_root)
-    old = expired(inventory, now, keep_hours * 3600)
-    if not force:
-        done = read_manifest(spark, table_root, all_runs=True).select("path").distinct()
-        old = old.join(done, "path", "left_semi").unionByName(old.where(F.col("size") == 0))
-    return inv.delete_paths(spark, (r["path"] for r in old.select("path").distinct().toLocalIterator()))
+    raw_root = inv.qualified(spark, raw_root)
+    cutoff = int((_now(now).timestamp() - keep_hours * 3600) * 1000)
+    n = 0
+    for run, e in RL.snapshot(spark, table_root).runs.items():
+        if e["kind"] == "compact" and e["state"] == RL.KEPT and e["raw"] == raw_root and e["newest_ms"] < cutoff:
+            _clear_run(spark, table_root, run, raw_root)
+            n += 1
+    entries = inv.label_entries(spark, raw_root)
+    flat = entries.where(~F.col("is_dir"))
+    old = expired(flat if force else flat.where(F.col("size") == 0), now, keep_hours * 3600).select("path")
+    if force:
+        in_folder = inv.file_listing(spark, raw_root).withColumn("path", F.regexp_extract("path", r"^(.*/label=[^/]+)/", 1))
+        newest = in_folder.where(F.col("path") != "").groupBy("path").agg(F.max("mtime_ms").alias("mtime_ms"))
+        old = old.unionByName(expired(newest, now, keep_hours * 3600).select(F.concat("path", F.lit("/")).alias("path")))
+    return n + inv.delete_paths(spark, (r["path"] for r in old.toLocalIterator()))
 
 
 def purge_table(spark: SparkSession, table_root: str, stream: str, now=None,

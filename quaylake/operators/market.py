@@ -15,8 +15,11 @@ from pyspark.sql import Window
 
 from quaylake.functions import casts as C
 from quaylake.functions.predicates import is_open
+from quaylake.specs import SPECS
 
 MONEY = C.MONEY
+SIZE = "decimal(20,8)"
+DEPTH = "decimal(38,16)"
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[str], tie: list[str] | None = None) -> DataFrame:
@@ -32,6 +35,14 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[str], tie: list[s
               .select(*keys, *[F.col("_r")[c].alias(c) for c in rest]))
 
 
+def latest_of_stream(df: DataFrame, stream: str, order: list[str] | None = None, tie: list[str] | None = None) -> DataFrame:
+    """Latest row per key of a registered stream (X1, E1): the registry names the key."""
+    keys = list(SPECS[stream].key)
+    if not keys:
+        raise ValueError(f"{stream} has no key")
+    return latest_per_key(df, keys, order or ["_fetched_at"], tie)
+
+
 def lookup_by_id(df: DataFrame, key: str, value, order: list[str], tie: list[str] | None = None) -> DataFrame:
     """Single market / event by id (S11): the latest snapshot row of that id."""
     return latest_per_key(df.where(F.col(key) == F.lit(value)), [key], order, tie)
@@ -120,53 +131,62 @@ def two_key_join(left: DataFrame, right: DataFrame, left_key: str, right_keys: l
     return out
 
 
+def readable_levels(levels: Column | str) -> Column:
+    """Levels whose price and size are numbers, as (price, size) decimals; the others are skipped."""
+    c = F.col(levels) if isinstance(levels, str) else levels
+    parsed = F.transform(c, lambda x: F.struct(x["price"].try_cast(MONEY).alias("price"),
+                                               x["size"].try_cast(SIZE).alias("size")))
+    return F.filter(parsed, lambda x: x["price"].isNotNull() & x["size"].isNotNull())
+
+
 def best_prices(bids: Column | str, asks: Column | str) -> dict[str, Column]:
     """Best bid/ask, midpoint and spread from level arrays.
 
-    Level order is not trusted: max over bids, min over asks.
+    Level order is not trusted: max over bids, min over asks, of the readable levels.
     """
-    b = F.col(bids) if isinstance(bids, str) else bids
-    a = F.col(asks) if isinstance(asks, str) else asks
-    best_bid = F.array_max(F.transform(b, lambda x: x["price"].try_cast(MONEY)))
-    best_ask = F.array_min(F.transform(a, lambda x: x["price"].try_cast(MONEY)))
+    best_bid = F.array_max(F.transform(readable_levels(bids), lambda x: x["price"]))
+    best_ask = F.array_min(F.transform(readable_levels(asks), lambda x: x["price"]))
     return {"best_bid": best_bid, "best_ask": best_ask,
             "midpoint": (best_bid + best_ask) / F.lit(2), "spread": best_ask - best_bid}
 
 
-def _side(levels: Column, best) -> Column:
-    """One pass over a side: best price, notional depth and the number of unreadable levels.
-
-    A level counts when its price and size are numbers; others are skipped and counted.
-    """
-    start = F.struct(F.lit(None).cast(MONEY).alias("best"), F.lit(0).cast("decimal(38,16)").alias("depth"),
-                     F.lit(0).alias("bad"))
-
-    def step(acc, x):
-        price, size = x["price"].try_cast(MONEY), x["size"].try_cast("decimal(20,8)")
-        fits = price.isNotNull() & size.isNotNull()
-        notional = (price.cast("decimal(20,8)") * size).cast("decimal(38,16)")
-        return F.struct(
-            F.when(fits, F.coalesce(best(acc["best"], price), price)).otherwise(acc["best"]).alias("best"),
-            F.when(fits, (acc["depth"] + F.coalesce(notional, F.lit(0))).cast("decimal(38,16)"))
-            .otherwise(acc["depth"]).alias("depth"),
-            F.when(fits, acc["bad"]).otherwise(acc["bad"] + 1).alias("bad"))
-    return F.aggregate(levels, start, step)
+def _depth(levels: Column) -> Column:
+    """Sum of price times size over readable levels."""
+    return F.aggregate(levels, F.lit(0).cast(DEPTH), lambda total, x: (
+        total + F.coalesce((x["price"].cast(SIZE) * x["size"]).cast(DEPTH), F.lit(0).cast(DEPTH))).cast(DEPTH))
 
 
 def book_quote(df: DataFrame, bids: str = "bids", asks: str = "asks", keep: list[str] | None = None) -> DataFrame:
-    """Best bid/ask, midpoint, spread, notional depth per side and skipped levels."""
-    sides = df.select(*(keep or []), _side(F.col(bids), F.greatest).alias("_b"), _side(F.col(asks), F.least).alias("_a"))
-    bid, ask = F.col("_b.best"), F.col("_a.best")
-    return sides.select(*(keep or []), bid.alias("best_bid"), ask.alias("best_ask"),
-                        ((bid + ask) / F.lit(2)).alias("midpoint"), (ask - bid).alias("spread"),
-                        F.col("_b.depth").alias("bid_depth"), F.col("_a.depth").alias("ask_depth"),
-                        (F.col("_b.bad") + F.col("_a.bad")).alias("bad_levels"))
-
+    """Best bid/ask, midpoint, spread, notional depth per side and skipped levels.
 
-def token_quote(books: DataFrame, token, field: str, order: list[str], tie: list[str] | None = None,
+    The levels are parsed in a projection of their own; prices and depth read the
+    decimals.
+    """
+    keep = keep or []
+    read = df.select(*keep, readable_levels(bids).alias("_b"), readable_levels(asks).alias("_a"),
+                     (F.coalesce(F.size(bids), F.lit(0)) + F.coalesce(F.size(asks), F.lit(0))).alias("_n"))
+    best = read.select(*keep, "_b", "_a", "_n", F.array_max(F.col("_b.price")).alias("best_bid"),
+                       F.array_min(F.col("_a.price")).alias("best_ask"))
+    bid, ask = F.col("best_bid"), F.col("best_ask")
+    return best.select(*keep, "best_bid", "best_ask", ((bid + ask) / F.lit(2)).alias("midpoint"),
+                       (ask - bid).alias("spread"), _depth(F.col("_b")).alias("bid_depth"),
+                       _depth(F.col("_a")).alias("ask_depth"),
+                       (F.col("_n") - F.coalesce(F.size("_b"), F.lit(0)) - F.coalesce(F.size("_a"), F.lit(0)))
+                       .cast("int").alias("bad_levels"))
+
+
+def token_quote(df: DataFrame, token, field: str, order: list[str], tie: list[str] | None = None,
                 key: str = "asset_id") -> DataFrame:
-    """One field (best_bid, best_ask, midpoint or spread) of one token's latest book."""
-    last = lookup_by_id(books, key, token, order, tie)
+    """One field of one token's latest row.
+
+    Of books: best_bid, best_ask, midpoint, spread, or ``book`` for the levels
+    themselves. Of prices: ``price``, as it was sent.
+    """
+    last = lookup_by_id(df, key, token, order, tie)
+    if field == "book":
+        return last.select(key, "bids", "asks")
+    if field == "price":
+        return last.select(key, "price")
     return last.select(key, best_prices("bids", "asks")[field].alias(field))
 
 

@@ -566,6 +566,28 @@ def token_quote_q(spark, sf):
         .withColumn("midpoint", F.col("midpoint").cast("double"))
 
 
+@query("token_fields", f"""
+WITH last AS (SELECT * FROM {_BOOKS_SQL} WHERE l_partkey IN (SELECT min(l_partkey) FROM lineitem)
+              QUALIFY row_number() OVER (PARTITION BY l_partkey ORDER BY l_shipdate DESC, l_orderkey DESC, l_linenumber DESC) = 1)
+SELECT 'price' AS field, 0 AS rank, CAST(l_extendedprice AS VARCHAR) AS value
+FROM (SELECT * FROM lineitem WHERE l_partkey IN (SELECT min(l_partkey) FROM lineitem)
+      QUALIFY row_number() OVER (PARTITION BY l_partkey ORDER BY l_shipdate DESC, l_orderkey DESC, l_linenumber DESC) = 1)
+UNION ALL SELECT 'bid', i - 1, bids[i].price || '@' || bids[i].size FROM last, range(1, 3) t(i)
+UNION ALL SELECT 'ask', i - 1, asks[i].price || '@' || asks[i].size FROM last, range(1, 3) t(i)""")
+def token_fields(spark, sf):
+    """Price and book of one token, the smallest that was traded."""
+    li = table(spark, sf, "lineitem")
+    token = li.agg(F.min("l_partkey").alias("m")).first()["m"]
+    order, tie = ["l_shipdate"], ["l_orderkey", "l_linenumber"]
+    price = M.token_quote(li.withColumn("price", F.col("l_extendedprice").cast("string")), token, "price", order, tie,
+                          key="l_partkey")
+    book = M.token_quote(_books(li).withColumnRenamed("l_partkey", "asset_id"), token, "book", order, tie)
+    levels = M.explode_book_levels(book, ["asset_id"])
+    return (price.select(F.lit("price").alias("field"), F.lit(0).cast("bigint").alias("rank"), F.col("price").alias("value"))
+            .unionByName(levels.select(F.col("side").alias("field"), F.col("rank").cast("bigint").alias("rank"),
+                                       F.concat_ws("@", "price", "size").alias("value"))))
+
+
 @query("book_levels", f"""
 SELECT l_orderkey, l_linenumber, 'bid' AS side, i - 1 AS rank, bids[i].price AS price, bids[i].size AS size
 FROM {_BOOKS_SQL}, range(1, 3) t(i)

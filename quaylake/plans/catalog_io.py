@@ -63,7 +63,7 @@ def _land_events(spark, sf, raw, where=None):
 
 def shared_lake(spark, sf):
     """Land all events hourly, add a broken copy of every 'error' event, an
-    empty file and a stray stem; compact. Kept per application and input folder."""
+    empty file and a stray stem; list; compact. Kept per application and input folder."""
     key = (spark.sparkContext.applicationId, sf)
     if key in _SHARED:
         return _SHARED[key]
@@ -74,8 +74,13 @@ def shared_lake(spark, sf):
               .select(L.hour_label(L.from_epoch_seconds("_fetched_at")).alias("label"),
                       F.format_string('{"event_id":%d,"ts_us":', "event_id").alias("value")))
     land_lines(json_lines(recs, EVENTS_STREAM).unionByName(broken), raw, EVENTS_STREAM)
-    inv.write_text_file(spark, f"{raw}/{EVENTS_STREAM}/label=2024-01-02T03/empty.json", "")
+    # a collector's own file, logged as it is landed
+    empty = f"{raw}/{EVENTS_STREAM}/label=2024-01-02T03/empty.json"
+    inv.write_text_file(spark, empty, "")
+    inv.log_files(spark.range(1).select(F.lit(empty).alias("path"), F.lit(0).alias("size"), F.lit(0).alias("mtime_ms")),
+                  raw, "collector-1")
     inv.write_text_file(spark, f"{raw}/{EVENTS_STREAM}/old.jsonl", '{"event_id":-1}\n')
+    CP.classify(inv.raw_inventory(spark, raw), FIXED_NOW).write.parquet(f"{root}/inventory")
     report = CP.compact(spark, raw, f"{root}/table", now=FIXED_NOW, ddl={EVENTS_STREAM: EVENTS_DDL})
     _SHARED[key] = (root, report)
     return _SHARED[key]
@@ -98,7 +103,7 @@ def compact_roundtrip(spark, sf):
     """Everything landed comes back, from at most one file per stream-hour and writer."""
     root, _ = shared_lake(spark, sf)
     t = scan_table(spark, f"{root}/table", EVENTS_STREAM, keep_src=True)
-    raw_files = CP.run_files(spark, f"{root}/table").where(F.col("status") == "eligible").count()
+    raw_files = CP.run_files(spark, f"{root}/table").where(F.col("status") == "compacted").count()
     table_files = inv.file_listing(spark, f"{root}/table/{EVENTS_STREAM}").where(F.col("path").endswith(".parquet")).count()
     hours = t.select("dt", "hour").distinct().count()
     assert table_files < raw_files or table_files == hours, f"{raw_files} raw files became {table_files}"
@@ -133,7 +138,7 @@ UNION ALL SELECT '2024-01-02T03', 'empty'
 UNION ALL SELECT 'old', 'bad_label'""")
 def inventory_eligible(spark, sf):
     root, _ = shared_lake(spark, sf)
-    return CP.run_files(spark, f"{root}/table").select("label", "status").distinct()
+    return spark.read.parquet(f"{root}/inventory").select("label", "status").distinct()
 
 
 @query("fetched_after", f"""
@@ -240,21 +245,49 @@ SELECT event_id, strftime(ts, '%Y-%m-%d') AS dt, strftime(ts, '%H') AS hour FROM
 def scan_hour_files_q(spark, sf):
     """Rewrite the compacted table in the original ``dt=/hour=HH.parquet`` file layout, read it back."""
     root, _ = shared_lake(spark, sf)
-    t = scan_table(spark, f"{root}/table", EVENTS_STREAM)
+    t = scan_table(spark, f"{root}/table", EVENTS_STREAM).drop("_extra", "_cast_errors")
     out = scratch_dir(spark, "hourfiles")
-    stage = f"{out}/_stage"
-    t.repartition("dt", "hour").write.partitionBy("dt", "hour").parquet(stage)
-    for path, _, _ in inv.list_files(spark, stage):
-        d, h = _dt_hour_of(path)
-        inv.mkdirs(spark, f"{out}/{EVENTS_STREAM}/dt={d}")
-        inv.rename(spark, path, f"{out}/{EVENTS_STREAM}/dt={d}/hour={h}.parquet")
-    return scan_hour_files(spark, out, EVENTS_STREAM).select("event_id", "dt", "hour")
+    (t.repartition("dt", "hour").withColumn("hour", F.concat("hour", F.lit(".parquet")))
+     .write.partitionBy("dt", "hour").parquet(f"{out}/{EVENTS_STREAM}"))
+    return scan_hour_files(spark, out, EVENTS_STREAM, EVENTS_DDL).select("event_id", "dt", "hour")
+
+
+@query("merge_runs", f"""
+SELECT event_id, strftime(ts, '%Y-%m-%d') AS dt, strftime(ts, '%H') AS hour FROM events WHERE {_CLOSED}""")
+def merge_runs(spark, sf):
+    """Three runs into the same hours, merged: readers see every row once before, between and after (K4)."""
+    root = scratch_dir(spark, "merge")
+    raw, tbl = f"{root}/raw", f"{root}/table"
+    ddl = {EVENTS_STREAM: EVENTS_DDL}
+    for third in range(3):
+        _land_events(spark, sf, raw, F.col("event_id") % 3 == third)
+        CP.compact(spark, raw, tbl, now=FIXED_NOW, ddl=ddl)
+    before = scan_table(spark, tbl, EVENTS_STREAM).count()
+    old = CP.partition_sizes(spark, tbl, EVENTS_STREAM)
+    hours, folders = old.select("dt", "hour").distinct().count(), old.count()
+    replaced = CP.merge_hours(spark, tbl, EVENTS_STREAM)
+    # committed, and what it replaced still lies there
+    assert scan_table(spark, tbl, EVENTS_STREAM).count() == before, "a reader in between does not see every row once"
+    gone = CP.vacuum(spark, tbl)
+    left = CP.partition_sizes(spark, tbl, EVENTS_STREAM).agg(F.count("*").alias("n"), F.sum("files").alias("files")).first()
+    assert gone == replaced.count() and left["n"] == left["files"] == hours <= folders, "an hour has more than one file"
+    return scan_table(spark, tbl, EVENTS_STREAM).select("event_id", "dt", "hour")
 
 
-def _dt_hour_of(path: str) -> tuple[str, str]:
-    import re
-    m = re.search(r"/dt=([^/]+)/hour=([^/]+)/", path)
-    return m.group(1), m.group(2)
+@query("landed_batches", """
+SELECT event_id, count(*)::BIGINT AS n, strftime(ts, '%Y-%m-%dT%H') AS label FROM events GROUP BY event_id, ts""")
+def landed_batches(spark, sf):
+    """Every event in one of two batches, each sent twice, the second once more after a cut-off attempt (K2)."""
+    root = scratch_dir(spark, "batches")
+    recs = event_records(spark, sf)
+    for name in ("b0", "b0", "b1", "b1"):
+        land_jsonl(recs.where(F.col("event_id") % 2 == int(name[1])), root, EVENTS_STREAM, batch=name)
+    # as if b1 had stopped before it was marked as done
+    inv.delete_paths(spark, [f"{root}/{inv.LANDED_DIR}/done/{EVENTS_STREAM.replace('/', '%2F')}/b1"])
+    land_jsonl(recs.where(F.col("event_id") % 2 == 1), root, EVENTS_STREAM, batch="b1")
+    t = spark.read.schema("value STRING, label STRING, slice STRING").text(f"{root}/{EVENTS_STREAM}")
+    return (t.select(J.key_text("value", "event_id").cast("bigint").alias("event_id"), "label")
+            .groupBy("event_id", "label").agg(F.count("*").alias("n")))
 
 
 # ---------------------------------------------------------------- JSONL scan
@@ -463,6 +496,33 @@ def state_roundtrip(spark, sf):
     return state["ids"]
 
 
+@query("state_delta", """
+SELECT 'customer' AS kind, CAST(c_custkey AS VARCHAR) AS id,
+       CASE WHEN c_custkey % 100 = 1 THEN 0.5 ELSE c_acctbal END AS first_seen FROM customer WHERE c_custkey % 100 <> 2""")
+def state_delta(spark, sf):
+    """Saves of 1 % new, 1 % changed and 1 % removed ids write just those; a reader of the pointer before stays whole (K9)."""
+    c = table(spark, sf, "customer")
+    key, seen = F.col("c_custkey"), F.col("c_acctbal")
+
+    def ids(where, first_seen=seen):
+        return c.where(where).select(F.lit("customer").alias("kind"), key.cast("string").alias("id"),
+                                     first_seen.alias("first_seen"))
+    root = scratch_dir(spark, "state-delta")
+    changed = F.when(key % 100 == 1, 0.5).otherwise(seen)
+    before = ids(key % 100 != 0)
+    ST.save_state(spark, root, {"ids": before})
+    old = ST.read_pointer(spark, root)
+    for given in (ids(key >= 0), ids(key >= 0, changed), ids(key % 100 != 2, changed)):
+        step = len(ST.read_pointer(spark, root)["tables"]["ids"]["parts"]) - 1
+        one_percent = c.where((key % 100 == step) & ((key % 100 != 1) | (seen != 0.5))).count()
+        assert ST.save_state(spark, root, {"ids": given})
+        part = ST.read_pointer(spark, root)["tables"]["ids"]["parts"][-1]
+        assert spark.read.parquet(f"{root}/{part}").count() == one_percent, "a save wrote more than what changed"
+    assert not ST.save_state(spark, root, {"ids": ids(key % 100 != 2, changed)})
+    assert ST.load_state(spark, root, old)["ids"].count() == before.count(), "the older version is not whole"
+    return ST.load_state(spark, root)["ids"]
+
+
 # ---------------------------------------------------------------- streaming
 def _stream_frames(spark, sf):
     """Market frames (the detect_route shapes) with a ``seq`` key, plus arrival time."""
@@ -567,7 +627,38 @@ def stream_new_ids(spark, sf):
     for part in (frames.where(F.col("_fetched_at") < cut), frames.where(F.col("_fetched_at") >= cut)):
         S.land_frames(part, f"{root}/frames")
         _run(S.new_ids_stream(spark, f"{root}/frames", f"{root}/out", f"{root}/ckpt", id_path="$.user"))
-    return spark.read.parquet(f"{root}/out").select("id", F.unix_micros("first_seen").alias("first_seen_us"))
+    return S.read_new_ids(spark, f"{root}/out").select("id", F.unix_micros("first_seen").alias("first_seen_us"))
+
+
+@query("stream_known_ids", """
+SELECT CAST(user_id AS VARCHAR) AS id, min(epoch_us(ts)) AS first_seen_us FROM events WHERE user_id % 3 <> 0 GROUP BY user_id""")
+def stream_known_ids(spark, sf):
+    """A third of the ids lie in an id table before the stream begins; later micro-batches read their frames alone."""
+    root = scratch_dir(spark, "stream-known")
+    ev = table(spark, sf, "events")
+    (ev.where(F.col("user_id") % 3 == 0).select(F.col("user_id").cast("string").alias("id"),
+                                                F.col("ts").cast("timestamp").alias("first_seen"))
+     .groupBy("id").agg(F.min("first_seen").alias("first_seen")).write.parquet(f"{root}/known"))
+    frames = ev.select(F.lit("ws_market").alias("channel"), F.format_string('{"user":%d}', "user_id").alias("raw"),
+                       L.epoch_seconds("ts").alias("_fetched_at"))
+    for day, (first, last) in enumerate((("2024-01-01", "2024-01-11"), ("2024-01-11", "2024-01-21"), ("2024-01-21", "2024-03-01"))):
+        between = (F.col("_fetched_at") >= _epoch(first)) & (F.col("_fetched_at") < _epoch(last))
+        part = frames.where(between)
+        S.land_frames(part, f"{root}/frames")
+        q = S.new_ids_stream(spark, f"{root}/frames", f"{root}/out", f"{root}/ckpt", known_path=f"{root}/known")
+        _run(q)
+        if day:
+            assert _rows_read(q) == part.count(), "a later micro-batch read more than its frames"
+    return S.read_new_ids(spark, f"{root}/out").select("id", F.unix_micros("first_seen").alias("first_seen_us"))
+
+
+def _epoch(day: str) -> float:
+    return dt.datetime.fromisoformat(day).replace(tzinfo=dt.timezone.utc).timestamp()
+
+
+def _rows_read(q) -> int:
+    """Rows that the micro-batches of a finished run took in."""
+    return sum(p["numInputRows"] for p in q.recentProgress)
 
 
 def _stream_hourly_sql(late: str):
@@ -610,6 +701,106 @@ def closed_hours(spark, sf):
     return counts.groupBy("label").agg(F.sum("n").alias("n"))
 
 
+_LATE = "event_type = 'error' AND ts < TIMESTAMP '2024-01-11'"
+
+
+def _routed_sql():
+    from quaylake.plans.catalog import _DETECT_FRAME_SQL, _DETECT_SQL, _ROUTE_SQL
+    return f"""
+SELECT event_id, ts, event_type, strftime(ts, '%Y-%m-%dT%H') AS label, 'ws_market/' || ({_ROUTE_SQL}) AS stream
+FROM (SELECT *, {_DETECT_SQL} AS t FROM (SELECT *, {_DETECT_FRAME_SQL} AS f FROM events))"""
+
+
+@query("stream_closed", f"""
+WITH r AS ({_routed_sql()}),
+run AS (SELECT *, CASE WHEN {_LATE} THEN 2 WHEN ts < TIMESTAMP '2024-01-11' THEN 1
+                       WHEN ts < TIMESTAMP '2024-01-21' THEN 2 ELSE 3 END AS run FROM r),
+flagged AS (SELECT *, run = 2 AND {_LATE} AND date_trunc('hour', ts) + INTERVAL 1 HOUR
+                   <= (SELECT max(ts) FROM run WHERE run = 1) AS late FROM run)
+SELECT label, stream, 'closed' AS kind, count(*)::BIGINT AS n FROM flagged
+WHERE NOT late AND date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM run) GROUP BY ALL
+UNION ALL SELECT label, stream, 'late', count(*)::BIGINT FROM flagged WHERE late GROUP BY ALL""")
+def stream_closed(spark, sf):
+    """Three runs: each hour is emitted once, as the watermark passes its end; what came after that is flagged."""
+    root = scratch_dir(spark, "stream-closed")
+    frames = _stream_frames(spark, sf)
+    at, late = F.col("_fetched_at"), F.col("event_type") == "error"
+    first, second = at < _epoch("2024-01-11"), at < _epoch("2024-01-21")
+    for part in (first & ~late, (first & late) | (~first & second), ~second):
+        S.land_frames(frames.where(part), f"{root}/frames")
+        _run(S.hourly_stream(spark, f"{root}/frames", f"{root}/counts", f"{root}/ckpt-counts"))
+        _run(S.closed_hours_stream(spark, f"{root}/counts", f"{root}/ckpt-counts", f"{root}/closed", f"{root}/ckpt-closed"))
+    closed = S.read_closed_hours(spark, f"{root}/closed")
+    assert closed.select("slice").distinct().count() >= 3, "hours were not emitted run by run"
+    late_rows = S.read_counts(spark, f"{root}/counts").where("late").groupBy("label", "stream").agg(F.sum("n").alias("n"))
+    return (closed.select("label", "stream", F.lit("closed").alias("kind"), "n")
+            .unionByName(late_rows.select("label", "stream", F.lit("late").alias("kind"), "n")))
+
+
+@query("stream_marks", f"""
+WITH r AS ({_routed_sql()}),
+half AS (SELECT *, ts < TIMESTAMP '2024-01-15' AS early FROM r)
+SELECT label, stream, count(*)::BIGINT AS n,
+       sum(CASE WHEN event_type = 'error' AND date_trunc('hour', ts) + INTERVAL 1 HOUR <= mark THEN 1 ELSE 0 END)::BIGINT AS n_late
+FROM half JOIN (SELECT early, max(ts) AS mark FROM half WHERE event_type <> 'error' GROUP BY early) USING (early) GROUP BY ALL""")
+def stream_marks(spark, sf):
+    """Two streams with clocks two weeks apart write one folder in turn; each row is late by its own stream's mark."""
+    root = scratch_dir(spark, "stream-marks")
+    frames = _stream_frames(spark, sf)
+    early, late = F.col("_fetched_at") < _epoch("2024-01-15"), F.col("event_type") == "error"
+    for name, part in (("b", ~early & ~late), ("a", early & ~late), ("b", ~early & late), ("a", early & late)):
+        S.land_frames(frames.where(part), f"{root}/frames-{name}")
+        _run(S.hourly_stream(spark, f"{root}/frames-{name}", f"{root}/out", f"{root}/ckpt-{name}"))
+    return S.hourly_counts(spark, f"{root}/out")
+
+
+@query("byte_frames", f"""
+WITH r AS ({_routed_sql()})
+SELECT event_id AS seq, CASE WHEN event_type <> 'error' THEN stream END AS stream,
+       CASE WHEN event_type = 'error' THEN 'bad_utf8' END AS reason FROM r""")
+def byte_frames(spark, sf):
+    """Frames as bytes: UTF-8 text is routed, malformed bytes go to the quarantine, whole."""
+    root = scratch_dir(spark, "byte-frames")
+    whole = F.to_binary(F.col("raw"), F.lit("utf-8"))
+    # a two-byte sequence whose second byte is none
+    payload = F.when(F.col("event_type") == "error", F.concat(whole, F.lit(b"\xc3("))).otherwise(whole)
+    S.land_frames(_stream_frames(spark, sf).withColumn("payload", payload), f"{root}/frames")
+    _run(S.route_stream(spark, f"{root}/frames", f"{root}/raw", f"{root}/quarantine", f"{root}/ckpt", payload=True))
+    good = _read_seq(spark, f"{root}/raw").select("seq", "stream", F.lit(None).cast("string").alias("reason"))
+    if not inv.exists(spark, f"{root}/quarantine"):
+        return good
+    bad = spark.read.parquet(f"{root}/quarantine")
+    text = F.decode(F.unbase64("raw"), "ISO-8859-1")
+    return good.unionByName(bad.select(F.regexp_extract(text, r'"seq":(\d+)', 1).cast("bigint").alias("seq"),
+                                       F.lit(None).cast("string").alias("stream"), "reason"))
+
+
+@query("stream_ticks", _stream_route_sql())
+def stream_ticks(spark, sf):
+    """A stream on a clock: frames, control frames alone, nothing, and frames again; only records are written."""
+    root = scratch_dir(spark, "stream-ticks")
+    frames = _stream_frames(spark, sf)
+    half = F.col("event_id") % 2 == 0
+    controls = frames.withColumn("raw", F.lit(" PONG ")).limit(50)
+    q = None
+    try:
+        for part in (frames.where(half), controls, None, frames.where(~half)):
+            if part is not None:
+                S.land_frames(part, f"{root}/frames")
+            if q is None:
+                q = S.route_stream(spark, f"{root}/frames", f"{root}/raw", f"{root}/quarantine", f"{root}/ckpt",
+                                   available_now=False, interval="500 milliseconds")
+            q.processAllAvailable()
+        ticks = [p for p in q.recentProgress if p["numInputRows"]]
+    finally:
+        if q is not None:
+            q.stop()
+    slices = {p.split("/slice=")[1].split("/")[0] for p in inv.folders_of(spark, f"{root}/raw")}
+    assert len(ticks) == 3 and len(slices) == 2, f"{len(ticks)} ticks with frames wrote {len(slices)} slices"
+    assert not inv.exists(spark, f"{root}/quarantine"), "control frames were quarantined"
+    return _read_seq(spark, f"{root}/raw")
+
+
 # ---------------------------------------------------------------- reference lists (S12), progress
 @query("reference_tables", """
 SELECT 'tags' AS kind, n_nationkey, i AS item_no,

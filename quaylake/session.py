@@ -26,9 +26,13 @@ RUNTIME_CONF = {
     "spark.sql.parquet.compression.codec": "zstd",
     # writes partitioned by label and hour cost per output file: small batches keep
     # their parallelism instead of being coalesced into one writer task
-    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "4k",
     # folders are listed in a few tasks, not in one task each
     "spark.sql.sources.parallelPartitionDiscovery.parallelism": "32",
+    # keyed state of streams lies on disk, and a checkpoint costs what changed, not what is known
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     # feeds may repeat a key; like the collector's decoder, accept it (last wins)
     "spark.sql.variant.allowDuplicateKeys": "true",
 }

@@ -6,6 +6,7 @@ metadata only: one row per landed file, never file contents.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,6 +20,9 @@ INVENTORY_SCHEMA = T.StructType([
     T.StructField("size", T.LongType(), False),
     T.StructField("mtime_ms", T.LongType(), False),
 ])
+ENTRY_SCHEMA = "path STRING, is_dir BOOLEAN, size BIGINT, mtime_ms BIGINT"
+# under a raw root: what batches wrote, and which of them are finished
+LANDED_DIR = "_landed"
 
 
 def _jvm(spark: SparkSession):
@@ -43,6 +47,18 @@ def norm_path_py(path: str) -> str:
     return re.sub(r"^file:/+", "/", path)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` as listings name it, with its file system unless that is the local one."""
+    fs, jpath = _fs(spark, path)
+    return norm_path_py(fs.makeQualified(jpath).toString()).rstrip("/")
+
+
+def _hidden(path: str, root: str) -> bool:
+    """True when the file, or a folder between it and ``root``, is a marker or not for readers."""
+    inside = path[len(root):] if path.startswith(root) else path.rsplit("/", 1)[-1]
+    return any(part.startswith((".", "_")) for part in inside.split("/"))
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, jpath = _fs(spark, path)
     return bool(fs.exists(jpath))
@@ -56,17 +72,13 @@ def list_files(spark: SparkSession, root: str, suffixes: tuple[str, ...] = ()) -
     fs, jpath = _fs(spark, root)
     if not fs.exists(jpath):
         return []
-    out = []
+    out, base = [], qualified(spark, root)
     it = fs.listFiles(jpath, True)
     while it.hasNext():
         st = it.next()
-        p = st.getPath()
-        name = p.getName()
-        if name.startswith((".", "_")):
-            continue
-        if suffixes and not name.endswith(suffixes):
-            continue
-        out.append((norm_path_py(p.toString()), int(st.getLen()), int(st.getModificationTime())))
+        path = norm_path_py(st.getPath().toString())
+        if not _hidden(path, base) and (not suffixes or path.endswith(suffixes)):
+            out.append((path, int(st.getLen()), int(st.getModificationTime())))
     return out
 
 
@@ -75,44 +87,71 @@ def metadata_path() -> Column:
     return norm_path(F.url_decode(F.regexp_replace(F.col("_metadata.file_path"), r"\+", "%2B")))
 
 
-def empty_files(spark: SparkSession, root: str) -> list[tuple[str, int, int]]:
-    """Zero-length files (path, 0, mtime ms); the listing streams by and only they are kept."""
-    fs, jpath = _fs(spark, root)
-    out = []
-    it = fs.listFiles(jpath, True)
-    while it.hasNext():
-        st = it.next()
-        if st.getLen() == 0 and not st.getPath().getName().startswith((".", "_")):
-            out.append((norm_path_py(st.getPath().toString()), 0, int(st.getModificationTime())))
-    return out
-
-
 def has_data(spark: SparkSession, root: str) -> bool:
     """True when a data file lies under ``root``."""
     fs, jpath = _fs(spark, root)
-    it = fs.listFiles(jpath, True)
+    it, base = fs.listFiles(jpath, True), qualified(spark, root)
     while it.hasNext():
-        if not it.next().getPath().getName().startswith((".", "_")):
+        if not _hidden(norm_path_py(it.next().getPath().toString()), base):
             return True
     return False
 
 
+def scan_listing(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(path, size, mtime_ms) of the non-empty files under ``paths``: a ``binaryFile`` scan that reads no contents."""
+    if not paths:
+        return spark.createDataFrame([], INVENTORY_SCHEMA)
+    scan = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+    return scan.select(norm_path("path").alias("path"), F.col("length").alias("size"),
+                       F.unix_millis("modificationTime").alias("mtime_ms"))
+
+
 def file_listing(spark: SparkSession, root: str) -> DataFrame:
     """(path, size, mtime_ms) of every data file under ``root``, listed by Spark.
 
     Non-empty files come from a column-pruned ``binaryFile`` scan (file contents
     are never read; listing is parallel for large trees). That source skips
-    zero-length files, so those are added from the file system's own listing.
+    zero-length files, so those come from the landing log kept under ``root``.
     """
     if not exists(spark, root):
         return spark.createDataFrame([], INVENTORY_SCHEMA)
-    scan = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-            if has_data(spark, root) else None)
-    empty = spark.createDataFrame(empty_files(spark, root), INVENTORY_SCHEMA)
-    if scan is None:
-        return empty
-    return scan.select(norm_path("path").alias("path"), F.col("length").alias("size"),
-                       F.unix_millis("modificationTime").alias("mtime_ms")).unionByName(empty)
+    found = scan_listing(spark, [root]) if has_data(spark, root) else spark.createDataFrame([], INVENTORY_SCHEMA)
+    empty = logged_files(spark, root).where(F.col("size") == 0).join(found.select("path"), "path", "left_anti")
+    return found.unionByName(empty.select(*found.columns))
+
+
+def log_files(files: DataFrame, raw_root: str, batch: str) -> None:
+    """Add (path, size, mtime_ms) of the files that ``batch`` wrote to the landing log; again replaces its entry."""
+    (files.select(norm_path("path").alias("path"), F.col("size").cast("long"), F.col("mtime_ms").cast("long"))
+     .write.mode("overwrite").parquet(f"{raw_root.rstrip('/')}/{LANDED_DIR}/files/batch={batch}"))
+
+
+def trim_log(spark: SparkSession, raw_root: str, gone: DataFrame) -> None:
+    """Rewrite the landing log without the files of the label entries ``gone`` (path, before_ms) written up to then.
+
+    What is left is about files that still wait for compaction, so the log does not
+    grow with the history. Interrupted halfway it names some files twice, which
+    ``logged_files`` reads as once.
+    """
+    path = f"{raw_root.rstrip('/')}/{LANDED_DIR}/files"
+    batches = list_dirs(spark, path)
+    if not batches:
+        return
+    log = logged_files(spark, raw_root).withColumn("entry", F.regexp_extract("path", r"^(.*/label=[^/]+)/", 1))
+    log = log.withColumn("entry", F.when(F.col("entry") != "", F.col("entry")).otherwise(F.col("path")))
+    left = log.alias("f").join(gone.alias("g"), F.expr("f.entry = g.path AND f.mtime_ms <= g.before_ms"), "left_anti")
+    log_files(left.select("path", "size", "mtime_ms"), raw_root, f"trim-{uuid.uuid4().hex[:12]}")
+    delete_paths(spark, [f"{b}/" for b in batches])
+
+
+def logged_files(spark: SparkSession, raw_root: str) -> DataFrame:
+    """Files in the landing log, each once as it was last written. Files that compaction removed are still named."""
+    path = f"{raw_root.rstrip('/')}/{LANDED_DIR}/files"
+    if not exists(spark, path):
+        return spark.createDataFrame([], INVENTORY_SCHEMA)
+    log = spark.read.schema(INVENTORY_SCHEMA).option("recursiveFileLookup", "true").parquet(path)
+    last = F.max_by(F.struct("size", "mtime_ms"), F.struct("mtime_ms", "size"))
+    return log.groupBy("path").agg(last.alias("x")).select("path", "x.size", "x.mtime_ms")
 
 
 def raw_inventory(spark: SparkSession, raw_root: str) -> DataFrame:
@@ -125,6 +164,30 @@ def raw_inventory(spark: SparkSession, raw_root: str) -> DataFrame:
               .orderBy("path"))
 
 
+def label_entries(spark: SparkSession, raw_root: str) -> DataFrame:
+    """One row per label of a stream: its ``label=`` folder, or its flat file (path, is_dir, size, mtime_ms, stream, label).
+
+    The walk stops at the label folders, so the driver makes one listing per stream
+    folder and holds one row per label, whatever the number of files in them.
+    """
+    fs, jpath = _fs(spark, raw_root)
+    rows, todo = [], [jpath] if fs.exists(jpath) else []
+    while todo:
+        for st in fs.listStatus(todo.pop()):
+            p = st.getPath()
+            name, is_dir = p.getName(), st.isDirectory()
+            if name.startswith((".", "_")):
+                continue
+            if is_dir and not name.startswith("label="):
+                todo.append(p)
+            else:
+                rows.append((norm_path_py(p.toString()), is_dir, 0 if is_dir else int(st.getLen()),
+                             int(st.getModificationTime())))
+    df = spark.createDataFrame(rows, ENTRY_SCHEMA)
+    inside = F.when(F.col("is_dir"), F.concat("path", F.lit("/"))).otherwise(F.col("path"))
+    return (df.withColumn("stream", L.stream_of_path(inside, raw_root)).withColumn("label", L.label_of_path(inside)))
+
+
 def delete_paths(spark: SparkSession, paths: Iterable[str], recursive: bool = False) -> int:
     """Delete files (and directories given with a trailing ``/``), one at a time as they come."""
     n = 0
@@ -138,10 +201,10 @@ def delete_paths(spark: SparkSession, paths: Iterable[str], recursive: bool = Fa
     return n
 
 
-def write_text_file(spark: SparkSession, path: str, text: str) -> None:
-    """Small driver-side file write (state pointers, fixtures). Overwrites."""
+def write_text_file(spark: SparkSession, path: str, text: str, overwrite: bool = True) -> None:
+    """Small driver-side file write (state pointers, fixtures)."""
     fs, jpath = _fs(spark, path)
-    out = fs.create(jpath, True)
+    out = fs.create(jpath, overwrite)
     try:
         out.write(bytearray(text.encode("utf-8")))
     finally:
@@ -179,6 +242,17 @@ def list_dirs(spark: SparkSession, root: str) -> list[str]:
     return [norm_path_py(st.getPath().toString()) for st in fs.listStatus(jpath) if st.isDirectory()]
 
 
+def folders_of(spark: SparkSession, root: str) -> set[str]:
+    """Folders under ``root`` that hold a data file."""
+    return {p.rsplit("/", 1)[0] for p, _, _ in list_files(spark, root)}
+
+
+def child_names(spark: SparkSession, root: str) -> list[str]:
+    """Names of what lies directly under ``root``."""
+    fs, jpath = _fs(spark, root)
+    return [st.getPath().getName() for st in fs.listStatus(jpath)] if fs.exists(jpath) else []
+
+
 def mkdirs(spark: SparkSession, path: str) -> bool:
     fs, jpath = _fs(spark, path)
     return bool(fs.mkdirs(jpath))

@@ -34,10 +34,13 @@ def scan_table(spark: SparkSession, table_root: str, stream: str, keep_src: bool
     """Compacted stream table with string ``dt`` / ``hour`` partition columns.
 
     The columns are those recorded at compaction, never inferred: files written
-    before a column was declared give nulls for it. ``keep_src`` adds the source
-    file id and the run.
+    before a column was declared give nulls for it. Every row is seen once, at the
+    newest version of the run log: not the rows of a run that still writes, and of a
+    merge and what it replaced only the one side. ``keep_src`` adds the source file
+    id and the run.
     """
     from quaylake.operators.compact import stream_schema
+    from quaylake.operators.runlog import visible
     from quaylake.specs import spec_for
     apply_conf(spark)
     path = f"{table_root.rstrip('/')}/{stream}"
@@ -50,8 +53,8 @@ def scan_table(spark: SparkSession, table_root: str, stream: str, keep_src: bool
                                T.StructField("src", T.StringType())])
     parts = [T.StructField(c, T.StringType()) for c in ("dt", "hour", "run")]
     schema = T.StructType([*schema.fields, *parts])
-    df = (spark.read.option("basePath", path).schema(schema).parquet(path) if inv.exists(spark, path)
-          else spark.createDataFrame([], schema))
+    df = (visible(spark.read.option("basePath", path).schema(schema).parquet(path), table_root, stream)
+          if inv.exists(spark, path) else spark.createDataFrame([], schema)).select(*schema.names)
     return df if keep_src else df.drop("src", "run")
 
 
@@ -60,10 +63,24 @@ def scan_dt(spark: SparkSession, table_root: str, stream: str, day: str) -> Data
     return scan_table(spark, table_root, stream).where(F.col("dt") == F.lit(day))
 
 
-def scan_hour_files(spark: SparkSession, root: str, stream: str) -> DataFrame:
-    """Reader for the original layout ``<stream>/dt=…/hour=HH.parquet`` (S3):
-    ``hour`` is a file name there, not a directory."""
+def scan_hour_files(spark: SparkSession, root: str, stream: str, schema: StructType | str | None = None) -> DataFrame:
+    """Reader for the original layout ``<stream>/dt=…/hour=HH.parquet`` (S3), where
+    ``hour`` is a file name, or a folder of files with such a name.
+
+    The columns are ``schema`` or those declared for the stream, never inferred from
+    one of the files; ``dt`` stays a partition column, so predicates on it prune.
+    """
+    from quaylake.specs import spec_for
     apply_conf(spark)
     path = f"{root.rstrip('/')}/{stream}"
-    df = spark.read.option("basePath", path).parquet(path)
-    return df.withColumn("hour", F.regexp_extract(F.col("_metadata.file_name"), r"hour=(\d\d)", 1))
+    if isinstance(schema, str):
+        schema = T._parse_datatype_string(schema)
+    fields = (schema or spec_for(stream).schema).fields
+    days = [f"{path}/{d}" for d in inv.child_names(spark, path) if d.startswith("dt=")]
+    columns = T.StructType([*fields, T.StructField("dt", T.StringType()), T.StructField("hour", T.StringType())])
+    if not days:
+        return spark.createDataFrame([], columns)
+    # a folder hour=HH.parquet is a partition too, a file is not: its name has the hour in both cases
+    df = spark.read.option("basePath", path).schema(columns).parquet(path)
+    hour = F.regexp_extract(inv.metadata_path(), r"/hour=(\d\d)[^/]*(?:/[^/]*)?$", 1)
+    return df.withColumn("hour", hour)

@@ -9,7 +9,7 @@ Unknown top-level keys are kept in ``_extra`` (``map<string,variant>``).
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql.types import StructType
 
@@ -46,6 +46,16 @@ class StreamSpec:
         return TIME_FIELDS.get(self.name, {})
 
 
+@dataclass(frozen=True)
+class ChannelSpec:
+    """A push channel: its streams by route, its control frames and how message types choose a route."""
+
+    name: str
+    streams: dict[str, str]
+    control: tuple[str, ...] = ()
+    event_routes: dict[str, str] = field(default_factory=dict)
+
+
 # ---- fixed values: stream names, rotations and _source values -------------
 SPECS: dict[str, StreamSpec] = {s.name: s for s in [
     StreamSpec("gamma/markets",
@@ -105,13 +115,19 @@ SPECS: dict[str, StreamSpec] = {s.name: s for s in [
     StreamSpec("ws_rtds/activity", "channel STRING", source_value="ws_rtds", key=()),
     StreamSpec("ws_rtds/crypto_prices", "channel STRING", key=()),
 ]}
-# which channel routes how, and the stream each route lands in
-CHANNEL_STREAMS = {
-    "ws_market": {"book": "ws_market/book", "price_change": "ws_market/price_change",
-                  "last_trade_price": "ws_market/last_trade_price"},
-    "ws_sports": {"events": "ws_sports/events"},
-    "ws_rtds": {"activity": "ws_rtds/activity", "crypto_prices": "ws_rtds/crypto_prices"},
-}
+# Push channels: the stream of each route; text control frames, compared after stripping, case-sensitive;
+# message type -> route, anything else (or null) -> DEFAULT_ROUTE.
+CHANNELS: dict[str, ChannelSpec] = {c.name: c for c in [
+    ChannelSpec("ws_market",
+                {"book": "ws_market/book", "price_change": "ws_market/price_change",
+                 "last_trade_price": "ws_market/last_trade_price"},
+                control=("PONG",),
+                event_routes={"book": "book", "price_change": "price_change", "last_trade_price": "last_trade_price",
+                              "tick_size_change": "book", "new_market": "book", "resolution": "book"}),
+    ChannelSpec("ws_sports", {"events": "ws_sports/events"}, control=("ping", "pong")),
+    ChannelSpec("ws_rtds", {"activity": "ws_rtds/activity", "crypto_prices": "ws_rtds/crypto_prices"}),
+]}
+DEFAULT_ROUTE = "book"
 # fields that hold a time, by the form they are sent in
 TIME_FIELDS = {
     "gamma/markets": {"startDate": "iso", "endDate": "iso", "createdAt": "iso", "updatedAt": "iso"},

@@ -57,19 +57,19 @@ def test_strict_json(spark, raw, ok):
     assert one(spark, J.strict_json(F.col("x")), raw) is ok
 
 
-# detection by key presence
+# detection by key presence: (message, type, route)
 @pytest.mark.parametrize("frame,etype,route", [
-    ('{"event_type":"resolution"}', "resolution", "book"),
-    ('{"price_changes":[]}', "price_change", "price_change"),
-    ('{"last_trade_price":0.5}', "last_trade_price", "last_trade_price"),
-    ('{"bids":[],"asks":[]}', "book", "book"),
-    ('{"asks":[]}', "book", "book"),
-    ('{"type":"tick_size_change"}', "tick_size_change", "book"),
-    ('{"something":"else"}', "unknown", "book"),
-    ('{"type":"new_market"}', "new_market", "book"),
-    ('{"type":"something_random"}', "something_random", "book"),
+    ('{"type":"price_change","bids":null,"seq":7}', "book", "book"),
+    ('{"seq":8,"last_trade_price":null,"asks":[1]}', "last_trade_price", "last_trade_price"),
+    ('{"price_changes":0,"last_trade_price":"0.11"}', "price_change", "price_change"),
+    ('{"event_type":"last_trade_price","price_changes":[{}]}', "last_trade_price", "last_trade_price"),
+    ('{"event_type":"lighthouse","type":"book"}', "lighthouse", "book"),
     ('{"event_type":null,"price_changes":[]}', None, "book"),
     ('{"event_type":"x","event_type":"price_change"}', "price_change", "price_change"),
+    ('{"event_type":12}', "12", "book"),
+    ('{"type":"price_change","note":{"bids":[]}}', "price_change", "price_change"),
+    ('{"type":"resolution"}', "resolution", "book"),
+    ('{}', "unknown", "book"),
 ])
 def test_detect_and_route(spark, frame, etype, route):
     df = spark.createDataFrame([(frame,)], "x string")
@@ -78,8 +78,8 @@ def test_detect_and_route(spark, frame, etype, route):
 
 
 @pytest.mark.parametrize("frame,route", [
-    ('{"channel":"crypto_prices"}', "crypto_prices"), ('{"channel":"activity"}', "activity"),
-    ('{"x":1}', "activity"), ('{"channel":null}', "activity"),
+    ('{"px":3,"channel":"crypto_prices"}', "crypto_prices"), ('{"channel":"Crypto_Prices"}', "activity"),
+    ('{"note":"crypto_prices"}', "activity"), ('{"channel":null}', "activity"), ('{"channel":["crypto_prices"]}', "activity"),
 ])
 def test_route_channel(spark, frame, route):
     assert one(spark, J.route_channel("x"), frame) == route

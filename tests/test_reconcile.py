@@ -151,6 +151,38 @@ def test_state_corrupt_pointer_is_empty(spark, scratch):
         assert ST.load_state(spark, scratch)["ids"].count() == 0
 
 
+def test_id_sets_are_saved_as_deltas(spark, scratch, monkeypatch):
+    monkeypatch.setattr(ST, "MERGE_AFTER", 3)
+
+    def save(rows):
+        df = spark.createDataFrame(rows, ST.IDS_SCHEMA)
+        changed = ST.save_state(spark, scratch, {"ids": df})
+        got = sorted(tuple(r) for r in ST.load_state(spark, scratch)["ids"].collect())
+        assert got == sorted(set(rows))
+        parts = ST.read_pointer(spark, scratch)["tables"]["ids"]["parts"]
+        return changed, len(parts), spark.read.parquet(f"{scratch}/{parts[-1]}").count()
+
+    base = [("m", f"{i}", float(i)) for i in range(50)]
+    assert save(base) == (True, 1, 50)
+    assert save(base[::-1]) == (False, 1, 50)
+    assert save(base + [("t", "0", 7.0)]) == (True, 2, 1)
+    old = ST.read_pointer(spark, scratch)
+    # one goes, one changes
+    assert save(base[1:-1] + [("m", "49", 1.0), ("t", "0", 7.0)]) == (True, 3, 2)
+    # one comes back; the deltas are full and become a base
+    assert save(base[:-1] + [("m", "49", 1.0), ("t", "0", 7.0)]) == (True, 1, 51)
+    assert save([]) == (True, 2, 51)
+    assert save([("m", "x", None)]) == (True, 3, 1)
+    assert old["tables"]["ids"]["parts"] != ST.read_pointer(spark, scratch)["tables"]["ids"]["parts"]
+
+
+def test_id_given_twice_counts_with_its_earliest_sighting(spark, scratch):
+    ids = spark.createDataFrame([("m", "a", 3.0), ("m", "a", 2.0), ("m", "b", None)], ST.IDS_SCHEMA)
+    assert ST.save_state(spark, scratch, {"ids": ids})
+    assert sorted(tuple(r) for r in ST.load_state(spark, scratch)["ids"].collect()) == [("m", "a", 2.0), ("m", "b", None)]
+    assert not ST.save_state(spark, scratch, {"ids": ids})
+
+
 def test_partial_save_keeps_the_other_tables(spark, scratch):
     ids = spark.createDataFrame([("m", "a", 1.0)], ST.IDS_SCHEMA)
     cur = spark.createDataFrame([("x", 3, False)], ST.CURSOR_SCHEMA)
@@ -178,6 +210,24 @@ def test_book_quote_skips_bad_levels(spark):
     assert float(r["bid_depth"]) == 4.0 and float(r["ask_depth"]) == 1.2
 
 
+def test_best_prices_and_book_quote_skip_the_same_levels(spark):
+    levels = "array<struct<price:string,size:string>>"
+    df = spark.createDataFrame([("t", 1, [("9", "big"), ("0.3", "1")], [("0.1", None), ("0.7", "2")]), ("u", 1, [], None)],
+                               f"asset_id string, n int, bids {levels}, asks {levels}")
+    quote = {r["asset_id"]: r for r in M.book_quote(df, keep=["asset_id"]).collect()}
+    for field in ("best_bid", "best_ask", "midpoint", "spread"):
+        assert M.token_quote(df, "t", field, ["n"]).first()[field] == quote["t"][field]
+    assert quote["u"]["best_bid"] is None and quote["u"]["bad_levels"] == 0
+    assert [tuple(x) for x in M.token_quote(df, "t", "book", ["n"]).first()["bids"]] == [("9", "big"), ("0.3", "1")]
+
+
+def test_latest_of_stream_takes_the_registered_key(spark):
+    df = spark.createDataFrame([("a", "0.1", 1.0), ("a", "0.2", 2.0), ("b", "0.3", 1.0)],
+                               "token_id string, price string, _fetched_at double")
+    got = {r["token_id"]: r["price"] for r in M.latest_of_stream(df, "clob/prices").collect()}
+    assert got == {"a": "0.2", "b": "0.3"}
+
+
 def test_run_length_hot_key_matches_sequential(spark):
     import random
     rnd = random.Random(7)
