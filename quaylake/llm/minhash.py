@@ -1,19 +1,25 @@
 """Near-duplicates by bottom-k sketches of word shingles, with exact confirmation.
 
-One 64-bit hash function orders all shingles. A document's sketch is the bottom
-of its set: the values in which two sets with the required similarity must
-share at least one, plus some slack. Inverted lists of the retained values give
-candidate pairs and their overlap; pairs whose overlap falls short of what the
-union of their sketches has to show are dropped, and the rest is confirmed on
-the full sets.
-
-Values that more than ``hot`` sketches retain make no pairs. The slack lets
-most documents do without them; the few that consist of such values ("heavy"
-ones, members of large groups of near copies) are compared over their full
-sets, and among themselves by leaders: a list's members meet its leader, those
-close to it leave, and the triangle inequality of the Jaccard distance tells
-which other pairs could still be similar. So no list is expanded into all its
-pairs and no link is lost.
+One 64-bit hash function names all shingles and orders them: first by how often
+its bucket of hash values occurs in the corpus (powers of two, counted over all
+documents in a table of fixed size), then by the hash. A document's sketch is the
+bottom of its set in this order: the values in which two sets with the required
+similarity must share at least one. Rare values come first, so the inverted
+lists of retained values are short, except where many texts really are alike.
+
+Lists of at most ``hot`` members give their pairs. In a longer list, members meet
+a few leaders; those similar to one leave with it. A member y that is not can only
+be similar to a member x that left with leader c if d(c, y) <= d(c, x) + (1 - t),
+and the pair is only of interest while no link found so far joins the two:
+such y meet growing samples of what left, until they are joined or have met all.
+
+Pairs pass a second, uniform sketch first: the overlap in the union of the
+SIGNATURE smallest hashes of both estimates the similarity, and a pair goes when
+the estimate lies more than six standard deviations below the required one (a
+chance of under 1e-8 for a pair that is similar). The rest is confirmed on full
+sets, the likeliest partner of each document first; pairs that are joined by
+then are not checked. Every link between texts of different components is refuted
+exactly or by these bounds.
 """
 
 from __future__ import annotations
@@ -25,16 +31,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quaylake.llm.bpe import pack_ints, unpack_ints
 from quaylake.llm.common import materialize
 
 SIMILARITY = 80           # per cent
-HOT = 48
-SLACK = 1.25
-EXTRA = 8
-STAR_ROUNDS = 3
-FIRST_LEADERS = 2
-SMALL_SET = 40
-MEDIUM_SET = 200
+HOT = 64
+STAR_ROUNDS = 2
+LEADERS = 8
+FIRST_SAMPLE = 4
+SIGNATURE = 64
+CLASS_BITS = 22
+CHUNK_BITS = 16
 BITMAP_BITS = 1 << 23
 REMEMBERED_WORDS = 500_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -77,40 +84,94 @@ class Shingler:
 
 
 def must_share(n, similarity: int):
-    """In how many of its n smallest values a set must meet every set that is similar enough."""
+    """In how many values of any order a set must meet every set that is similar enough."""
     return n * (100 - similarity) // 100 + 1
 
 
-def sketch_size(n: int, similarity: int) -> int:
-    return min(n, int(SLACK * n * (100 - similarity) / 100) + EXTRA)
+def frequency_classes(docs: DataFrame, width: int, bits: int = CLASS_BITS) -> np.ndarray:
+    """Logarithm to base 2 of how many document sets a bucket of hash values occurs in, for 2**bits buckets.
 
+    Every task counts its documents in an array of that size; the arrays meet in
+    chunks, in two steps, so no task holds more than a few of them. One byte a
+    bucket reaches the driver.
+    """
+    chunk, shift = 1 << CHUNK_BITS, np.uint64(64 - bits)
 
-def _share_col(n: Column, similarity: int) -> Column:
-    return F.floor(n * (100 - similarity) / 100) + 1
-
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+        shingles, counts = Shingler(width), np.zeros(1 << bits, dtype=np.uint32)
+        held, size = [], 0
 
-def _sketch_col(n: Column, similarity: int) -> Column:
-    return F.least(n, F.floor(n * (SLACK * (100 - similarity) / 100)) + EXTRA)
+        def add():
+            if held:
+                np.add(counts, np.bincount(np.concatenate(held), minlength=1 << bits), out=counts, casting="unsafe")
+                held.clear()
 
+        for batch in batches:
+            for text in batch.column(0):
+                held.append((shingles(text.as_py()) >> shift).astype(np.int64))
+                size += len(held[-1])
+                if size > 1 << 22:
+                    add()
+                    size = 0
+        add()
+        part = TaskContext.get().partitionId() % 64
+        for i in range(0, 1 << bits, chunk):
+            if counts[i:i + chunk].any():
+                yield pa.RecordBatch.from_pydict({"chunk": [i // chunk], "part": [part],
+                                                  "counts": [pack_ints(counts[i:i + chunk])]}, schema=schema)
+
+    def total(rows: pa.Table) -> np.ndarray:
+        out = np.zeros(chunk, dtype=np.uint64)
+        for data in rows["counts"]:
+            out += unpack_ints(data.as_py())
+        return np.minimum(out, np.uint64(0xFFFFFFFF))
+
+    def merge(rows: pa.Table) -> pa.Table:
+        return pa.table({"chunk": rows["chunk"].slice(0, 1), "counts": pa.array([pack_ints(total(rows))], pa.binary())})
+
+    def classify(rows: pa.Table) -> pa.Table:
+        logs = np.floor(np.log2(np.maximum(total(rows), np.uint64(1)).astype(np.float64))).astype(np.uint8)
+        return pa.table({"chunk": rows["chunk"].slice(0, 1), "counts": pa.array([logs.tobytes()], pa.binary())})
+
+    schema = pa.schema([("chunk", pa.int32()), ("part", pa.int32()), ("counts", pa.binary())])
+    counted = docs.select("text").mapInArrow(count, "chunk int, part int, counts binary")
+    merged = counted.groupBy("chunk", "part").applyInArrow(merge, "chunk int, counts binary")
+    classes = np.zeros(1 << bits, dtype=np.uint8)
+    for r in merged.groupBy("chunk").applyInArrow(classify, "chunk int, counts binary").toLocalIterator():
+        classes[r["chunk"] * chunk:(r["chunk"] + 1) * chunk] = np.frombuffer(r["counts"], dtype=np.uint8)
+    return classes
+
+
+def sketches(docs: DataFrame, width: int, similarity: int, classes: np.ndarray) -> DataFrame:
+    """(doc_id, n, key, pool, sig): set size, digest of the set, its bottom in the corpus order, its smallest hashes.
+
+    ``pool`` and ``sig`` hold the upper halves of the hashes.
+    """
+    shift = np.uint64(64 - (len(classes) - 1).bit_length())
+    shared = docs.sparkSession.sparkContext.broadcast(classes)  # one byte a bucket, whatever the corpus
 
-def sketches(docs: DataFrame, width: int, similarity: int) -> DataFrame:
-    """(doc_id, n, key, pool): set size, digest of the set, and its sketch in order of the hash."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
-        shingles = Shingler(width)
+        shingles, rank = Shingler(width), shared.value
         for batch in batches:
-            sizes, keys, pools = [], [], []
+            sizes, keys, pools, sigs = [], [], [], []
             for text in batch.column(1):
                 h = shingles(text.as_py())
                 sizes.append(len(h))
                 keys.append(xxhash.xxh3_128_digest(h.tobytes()))
-                pools.append(h[:sketch_size(len(h), similarity)].view(np.int64))
+                # hashes come sorted, so a stable sort by class alone gives the order
+                order = np.argsort(rank[(h >> shift).astype(np.int64)], kind="stable")
+                half = (h >> np.uint64(32)).astype(np.uint32).view(np.int32)
+                pools.append(np.unique(half[order[:must_share(len(h), similarity)]]))
+                sigs.append(half[:SIGNATURE])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()),
-                 pa.array(pools, pa.list_(pa.int64()))], names=["doc_id", "n", "key", "pool"])
+                 pa.array(pools, pa.list_(pa.int32())), pa.array(sigs, pa.list_(pa.int32()))],
+                names=["doc_id", "n", "key", "pool", "sig"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        run, "doc_id long, n long, key binary, pool array<bigint>")
+        run, "doc_id long, n long, key binary, pool array<int>, sig array<int>")
 
 
 def full_sets(docs: DataFrame, nodes: DataFrame, width: int, bits: int = BITMAP_BITS) -> DataFrame:
@@ -145,10 +206,16 @@ def full_sets(docs: DataFrame, nodes: DataFrame, width: int, bits: int = BITMAP_
 
 
 def shared_count(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Add ``na``, ``nb`` and ``common``, the exact size of the intersection, to (a, b) pairs."""
-    left = sets.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("hashes").alias("ha"))
-    right = sets.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("hashes").alias("hb"))
-    joined = pairs.select("a", "b").join(left, "a").join(right, "b")
+    """Add ``na``, ``nb`` and ``common``, the exact size of the intersection, to (a, b) pairs.
+
+    Only the sets that the pairs name are moved.
+    """
+    pairs = pairs.select("a", "b")
+    left = (sets.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("hashes").alias("ha"))
+            .join(pairs.select("a").distinct(), "a", "left_semi"))
+    right = (sets.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("hashes").alias("hb"))
+             .join(pairs.select("b").distinct(), "b", "left_semi"))
+    joined = pairs.join(left, "a").join(right, "b")
     return joined.select("a", "b", "na", "nb", F.size(F.array_intersect("ha", "hb")).cast("long").alias("common"))
 
 
@@ -188,206 +255,179 @@ def _pairs_of_lists(lists: DataFrame, similarity: int) -> DataFrame:
                     F.col("x.n").alias("na"), F.col("y.n").alias("nb")))
 
 
-def overlap_bound(n: Column, similarity: int) -> Column:
-    """Least overlap, on values that are not hot, of two similar sets in the union of their sketches.
+def estimated(pairs: DataFrame, nodes: DataFrame, similarity: int) -> DataFrame:
+    """(a, b, na, nb, est) of the pairs whose signatures allow the similarity.
 
-    At least ``must_share`` retained values of a set are not hot. Of its sketch a
-    part of 100 - similarity per cent may be missing in the other set on average;
-    six standard deviations and a fifth of the sketch's slack are allowed on top.
+    ``est`` is the share of the smallest hashes of both together, as many as the
+    signatures cover, that is in both; it is exact for small sets.
     """
-    miss = (100 - similarity) / 100
-    kept = miss * SLACK
-    lost = miss * kept
-    return F.greatest(F.lit(1.0), n * (miss - lost * 1.6) - 6 * F.sqrt(n * lost))
-
+    left = nodes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("sig").alias("sa"))
+    right = nodes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("sig").alias("sb"))
+    # order of the hashes as unsigned numbers
+    union = F.array_sort(F.transform(F.array_union("sa", "sb"), lambda x: x.bitwiseXOR(F.lit(-(1 << 31)))))
+    both = F.transform(F.array_intersect("sa", "sb"), lambda x: x.bitwiseXOR(F.lit(-(1 << 31))))
+    met = (pairs.select("a", "b").join(left, "a").join(right, "b")
+           .select("a", "b", "na", "nb", F.slice(union, 1, SIGNATURE).alias("u"), both.alias("c")))
+    share = F.size(F.filter("c", lambda x: x <= F.element_at("u", -1))) / F.size("u")
+    t = similarity / 100
+    return (met.withColumn("est", share)
+            .where(F.col("est") >= t - 6 * F.sqrt(t * (1 - t) / F.size("u"))).select("a", "b", "na", "nb", "est"))
 
-def _confirm(candidates: DataFrame, sets: DataFrame, similarity: int) -> list[DataFrame]:
-    """Edges among (a, b) candidates that join all similar ones into the right components.
 
-    A document first meets its smallest candidate partner only; pairs that the
-    links found so far already join need no check. After a few rounds all pairs
-    that are left are checked.
-    """
-    edges: list[DataFrame] = []
-    bottoms = sets.select("node", F.slice(
-        "hashes", F.lit(1), _share_col(F.col("n"), similarity).cast("int")).alias("bottom"))
-    left = materialize(_sketches_meet(candidates.select("a", "b").distinct(), bottoms, similarity, 6), "candidates")
-    for _ in range(STAR_ROUNDS):
-        if left.isEmpty():
-            return edges
-        pick = left.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-        found = materialize(shared_count(pick, sets).where(similar(similarity)).select("a", "b"), "links")
-        edges.append(found)
-        left = _unjoined(left.join(pick, ["a", "b"], "left_anti"), edges)
-    edges.append(materialize(shared_count(left, sets).where(similar(similarity)).select("a", "b"), "links"))
-    return edges
+def _union(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
 
 
 def _unjoined(pairs: DataFrame, edges: list[DataFrame]) -> DataFrame:
-    """The pairs whose ends are not yet in one component."""
+    """The pairs whose ends no link found so far joins."""
+    if not edges:
+        return pairs
     roots = components(_union(edges))
     ra = roots.select(F.col("node").alias("a"), F.col("root").alias("ra"))
     rb = roots.select(F.col("node").alias("b"), F.col("root").alias("rb"))
-    return materialize(pairs.join(ra, "a", "left").join(rb, "b", "left")
-                       .where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b"), "candidates")
+    return (pairs.join(ra, "a", "left").join(rb, "b", "left")
+            .where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).drop("ra", "rb"))
 
 
-def _union(frames: list[DataFrame]) -> DataFrame:
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+def _links(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    return materialize(shared_count(pairs, sets).where(similar(similarity)).select("a", "b"), "links")
 
 
-def _heavy_keys(sets: DataFrame, similarity: int) -> DataFrame:
-    """(node, n, h): keys of which similar sets have one in common.
+def _confirm(candidates: DataFrame, sets: DataFrame, similarity: int, edges: list[DataFrame]) -> list[DataFrame]:
+    """``edges`` and those among (a, b, est) candidates that join all similar ones into the right components.
 
-    Similar sets meet in one of the ``must_share`` smallest values of either. Sets
-    of common values would meet everywhere, so they use more of what they share:
-    the m smallest common values lie among the first ``must_share`` + m - 1 of
-    both, so each m of these make a key. Small sets use m = 3 (sets below four
-    values are similar only when equal), medium ones m = 2, large ones m = 1; sets
-    a little above a border use the keys of both sides.
-    """
-    share = _share_col(F.col("n"), similarity).cast("int")
-    triples = F.expr("""flatten(transform(sequence(1, size(p) - 2), i -> flatten(transform(sequence(i + 1, size(p) - 1),
-        j -> transform(sequence(j + 1, size(p)),
-                       l -> xxhash64(element_at(p, i), element_at(p, j), element_at(p, l)))))))""")
-    pairs = F.expr("""flatten(transform(sequence(1, size(p) - 1), i -> transform(sequence(i + 1, size(p)),
-        j -> xxhash64(element_at(p, i), element_at(p, j)))))""")
-    n = F.col("n")
-    small = (sets.where((n >= 4) & (n * similarity <= 100 * SMALL_SET))
-             .withColumn("p", F.slice("hashes", F.lit(1), share + 2)).where(F.size("p") >= 3)
-             .select("node", "n", F.explode(triples).alias("h")))
-    medium = (sets.where((n > SMALL_SET) & (n * similarity <= 100 * MEDIUM_SET))
-              .withColumn("p", F.slice("hashes", F.lit(1), share + 1))
-              .select("node", "n", F.explode(pairs).alias("h")))
-    large = sets.where(n > MEDIUM_SET).select("node", "n", F.explode(F.slice("hashes", F.lit(1), share)).alias("h"))
-    return small.unionByName(medium).unionByName(large)
-
-
-def _sketches_meet(pairs: DataFrame, bottoms: DataFrame, similarity: int, deviations: int) -> DataFrame:
-    """The (a, b) pairs whose bottom sketches overlap as those of sets of this similarity do.
-
-    The overlap in the union of two bottom sketches estimates the similarity; a
-    pair is dropped when it lies more than ``deviations`` standard deviations below
-    what the smaller sketch should show.
+    In a few rounds every document meets its likeliest partner only; then all pairs
+    that nothing has joined are checked.
     """
-    left = bottoms.select(F.col("node").alias("a"), F.col("bottom").alias("ba"))
-    right = bottoms.select(F.col("node").alias("b"), F.col("bottom").alias("bb"))
-    t, k = similarity / 100, F.least(F.size("ba"), F.size("bb"))
-    return (pairs.join(left, "a").join(right, "b")
-            .where(F.size(F.array_intersect("ba", "bb")) >= t * k - deviations * F.sqrt(t * (1 - t) * k)).select("a", "b"))
-
-
-def _leader_links(sets: DataFrame, heavy: DataFrame, similarity: int, hot: int
-                  ) -> tuple[list[DataFrame], list[DataFrame]]:
-    """(edges, candidates) among heavy documents, over the lists of the values they must share.
-
-    In a list too long for pairs, members meet the list's leaders (its smallest
-    ids, twice as many in each round). Those similar to a leader c leave with it,
-    and so do the leaders. A member x that left with c and any other member y can
-    be similar only if d(c, y) <= d(c, x) + (1 - t); such pairs become candidates.
-    Lists of at most ``hot`` members give their pairs directly. Every round takes
-    its leaders out of every long list, so the rounds end, after about the
-    logarithm of the longest list.
+    edges = list(edges)
+    left = materialize(_unjoined(candidates, edges), "candidates")
+    for _ in range(STAR_ROUNDS):
+        if left.isEmpty():
+            return edges
+        best = F.max_by(F.struct("a", "b"), F.struct("est", "a", "b"))
+        pick = materialize(left.groupBy("b").agg(best.alias("x")).select("x.a", "x.b").unionByName(
+            left.groupBy("a").agg(best.alias("x")).select("x.a", "x.b")).distinct(), "picked")
+        edges.append(_links(pick, sets, similarity))
+        left = materialize(_unjoined(left.join(pick, ["a", "b"], "left_anti"), edges), "candidates")
+    if not left.isEmpty():
+        edges.append(_links(left, sets, similarity))
+    return edges
+
+
+def _list_links(long_lists: DataFrame, nodes: DataFrame, sets: DataFrame, similarity: int, hot: int
+                ) -> tuple[list[DataFrame], list[DataFrame]]:
+    """(edges, candidate pairs) of the members (h, node, n) of long lists.
+
+    In each round the members of a list meet its leaders (by a hash of the id, twice
+    as many as in the round before). Leaders and what is similar to one of them
+    leave the list; what the others may share with those is found in growing samples.
+    Lists that are no longer long give their pairs. Every round takes its leaders
+    out of every long list, so the rounds end, after about the logarithm of the
+    longest list.
     """
-    t = similarity / 100
-    edges, candidates = [], []
-    active = materialize(_heavy_keys(sets.join(heavy.select("node"), "node", "left_semi"), similarity), "heavy-values")
-    bottoms = materialize(sets.join(heavy.select("node"), "node", "left_semi").select("node", F.slice(
-        "hashes", F.lit(1), _share_col(F.col("n"), similarity).cast("int")).alias("bottom")), "heavy-bottoms")
-    leaders_per_list = FIRST_LEADERS
+    t, reach = similarity / 100, 2 * similarity - 100
+    edges, candidates, leaders_per_list = [], [], LEADERS
+    active = long_lists
     while True:
         sizes = active.groupBy("h").agg(F.count("*").alias("c"))
         lists = (active.join(sizes.where((F.col("c") > 1) & (F.col("c") <= hot)).select("h"), "h").groupBy("h")
                  .agg(F.collect_set(F.struct("n", "node")).alias("members")))
-        candidates.append(materialize(_pairs_of_lists(lists, similarity).select("a", "b").distinct(), "heavy-pairs"))
-        long_lists = materialize(active.join(sizes.where(F.col("c") > hot).select("h"), "h"), "heavy-lists")
-        if long_lists.isEmpty():
+        candidates.append(materialize(_pairs_of_lists(lists, similarity).select("a", "b").distinct(), "list-pairs"))
+        active = materialize(active.join(sizes.where(F.col("c") > hot).select("h"), "h"), "long-lists")
+        if active.isEmpty():
             return edges, candidates
-        place = F.row_number().over(Window.partitionBy("h").orderBy("node"))
-        leaders = materialize(long_lists.select("h", "node", "n").withColumn("place", place)
-                              .where(F.col("place") <= leaders_per_list)
-                              .select("h", F.col("node").alias("leader"), F.col("n").alias("nl")), "heavy-leaders")
-        # leaders are the smallest members, so every pair of a leader and a member has the leader first
+        place = F.row_number().over(Window.partitionBy("h").orderBy(F.xxhash64("node"), "node"))
+        leaders = materialize(active.withColumn("place", place).where(F.col("place") <= leaders_per_list)
+                              .select("h", F.col("node").alias("leader"), F.col("n").alias("nl")), "leaders")
         # sizes further apart than the distance 2 (1 - t) allows need no meeting
-        meetings = long_lists.join(leaders, "h").where(
-            (F.col("leader") < F.col("node"))
-            & (100 * F.least("n", "nl") >= (2 * similarity - 100) * F.greatest("n", "nl")))
-        pairs = meetings.select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
+        pairs = (active.join(leaders, "h").where(
+            (F.col("leader") != F.col("node")) & (100 * F.least("n", "nl") >= reach * F.greatest("n", "nl")))
+            .select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct())
         met = materialize(
-            shared_count(_sketches_meet(pairs, bottoms, 2 * similarity - 100, 4), sets)
+            shared_count(estimated(pairs, nodes, reach), sets)
             .withColumn("d", 1 - F.col("common") / (F.col("na") + F.col("nb") - F.col("common")))
-            .withColumn("linked", similar(similarity)), "heavy-met")
+            .withColumn("linked", similar(similarity)), "met")
         edges.append(met.where("linked").select("a", "b"))
-        near = met.where(~F.col("linked") & (F.col("d") <= 2 * (1 - t) + 1e-9)).select("a", F.col("b").alias("y"), "d", "nb")
         gone = met.where("linked").select("a", F.col("b").alias("x"), F.col("d").alias("dx"), F.col("nb").alias("nx"))
-        cross = (near.join(gone, "a")
-                 .where((F.col("d") <= F.col("dx") + (1 - t) + 1e-9)
-                        & (100 * F.least("nb", "nx") >= similarity * F.greatest("nb", "nx")))
-                 .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")))
-        candidates.append(materialize(cross.distinct(), "heavy-pairs"))
-        left = (meetings.join(met.where("linked").select(F.col("a").alias("leader"), F.col("b").alias("node")),
-                              ["leader", "node"]).select("h", "node")
-                .unionByName(leaders.select("h", F.col("leader").alias("node"))).distinct())
-        active = materialize(long_lists.join(left, ["h", "node"], "left_anti").select("node", "n", "h"), "heavy-values")
+        near = met.where(~F.col("linked") & (F.col("d") <= 2 * (1 - t) + 1e-9)).select("a", "b", "d", "nb")
+        edges += _joined_by_samples(near, gone, nodes, sets, similarity, edges)
+        left = met.where("linked").select(F.col("b").alias("node")).unionByName(
+            leaders.select(F.col("leader").alias("node"))).distinct()
+        active = materialize(active.join(left, "node", "left_anti"), "long-lists")
         leaders_per_list *= 2
 
 
+def _joined_by_samples(near: DataFrame, gone: DataFrame, nodes: DataFrame, sets: DataFrame, similarity: int,
+                       edges: list[DataFrame]) -> list[DataFrame]:
+    """Links that join members near a leader with it, over members that left with the leader.
+
+    Round by round a member meets the next, twice as large, part of them by a hash
+    of the id, unless a link has joined it; at last it has met all.
+    """
+    t, found, first = similarity / 100, [], 0.0
+    sizes = gone.groupBy("a").agg(F.count("*").alias("size"))
+    longest = sizes.agg(F.max("size").alias("m")).first()["m"]
+    near = materialize(_unjoined(near, edges), "unjoined")
+    step = FIRST_SAMPLE
+    while longest and not near.isEmpty():
+        # a part holds about ``step`` members of every leader, the last one all that are left
+        until = 1.0 if first + step >= longest else None
+        u = F.pmod(F.xxhash64("x", F.lit(7)), F.lit(1 << 40)) / F.lit(float(1 << 40)) * F.col("size")
+        part = gone.join(sizes, "a").where((u >= first) & (F.lit(until is not None) | (u < first + step)))
+        pairs = (near.join(part, "a")
+                 .where((F.col("d") <= F.col("dx") + (1 - t) + 1e-9) & (F.col("x") != F.col("b"))
+                        & (100 * F.least("nb", "nx") >= similarity * F.greatest("nb", "nx")))
+                 .select(F.least("x", "b").alias("a"), F.greatest("x", "b").alias("b")).distinct())
+        found.append(_links(estimated(pairs, nodes, similarity), sets, similarity))
+        if until is not None:
+            return found
+        first, step = first + step, step * 2
+        near = materialize(_unjoined(near, [*edges, *found]), "unjoined")
+    return found
+
+
 def near_duplicates(docs: DataFrame, width: int, similarity: int = SIMILARITY, hot: int = HOT) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs``.
 
     A text's set holds its distinct shingles of ``width`` words (a text with
     fewer words: all of them as one); words are split at ASCII white space and A-Z
     lower-cased. Texts are linked when the Jaccard similarity of their sets is at
-    least ``similarity`` per cent. Null, empty and blank texts have no shingles and
-    no links; their rows are components of their own. Rows with equal sets are
-    one node named by their smallest id; rows that repeat an id are one document;
-    a class with only null ids takes no part and is kept. Other columns are not
-    carried.
+    least ``similarity`` per cent, above 50. Null, empty and blank texts have no
+    shingles and no links; their rows are components of their own. Rows with equal
+    sets are one node named by their smallest id; rows that repeat an id are one
+    document; a class with only null ids takes no part and is kept. Other columns
+    are not carried.
     """
     docs = docs.select("doc_id", "text")
-    sketched = materialize(sketches(docs, width, similarity), "sketches")
+    sketched = materialize(sketches(docs, width, similarity, frequency_classes(docs, width)), "sketches")
     # equal sets first: the node of a set is its smallest id
-    nodes = (sketched.where("n > 0").groupBy("key")
-             .agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("pool").alias("pool"))
-             .where("node IS NOT NULL"))
+    nodes = materialize(
+        sketched.where("n > 0").groupBy("key")
+        .agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("pool").alias("pool"),
+             F.first("sig").alias("sig")).where("node IS NOT NULL").drop("key"), "nodes")
     postings = nodes.select("node", "n", F.explode("pool").alias("h"))
     frequency = postings.groupBy("h").agg(F.count("*").alias("df")).where("df > 1")
     shared = materialize(postings.join(frequency, "h"), "postings")
     lists = (shared.where(F.col("df") <= hot).groupBy("h")
              .agg(F.collect_set(F.struct("n", "node")).alias("members")))
-    counted = (_pairs_of_lists(lists, similarity).groupBy("a", "b")
-               .agg(F.count("*").alias("overlap"), F.first("na").alias("na"), F.first("nb").alias("nb")))
-    candidates = materialize(counted.where(
-        F.col("overlap") >= overlap_bound(F.least("na", "nb"), similarity)).select("a", "b"), "candidates")
-    heavy = materialize(
-        shared.where(F.col("df") > hot).groupBy("node").agg(F.count("*").alias("hot"), F.first("n").alias("n"))
-        .where(_sketch_col(F.col("n"), similarity) - F.col("hot") < _share_col(F.col("n"), similarity))
-        .select("node"), "heavy")
-    wanted = candidates.select(F.col("a").alias("node")).unionByName(candidates.select(F.col("b").alias("node")))
-    any_heavy = not heavy.isEmpty()
-    if any_heavy:
-        # heavy documents look up all their values in the short lists
-        heavy_sets = materialize(full_sets(docs, heavy, width), "heavy-sets")
-        values = heavy_sets.select(F.col("node").alias("x"), F.col("n").alias("nx"), F.explode("hashes").alias("h"))
-        looked_up = (values.join(shared.where(F.col("df") <= hot), "h")
-                     .where((F.col("x") != F.col("node"))
-                            & (100 * F.least("n", "nx") >= similarity * F.greatest("n", "nx")))
-                     .select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")))
-        candidates = materialize(candidates.unionByName(looked_up).distinct(), "candidates")
-        wanted = candidates.select(F.col("a").alias("node")).unionByName(candidates.select(F.col("b").alias("node")))
-        edges, more = _leader_links(heavy_sets, heavy, similarity, hot)
-        others = wanted.join(heavy, "node", "left_anti")
-        sets = materialize(heavy_sets.unionByName(full_sets(docs, others, width)), "sets")
-        left = _union([candidates, *more])
-        if edges:
-            left = _unjoined(left, edges)
-        edges += _confirm(left, sets, similarity)
-    else:
+    pairs = _pairs_of_lists(lists, similarity).select("a", "b").distinct()
+    candidates = materialize(estimated(pairs, nodes, similarity), "candidates")
+    long_lists = materialize(shared.where(F.col("df") > hot).select("h", "node", "n"), "long-lists")
+    wanted = (candidates.select(F.col("a").alias("node")).unionByName(candidates.select(F.col("b").alias("node")))
+              .unionByName(long_lists.select("node")))
+    edges: list[DataFrame] = []
+    if not wanted.isEmpty():
         sets = materialize(full_sets(docs, wanted, width), "sets")
-        edges = _confirm(candidates, sets, similarity)
+        edges, more = _list_links(long_lists, nodes, sets, similarity, hot)
+        # pairs of lists that were long at first
+        late = [p for p in more if not p.isEmpty()]
+        if late:
+            late_pairs = _unjoined(_union(late).distinct(), edges)
+            candidates = candidates.unionByName(estimated(late_pairs, nodes, similarity)).dropDuplicates(["a", "b"])
+        edges = _confirm(candidates, sets, similarity, edges)
     classes = sketched.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("node"))
     if edges:
         roots = components(_union(edges))

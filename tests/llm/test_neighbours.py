@@ -136,6 +136,34 @@ def test_components_equal_brute_force(spark, width, hot, copies):
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got)
 
 
+def test_a_large_group_at_the_default_settings(spark):
+    rnd = random.Random(3)
+    words = [f"w{i}" for i in range(400)]
+    base = [rnd.choice(words) for _ in range(90)]
+    texts = []
+    for i in range(200):
+        text = list(base)
+        for _ in range(rnd.randrange(2, 10)):
+            text[rnd.randrange(90)] = f"own{i}" if rnd.random() < 0.5 else rnd.choice(words)
+        texts.append(" ".join(text))
+    texts += [" ".join(rnd.choice(words) for _ in range(60)) for _ in range(60)]
+    rows = list(enumerate(texts))
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 2).collect()
+    want = brute(rows, 2)
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == want
+    sizes = [sum(c == i for _, c in want.values()) for i in {c for _, c in want.values()}]
+    assert max(sizes) > minhash.HOT and len(sizes) > 60
+
+
+def test_classes_count_all_documents(spark):
+    rows = [(i, "a b c" if i < 9 else f"x{i} y{i}") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    classes = minhash.frequency_classes(docs, 2, bits=20)
+    shingles = minhash.Shingler(2)
+    at = [(shingles(t) >> np.uint64(44)).astype(int).tolist() for t in ("a b c", "x9 y9")]
+    assert [classes[i] for i in at[0]] == [3, 3] and classes[at[1][0]] == 0
+
+
 def test_near_duplicates_of_awkward_rows(spark, awkward):
     out = minhash.near_duplicates(awkward, 2).collect()
     assert len(out) == awkward.count()
@@ -149,4 +177,4 @@ def test_sketches_hold_what_similar_sets_must_share():
     for n in range(1, 300):
         k = minhash.must_share(n, 80)
         # 80 per cent of the union is at least 80 per cent of either set, so fewer than k values can be missing
-        assert n - k + 1 <= -(-n * 80 // 100) and k <= minhash.sketch_size(n, 80) <= n
+        assert n - k + 1 <= -(-n * 80 // 100) and k <= n
