@@ -38,7 +38,7 @@ SIMILARITY = 80           # per cent
 HOT = 64
 STAR_ROUNDS = 2
 LEADERS = 8
-FIRST_SAMPLE = 4
+FIRST_SAMPLE = 16
 SIGNATURE = 64
 CLASS_BITS = 22
 CHUNK_BITS = 16
@@ -255,23 +255,44 @@ def _pairs_of_lists(lists: DataFrame, similarity: int) -> DataFrame:
                     F.col("x.n").alias("na"), F.col("y.n").alias("nb")))
 
 
+def _overlap(a: pa.ListArray, b: pa.ListArray) -> np.ndarray:
+    """Share of the SIGNATURE smallest values of two signatures together that is in both, row by row."""
+    none = np.uint64(1 << 40)
+
+    def padded(lists):
+        sizes = np.diff(lists.offsets.to_numpy())
+        out = np.full((len(sizes), SIGNATURE), none)
+        out[np.arange(SIGNATURE) < sizes[:, None]] = lists.flatten().to_numpy().view(np.uint32)
+        return out
+    both = np.sort(np.concatenate((padded(a), padded(b)), axis=1), axis=1)
+    again = np.zeros(both.shape, dtype=bool)
+    again[:, 1:] = both[:, 1:] == both[:, :-1]
+    there = both < none
+    place = np.cumsum(there & ~again, axis=1)
+    covered = np.minimum(place[:, -1], SIGNATURE)
+    return (again & there & (place <= covered[:, None])).sum(axis=1) / np.maximum(covered, 1)
+
+
 def estimated(pairs: DataFrame, nodes: DataFrame, similarity: int) -> DataFrame:
     """(a, b, na, nb, est) of the pairs whose signatures allow the similarity.
 
     ``est`` is the share of the smallest hashes of both together, as many as the
     signatures cover, that is in both; it is exact for small sets.
     """
+    t = similarity / 100
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            est = _overlap(batch.column(4), batch.column(5))
+            covered = np.minimum(SIGNATURE, np.maximum(batch.column(2).to_numpy(), batch.column(3).to_numpy()))
+            keep = pa.array(est >= t - 6 * np.sqrt(t * (1 - t) / covered))
+            yield pa.RecordBatch.from_arrays([*(c.filter(keep) for c in batch.columns[:4]), pa.array(est).filter(keep)],
+                                             names=["a", "b", "na", "nb", "est"])
+
     left = nodes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("sig").alias("sa"))
     right = nodes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("sig").alias("sb"))
-    # order of the hashes as unsigned numbers
-    union = F.array_sort(F.transform(F.array_union("sa", "sb"), lambda x: x.bitwiseXOR(F.lit(-(1 << 31)))))
-    both = F.transform(F.array_intersect("sa", "sb"), lambda x: x.bitwiseXOR(F.lit(-(1 << 31))))
-    met = (pairs.select("a", "b").join(left, "a").join(right, "b")
-           .select("a", "b", "na", "nb", F.slice(union, 1, SIGNATURE).alias("u"), both.alias("c")))
-    share = F.size(F.filter("c", lambda x: x <= F.element_at("u", -1))) / F.size("u")
-    t = similarity / 100
-    return (met.withColumn("est", share)
-            .where(F.col("est") >= t - 6 * F.sqrt(t * (1 - t) / F.size("u"))).select("a", "b", "na", "nb", "est"))
+    return (pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "na", "nb", "sa", "sb")
+            .mapInArrow(run, "a long, b long, na long, nb long, est double"))
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -364,7 +385,7 @@ def _joined_by_samples(near: DataFrame, gone: DataFrame, nodes: DataFrame, sets:
                        edges: list[DataFrame]) -> list[DataFrame]:
     """Links that join members near a leader with it, over members that left with the leader.
 
-    Round by round a member meets the next, twice as large, part of them by a hash
+    Round by round a member meets the next, four times as large, part of them by a hash
     of the id, unless a link has joined it; at last it has met all.
     """
     t, found, first = similarity / 100, [], 0.0
@@ -384,7 +405,7 @@ def _joined_by_samples(near: DataFrame, gone: DataFrame, nodes: DataFrame, sets:
         found.append(_links(estimated(pairs, nodes, similarity), sets, similarity))
         if until is not None:
             return found
-        first, step = first + step, step * 2
+        first, step = first + step, step * 4
         near = materialize(_unjoined(near, [*edges, *found]), "unjoined")
     return found
 

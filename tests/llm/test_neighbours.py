@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from quaylake.llm import minhash, permutation
 
@@ -155,6 +156,19 @@ def test_a_large_group_at_the_default_settings(spark):
     assert max(sizes) > minhash.HOT and len(sizes) > 60
 
 
+def test_signatures_estimate_as_plain_sets_do():
+    rng, k = np.random.default_rng(4), minhash.SIGNATURE
+    pairs = []
+    for n in (1, 5, 40, 64, 100, 300):
+        base = rng.choice(1 << 32, size=2 * n, replace=False)
+        pairs += [(set(base[:n].tolist()), set(base[i:n + i].tolist())) for i in (0, n // 10, n // 2, n)]
+    sigs = [[np.array(sorted(s)[:k], dtype=np.uint32).view(np.int32) for s in side] for side in zip(*pairs, strict=True)]
+    got = minhash._overlap(*(pa.array(x, pa.list_(pa.int32())) for x in sigs))
+    for (a, b), est in zip(pairs, got, strict=True):
+        union = sorted(a | b)[:k]
+        assert est == sum(v in a and v in b for v in union) / len(union)
+
+
 def test_classes_count_all_documents(spark):
     rows = [(i, "a b c" if i < 9 else f"x{i} y{i}") for i in range(20)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
