@@ -1,16 +1,18 @@
 """URL filter: explicit host rules, then trust and distrust spread over host links.
 
 Explicit rules decide the pages they fit. For the others the host graph
-decides: hosts with pages that a rule allows are trusted seeds, hosts with
-blocked pages are distrusted seeds. Trust follows links (personalised
-PageRank); distrust runs against them, from a blocked host to the hosts that
-link to it. A host whose distrust outweighs its trust by ``threshold`` is
-blocked.
+decides. Its nodes are the hosts of pages and of links and every domain above
+them; its edges are the links, and each node and the domain directly above it, in
+both directions. Hosts with pages that a rule allows are trusted seeds, hosts with
+blocked pages are distrusted seeds. Trust follows links (personalised PageRank);
+distrust runs against them, from a blocked host to the hosts that link to it. A
+host whose distrust outweighs its trust by ``threshold`` is blocked.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,8 +44,8 @@ URL = r"://([^/?#]*)([^?#]*)"
 # absolute or protocol-relative targets in attributes
 LINK = r"""(?i)(?:href|src)\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s<>]+)"""
 DAMPING = 0.85
-ROUNDS = 8
-CHECKPOINT_EVERY = 4
+# the spreading ends when no host's score changes by as much any more
+TOLERANCE = 1e-3
 THRESHOLD = 0.05
 
 
@@ -86,35 +88,45 @@ def fitting_rule(host: Column, path: Column, rules=RULES) -> Column:
     return F.array_max(F.filter(hits, lambda r: F.startswith(path, r["path"])))
 
 
+def parent_domain(host: Column) -> Column:
+    """The domain directly above a host: what follows its first dot, null without one."""
+    return F.when(F.contains(host, F.lit(".")), F.regexp_replace(host, r"^[^.]*\.", ""))
+
+
 def host_edges(pages: DataFrame) -> DataFrame:
-    """Distinct links (src, dst) between different hosts.
+    """Distinct links (src, dst) between different nodes.
 
-    Links are the absolute targets in the page, and a host below another one's
-    domain counts as linked with that parent in both directions. The targets of
-    a page are made distinct in its row and pairs are pre-aggregated, so a host
-    with a third of all pages sends few rows.
+    Links are the absolute targets in the page; the targets of a page are made
+    distinct in its row and pairs are pre-aggregated, so a host with a third of all
+    pages sends few rows. Hosts, link targets and every domain above them are linked
+    with the domain directly above in both directions, whether or not it has pages.
     """
-    hosts = pages.where("host <> ''").groupBy("host").agg(F.lit(1).alias("one"))
     linked = (pages.where("host <> ''")
               .select(F.col("host").alias("src"),
                       F.explode(F.array_distinct(F.transform(
                           F.regexp_extract_all(F.coalesce("html", F.lit("")), F.lit(LINK), F.lit(1)),
-                          lower_ascii))).alias("dst")))
-    parents = (hosts.select("host", F.explode(F.slice(host_suffixes(F.col("host")), 2, 100000)).alias("up"))
-               .join(hosts.select(F.col("host").alias("up")), "up"))
+                          lower_ascii))).alias("dst")).distinct())
+    hosts = (pages.where("host <> ''").select("host").distinct()
+             .unionByName(linked.select(F.col("dst").alias("host"))).distinct())
+    nodes = hosts.select(F.explode(host_suffixes(F.col("host"))).alias("host")).distinct()
+    parents = nodes.select("host", parent_domain(F.col("host")).alias("up")).where("up IS NOT NULL")
     both = (linked.unionByName(parents.select(F.col("host").alias("src"), F.col("up").alias("dst")))
             .unionByName(parents.select(F.col("up").alias("src"), F.col("host").alias("dst"))))
     return both.where("src <> dst").distinct()
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS,
-              every: int = CHECKPOINT_EVERY) -> DataFrame:
+def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE,
+              rounds: int | None = None) -> DataFrame:
     """Trust along edges and distrust against them: (host, trust, distrust).
 
     ``seeds`` has host, trusted and distrusted (0 or 1). A seed's score without
-    any link is ``1 - damping``. Each round is one join and one aggregation that
-    sums map-side, so hubs arrive pre-aggregated; every few rounds the scores are
-    written to the shared folder.
+    any link is ``1 - damping``. What a round adds to the scores is what the round
+    before added, moved along the edges and damped; the scores are the sum of all
+    rounds, which end when no host gains ``tolerance`` (or after ``rounds``, if
+    given). The gains shrink by ``damping`` each round, so the number of rounds
+    grows with the logarithm of the seeds. Each round is one join and one
+    aggregation that sums map-side, so hubs arrive pre-aggregated, and is written to
+    the shared folder.
     """
     out_degree = edges.groupBy("src").agg(F.count("*").alias("n"))
     in_degree = edges.groupBy("dst").agg(F.count("*").alias("n"))
@@ -123,21 +135,23 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, roun
     against = edges.join(in_degree, "dst").select(
         F.col("dst").alias("host"), F.col("src").alias("to"), F.lit(0.0).alias("wt"), (1.0 / F.col("n")).alias("wd"))
     steps = materialize(along.unionByName(against), "host-edges")
-    start = seeds.select("host", ((1 - damping) * F.col("trusted")).alias("trust"),
-                         ((1 - damping) * F.col("distrusted")).alias("distrust"))
-    scores = start
-    for i in range(1, rounds + 1):
-        moved = steps.join(scores, "host").select(
+    gains = [materialize(seeds.select("host", ((1 - damping) * F.col("trusted")).alias("trust"),
+                                      ((1 - damping) * F.col("distrusted")).alias("distrust")), "host-gains")]
+    while rounds is None or len(gains) <= rounds:
+        moved = steps.join(gains[-1], "host").select(
             F.col("to").alias("host"), (damping * F.col("trust") * F.col("wt")).alias("trust"),
             (damping * F.col("distrust") * F.col("wd")).alias("distrust"))
-        scores = (moved.unionByName(start).groupBy("host")
-                  .agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust")))
-        if i % every == 0 and i < rounds:
-            scores = materialize(scores, "host-scores")
-    return scores
+        gain = materialize(moved.groupBy("host").agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust")),
+                           "host-gains")
+        most = gain.agg(F.max(F.greatest("trust", "distrust")).alias("m")).first()["m"]
+        if most is None or (rounds is None and most < tolerance):
+            break
+        gains.append(gain)
+    every = reduce(DataFrame.unionByName, gains)
+    return every.groupBy("host").agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust"))
 
 
-def judge_pages(pages: DataFrame, rules=RULES, damping: float = DAMPING, rounds: int = ROUNDS,
+def judge_pages(pages: DataFrame, rules=RULES, damping: float = DAMPING, tolerance: float = TOLERANCE,
                 threshold: float = THRESHOLD) -> DataFrame:
     """(page_id, host, path, rule, verdict) for every page row.
 
@@ -153,7 +167,7 @@ def judge_pages(pages: DataFrame, rules=RULES, damping: float = DAMPING, rounds:
     seeds = (judged.where("host <> '' AND fit IS NOT NULL").groupBy("host")
              .agg(F.max(F.when(F.col("fit.action") == "allow", 1.0).otherwise(0.0)).alias("trusted"),
                   F.max(F.when(F.col("fit.action") == "block", 1.0).otherwise(0.0)).alias("distrusted")))
-    scores = propagate(host_edges(parsed.select("host", "html")), seeds, damping, rounds)
+    scores = propagate(host_edges(parsed.select("host", "html")), seeds, damping, tolerance)
     blocked = (scores.where(F.round(F.col("distrust") - F.col("trust"), 9) > threshold)
                .select("host", F.lit(True).alias("bad")))
     return (judged.join(blocked, "host", "left")

@@ -64,32 +64,34 @@ def _propagation_sql() -> str:
     action = "CASE fit " + " ".join(f"WHEN '{r.text}' THEN '{r.action}'" for r in rs) + " END"
     link = linkgraph.LINK.replace("'", "''")
     a = linkgraph.DAMPING
-    rounds = []
-    for i in range(1, linkgraph.ROUNDS + 1):
-        rounds.append(f"""s{i} AS (SELECT host, sum(t) AS t, sum(d) AS d FROM (
-            SELECT e."to" AS host, {a} * s.t * e.wt AS t, {a} * s.d * e.wd AS d FROM steps e JOIN s{i - 1} s USING (host)
-            UNION ALL SELECT host, t, d FROM s0) GROUP BY host)""")
     return f"""
-WITH parsed AS (SELECT page_id, html, {upper.format("regexp_extract(coalesce(url, ''), '://([^/?#]*)([^?#]*)', 1)")} AS host,
+WITH RECURSIVE parsed AS (SELECT page_id, html, {upper.format("regexp_extract(coalesce(url, ''), '://([^/?#]*)([^?#]*)', 1)")} AS host,
                        regexp_extract(coalesce(url, ''), '://([^/?#]*)([^?#]*)', 2) AS path FROM pages),
 fitted AS (SELECT page_id, host, path, {fit} AS fit FROM parsed),
 judged AS (SELECT *, {action} AS action FROM fitted),
-hosts AS (SELECT DISTINCT host FROM parsed WHERE host <> ''),
-links AS (SELECT host AS src, unnest(list_transform(regexp_extract_all(coalesce(html, ''), '{link}', 1),
+links AS (SELECT DISTINCT host AS src, unnest(list_transform(regexp_extract_all(coalesce(html, ''), '{link}', 1),
                  lambda x: {upper.format('x')})) AS dst FROM parsed WHERE host <> ''),
-parents AS (SELECT h.host, u.host AS up FROM hosts h JOIN hosts u ON ends_with(h.host, '.' || u.host)),
+hosts AS (SELECT host FROM parsed WHERE host <> '' UNION SELECT dst FROM links),
+nodes AS (SELECT DISTINCT unnest(list_transform(range(1, len(l) + 1), lambda i: array_to_string(l[i:], '.'))) AS host
+          FROM (SELECT string_split(host, '.') AS l FROM hosts)),
+parents AS (SELECT host, substr(host, instr(host, '.') + 1) AS up FROM nodes WHERE contains(host, '.')),
 edges AS (SELECT DISTINCT src, dst FROM (SELECT src, dst FROM links UNION ALL SELECT host, up FROM parents
           UNION ALL SELECT up, host FROM parents) WHERE src <> dst),
 steps AS (SELECT src AS host, dst AS "to", 1.0::DOUBLE / count(*) OVER (PARTITION BY src) AS wt, 0.0::DOUBLE AS wd FROM edges
           UNION ALL
           SELECT dst, src, 0.0, 1.0::DOUBLE / count(*) OVER (PARTITION BY dst) FROM edges),
-s0 AS (SELECT host, {1 - a!r} * max(CASE WHEN action = 'allow' THEN 1.0::DOUBLE ELSE 0 END) AS t,
-              {1 - a!r} * max(CASE WHEN action = 'block' THEN 1.0::DOUBLE ELSE 0 END) AS d
-       FROM judged WHERE host <> '' AND action IS NOT NULL GROUP BY host),
-{", ".join(rounds)}
+gains AS (SELECT 0 AS round, host, {1 - a!r} * max(CASE WHEN action = 'allow' THEN 1.0::DOUBLE ELSE 0 END) AS t,
+                 {1 - a!r} * max(CASE WHEN action = 'block' THEN 1.0::DOUBLE ELSE 0 END) AS d
+          FROM judged WHERE host <> '' AND action IS NOT NULL GROUP BY host
+          UNION ALL
+          SELECT round, host, t, d FROM (
+              SELECT *, max(greatest(t, d)) OVER () AS most FROM (
+                  SELECT g.round + 1 AS round, e."to" AS host, sum({a} * g.t * e.wt) AS t, sum({a} * g.d * e.wd) AS d
+                  FROM gains g JOIN steps e USING (host) GROUP BY g.round, e."to")) WHERE most >= {linkgraph.TOLERANCE!r}),
+scores AS (SELECT host, sum(t) AS t, sum(d) AS d FROM gains GROUP BY host)
 SELECT j.page_id, j.host, j.path, j.fit AS rule,
        coalesce(j.action, CASE WHEN round(s.d - s.t, 9) > {linkgraph.THRESHOLD} THEN 'block' ELSE 'allow' END) AS verdict
-FROM judged j LEFT JOIN s{linkgraph.ROUNDS} s USING (host)"""
+FROM judged j LEFT JOIN scores s USING (host)"""
 
 
 def _mixing_sql() -> str:
