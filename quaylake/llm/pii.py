@@ -7,11 +7,18 @@ card numbers keep a valid check digit, names keep the gender of their title.
 The surrogates of the whole corpus are checked against each other and against
 the real entities; those that collide are drawn again with the next attempt
 number, so distinct entities stay distinct, and one entity has the same
-surrogate wherever it is mentioned.
+surrogate wherever it is mentioned. Surnames are entities of their own: a person
+keeps one surname with and without a given name, and a collision of two persons
+draws the given name again, composed of syllables when the lists are used up.
+
+Detected are what the patterns describe: persons behind a title, and numbers,
+addresses and secrets by their form; an unbroken run of digits is a card only
+with a valid check digit. Untitled names and postal addresses are not detected.
 """
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -42,7 +49,7 @@ PHONE_PLANS = {"1": 10, "7": 10, "30": 10, "31": 9, "33": 9, "34": 9, "41": 9, "
 PATTERNS = {
     "email": rf"(?<![{_LOCAL}])[{_LOCAL}]++@[\p{{L}}\p{{N}}](?:[\p{{L}}\p{{N}}.\-]*[\p{{L}}\p{{N}}])?\.\p{{L}}{{2,}}",
     "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
-    "ip": rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\d|\.\d)",
+    "ip": rf"(?<![\p{{L}}\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\d|\.\d)",
     "ipv6": r"(?<![0-9A-Za-z:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Za-z:])",
     "ssn": r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])",
     "secret": r"(?<![0-9A-Za-z])(?:[0-9a-fA-F]{32,128}|AKIA[0-9A-Z]{16}|ghp_[0-9A-Za-z]{36}|sk-[0-9A-Za-z]{20,})"
@@ -63,7 +70,9 @@ ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 # what every entity contains; most documents have none of it
 HINT = rf"[0-9@]|{PATTERNS['secret']}|{PATTERNS['ipv6']}|(?:{_TITLE})\.? \p{{Lu}}"
 DIGIT_KINDS = ["phone", "card", "ssn"]
-ATTEMPTS = 8
+ATTEMPTS = 32
+# given names come from the lists in the first draws, from syllables later
+LISTED_NAMES = 3
 
 
 def found(text: Column) -> Column:
@@ -133,20 +142,37 @@ def _word(words: list[str], n: Column) -> Column:
     return F.element_at(F.array(*[F.lit(w) for w in words]), F.pmod(n, F.lit(len(words))) + 1)
 
 
-def _person(key: str, value: Column, attempt: Column) -> Column:
-    """Title kept; given name of its gender and script; surname by the digest of the surname alone."""
+def _syllables(cyrillic: Column, stream: Column, n: int) -> Column:
+    parts = [F.when(cyrillic, _word(CYRILLIC_SYLLABLES, _draw(stream, F.lit(i)))).otherwise(
+        _word(SYLLABLES, _draw(stream, F.lit(i)))) for i in range(1, n + 1)]
+    return F.initcap(F.concat(*parts))
+
+
+def surname_of(value: Column) -> Column:
+    return F.element_at(F.split(value, " "), -1)
+
+
+def new_surname(key: str, surname: Column, attempt: int) -> Column:
+    """A surname of the same script, longer with every fourth draw."""
+    return _syllables(surname.rlike(r"\p{IsCyrillic}"), _stream(key, F.lit("surname"), surname, F.lit(attempt)),
+                      5 + attempt // 4)
+
+
+def new_person(key: str, value: Column, family: Column, attempt: int) -> Column:
+    """Title kept; given name of its gender and script, if there was one; ``family`` for the surname."""
     parts = F.split(value, " ")
-    title, last, given = parts[0], F.element_at(parts, -1), F.when(F.size(parts) > 2, parts[1])
+    title, given = parts[0], F.when(F.size(parts) > 2, parts[1])
     bare = F.regexp_replace(title, r"\.$", "")
-    cyrillic = last.rlike(r"\p{IsCyrillic}")
-    g = _draw(_stream(key, F.lit("given"), F.coalesce(given, F.lit("")), attempt), F.lit(1))
-    male = bare.isin(MALE_TITLES)
-    new_given = (F.when(cyrillic & male, _word(MALE_CYRILLIC, g)).when(cyrillic, _word(FEMALE_CYRILLIC, g))
-                 .when(male, _word(MALE_NAMES, g)).otherwise(_word(FEMALE_NAMES, g)))
-    s = _stream(key, F.lit("surname"), last, attempt)
-    syllables = [F.when(cyrillic, _word(CYRILLIC_SYLLABLES, _draw(s, F.lit(i)))).otherwise(
-        _word(SYLLABLES, _draw(s, F.lit(i)))) for i in range(1, 6)]
-    return F.concat_ws(" ", title, F.when(given.isNotNull(), new_given), F.initcap(F.concat(*syllables)))
+    cyrillic, male = surname_of(value).rlike(r"\p{IsCyrillic}"), bare.isin(MALE_TITLES)
+    s = _stream(key, F.lit("given"), F.coalesce(given, F.lit("")), F.lit(attempt))
+    g = _draw(s, F.lit(1))
+    if attempt < LISTED_NAMES:
+        new_given = (F.when(cyrillic & male, _word(MALE_CYRILLIC, g)).when(cyrillic, _word(FEMALE_CYRILLIC, g))
+                     .when(male, _word(MALE_NAMES, g)).otherwise(_word(FEMALE_NAMES, g)))
+    else:
+        ending = (F.when(cyrillic & male, "р").when(cyrillic, "я").when(male, "o").otherwise("a"))
+        new_given = F.concat(_syllables(cyrillic, s, 3 + attempt // 4), ending)
+    return F.concat_ws(" ", title, F.when(given.isNotNull(), new_given), family)
 
 
 def surrogate(key: str, kind: Column, value: Column, attempt: Column) -> Column:
@@ -169,8 +195,14 @@ def surrogate(key: str, kind: Column, value: Column, attempt: Column) -> Column:
     iban = F.concat(F.substring(value, 1, 2), F.substring(alike, F.lit(3), F.length(value)))
     return (F.when(kind == "phone", phone).when(kind == "card", card).when(kind == "ssn", digits)
             .when(kind == "ip", ip).when((kind == "ipv6") | value.rlike("^[0-9a-f]{32,}$"), hexed)
-            .when(kind == "email", email).when(kind == "iban", iban)
-            .when(kind == "person", _person(key, value, attempt)).otherwise(alike))
+            .when(kind == "email", email).when(kind == "iban", iban).otherwise(alike))
+
+
+def is_entity(kind: Column, surface: Column) -> Column:
+    """False for an unbroken run of digits of a card's length whose last digit is no check digit."""
+    body = F.substring(surface, F.lit(1), F.length(surface) - 1)
+    run = (kind == "card") & surface.rlike(r"^\d+$")
+    return F.when(run, F.substring(surface, -1, 1) == _luhn_digit(body)).otherwise(True)
 
 
 def dressed(kind: Column, surface: Column, new: Column) -> Column:
@@ -194,61 +226,102 @@ def dressed(kind: Column, surface: Column, new: Column) -> Column:
             .when(kind == "iban", spaced).when(kind.isin("person", "ip", *DIGIT_KINDS), new).otherwise(cased))
 
 
-def assign_surrogates(entities: DataFrame, key: str, attempts: int = ATTEMPTS) -> DataFrame:
-    """(kind, value, new): one distinct surrogate for every distinct (kind, value).
+def _draw_distinct(entities: DataFrame, draw, attempts: int) -> tuple[DataFrame, DataFrame]:
+    """(kind, value, new) of the entities whose ``draw(attempt)`` is taken, and those that are left after all attempts.
 
     A draw is taken when no other entity drew it (ties: the smaller value keeps
     it), no accepted surrogate equals it and it is no real entity of the corpus.
-    The others draw again; what still collides after ``attempts`` draws, in a
-    format with hardly any room, gets digits of its own digest appended.
+    The others draw again.
     """
-    entities = materialize(entities.distinct(), "pii-entities")
     pending, accepted = entities, []
+    real = entities.select("kind", F.col("value").alias("new"))
     for attempt in range(attempts):
-        drawn = pending.withColumn("new", surrogate(key, F.col("kind"), F.col("value"), F.lit(attempt)))
+        drawn = pending.withColumn("new", draw(attempt))
         first = drawn.groupBy("kind", "new").agg(F.min("value").alias("value"))
-        taken = reduce(DataFrame.unionByName, [a.select("kind", "new") for a in accepted],
-                       entities.select("kind", F.col("value").alias("new")))
+        taken = reduce(DataFrame.unionByName, [a.select("kind", "new") for a in accepted], real)
         good = materialize(first.join(taken, ["kind", "new"], "left_anti").select("kind", "value", "new"), "pii-drawn")
         accepted.append(good)
         pending = materialize(pending.join(good, ["kind", "value"], "left_anti"), "pii-pending")
         if pending.isEmpty():
-            return reduce(DataFrame.unionByName, accepted)
+            break
+    return reduce(DataFrame.unionByName, accepted), pending
+
+
+def assign_surrogates(entities: DataFrame, key: str, attempts: int = ATTEMPTS) -> DataFrame:
+    """(kind, value, new): one distinct surrogate for every distinct (kind, value).
+
+    Surnames are drawn first, then persons with the surname they have, and all
+    else. What still collides after ``attempts`` draws, in a format with hardly any
+    room, gets digits of its own digest appended. The distinct entities are dealt by
+    their hash before anything is drawn, so drawing is shared by all tasks however
+    few bytes they are.
+    """
+    spark = entities.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    entities = materialize(entities.distinct().repartition(parts, "kind", "value"), "pii-entities")
+    persons = entities.where("kind = 'person'")
+    surnames = materialize(persons.select(F.lit("surname").alias("kind"), surname_of(F.col("value")).alias("value"))
+                           .distinct().repartition(parts, "value"), "pii-surnames")
+    families, left = _draw_distinct(surnames, lambda n: new_surname(key, F.col("value"), n), attempts)
+    families = families.unionByName(_with_digest(left, key, new_surname(key, F.col("value"), attempts)))
+    named = (entities.withColumn("last", F.when(F.col("kind") == "person", surname_of(F.col("value"))))
+             .join(families.select(F.col("value").alias("last"), F.col("new").alias("family")), "last", "left")
+             .select("kind", "value", "family"))
+    named = materialize(named.repartition(parts, "kind", "value"), "pii-named")
+
+    def draw(attempt: int) -> Column:
+        kind, value = F.col("kind"), F.col("value")
+        return F.when(kind == "person", new_person(key, value, F.col("family"), attempt)).otherwise(
+            surrogate(key, kind, value, F.lit(attempt)))
+    drawn, left = _draw_distinct(named, draw, attempts)
+    return drawn.unionByName(_with_digest(left, key, draw(attempts)))
+
+
+def _with_digest(entities: DataFrame, key: str, new: Column) -> DataFrame:
     own = F.conv(F.substring(F.sha2(F.concat_ws("|", F.lit(key), "kind", "value"), 256), 1, 15), 16, 10)
-    rest = pending.select("kind", "value", F.concat(
-        surrogate(key, F.col("kind"), F.col("value"), F.lit(attempts)), own).alias("new"))
-    return reduce(DataFrame.unionByName, [*accepted, rest])
+    return entities.select("kind", "value", F.concat(new, own).alias("new"))
 
 
 def pseudonymize(docs: DataFrame, key: str, text: str = "text", doc_id: str = "doc_id",
                  attempts: int = ATTEMPTS) -> DataFrame:
     """``docs`` with every entity of ``text`` replaced, plus ``n_entities`` (mentions replaced).
 
-    All columns are kept; one named ``n_entities`` is replaced. A null text stays
-    null and an empty one empty, both with 0 mentions; repeated rows are repeated
-    in the result. Only documents with an entity are shuffled: their replacements
-    meet them by a digest of (doc_id, text), so copies under different ids do not
-    gather in one task; a mention that is frequent in the corpus is one row per
-    document on the join's large side, which adaptive execution splits.
+    All columns are kept, whatever their names; one named ``n_entities`` is
+    replaced. A null text stays null and an empty one empty, both with 0 mentions;
+    repeated rows are repeated in the result. The documents that may have an entity
+    are cut once into mentions and the gaps between them, and written; only they
+    are shuffled: their replacements meet them by a digest of (doc_id, text), so
+    copies under different ids do not gather in one task; a mention that is frequent
+    in the corpus is one row per document on the join's large side, which adaptive
+    execution splits.
     """
     columns = [c for c in docs.columns if c != "n_entities"]
+    own = uuid.uuid4().hex
+    name, cut, gaps, new = (f"{part}-{own}" for part in ("name", "cut", "gaps", "new"))
     docs = docs.select(*columns)
-    hit = docs.where(found(F.col(text))).withColumn("__key", F.sha2(F.concat_ws(
-        "\u0001", F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.col(text)), 256))
-    mentions = F.regexp_extract_all(F.col(text), F.lit(ANY), F.lit(0))
+    t = F.col(text)
+    hit = materialize(
+        docs.where(found(t)).withColumn(name, F.sha2(F.concat_ws(
+            "\u0001", F.coalesce(F.col(doc_id).cast("string"), F.lit("")), t), 256))
+        .withColumn(cut, F.regexp_extract_all(t, F.lit(ANY), F.lit(0))).withColumn(gaps, F.split(t, ANY, -1)).drop(text),
+        "pii-cut")
+    surface = F.col("surface")
     listed = materialize(
-        hit.select("__key", F.explode(F.array_distinct(mentions)).alias("surface"))
-        .withColumn("kind", kind_of(F.col("surface")))
-        .withColumn("value", canonical(F.col("kind"), F.col("surface"))), "pii-mentions")
+        hit.select(F.col(name).alias("name"), F.explode(F.array_distinct(cut)).alias("surface"))
+        .withColumn("kind", kind_of(surface)).where(is_entity(F.col("kind"), surface))
+        .withColumn("value", canonical(F.col("kind"), surface)), "pii-mentions")
     drawn = assign_surrogates(listed.select("kind", "value"), key, attempts)
     replaced = (listed.join(drawn, ["kind", "value"])
-                .withColumn("shown", dressed(F.col("kind"), F.col("surface"), F.col("new")))
-                .groupBy("__key").agg(F.map_from_entries(F.collect_set(F.struct("surface", "shown"))).alias("__map")))
-    changed = (hit.join(replaced, "__key")
-               .withColumn("__m", mentions).withColumn("__gaps", F.split(F.col(text), ANY, -1))
-               .withColumn("n_entities", F.size("__m").cast("long"))
-               .withColumn(text, F.concat(F.col("__gaps")[0], F.array_join(F.transform(
-                   F.col("__m"), lambda m, i: F.concat(F.col("__map")[m], F.element_at(F.col("__gaps"), i + 2))), "")))
+                .withColumn("shown", dressed(F.col("kind"), surface, F.col("new")))
+                .groupBy(F.col("name").alias(name))
+                .agg(F.map_from_entries(F.collect_set(F.struct("surface", "shown"))).alias(new)))
+
+    def shown(mention: Column) -> Column:
+        return F.try_element_at(F.col(new), mention)
+    changed = (hit.join(replaced, name, "left")
+               .withColumn("n_entities", F.size(F.filter(cut, lambda m: shown(m).isNotNull())).cast("long"))
+               .withColumn(text, F.concat(F.col(gaps)[0], F.array_join(F.transform(
+                   F.col(cut), lambda m, i: F.concat(F.coalesce(shown(m), m), F.element_at(F.col(gaps), i + 2))), "")))
                .select(*columns, "n_entities"))
-    same = docs.where(~found(F.col(text))).withColumn("n_entities", F.lit(0).cast("long"))
+    same = docs.where(~found(t)).withColumn("n_entities", F.lit(0).cast("long"))
     return same.unionByName(changed)

@@ -1,5 +1,6 @@
 """Quality rules, surrogates and the url filter against direct Python versions."""
 
+import random
 import re
 from collections import Counter
 from fractions import Fraction
@@ -128,6 +129,47 @@ def test_surrogates_stay_distinct_in_a_narrow_format(spark):
     assert len({r["new"] for r in drawn}) == 10 and not {r["new"] for r in drawn} & {f"+9{d}" for d in range(10)}
 
 
+def test_a_surname_stays_one_with_any_number_of_given_names(spark):
+    given = [a + b for a in ("Al", "Be", "Cy", "Do", "Ed", "Fy", "Gu") for b in ("bert", "na", "rik", "mo", "sten", "li")]
+    rows = [(i, f"Mr {g} Smith wrote") for i, g in enumerate(given)] + [(100, "Mr Smith wrote"), (101, "Frau Smith wrote"),
+                                                                       (102, "Mr Albert Jones wrote")]
+    out = {r["doc_id"]: r["text"].split() for r in
+           pii.pseudonymize(spark.createDataFrame(rows, "doc_id long, text string"), "k").collect()}
+    family = out[100][1]
+    assert family != "Smith" and out[101][:2] == ["Frau", family] and out[102][2] not in ("Jones", family)
+    names = [out[i] for i in range(len(given))]
+    assert all(n[0] == "Mr" and n[2] == family and n[1] not in given and n[1].isalpha() for n in names)
+    assert len({n[1] for n in names}) == len(given)
+
+
+def test_numbers_that_are_no_entities_stay(spark):
+    text = "at 1700000000000 and 20240101123456 in v1.2.3.4, paid by 4111111111111111 from 10.0.0.1"
+    r = pii.pseudonymize(spark.createDataFrame([(1, text)], "doc_id long, text string"), "k").first()
+    assert r["text"].startswith("at 1700000000000 and 20240101123456 in v1.2.3.4, paid by ") and r["n_entities"] == 2
+    assert "4111111111111111" not in r["text"] and "10.0.0.1" not in r["text"]
+
+
+def test_columns_of_any_name_are_kept(spark):
+    names = ["__key", "__map", "__m", "__gaps", "name", "surface", "new", "kind", "value", "shown"]
+    docs = spark.createDataFrame([(1, "mail a.b@c.de", *names), (2, "none", *names)],
+                                 "doc_id long, text string, " + ", ".join(f"`{n}` string" for n in names))
+    for r in pii.pseudonymize(docs, "k").collect():
+        assert [r[n] for n in names] == names and ("a.b@c.de" in r["text"]) is False
+
+
+def test_replacement_equals_a_plain_version(spark):
+    rng = random.Random(5)
+    parts = ["Mr Ivo Kant", "Mr Kant", "x@y.org", "10.1.2.3", "4111111111111111", "1234567890123456", "plain", "078-05-1120"]
+    rows = [(i, " , ".join(rng.choice(parts) for _ in range(rng.randrange(6)))) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    single = {r["text0"]: r["text"] for r in pii.pseudonymize(
+        spark.createDataFrame([(i, p, p) for i, p in enumerate(parts)], "doc_id long, text string, text0 string"), "k").collect()}
+    out = {r["doc_id"]: (r["text"], r["n_entities"]) for r in pii.pseudonymize(docs, "k").collect()}
+    for i, text in rows:
+        mentions = text.split(" , ") if text else []
+        assert out[i] == (" , ".join(single[m] for m in mentions), sum(single[m] != m for m in mentions))
+
+
 def test_surrogates_of_awkward_rows(spark, awkward):
     out = pii.pseudonymize(awkward, "k")
     assert out.columns == [*awkward.columns, "n_entities"] and out.count() == awkward.count()
@@ -157,12 +199,33 @@ def test_url_rules_and_propagation(spark):
     assert by_page[5][3] == "block" and by_page[1][3] == by_page[2][3] == "allow" and by_page[None][3] == "block"
 
 
+def test_scores_reach_along_a_long_chain(spark):
+    edges = spark.createDataFrame([(f"h{i:02}", f"h{i + 1:02}") for i in range(20)], "src string, dst string")
+    seeds = spark.createDataFrame([("h00", 1.0, 0.0), ("h20", 0.0, 1.0)], "host string, trusted double, distrusted double")
+    got = {r["host"]: (r["trust"], r["distrust"]) for r in linkgraph.propagate(edges, seeds, tolerance=1e-9).collect()}
+    d = linkgraph.DAMPING
+    for i in range(21):
+        assert abs(got[f"h{i:02}"][0] - (1 - d) * d ** i) < 1e-12
+        assert abs(got[f"h{i:02}"][1] - (1 - d) * d ** (20 - i)) < 1e-12
+
+
+def test_domains_without_pages_are_nodes(spark):
+    rows = [(1, "http://a.bad.net/es/x", None), (2, "http://b.bad.net/x", None), (3, "http://far.org/x", None),
+            (4, "http://c.d.example/", '<a href="//x.evil.net/">'), (5, "http://x.evil.net/fr/", None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    host, path = linkgraph.split_url(pages["url"])
+    edges = {tuple(r) for r in linkgraph.host_edges(pages.select(host.alias("host"), "html")).collect()}
+    assert {("a.bad.net", "bad.net"), ("bad.net", "a.bad.net"), ("bad.net", "net"), ("c.d.example", "x.evil.net")} <= edges
+    verdicts = {r["page_id"]: r["verdict"] for r in linkgraph.judge_pages(pages).collect()}
+    assert verdicts == {1: "block", 2: "block", 3: "allow", 4: "block", 5: "block"}
+
+
 def test_propagation_equals_dense_iteration(spark):
     edges = [("a", "b"), ("b", "c"), ("c", "a"), ("d", "b"), ("d", "c")]
     seeds = [("a", 1.0, 0.0), ("c", 0.0, 1.0)]
     got = {r["host"]: (r["trust"], r["distrust"]) for r in linkgraph.propagate(
         spark.createDataFrame(edges, "src string, dst string"),
-        spark.createDataFrame(seeds, "host string, trusted double, distrusted double"), rounds=5, every=2).collect()}
+        spark.createDataFrame(seeds, "host string, trusted double, distrusted double"), rounds=5).collect()}
     hosts, d = "abcd", linkgraph.DAMPING
     t, s = {h: 0.0 for h in hosts}, {h: 0.0 for h in hosts}
     t["a"], s["c"] = 1 - d, 1 - d
