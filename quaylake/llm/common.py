@@ -70,11 +70,6 @@ def training_ids(labels: DataFrame, name: str) -> DataFrame:
     return one_label(labels, name).where(F.col("label").isin(0, 1) & ~held_out(F.col("doc_id")))
 
 
-def class_sizes(labels: DataFrame, name: str) -> dict[int, int]:
-    """Label to the number of ``training_ids`` with it, all of them counted."""
-    return {r["label"]: r["n"] for r in training_ids(labels, name).groupBy("label").agg(F.count("*").alias("n")).collect()}
-
-
 def training_rows(docs: DataFrame, labels: DataFrame, name: str, per_class: int) -> DataFrame:
     """(doc_id, text, label) of a bounded labelled sample outside the held-out fold."""
     ids = training_ids(labels, name)

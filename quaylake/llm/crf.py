@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quaylake.llm.common import held_out, keep_rows
@@ -26,6 +26,7 @@ ORDERS = (1, 2, 3, 4)
 BITS = 16
 LEXICON = 200
 PER_LANGUAGE = 150
+LANGUAGES = 64
 MIX = 24
 STEPS = 30
 RATE = 0.15
@@ -242,23 +243,22 @@ class Labeller:
         return out
 
 
-def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> ChainModel:
-    """Fit on at most ``per_language`` documents of each language outside the held-out fold.
+def train(docs: DataFrame, per_language: int = PER_LANGUAGE, languages: int = LANGUAGES) -> ChainModel:
+    """Fit on at most ``per_language`` documents of each of the ``languages`` most frequent languages.
 
-    The sample follows a hash of the id; only its ids are gathered first, and
-    their texts fetched by a join with that bounded list.
+    The sample leaves the held-out fold out and follows a hash of the id within each
+    language; only its ids are gathered first, and their texts fetched by a join
+    with that bounded list. Rarer languages than these are not learned.
     """
     known = (docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
              .select("doc_id", "lang", F.xxhash64("doc_id").alias("h")))
-    languages = [r["lang"] for r in known.select("lang").distinct().orderBy("lang").collect()]
-    ids = None
-    for lang in languages:
-        part = known.where(F.col("lang") == lang).orderBy("h", "doc_id").limit(per_language)
-        ids = part if ids is None else ids.unionByName(part)
-    if ids is None:
-        return fit([])
-    rows = (docs.select("doc_id", "lang", "text")
-            .join(F.broadcast(ids.select("doc_id", "lang")), ["doc_id", "lang"]).collect())
+    learned = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(languages)
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))
+    ids = (known.join(F.broadcast(learned.select("lang")), "lang").withColumn("place", place)
+           .where(F.col("place") <= per_language).select("doc_id", "lang").distinct())
+    # rows that repeat an id are one sample
+    rows = (docs.select("doc_id", "lang", "text").join(F.broadcast(ids), ["doc_id", "lang"])
+            .groupBy("doc_id", "lang").agg(F.min("text").alias("text")).collect())
     return fit([(r["lang"], r["text"] or "") for r in rows])
 
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quaylake.llm.common import class_sizes, held_out, keep_rows, sigmoid, training_rows
+from quaylake.llm.common import hashed_sample, held_out, keep_rows, materialize, sigmoid, training_ids
 
 FEATURES = ("log_words", "word_chars", "symbols", "marks", "upper", "digits", "distinct_words", "top_word",
             "compression", "distinct_lines", "line_words", "short_words", "symbol_words", "title_words")
@@ -206,11 +206,14 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Add
     """Collect the features of at most ``2 * per_class`` labelled documents outside the held-out fold and fit.
 
     The classes are sampled apart; a sampled row stands for as many as its class has
-    among all labels outside the fold, so scores refer to the mix of the classes
-    there, whatever the input size.
+    among all labelled documents that are there, outside the fold, so scores refer to
+    the mix of the classes in ``docs``, whatever its size and whatever else is labelled.
     """
-    sizes = class_sizes(labels, "quality")
-    rows = (training_rows(docs, labels, "quality", per_class).select("doc_id", "label", "text")
+    there = docs.where(F.col("doc_id").isNotNull()).select("doc_id").distinct()
+    ids = materialize(training_ids(labels, "quality").join(there, "doc_id", "left_semi"), "labelled")
+    sizes = {r["label"]: r["n"] for r in ids.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    sample = docs.select("doc_id", "text").join(F.broadcast(hashed_sample(ids, per_class)), "doc_id")
+    rows = (sample.select("doc_id", "label", "text")
             .mapInArrow(_feature_rows, "doc_id long, label int, x array<double>").collect())
     rows.sort(key=lambda r: (r["doc_id"], r["x"]))
     x = np.array([r["x"] for r in rows]).reshape(len(rows), len(FEATURES))

@@ -85,6 +85,46 @@ def test_toxicity_separates_planted_words(spark, awkward):
     assert len(out) == awkward.count() and all(0 <= r["score"] <= 1 for r in out)
 
 
+def test_scores_equal_plain_scorers(spark, docs, labels):
+    sample = docs.limit(40)
+    model = gam.train(docs, labels)
+
+    def bin_of(cuts, x):
+        return sum(c <= x for c in cuts.tolist())
+
+    def additive(text):
+        x = list(gam.text_features(text or ""))
+        total = model.bias + sum(t[bin_of(c, v)] for c, t, v in zip(model.cuts, model.tables, x, strict=True))
+        for (f, g), t in zip(model.pairs, model.pair_tables, strict=True):
+            total += t[bin_of(model.pair_cuts[f], x[f]), bin_of(model.pair_cuts[g], x[g])]
+        return 1 / (1 + math.exp(-total))
+    texts = {r["doc_id"]: r["text"] for r in sample.collect()}
+    for r in gam.score_documents(sample, model).collect():
+        assert math.isclose(r["score"], additive(texts[r["doc_id"]]), rel_tol=1e-9, abs_tol=1e-12)
+        assert r["predicted"] == int(r["score"] >= 0.3)
+
+    linear, features = nbsvm.train(docs, labels), nbsvm.Features()
+    for r in nbsvm.score_documents(sample, linear).collect():
+        total = linear.bias + math.fsum(float(linear.weights[i]) for i in set(features(texts[r["doc_id"]] or "").tolist()))
+        assert math.isclose(r["score"], 1 / (1 + math.exp(-total)), rel_tol=1e-6, abs_tol=1e-9)
+
+
+def test_prior_counts_labels_of_documents_that_are_there(spark):
+    docs = spark.createDataFrame([(i, "good words here " * 9 if i % 2 else "## !! $$") for i in range(60)],
+                                 "doc_id long, text string")
+    own = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    others = own.unionByName(spark.createDataFrame([(i, 1) for i in range(1000, 3000)], "doc_id long, quality int"))
+    a, b = (sorted(map(tuple, gam.score_documents(docs, gam.train(docs, x)).collect())) for x in (own, others))
+    assert a == b
+
+
+def test_languages_are_bounded_and_repeated_ids_are_one_sample(spark):
+    rows = [(i, f"wort{i % 7} und mehr", "de") for i in range(30)] + [(100 + i, f"word{i % 7} and more", "en") for i in range(20)]
+    rows += [(200 + i, "x y", f"rare{i}") for i in range(9)] + [(1, "wort1 und mehr", "de")] * 50
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert sorted(crf.train(docs, languages=2).labels) == ["de", "en"]
+
+
 def test_distinct_features_are_the_distinct_ngrams():
     f = nbsvm.Features()
     for text in ["", "a", "abab abab", "ÄÖ ä" * 50]:
