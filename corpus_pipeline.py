@@ -22,13 +22,26 @@ PII_KEY = "test-tables"
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the documents in which the word labels agree on a language."""
+    """Keep the documents in which the word labels agree on a language.
+
+    Null texts and texts without a letter have none and go. Where no document
+    outside the held-out fold has a ``lang`` there is nothing to learn from, and all
+    rows stay. Repeated rows stay or go together; columns beside those of
+    ``documents`` are not carried (here and in the next stages).
+    """
     share_code(spark)
-    return crf.keep_identified(docs, crf.train(docs), LEAST_LANGUAGE_SCORE).select(*COLUMNS)
+    model = crf.train(docs)
+    if not model.labels:
+        return docs.select(*COLUMNS)
+    return crf.keep_identified(docs, model, LEAST_LANGUAGE_SCORE).select(*COLUMNS)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the documents that the quality model does not reject."""
+    """Keep the documents that the quality model does not reject.
+
+    Null and empty texts have the score of a text without words. Without labels all
+    rows score alike, above the limit, and stay.
+    """
     share_code(spark)
     return gam.keep_good(docs, gam.train(docs, table(spark, sf_dir, "labels")), LEAST_QUALITY).select(*COLUMNS)
 
@@ -53,7 +66,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Place the token pieces of the documents in sequences."""
+    """Place the token pieces of the documents in sequences; a null or empty text is the end id alone."""
     share_code(spark)
     return packing.packed_documents(docs, added=packing.added_tokens())
 
