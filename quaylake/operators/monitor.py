@@ -99,6 +99,22 @@ def next_interval(log: DataFrame, key: str, order: list[str], changed: Column |
     return out.withColumn("next_interval", interval)
 
 
+def cadence_report(log: DataFrame, key: str, order: list[str], ts: Column | str, changed: Column | str) -> DataFrame:
+    """What the poll log shows of each poller's cadence (W1): polls, changes, longest run of polls that changed
+    nothing, and the mean wait between polls in seconds (null for a single poll).
+
+    Run lengths come from the blocked scan; the rest is one aggregate with a partial step.
+    """
+    ch = F.coalesce(F.col(changed) if isinstance(changed, str) else changed, F.lit(False))
+    at = F.unix_micros(F.col(ts).cast("timestamp") if isinstance(ts, str) else ts)
+    runs = run_length(log.withColumn("_changed", ch).withColumn("_at", at), key, order, ~F.col("_changed"), col="_quiet")
+    return (runs.groupBy(key).agg(
+        F.count(F.lit(1)).alias("polls"), F.count_if("_changed").alias("changes"), F.max("_quiet").alias("longest_quiet"),
+        (F.max("_at") - F.min("_at")).alias("_span"))
+        .select(key, "polls", "changes", "longest_quiet",
+                F.when(F.col("polls") > 1, F.col("_span") / 1_000_000 / (F.col("polls") - 1)).alias("mean_wait")))
+
+
 def failure_streak(log: DataFrame, key: str, order: list[str], failed: Column | str,
                    threshold: int = 5) -> DataFrame:
     """Consecutive failures per key; a success resets; flag at ``>= threshold``."""

@@ -771,6 +771,19 @@ def next_interval_q(spark, sf):
     return out.select("event_id", "user_id", "unchanged_run", "next_interval")
 
 
+@query("cadence_report", """
+WITH e AS (SELECT event_id, user_id, ts, event_type = 'purchase' AS changed FROM events),
+g AS (SELECT *, sum(changed::INT) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS grp FROM e),
+k AS (SELECT *, sum((NOT changed)::INT) OVER (PARTITION BY user_id, grp ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS quiet FROM g)
+SELECT user_id, count(*)::BIGINT AS polls, count(*) FILTER (WHERE changed)::BIGINT AS changes,
+       max(quiet)::BIGINT AS longest_quiet,
+       CASE WHEN count(*) > 1 THEN (max(epoch_us(ts)) - min(epoch_us(ts))) / 1000000 / (count(*) - 1) END AS mean_wait
+FROM k GROUP BY user_id""")
+def cadence_report_q(spark, sf):
+    ev = table(spark, sf, "events")
+    return MON.cadence_report(ev, "user_id", ["ts", "event_id"], "ts", F.col("event_type") == "purchase")
+
+
 @query("failure_streak", """
 WITH e AS (SELECT event_id, user_id, ts, event_type = 'error' AS failed FROM events),
 g AS (SELECT *, sum((NOT failed)::INT) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS grp FROM e)
