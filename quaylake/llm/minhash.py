@@ -372,7 +372,13 @@ def _list_links(long_lists: DataFrame, nodes: DataFrame, sets: DataFrame, simila
             .withColumn("d", 1 - F.col("common") / (F.col("na") + F.col("nb") - F.col("common")))
             .withColumn("linked", similar(similarity)), "met")
         edges.append(met.where("linked").select("a", "b"))
-        gone = met.where("linked").select("a", F.col("b").alias("x"), F.col("d").alias("dx"), F.col("nb").alias("nx"))
+        # of the leaders of one list that a member is linked with, the closest stands for it there
+        linked = met.where("linked").select(F.col("a").alias("leader"), F.col("b").alias("node"), "d", "nb")
+        closest = F.min_by(F.struct(F.col("leader").alias("a"), F.col("node").alias("x"), F.col("d").alias("dx"),
+                                    F.col("nb").alias("nx")), F.struct("d", "leader"))
+        gone = (active.select("h", "node").join(leaders.select("h", "leader"), "h").join(linked, ["leader", "node"])
+                .groupBy("h", "node").agg(closest.alias("c")).select("c.*").distinct())
+        gone = materialize(gone, "gone")
         near = met.where(~F.col("linked") & (F.col("d") <= 2 * (1 - t) + 1e-9)).select("a", "b", "d", "nb")
         edges += _joined_by_samples(near, gone, nodes, sets, similarity, edges)
         left = met.where("linked").select(F.col("b").alias("node")).unionByName(
