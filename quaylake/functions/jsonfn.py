@@ -31,9 +31,14 @@ def stripped(raw: Column | str) -> Column:
     return F.regexp_replace(_c(raw), r"^\s+|\s+$", "")
 
 
+def from_first(raw: Column | str) -> Column:
+    """The text from its first character that ``stripped`` keeps; no pattern runs over the rest."""
+    return F.ltrim(_c(raw), F.lit(" \t\n\x0b\f\r"))
+
+
 def json_shape(raw: Column | str, trimmed: Column | None = None) -> Column:
     """'object' | 'array' | 'scalar' | 'empty' from the first non-space character."""
-    first = F.substring(stripped(raw) if trimmed is None else trimmed, 1, 1)
+    first = F.substring(from_first(raw) if trimmed is None else trimmed, 1, 1)
     return (F.when(first == "{", "object").when(first == "[", "array")
             .when(first == "", "empty").otherwise("scalar"))
 
@@ -48,11 +53,15 @@ def parse_one(raw: Column | str) -> Column:
     The parser stops at the end of the first value, so the text is parsed as the
     first element of a list that a mark has to close: trailing text, a second
     value or an unclosed one leave the mark out of its place.
+    The parsed list is a lambda's variable: it is parsed once wherever the column
+    stands, in a filter too.
     """
+    def first(wrapped: Column) -> Column:
+        whole = (F.try_variant_get(wrapped, "$[1]", "string") == END_MARK) & \
+            F.variant_get(wrapped, "$[2]", "variant").isNull()
+        return F.when(whole, F.variant_get(wrapped, "$[0]", "variant"))
     wrapped = F.try_parse_json(F.concat(F.lit("["), _c(raw), F.lit(f',"{END_MARK}"]')))
-    whole = (F.try_variant_get(wrapped, "$[1]", "string") == END_MARK) & \
-        F.variant_get(wrapped, "$[2]", "variant").isNull()
-    return F.when(whole, F.variant_get(wrapped, "$[0]", "variant"))
+    return F.transform(F.array(wrapped), first)[0]
 
 
 def strict_json(raw: Column | str, parsed: Column | None = None) -> Column:

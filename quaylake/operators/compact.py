@@ -117,7 +117,8 @@ def typed_records(df, raw: str, stream: str, ddl: str | None = None, schema=None
 
     def failed(name):
         val = F.variant_get(F.col("_v"), f"$['{name}']", "variant")
-        return F.when(val.isNotNull() & ~F.is_variant_null(val) & F.col("_rec")[name].isNull(), F.lit(name))
+        # most fields fit, and then the text's value is not looked up
+        return F.when(F.col("_rec")[name].isNull() & val.isNotNull() & ~F.is_variant_null(val), F.lit(name))
     errors = F.array_compact(F.array(*[failed(f.name) for f in schema.fields])) if schema.fields \
         else F.array().cast("array<string>")
     return out.withColumn("_cast_errors", errors).drop("_v")
@@ -142,8 +143,9 @@ def parse_raw(spark: SparkSession, paths: list[str], stream: str, ddl: str | Non
         F.col("_metadata.file_size").alias("size"),
         F.unix_millis(F.col("_metadata.file_modification_time")).alias("mtime_ms"),
         F.col("value").alias("raw"))
-    text = typed_records(text.where(J.stripped("raw") != ""), "raw", stream, ddl)
-    label = L.label_of_path("path")
+    text = typed_records(text.where(J.from_first("raw") != ""), "raw", stream, ddl) \
+        .withColumn("_label", L.label_of_path("path"))
+    label = F.col("_label")
     return text.select(
         "path", F.when(~F.col("_good"), F.col("raw")).alias("raw"), "_good", "_rec", "_extra", "_cast_errors",
         F.lit(stream).alias("stream"), L.label_dt(label).alias("dt"), L.label_hour(label).alias("hour"),

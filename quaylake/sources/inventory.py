@@ -84,7 +84,9 @@ def list_files(spark: SparkSession, root: str, suffixes: tuple[str, ...] = ()) -
 
 def metadata_path() -> Column:
     """Plain path of a row's file: the metadata column holds it as an encoded URI."""
-    return norm_path(F.url_decode(F.regexp_replace(F.col("_metadata.file_path"), r"\+", "%2B")))
+    uri = F.col("_metadata.file_path")
+    # a column of every row: decoded only where something is encoded
+    return norm_path(F.when(uri.contains("%"), F.url_decode(F.regexp_replace(uri, r"\+", "%2B"))).otherwise(uri))
 
 
 def has_data(spark: SparkSession, root: str) -> bool:

@@ -21,7 +21,7 @@ def scan_jsonl(spark: SparkSession, paths: list[str] | str, schema: StructType,
     """
     text = spark.read.text(paths).select(
         inv.metadata_path().alias("path"), F.col("value").alias("raw"))
-    text = text.where(J.stripped("raw") != "")
+    text = text.where(J.from_first("raw") != "")
     good = J.strict_json("raw") & (J.json_shape("raw") == "object")
     rows = text.where(good).select(F.from_json("raw", schema).alias("r")).select("r.*")
     if not with_quarantine:

@@ -85,3 +85,22 @@ def test_index_and_runs_do_not_need_exchange_reuse(spark):
         assert runs.agg(F.max("run")).first()[0] == 50_000
     finally:
         spark.conf.unset("spark.sql.exchange.reuse")
+
+
+def test_a_text_is_parsed_once_in_a_filter_too(spark):
+    from pyspark.sql import functions as F
+    from quaylake.functions import jsonfn as J
+    from quaylake.operators.compact import parse_raw
+    from quaylake.session import scratch_dir
+    path = scratch_dir(spark, "lines")
+    lines = ['{"a": 1}', '{"a": 1} {"b": 2}', '{"a": 1', ' \t\x0b [1]', '"x"', ' \t ', '', '{"a":1}\t']
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(path)
+    bad = parse_raw(spark, [path], "feed/x", "a BIGINT").where(~F.col("_good")).select("path", F.lit(1))
+    # the pass over bad lines filters; its condition must not repeat the parse
+    condition = [line for line in plan(bad).splitlines() if "Filter" in line and "FileScan" not in line]
+    assert max(line.count("parseJson(") for line in condition) <= 1 and all(
+        "regexp_replace" not in line for line in condition)
+    good = parse_raw(spark, [path], "feed/x", "a BIGINT").where("_good").select("_rec.a")
+    assert [r["a"] for r in good.collect()] == [1, 1] and bad.count() == 4
+    shapes = spark.createDataFrame([(x,) for x in [*lines, None]], "v string").select(J.json_shape("v").alias("s"))
+    assert [r["s"] for r in shapes.collect()] == ["object"] * 3 + ["array", "scalar", "empty", "empty", "object", "scalar"]
