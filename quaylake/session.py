@@ -27,6 +27,9 @@ RUNTIME_CONF = {
     # writes partitioned by label and hour cost per output file: small batches keep
     # their parallelism instead of being coalesced into one writer task
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "4k",
+    # sizes of shuffled data are those of compressed columns of keys and of variants, which take
+    # twenty times as much in a task that sorts them
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8m",
     # folders are listed in a few tasks, not in one task each
     "spark.sql.sources.parallelPartitionDiscovery.parallelism": "32",
     # keyed state of streams lies on disk, and a checkpoint costs what changed, not what is known

@@ -104,3 +104,16 @@ def test_a_text_is_parsed_once_in_a_filter_too(spark):
     assert [r["a"] for r in good.collect()] == [1, 1] and bad.count() == 4
     shapes = spark.createDataFrame([(x,) for x in [*lines, None]], "v string").select(J.json_shape("v").alias("s"))
     assert [r["s"] for r in shapes.collect()] == ["object"] * 3 + ["array", "scalar", "empty", "empty", "object", "scalar"]
+
+
+def test_a_large_label_is_written_by_several_tasks(spark):
+    """Compressed sizes say little of what a task sorts: 8 MB of them are one task's share."""
+    from pyspark.sql import functions as F
+    from quaylake.operators.land import land_lines
+    from quaylake.session import apply_conf, scratch_dir
+    apply_conf(spark)
+    raw = scratch_dir(spark, "large-label")
+    land_lines(spark.range(0, 500_000, 1, 8).select(F.lit("2024-01-02T03").alias("label"),
+                                                    F.sha2(F.col("id").cast("string"), 256).alias("value")), raw, "feed/x")
+    files = spark.read.text(f"{raw}/feed/x").select(F.col("_metadata.file_path").alias("p")).distinct().count()
+    assert files > 1
