@@ -16,6 +16,8 @@ WORD_PATTERN = NON_SPACE_CLASS + "+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 FOLDS = 5
+# a batch passes through several copies on both sides of the Python worker; the default is 64 MB
+BATCH_BYTES = "4m"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -82,11 +84,12 @@ def sigmoid(x):
 
 
 def share_code(spark: SparkSession) -> SparkSession:
-    """Let Python workers import this library from where the driver has it.
+    """Let Python workers import this library from where the driver has it, and bound the batches they get.
 
     Where the library is installed on the workers, or shipped with ``--py-files``,
-    this changes nothing.
+    the import path changes nothing.
     """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     environment = spark.sparkContext.environment
     paths = environment.get("PYTHONPATH", "").split(os.pathsep)

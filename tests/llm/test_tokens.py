@@ -5,10 +5,12 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from quaylake.llm import bpe, packing
 from quaylake.llm.pretokens import ChunkTable, segments
 from tokenizers import Tokenizer
@@ -134,3 +136,12 @@ def test_patterns_use_every_length_once(histogram):
             used[length] = used.get(length, 0) + count
     assert used == histogram
     assert len(patterns) <= 4 * len(histogram) + 1
+
+
+def test_a_batch_of_long_texts_is_cut_by_its_bytes(spark):
+    def run(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"size": [batch.nbytes]})
+    texts = spark.range(0, 5000, 1, 1).select(F.expr("repeat('word ', 1000)").alias("text"))
+    sizes = [r["size"] for r in texts.mapInArrow(run, "size long").collect()]
+    assert sum(sizes) > 24_000_000 and max(sizes) < 6_000_000
