@@ -43,7 +43,7 @@ SIGNATURE = 64
 CLASS_BITS = 22
 CHUNK_BITS = 16
 BITMAP_BITS = 1 << 23
-REMEMBERED_WORDS = 500_000
+REMEMBERED_WORDS = 200_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _MIX2 = np.uint64(0xBF58476D1CE4E5B9)
 
@@ -111,7 +111,7 @@ def frequency_classes(docs: DataFrame, width: int, bits: int = CLASS_BITS) -> np
             for text in batch.column(0):
                 held.append((shingles(text.as_py()) >> shift).astype(np.int64))
                 size += len(held[-1])
-                if size > 1 << 22:
+                if size > 1 << 20:
                     add()
                     size = 0
         add()
