@@ -28,6 +28,8 @@ TOKENIZER = "byte_bpe_50k.json"
 CAPACITY = 1024
 END_ID = 0
 REMEMBERED_CHUNKS = 400_000
+# the ranks and the chunk table of a Python worker, which its next tasks find filled
+_kept: list = [None, None]
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
@@ -41,6 +43,14 @@ def added_tokens(path: str | None = None) -> dict[str, int]:
     return {t["content"]: t["id"] for t in listed}
 
 
+def chunk_table(ranks: dict[bytes, int]) -> ChunkTable:
+    """The worker's table for these ranks; another vocabulary starts a new one."""
+    if _kept[0] is not ranks:
+        import regex
+        _kept[:] = ranks, ChunkTable(regex.compile(pattern()).findall, word_encoder(ranks), REMEMBERED_CHUNKS)
+    return _kept[1]
+
+
 def token_pieces(docs: DataFrame, ranks: dict[bytes, int], capacity: int = CAPACITY, end_id: int = END_ID,
                  include_ids: bool = False, added: dict[str, int] | None = None) -> DataFrame:
     """Tokenise every whole text, append ``end_id`` and cut it into pieces of at most ``capacity``.
@@ -56,7 +66,7 @@ def token_pieces(docs: DataFrame, ranks: dict[bytes, int], capacity: int = CAPAC
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
-        table = ChunkTable(regex.compile(pattern()).findall, word_encoder(shared.value), REMEMBERED_CHUNKS)
+        table = chunk_table(shared.value)
         cut = regex.compile("(" + "|".join(map(regex.escape, sorted(added, key=len, reverse=True))) + ")")
 
         end = np.array([end_id], dtype=np.uint32)

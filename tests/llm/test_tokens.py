@@ -145,3 +145,13 @@ def test_a_batch_of_long_texts_is_cut_by_its_bytes(spark):
     texts = spark.range(0, 5000, 1, 1).select(F.expr("repeat('word ', 1000)").alias("text"))
     sizes = [r["size"] for r in texts.mapInArrow(run, "size long").collect()]
     assert sum(sizes) > 24_000_000 and max(sizes) < 6_000_000
+
+
+def test_the_chunk_table_stays_with_its_vocabulary(spark):
+    first, second = {bytes([i]): i for i in range(256)}, {bytes([i]): 255 - i for i in range(256)}
+    docs = spark.createDataFrame([(i, "ab ba ab") for i in range(40)], "doc_id long, text string").repartition(8)
+    table = packing.chunk_table(first)
+    assert packing.chunk_table(first) is table and packing.chunk_table(second) is not table
+    for ranks in (first, second, first):
+        ids = packing.token_pieces(docs, ranks, include_ids=True).select("ids").distinct().collect()
+        assert [r["ids"] for r in ids] == [[ranks[bytes([c])] for c in b"ab ba ab"] + [packing.END_ID]]
