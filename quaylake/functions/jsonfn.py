@@ -53,15 +53,24 @@ def parse_one(raw: Column | str) -> Column:
     The parser stops at the end of the first value, so the text is parsed as the
     first element of a list that a mark has to close: trailing text, a second
     value or an unclosed one leave the mark out of its place.
-    The parsed list is a lambda's variable: it is parsed once wherever the column
-    stands, in a filter too.
     """
-    def first(wrapped: Column) -> Column:
-        whole = (F.try_variant_get(wrapped, "$[1]", "string") == END_MARK) & \
-            F.variant_get(wrapped, "$[2]", "variant").isNull()
-        return F.when(whole, F.variant_get(wrapped, "$[0]", "variant"))
-    wrapped = F.try_parse_json(F.concat(F.lit("["), _c(raw), F.lit(f',"{END_MARK}"]')))
-    return F.transform(F.array(wrapped), first)[0]
+    return _first_of_list(_wrapped(raw))
+
+
+def parse_once(raw: Column | str) -> Column:
+    """``parse_one`` for a filter, or a column that one may be pushed through: the parsed list is a
+    lambda's variable, so the text is parsed once there too."""
+    return F.transform(F.array(_wrapped(raw)), _first_of_list)[0]
+
+
+def _wrapped(raw: Column | str) -> Column:
+    return F.try_parse_json(F.concat(F.lit("["), _c(raw), F.lit(f',"{END_MARK}"]')))
+
+
+def _first_of_list(wrapped: Column) -> Column:
+    whole = (F.try_variant_get(wrapped, "$[1]", "string") == END_MARK) & \
+        F.variant_get(wrapped, "$[2]", "variant").isNull()
+    return F.when(whole, F.variant_get(wrapped, "$[0]", "variant"))
 
 
 def strict_json(raw: Column | str, parsed: Column | None = None) -> Column:
@@ -69,7 +78,7 @@ def strict_json(raw: Column | str, parsed: Column | None = None) -> Column:
 
     Pass ``parsed`` (= ``parse_one(raw)`` from an earlier projection) to avoid a re-parse.
     """
-    return (parse_one(raw) if parsed is None else parsed).isNotNull()
+    return (parse_once(raw) if parsed is None else parsed).isNotNull()
 
 
 def object_keys(raw: Column | str) -> Column:

@@ -108,7 +108,7 @@ def typed_records(df, raw: str, stream: str, ddl: str | None = None, schema=None
     known = spec.known_keys if schema is None else [f.name for f in schema.fields] + list(spec.drop_fields)
     schema = schema or spec.schema
     # one variant parse per line, reused by the strictness check, _extra and _cast_errors
-    out = df.withColumn("_v", J.parse_one(raw))
+    out = df.withColumn("_v", J.parse_once(raw))
     good = J.strict_json(raw, F.col("_v")) & (J.json_shape(raw) == "object")
     extra = F.map_filter(F.try_variant_get(F.col("_v"), "$", "map<string,variant>"),
                          lambda k, v: ~F.array_contains(F.array(*[F.lit(x) for x in known]), k))
