@@ -7,19 +7,23 @@ bottom of its set in this order: the values in which two sets with the required
 similarity must share at least one. Rare values come first, so the inverted
 lists of retained values are short, except where many texts really are alike.
 
-Lists of at most ``hot`` members give their pairs. In a longer list, members meet
-a few leaders; those similar to one leave with it. A member y that is not can only
-be similar to a member x that left with leader c if d(c, y) <= d(c, x) + (1 - t),
-and the pair is only of interest while no link found so far joins the two:
-such y meet growing samples of what left, until they are joined or have met all.
-
-Pairs pass a second, uniform sketch first: the overlap in the union of the
-SIGNATURE smallest hashes of both estimates the similarity, and a pair goes when
-the estimate lies more than six standard deviations below the required one (a
-chance of under 1e-8 for a pair that is similar). The rest is confirmed on full
-sets, the likeliest partner of each document first; pairs that are joined by
-then are not checked. Every link between texts of different components is refuted
-exactly or by these bounds.
+Lists of at most ``hot`` members give the pairs whose sizes and marks allow the
+similarity. A mark has MARK_BITS bits, one for the smallest hash in each part of
+the range of hashes, so two texts that only share a rare passage never leave their
+list as a pair. The members of longer lists meet by bands: each names BAND_ROWS
+smallest hashes under as many orders, and of two similar texts some band of the
+BANDS agrees. Buckets of at most ``hot`` members give pairs again, the members of a
+longer one are tied to its smallest id; members tied so need no pairs.
+
+Pairs pass a second, uniform sketch: the overlap in the union of the SIGNATURE
+smallest hashes of both estimates the similarity. What then hangs together is a
+cluster, which holds every link of its members. Each set moves to its cluster
+once, or to the pairs of parts of a large one, and all pairs inside are decided
+exactly; a task returns links that join what is joined, not all of them.
+
+At 80 per cent a similar pair fails its mark (more than eight standard deviations of
+differing bits) or all bands with a chance of under 1e-9 each, and the estimate
+(six standard deviations) with one of under 1e-8; every link returned is exact.
 """
 
 from __future__ import annotations
@@ -36,16 +40,21 @@ from quaylake.llm.common import materialize
 
 SIMILARITY = 80           # per cent
 HOT = 64
-STAR_ROUNDS = 2
-LEADERS = 8
-FIRST_SAMPLE = 16
 SIGNATURE = 64
+MARK_BITS = 128
+BANDS = 40
+BAND_ROWS = 4
+# a part of a cluster: at most about so many hashes and so many sets
+PART_HASHES = 1 << 19
+PART_SETS = 512
+COLUMNS_AT_ONCE = 4096
 CLASS_BITS = 22
 CHUNK_BITS = 16
 BITMAP_BITS = 1 << 23
 REMEMBERED_WORDS = 200_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _MIX2 = np.uint64(0xBF58476D1CE4E5B9)
+_PART_STARTS = np.arange(MARK_BITS, dtype=np.uint64) * np.uint64((1 << 64) // MARK_BITS)
 
 
 class _WordHashes(dict):
@@ -143,8 +152,20 @@ def frequency_classes(docs: DataFrame, width: int, bits: int = CLASS_BITS) -> np
     return classes
 
 
+def mark(h: np.ndarray) -> np.ndarray:
+    """Two words with a bit of the smallest of the sorted hashes in each of MARK_BITS equal parts of their range.
+
+    A value that only one of two sets holds changes one bit at most.
+    """
+    starts = np.searchsorted(h, _PART_STARTS)
+    there = np.flatnonzero(np.diff(starts, append=len(h)))
+    bits = np.zeros(MARK_BITS, dtype=np.uint8)
+    bits[there] = (h[starts[there]] >> np.uint64(20)) & np.uint64(1)
+    return np.packbits(bits).view(np.int64)
+
+
 def sketches(docs: DataFrame, width: int, similarity: int, classes: np.ndarray) -> DataFrame:
-    """(doc_id, n, key, pool, sig): set size, digest of the set, its bottom in the corpus order, its smallest hashes.
+    """(doc_id, n, key, pool, sig, m1, m2): set size, digest, bottom in the corpus order, smallest hashes, mark.
 
     ``pool`` and ``sig`` hold the upper halves of the hashes.
     """
@@ -155,10 +176,11 @@ def sketches(docs: DataFrame, width: int, similarity: int, classes: np.ndarray)
         import xxhash
         shingles, rank = Shingler(width), shared.value
         for batch in batches:
-            sizes, keys, pools, sigs = [], [], [], []
-            for text in batch.column(1):
+            sizes, keys, pools, sigs, marks = [], [], [], [], np.zeros((batch.num_rows, 2), dtype=np.int64)
+            for i, text in enumerate(batch.column(1)):
                 h = shingles(text.as_py())
                 sizes.append(len(h))
+                marks[i] = mark(h)
                 keys.append(xxhash.xxh3_128_digest(h.tobytes()))
                 # hashes come sorted, so a stable sort by class alone gives the order
                 order = np.argsort(rank[(h >> shift).astype(np.int64)], kind="stable")
@@ -167,15 +189,16 @@ def sketches(docs: DataFrame, width: int, similarity: int, classes: np.ndarray)
                 sigs.append(half[:SIGNATURE])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()),
-                 pa.array(pools, pa.list_(pa.int32())), pa.array(sigs, pa.list_(pa.int32()))],
-                names=["doc_id", "n", "key", "pool", "sig"])
+                 pa.array(pools, pa.list_(pa.int32())), pa.array(sigs, pa.list_(pa.int32())),
+                 pa.array(marks[:, 0]), pa.array(marks[:, 1])],
+                names=["doc_id", "n", "key", "pool", "sig", "m1", "m2"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        run, "doc_id long, n long, key binary, pool array<int>, sig array<int>")
+        run, "doc_id long, n long, key binary, pool array<int>, sig array<int>, m1 long, m2 long")
 
 
 def full_sets(docs: DataFrame, nodes: DataFrame, width: int, bits: int = BITMAP_BITS) -> DataFrame:
-    """(node, n, hashes) of the documents whose id is in ``nodes``.
+    """(node, n, hashes) of the documents whose id is in ``nodes``, each set of an id once.
 
     The ids are folded into a bitmap of fixed size that the scan of the texts
     carries along, so texts are neither shuffled nor all hashed; the ids it lets
@@ -190,6 +213,7 @@ def full_sets(docs: DataFrame, nodes: DataFrame, width: int, bits: int = BITMAP_
     shared = docs.sparkSession.sparkContext.broadcast(bitmap)  # bits / 8 bytes, whatever the number of ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
         shingles = Shingler(width)
         for batch in batches:
             p = batch.column(2).to_numpy()
@@ -197,30 +221,15 @@ def full_sets(docs: DataFrame, nodes: DataFrame, width: int, bits: int = BITMAP_
             found = [shingles(batch.column(1)[int(i)].as_py()) for i in hit]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(hit)), pa.array([len(h) for h in found], pa.int64()),
-                 pa.array([h.view(np.int64) for h in found], pa.list_(pa.int64()))], names=["node", "n", "hashes"])
+                 pa.array([h.view(np.int64) for h in found], pa.list_(pa.int64())),
+                 pa.array([xxhash.xxh3_128_digest(h.tobytes()) for h in found], pa.binary())],
+                names=["node", "n", "hashes", "key"])
 
     scanned = (docs.where(F.col("doc_id").isNotNull())
                .select(F.col("doc_id").cast("long").alias("node"), "text", place.alias("p"))
-               .mapInArrow(run, "node long, n long, hashes array<bigint>"))
-    return scanned.join(nodes.select("node").distinct(), "node", "left_semi")
-
-
-def shared_count(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Add ``na``, ``nb`` and ``common``, the exact size of the intersection, to (a, b) pairs.
-
-    Only the sets that the pairs name are moved.
-    """
-    pairs = pairs.select("a", "b")
-    left = (sets.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("hashes").alias("ha"))
-            .join(pairs.select("a").distinct(), "a", "left_semi"))
-    right = (sets.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("hashes").alias("hb"))
-             .join(pairs.select("b").distinct(), "b", "left_semi"))
-    joined = pairs.join(left, "a").join(right, "b")
-    return joined.select("a", "b", "na", "nb", F.size(F.array_intersect("ha", "hb")).cast("long").alias("common"))
-
-
-def similar(similarity: int) -> Column:
-    return 100 * F.col("common") >= similarity * (F.col("na") + F.col("nb") - F.col("common"))
+               .mapInArrow(run, "node long, n long, hashes array<bigint>, key binary"))
+    return (scanned.join(nodes.select("node").distinct(), "node", "left_semi")
+            .dropDuplicates(["node", "key"]).drop("key"))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -246,13 +255,22 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _pairs_of_lists(lists: DataFrame, similarity: int) -> DataFrame:
-    """Pairs (a, b, na, nb), a < b, of the members of each list whose sizes allow the similarity."""
+    """Pairs (a, b), a < b, of the members (node, n, m1, m2, label) of each list that may be similar by size and mark.
+
+    Members with one label are joined already. Similar sets differ in at most
+    (100 - similarity) / (100 + similarity) of their sizes' sum, so in no more
+    bits; of large sets, a bit differs with a chance of half the distance.
+    """
+    p = (100 - similarity) / 200
+    most = int(np.ceil(MARK_BITS * p + 8 * np.sqrt(MARK_BITS * p * (1 - p))))
     return (lists.select("members", F.explode("members").alias("x"))
-            .select("x", F.explode(F.expr(
-                f"filter(members, y -> y.node > x.node AND 100 * least(x.n, y.n) >= {similarity} * greatest(x.n, y.n))"
-            )).alias("y"))
-            .select(F.col("x.node").alias("a"), F.col("y.node").alias("b"),
-                    F.col("x.n").alias("na"), F.col("y.n").alias("nb")))
+            .select(F.col("x.node").alias("a"), F.explode(F.expr(
+                "filter(members, y -> y.node > x.node AND y.label <> x.label"
+                f" AND 100 * least(x.n, y.n) >= {similarity} * greatest(x.n, y.n)"
+                f" AND bit_count(x.m1 ^ y.m1) + bit_count(x.m2 ^ y.m2) <= {most}"
+                f" AND {100 + similarity} * (bit_count(x.m1 ^ y.m1) + bit_count(x.m2 ^ y.m2))"
+                f" <= {100 - similarity} * (x.n + y.n))")).alias("y"))
+            .select("a", F.col("y.node").alias("b")))
 
 
 def _overlap(a: pa.ListArray, b: pa.ListArray) -> np.ndarray:
@@ -295,125 +313,130 @@ def estimated(pairs: DataFrame, nodes: DataFrame, similarity: int) -> DataFrame:
             .mapInArrow(run, "a long, b long, na long, nb long, est double"))
 
 
-def _union(frames: list[DataFrame]) -> DataFrame:
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
-
-
-def _unjoined(pairs: DataFrame, edges: list[DataFrame]) -> DataFrame:
-    """The pairs whose ends no link found so far joins."""
-    if not edges:
-        return pairs
-    roots = components(_union(edges))
-    ra = roots.select(F.col("node").alias("a"), F.col("root").alias("ra"))
-    rb = roots.select(F.col("node").alias("b"), F.col("root").alias("rb"))
-    return (pairs.join(ra, "a", "left").join(rb, "b", "left")
-            .where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).drop("ra", "rb"))
-
-
-def _links(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
-    return materialize(shared_count(pairs, sets).where(similar(similarity)).select("a", "b"), "links")
-
+def bands(sets: DataFrame) -> DataFrame:
+    """(node, band): for each set, BANDS digests of the smallest values under BAND_ROWS orders each."""
+    seeds = np.random.default_rng(BANDS).integers(1, 1 << 63, size=BANDS * BAND_ROWS, dtype=np.uint64)
 
-def _confirm(candidates: DataFrame, sets: DataFrame, similarity: int, edges: list[DataFrame]) -> list[DataFrame]:
-    """``edges`` and those among (a, b, est) candidates that join all similar ones into the right components.
-
-    In a few rounds every document meets its likeliest partner only; then all pairs
-    that nothing has joined are checked.
-    """
-    edges = list(edges)
-    left = materialize(_unjoined(candidates, edges), "candidates")
-    for _ in range(STAR_ROUNDS):
-        if left.isEmpty():
-            return edges
-        best = F.max_by(F.struct("a", "b"), F.struct("est", "a", "b"))
-        pick = materialize(left.groupBy("b").agg(best.alias("x")).select("x.a", "x.b").unionByName(
-            left.groupBy("a").agg(best.alias("x")).select("x.a", "x.b")).distinct(), "picked")
-        edges.append(_links(pick, sets, similarity))
-        left = materialize(_unjoined(left.join(pick, ["a", "b"], "left_anti"), edges), "candidates")
-    if not left.isEmpty():
-        edges.append(_links(left, sets, similarity))
-    return edges
-
-
-def _list_links(long_lists: DataFrame, nodes: DataFrame, sets: DataFrame, similarity: int, hot: int
-                ) -> tuple[list[DataFrame], list[DataFrame]]:
-    """(edges, candidate pairs) of the members (h, node, n) of long lists.
-
-    In each round the members of a list meet its leaders (by a hash of the id, twice
-    as many as in the round before). Leaders and what is similar to one of them
-    leave the list; what the others may share with those is found in growing samples.
-    Lists that are no longer long give their pairs. Every round takes its leaders
-    out of every long list, so the rounds end, after about the logarithm of the
-    longest list.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+        for batch in batches:
+            out = []
+            for hashes in batch.column(1):
+                h = hashes.values.to_numpy().view(np.uint64)
+                least = np.empty(len(seeds), dtype=np.uint64)
+                for i, seed in enumerate(seeds):
+                    v = (h ^ seed) * _MIX
+                    v ^= v >> np.uint64(32)
+                    least[i] = (v * _MIX2).min()
+                out.append(np.array([xxhash.xxh3_64_intdigest(row.tobytes(), seed=i)
+                                     for i, row in enumerate(least.reshape(BANDS, BAND_ROWS))], dtype=np.uint64))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([b.view(np.int64) for b in out],
+                                                                        pa.list_(pa.int64()))], names=["node", "bands"])
+
+    found = sets.where("n > 0").select("node", "hashes").mapInArrow(run, "node long, bands array<bigint>")
+    return found.select("node", F.explode("bands").alias("band"))
+
+
+def _members(rows: DataFrame, key: str) -> DataFrame:
+    """(members) of each value of ``key``."""
+    return rows.groupBy(key).agg(F.collect_list(F.struct("node", "n", "m1", "m2", "label")).alias("members"))
+
+
+def _bucket_pairs(banded: DataFrame, nodes: DataFrame, similarity: int, hot: int
+                  ) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(pairs, ties, labels) of the rows (node, band), all that share a band being joined by ties or met in pairs.
+
+    ``labels`` (node, label) ties a member of buckets of more than ``hot`` members to the
+    smallest id in them, ``ties`` (a, b) are these and those between the labels in a
+    bucket. Shorter buckets give the pairs of members with different labels.
     """
-    t, reach = similarity / 100, 2 * similarity - 100
-    edges, candidates, leaders_per_list = [], [], LEADERS
-    active = long_lists
-    while True:
-        sizes = active.groupBy("h").agg(F.count("*").alias("c"))
-        lists = (active.join(sizes.where((F.col("c") > 1) & (F.col("c") <= hot)).select("h"), "h").groupBy("h")
-                 .agg(F.collect_set(F.struct("n", "node")).alias("members")))
-        candidates.append(materialize(_pairs_of_lists(lists, similarity).select("a", "b").distinct(), "list-pairs"))
-        active = materialize(active.join(sizes.where(F.col("c") > hot).select("h"), "h"), "long-lists")
-        if active.isEmpty():
-            return edges, candidates
-        place = F.row_number().over(Window.partitionBy("h").orderBy(F.xxhash64("node"), "node"))
-        leaders = materialize(active.withColumn("place", place).where(F.col("place") <= leaders_per_list)
-                              .select("h", F.col("node").alias("leader"), F.col("n").alias("nl")), "leaders")
-        # sizes further apart than the distance 2 (1 - t) allows need no meeting
-        pairs = (active.join(leaders, "h").where(
-            (F.col("leader") != F.col("node")) & (100 * F.least("n", "nl") >= reach * F.greatest("n", "nl")))
-            .select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct())
-        met = materialize(
-            shared_count(estimated(pairs, nodes, reach), sets)
-            .withColumn("d", 1 - F.col("common") / (F.col("na") + F.col("nb") - F.col("common")))
-            .withColumn("linked", similar(similarity)), "met")
-        edges.append(met.where("linked").select("a", "b"))
-        # of the leaders of one list that a member is linked with, the closest stands for it there
-        linked = met.where("linked").select(F.col("a").alias("leader"), F.col("b").alias("node"), "d", "nb")
-        closest = F.min_by(F.struct(F.col("leader").alias("a"), F.col("node").alias("x"), F.col("d").alias("dx"),
-                                    F.col("nb").alias("nx")), F.struct("d", "leader"))
-        gone = (active.select("h", "node").join(leaders.select("h", "leader"), "h").join(linked, ["leader", "node"])
-                .groupBy("h", "node").agg(closest.alias("c")).select("c.*").distinct())
-        gone = materialize(gone, "gone")
-        near = met.where(~F.col("linked") & (F.col("d") <= 2 * (1 - t) + 1e-9)).select("a", "b", "d", "nb")
-        edges += _joined_by_samples(near, gone, nodes, sets, similarity, edges)
-        left = met.where("linked").select(F.col("b").alias("node")).unionByName(
-            leaders.select(F.col("leader").alias("node"))).distinct()
-        active = materialize(active.join(left, "node", "left_anti"), "long-lists")
-        leaders_per_list *= 2
-
-
-def _joined_by_samples(near: DataFrame, gone: DataFrame, nodes: DataFrame, sets: DataFrame, similarity: int,
-                       edges: list[DataFrame]) -> list[DataFrame]:
-    """Links that join members near a leader with it, over members that left with the leader.
-
-    Round by round a member meets the next, four times as large, part of them by a hash
-    of the id, unless a link has joined it; at last it has met all.
+    sizes = banded.groupBy("band").agg(F.count("*").alias("c"), F.min("node").alias("least")).where("c > 1")
+    sized = materialize(banded.join(sizes, "band"), "buckets")
+    labels = materialize(sized.where(F.col("c") > hot).groupBy("node").agg(F.min("least").alias("label")), "labels")
+    named = sized.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    groups = named.where(F.col("c") > hot).select("band", F.col("label").alias("b")).distinct()
+    between = groups.join(groups.groupBy("band").agg(F.min("b").alias("a")), "band").where("a <> b").select("a", "b")
+    ties = labels.where("label <> node").select(F.col("label").alias("a"), F.col("node").alias("b"))
+    ties = ties.unionByName(between).distinct()
+    rows = named.where(F.col("c") <= hot).join(nodes.select("node", "n", "m1", "m2"), "node")
+    return _pairs_of_lists(_members(rows, "band"), similarity).distinct(), ties, labels
+
+
+def _unlabelled(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The (a, b) pairs whose ends do not have the same label."""
+    la = labels.select(F.col("node").alias("a"), F.col("label").alias("la"))
+    lb = labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
+    return (pairs.join(la, "a", "left").join(lb, "b", "left")
+            .where(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b"))
+
+
+def _similar_pairs(left: list[np.ndarray], right: list[np.ndarray], similarity: int) -> np.ndarray:
+    """Which sets of ``left`` and ``right`` are similar, exactly: a matrix of booleans."""
+    sizes = [np.array([len(h) for h in side], dtype=np.int64) for side in (left, right)]
+    values, place = np.unique(np.concatenate([*left, *right]), return_inverse=True)
+    row = [np.repeat(np.arange(len(s)), s) for s in sizes]
+    column = np.split(place, [int(sizes[0].sum())])
+    # only values on both sides can be common
+    both = np.logical_and(*(np.bincount(c, minlength=len(values)) > 0 for c in column))
+    number = np.cumsum(both) - 1
+    common = np.zeros((len(left), len(right)), dtype=np.int64)
+    for i in range(0, int(both.sum()), COLUMNS_AT_ONCE):
+        parts = []
+        for r, c, s in zip(row, column, sizes, strict=True):
+            here = both[c] & (number[c] >= i) & (number[c] < i + COLUMNS_AT_ONCE)
+            part = np.zeros((len(s), min(COLUMNS_AT_ONCE, int(both.sum()) - i)), dtype=np.float32)
+            part[r[here], number[c[here]] - i] = 1
+            parts.append(part)
+        common += (parts[0] @ parts[1].T).astype(np.int64)
+    return 100 * common >= similarity * (sizes[0][:, None] + sizes[1][None, :] - common)
+
+
+def _joining(linked: np.ndarray) -> Iterator[tuple[int, int]]:
+    """For each component of a symmetric matrix of links, (its first row, another one) for all others."""
+    free = np.ones(len(linked), dtype=bool)
+    for start in range(len(linked)):
+        if not free[start]:
+            continue
+        free[start] = False
+        reached = np.flatnonzero(linked[start] & free)
+        while len(reached):
+            free[reached] = False
+            yield from ((start, int(x)) for x in reached)
+            reached = np.flatnonzero(linked[reached].any(axis=0) & free)
+
+
+def cluster_links(sets: DataFrame, clusters: DataFrame, similarity: int) -> DataFrame:
+    """Links (a, b) that join whatever similar pairs of sets inside the clusters (node, root) join.
+
+    A cluster is dealt in parts of bounded size by a hash of the id. Every part meets
+    itself and each other part in a group of its own, so no task holds more than two.
     """
-    t, found, first = similarity / 100, [], 0.0
-    sizes = gone.groupBy("a").agg(F.count("*").alias("size"))
-    longest = sizes.agg(F.max("size").alias("m")).first()["m"]
-    near = materialize(_unjoined(near, edges), "unjoined")
-    step = FIRST_SAMPLE
-    while longest and not near.isEmpty():
-        # a part holds about ``step`` members of every leader, the last one all that are left
-        until = 1.0 if first + step >= longest else None
-        u = F.pmod(F.xxhash64("x", F.lit(7)), F.lit(1 << 40)) / F.lit(float(1 << 40)) * F.col("size")
-        part = gone.join(sizes, "a").where((u >= first) & (F.lit(until is not None) | (u < first + step)))
-        pairs = (near.join(part, "a")
-                 .where((F.col("d") <= F.col("dx") + (1 - t) + 1e-9) & (F.col("x") != F.col("b"))
-                        & (100 * F.least("nb", "nx") >= similarity * F.greatest("nb", "nx")))
-                 .select(F.least("x", "b").alias("a"), F.greatest("x", "b").alias("b")).distinct())
-        found.append(_links(estimated(pairs, nodes, similarity), sets, similarity))
-        if until is not None:
-            return found
-        first, step = first + step, step * 4
-        near = materialize(_unjoined(near, [*edges, *found]), "unjoined")
-    return found
+    weight = F.sum(F.greatest("n", F.lit(PART_HASHES // PART_SETS))).alias("w")
+    weights = clusters.join(sets.groupBy("node").agg(weight), "node")
+    parts = weights.groupBy("root").agg(F.ceil(F.sum("w") / PART_HASHES).cast("int").alias("parts"))
+    dealt = (clusters.join(parts, "root")
+             .withColumn("part", F.pmod(F.xxhash64("node", F.lit(11)), F.col("parts")).cast("int"))
+             .withColumn("other", F.explode(F.expr("sequence(0, parts - 1)")))
+             .select("node", "root", "part", F.least("part", "other").alias("i"),
+                     F.greatest("part", "other").alias("j")))
+
+    def links(rows: pa.Table) -> pa.Table:
+        nodes = rows["node"].to_numpy()
+        hashes = [h.values.to_numpy() for h in rows["hashes"]]
+        first = rows["part"].to_numpy() == rows["i"][0].as_py()
+        if first.all():
+            linked = _similar_pairs(hashes, hashes, similarity)
+        else:
+            sides = np.flatnonzero(first), np.flatnonzero(~first)
+            linked = np.zeros((len(nodes), len(nodes)), dtype=bool)
+            across = _similar_pairs(*([hashes[x] for x in side] for side in sides), similarity)
+            linked[np.ix_(*sides)] = across
+            linked[np.ix_(*sides[::-1])] = across.T
+        found = np.array(list(_joining(linked)), dtype=np.int64).reshape(-1, 2)
+        return pa.table({"a": nodes[found[:, 0]], "b": nodes[found[:, 1]]})
+
+    return (sets.select("node", "hashes").join(dealt, "node").groupBy("root", "i", "j")
+            .applyInArrow(links, "a long, b long"))
 
 
 def near_duplicates(docs: DataFrame, width: int, similarity: int = SIMILARITY, hot: int = HOT) -> DataFrame:
@@ -433,31 +456,30 @@ def near_duplicates(docs: DataFrame, width: int, similarity: int = SIMILARITY, h
     # equal sets first: the node of a set is its smallest id
     nodes = materialize(
         sketched.where("n > 0").groupBy("key")
-        .agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("pool").alias("pool"),
-             F.first("sig").alias("sig")).where("node IS NOT NULL").drop("key"), "nodes")
-    postings = nodes.select("node", "n", F.explode("pool").alias("h"))
-    frequency = postings.groupBy("h").agg(F.count("*").alias("df")).where("df > 1")
-    shared = materialize(postings.join(frequency, "h"), "postings")
-    lists = (shared.where(F.col("df") <= hot).groupBy("h")
-             .agg(F.collect_set(F.struct("n", "node")).alias("members")))
-    pairs = _pairs_of_lists(lists, similarity).select("a", "b").distinct()
-    candidates = materialize(estimated(pairs, nodes, similarity), "candidates")
-    long_lists = materialize(shared.where(F.col("df") > hot).select("h", "node", "n"), "long-lists")
-    wanted = (candidates.select(F.col("a").alias("node")).unionByName(candidates.select(F.col("b").alias("node")))
-              .unionByName(long_lists.select("node")))
-    edges: list[DataFrame] = []
+        .agg(F.min("doc_id").alias("node"), *(F.first(c).alias(c) for c in ("n", "pool", "sig", "m1", "m2")))
+        .where("node IS NOT NULL").drop("key"), "nodes")
+    postings = nodes.select("node", "n", "m1", "m2", F.explode("pool").alias("h"))
+    frequency = materialize(postings.groupBy("h").agg(F.count("*").alias("df")).where("df > 1"), "frequency")
+    short = _members(postings.join(frequency.where(F.col("df") <= hot).select("h"), "h")
+                     .withColumn("label", F.col("node")), "h")
+    candidates = materialize(
+        estimated(_pairs_of_lists(short, similarity).distinct(), nodes, similarity).select("a", "b"), "candidates")
+    crowded = materialize(postings.select("h", "node").join(frequency.where(F.col("df") > hot).select("h"), "h")
+                          .select("node").distinct(), "crowded")
+    ends = F.explode(F.array("a", "b")).alias("node")
+    edges = None
+    wanted = candidates.select(ends).unionByName(crowded)
     if not wanted.isEmpty():
         sets = materialize(full_sets(docs, wanted, width), "sets")
-        edges, more = _list_links(long_lists, nodes, sets, similarity, hot)
-        # pairs of lists that were long at first
-        late = [p for p in more if not p.isEmpty()]
-        if late:
-            late_pairs = _unjoined(_union(late).distinct(), edges)
-            candidates = candidates.unionByName(estimated(late_pairs, nodes, similarity)).dropDuplicates(["a", "b"])
-        edges = _confirm(candidates, sets, similarity, edges)
+        if not crowded.isEmpty():
+            banded = bands(sets.join(crowded, "node", "left_semi"))
+            pairs, ties, labels = _bucket_pairs(banded, nodes, similarity, hot)
+            candidates = (_unlabelled(candidates, labels).unionByName(ties)
+                          .unionByName(estimated(pairs, nodes, similarity).select("a", "b")))
+        edges = materialize(cluster_links(sets, components(candidates), similarity), "links")
     classes = sketched.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("node"))
-    if edges:
-        roots = components(_union(edges))
+    if edges is not None:
+        roots = components(edges)
         classes = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     else:
         classes = classes.withColumn("root", F.col("node"))

@@ -192,3 +192,39 @@ def test_sketches_hold_what_similar_sets_must_share():
         k = minhash.must_share(n, 80)
         # 80 per cent of the union is at least 80 per cent of either set, so fewer than k values can be missing
         assert n - k + 1 <= -(-n * 80 // 100) and k <= n
+
+
+def test_jobs_and_pairs_do_not_grow_with_a_group_of_near_copies(spark, monkeypatch):
+    """The largest group passes through a bounded number of jobs, as tied members and parts, not as all its pairs."""
+    rnd = random.Random(7)
+    base = [f"b{i}" for i in range(80)]
+    texts = []
+    for i in range(150):
+        text = list(base)
+        for j in rnd.sample(range(80), rnd.randrange(1, 12)):
+            text[j] = f"own{i}x{j}"
+        texts.append(" ".join(text))
+    texts += [" ".join(rnd.choice(base) for _ in range(40)) for _ in range(30)]
+    rows = list(enumerate(texts))
+    met, est = [], minhash.estimated
+    monkeypatch.setattr(minhash, "estimated", lambda pairs, *rest: met.append(pairs) or est(pairs, *rest))
+    monkeypatch.setattr(minhash, "PART_HASHES", 1 << 12)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    spark.sparkContext.setJobGroup("one-group", "near copies")
+    got = minhash.near_duplicates(docs, 2, hot=8).collect()
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("one-group"))
+    spark.sparkContext.setJobGroup("other", "other")
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == brute(rows, 2)
+    assert sum(p.count() for p in met) < 10 * len(rows)
+    assert jobs < 150
+
+
+def test_marks_differ_by_no_more_than_the_sets():
+    rng = np.random.default_rng(5)
+    for n in (1, 4, 60, 600):
+        for own in (1, max(1, n // 9)):
+            values = np.unique(rng.integers(0, 1 << 63, size=n + 2 * own, dtype=np.uint64) * np.uint64(2))
+            a, b = values[:n + own], np.unique(np.concatenate((values[:n], values[n + own:])))
+            bits = sum(int(x).bit_count() for x in (minhash.mark(a) ^ minhash.mark(b)).view(np.uint64))
+            assert bits <= 2 * own
+    assert minhash.mark(np.zeros(0, dtype=np.uint64)).tolist() == [0, 0]
