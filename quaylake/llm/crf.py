@@ -10,8 +10,9 @@ with the largest expected number of words.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +32,8 @@ MIX = 24
 STEPS = 30
 RATE = 0.15
 PENALTY = 1e-3
-REMEMBERED_WORDS = 500_000
+REMEMBERED_WORDS = 200_000
+WORDS_AT_ONCE = 4096
 _MULTIPLIERS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F], dtype=np.uint32)
 
 
@@ -76,15 +78,20 @@ class ChainModel:
     start: np.ndarray
 
     def emissions(self, words: list[str]) -> np.ndarray:
-        """Log potentials of each word's labels; n-grams count with their mean."""
-        if not words or not self.labels:
-            return np.zeros((len(words), len(self.labels)), dtype=np.float32)
-        flat, sizes = word_features(words)
-        starts = np.cumsum(sizes) - sizes
-        out = np.add.reduceat(self.weights[flat], starts, axis=0) / sizes[:, None]
-        known = np.array([self.lexicon.get(w, -1) for w in words])
-        out[known >= 0] += self.lexicon_weights[known[known >= 0]]
-        return out.astype(np.float32)
+        """Log potentials of each word's labels; n-grams count with their mean.
+
+        Some words at a time: their n-grams take a hundred times as much as the result.
+        """
+        result = np.zeros((len(words), len(self.labels)), dtype=np.float32)
+        for at in range(0, len(words) if self.labels else 0, WORDS_AT_ONCE):
+            part = words[at:at + WORDS_AT_ONCE]
+            flat, sizes = word_features(part)
+            starts = np.cumsum(sizes) - sizes
+            out = np.add.reduceat(self.weights[flat], starts, axis=0) / sizes[:, None]
+            known = np.array([self.lexicon.get(w, -1) for w in part])
+            out[known >= 0] += self.lexicon_weights[known[known >= 0]]
+            result[at:at + len(part)] = out
+        return result
 
 
 def forward_backward(logits: np.ndarray, sizes: np.ndarray, transitions: np.ndarray, start: np.ndarray
@@ -96,7 +103,8 @@ def forward_backward(logits: np.ndarray, sizes: np.ndarray, transitions: np.ndar
     step is normalised, so long chains neither under- nor overflow.
     """
     n_labels = logits.shape[1]
-    e = np.exp(logits - logits.max(axis=1, keepdims=True)).astype(np.float64) + 1e-30
+    e = np.exp(logits - logits.max(axis=1, keepdims=True)).astype(np.float64)
+    e += 1e-30
     t = np.exp(transitions - transitions.max())
     order = np.argsort(-sizes, kind="stable")
     first = (np.cumsum(sizes) - sizes)[order]
@@ -125,7 +133,8 @@ def forward_backward(logits: np.ndarray, sizes: np.ndarray, transitions: np.ndar
             pairs += (left * norm[:, None]).T @ ahead * t
         b = new / new.sum(axis=1, keepdims=True)
         beta[rows] = b
-    marginals = alpha * beta
+    marginals = alpha
+    marginals *= beta
     marginals /= marginals.sum(axis=1, keepdims=True)
     return marginals, pairs
 
@@ -209,17 +218,29 @@ class Labeller:
         self.table = np.zeros((0, len(self.model.labels)), dtype=np.float32)
         self.letters = np.zeros(0, dtype=bool)
 
-    def word_probabilities(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
-        """Label probabilities of all words of the texts, and which words have a letter."""
+    def encode(self, texts: Iterable[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of the table for all words of the texts, and how many words each text has.
+
+        The words of one text at a time are held; the table keeps those it has not met yet.
+        """
         if len(self.codes) > self.limit:
             self.clear()
         known, codes = len(self.codes), self.codes
-        code = np.array([codes.setdefault(w, len(codes)) for words in texts for w in words], dtype=np.int64)
+        found = [np.fromiter((codes.setdefault(w, len(codes)) for w in words), dtype=np.int32, count=len(words))
+                 for words in texts]
         if len(codes) > known:
-            new = list(codes)[known:] if known else list(codes)
+            new = list(islice(codes, known, None))
             self.table = np.concatenate((self.table, self.model.emissions(new)))
             self.letters = np.concatenate((self.letters, np.array([any(c.isalpha() for c in w) for w in new])))
-        sizes = np.array([len(w) for w in texts], dtype=np.int64)
+        sizes = np.array([len(c) for c in found], dtype=np.int64)
+        return np.concatenate([np.zeros(0, dtype=np.int32), *found]), sizes
+
+    def word_probabilities(self, texts: Iterable[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """Label probabilities of all words of the texts, and which words have a letter."""
+        return self.probabilities(*self.encode(texts))
+
+    def probabilities(self, code: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """As ``word_probabilities``, of encoded texts."""
         if not len(code) or not self.model.labels:
             return np.zeros((len(code), len(self.model.labels))), self.letters[code]
         marginals, _ = forward_backward(self.table[code], sizes[sizes > 0], self.model.transitions, self.model.start)
@@ -227,9 +248,9 @@ class Labeller:
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
         """(language, share of the words with a letter that it is expected to label) of each text."""
-        split = [words_of(t) for t in texts]
-        marginals, letters = self.word_probabilities(split)
-        ends = np.cumsum([len(w) for w in split])
+        code, sizes = self.encode(words_of(t) for t in texts)
+        marginals, letters = self.probabilities(code, sizes)
+        ends = np.cumsum(sizes)
         out = []
         for a, b in zip([0, *ends[:-1]], ends, strict=True):
             mask = letters[a:b]

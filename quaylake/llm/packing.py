@@ -27,7 +27,7 @@ VOCABULARY = "byte_bpe_50k.tiktoken"
 TOKENIZER = "byte_bpe_50k.json"
 CAPACITY = 1024
 END_ID = 0
-REMEMBERED_CHUNKS = 400_000
+REMEMBERED_CHUNKS = 200_000
 # the ranks and the chunk table of a Python worker, which its next tasks find filled
 _kept: list = [None, None]
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"

@@ -1,6 +1,7 @@
 """The learned operators: held-out accuracy, awkward rows and degenerate training data."""
 
 import math
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -162,6 +163,35 @@ def test_language_on_held_out_and_code_switched_text(docs, awkward):
     assert kept.columns == awkward.columns and kept.where("doc_id IN (2, 3, 4, 7)").count() == 0
 
 
+def peak_of(job):
+    tracemalloc.start()
+    try:
+        out = job()
+        return out, tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_labelling_takes_little_memory():
+    """An executor holds several Python workers: new words and long texts are worked off in parts."""
+    rng = np.random.default_rng(1)
+    text = " ".join(f"{a:x}wort{b:x}" for a, b in rng.integers(0, 1 << 32, size=(60_000, 2)).tolist())
+    model = crf.fit([("de", "der hund und die katze " * 20), ("en", "the dog and the cat " * 20),
+                     ("es", "el perro y el gato " * 20), ("fr", "le chien et le chat " * 20)], steps=3)
+    words = crf.words_of(text)
+    got, mb = peak_of(lambda: model.emissions(words))
+    assert mb < 30
+    some = range(crf.WORDS_AT_ONCE - 3, crf.WORDS_AT_ONCE + 3)
+    assert np.array_equal(got[list(some)], np.concatenate([model.emissions([words[i]]) for i in some]))
+    assert model.emissions([]).shape == (0, 4)
+    # many words again and again: beside the probabilities, no list of them all
+    often = ["the dog and the cat " * 50] * 2000
+    labeller = crf.Labeller(model)
+    out, mb = peak_of(lambda: labeller.predict([*often, None, "12"]))
+    assert mb < 90
+    assert out[-2:] == [("und", 0.0)] * 2 and {lang for lang, _ in out[:-2]} == {"en"}
+
+
 def test_forward_backward_equals_enumeration():
     import itertools
     rng = np.random.default_rng(3)
