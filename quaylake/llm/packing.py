@@ -11,10 +11,11 @@ from __future__ import annotations
 import json
 import zlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quaylake.llm.bpe import pattern, read_ranks, word_encoder
@@ -27,7 +28,13 @@ VOCABULARY = "byte_bpe_50k.tiktoken"
 TOKENIZER = "byte_bpe_50k.json"
 CAPACITY = 1024
 END_ID = 0
-REMEMBERED_CHUNKS = 200_000
+REMEMBERED_CHUNKS = 300_000
+# characters whose ids are gathered at a time
+TEXTS_AT_ONCE = 1 << 20
+# rows that Spark's Parquet reader holds at a time; of 4096 texts, the default, one array takes up to 32 MB
+READER_ROWS = 512
+# tasks that add up counts of at most some thousand lengths or groups
+COUNT_TASKS = 8
 # the ranks and the chunk table of a Python worker, which its next tasks find filled
 _kept: list = [None, None]
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
@@ -77,7 +84,7 @@ def token_pieces(docs: DataFrame, ranks: dict[bytes, int], capacity: int = CAPAC
 
         for batch in batches:
             keys, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
-            for a, b in text_groups(texts):
+            for a, b in text_groups(texts, TEXTS_AT_ONCE):
                 split = [parts(t) for t in texts[a:b]]
                 flat, sizes = table.expand([t for p in split for t in p[::2]])
                 sizes = iter(sizes.tolist())
@@ -142,10 +149,10 @@ def shortest_pack_first(histogram: dict[int, int], capacity: int) -> list[tuple[
 
 
 def slots(patterns: list[tuple[tuple[int, ...], int]]) -> dict[str, np.ndarray]:
-    """Places of each length in rank order, as runs: first rank, first sequence and offset.
+    """Places in order of length, as runs: number of the first place, first sequence and offset.
 
     A run gives ``count`` pieces of one length the same offset in consecutive
-    sequences. ``base`` maps a length to where its ranks begin in ``first``.
+    sequences.
     """
     runs: dict[int, list[tuple[int, int, int]]] = {}
     sequence = 0
@@ -155,64 +162,89 @@ def slots(patterns: list[tuple[tuple[int, ...], int]]) -> dict[str, np.ndarray]:
             runs.setdefault(length, []).append((sequence, offset, count))
             offset += length
         sequence += count
-    first, sequences, offsets, base, at = [], [], [], {}, 0
+    first, sequences, offsets, at = [], [], [], 0
     for length in sorted(runs):
-        base[length] = at
         for start, offset, count in runs[length]:
             first.append(at)
             sequences.append(start)
             offsets.append(offset)
             at += count
-    size = max(base, default=0) + 1
-    bases = np.zeros(size, dtype=np.int64)
-    for length, start in base.items():
-        bases[length] = start
     return {"first": np.array(first, dtype=np.int64), "sequence": np.array(sequences, dtype=np.int64),
-            "offset": np.array(offsets, dtype=np.int64), "base": bases}
+            "offset": np.array(offsets, dtype=np.int64)}
 
 
-def ranked(pieces: DataFrame, parts: int | None = None) -> DataFrame:
-    """Add ``rank``, counting from 0 within each length.
+@contextmanager
+def reader_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """What runs inside reads Parquet files in batches of ``rows``."""
+    key = "spark.sql.parquet.columnarReaderBatchSize"
+    before = spark.conf.get(key)
+    spark.conf.set(key, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
-    A length with a third of all pieces is numbered in ``parts`` parts by a hash
-    of the piece, and the parts' counts shift their numbers.
+
+def counted(pieces: DataFrame, column: str) -> dict[int, int]:
+    """Rows of each value of a column with few values."""
+    counts = pieces.groupBy(column).agg(F.count("*").alias("n")).coalesce(COUNT_TASKS)
+    return {r[column]: r["n"] for r in counts.collect()}
+
+
+def grouped(pieces: DataFrame, histogram: dict[int, int], parts: int) -> DataFrame:
+    """Add ``part``, a hash of the piece, and ``group``; groups follow each other by length, then by part.
+
+    A length has as many groups as it has times the pieces of an even part, so
+    there are at most ``parts`` groups more than lengths, and one length with a
+    third of all pieces is spread over a third of them.
     """
-    parts = parts or 4 * int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    split = pieces.withColumn("part", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(parts)))
-    counts = split.groupBy("length", "part").agg(F.count("*").alias("n"))
-    before = counts.withColumn("shift", F.sum("n").over(
-        Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        - F.col("n")).drop("n")
-    number = F.row_number().over(Window.partitionBy("length", "part").orderBy("doc_id", "start", "ids_crc32")) - 1
-    return (split.withColumn("number", number).join(before, ["length", "part"])
-            .withColumn("rank", F.col("number") + F.col("shift")).drop("number", "shift", "part"))
-
-
-def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    even = max(1, -(-sum(histogram.values()) // parts))
+    count, first, at = [1], [0], 0
+    for length in range(1, max(histogram, default=0) + 1):
+        n = -(-histogram.get(length, 0) // even)
+        count.append(n)
+        first.append(at)
+        at += n
+    hashed = pieces.withColumn("part", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(parts)))
+    return hashed.withColumn("group", F.expr(f"array({', '.join(map(str, first))})[int(length)] + "
+                                             f"part * array({', '.join(map(str, count))})[int(length)] div {parts}"))
+
+
+def pack(pieces: DataFrame, capacity: int = CAPACITY, parts: int | None = None) -> DataFrame:
     """``pieces`` (written to the shared folder) with ``sequence_id`` and ``offset``.
 
     Every piece has a place; offsets in a sequence are gapless from 0. An empty
-    input gives an empty result. The broadcast runs number at most a few per pair
-    of lengths, bounded by the capacity whatever the corpus size.
+    input gives an empty result. Pieces are numbered group by group, and the
+    counts of the groups before shift their numbers: no join and no task that
+    holds a whole length. Broadcast are the runs, at most a few per pair of
+    lengths, and the counts, about ``parts`` (four a shuffle partition), whatever
+    the corpus size.
     """
-    pieces = materialize(pieces, "pieces")
-    histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
+    spark = pieces.sparkSession
+    parts = parts or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    with reader_rows(spark, READER_ROWS):
+        pieces = materialize(pieces, "pieces")
+    histogram = counted(pieces, "length")
     places = slots(shortest_pack_first(histogram, capacity))
-    shared = pieces.sparkSession.sparkContext.broadcast(places)
+    split = grouped(pieces, histogram, parts)
+    counts = counted(split, "group")
+    sizes = np.array([counts.get(g, 0) for g in range(max(counts, default=-1) + 1)], dtype=np.int64)
+    shared = spark.sparkContext.broadcast({**places, "before": np.cumsum(sizes) - sizes})
     columns = pieces.columns
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = shared.value
         for batch in batches:
-            length = batch.column(columns.index("length")).to_numpy()
-            at = p["base"][length] + batch.column(len(columns)).to_numpy()
+            group, number = (batch.column(len(columns) + i).to_numpy() for i in range(2))
+            at = p["before"][group] + number
             run = np.searchsorted(p["first"], at, side="right") - 1
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(p["sequence"][run] + at - p["first"][run], pa.int64()),
+                [*batch.columns[:-2], pa.array(p["sequence"][run] + at - p["first"][run], pa.int64()),
                  pa.array(p["offset"][run], pa.int64())], names=[*columns, "sequence_id", "offset"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
-    return (ranked(pieces).select(*columns, "rank")
+    number = F.row_number().over(Window.partitionBy("group").orderBy("part", "doc_id", "start", "ids_crc32")) - 1
+    return (split.withColumn("number", number).select(*columns, "group", "number")
             .mapInArrow(place, f"{schema}, `sequence_id` bigint, `offset` bigint"))
 
 

@@ -9,6 +9,7 @@ length.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -53,25 +54,17 @@ class ChunkTable:
         self.reset()
 
     def reset(self) -> None:
-        self.flat = np.zeros(1 << 16, dtype=np.uint32)
-        self.starts = np.zeros(1 << 12, dtype=np.int64)
-        self.sizes = np.zeros(1 << 12, dtype=np.int64)
-        self.used = self.chunks = 0
+        self.flat, self.sizes = array("I"), array("q")
+        self.chunks = 0
         self.first = _Codes(lambda c: self._add(c, c))
         self.rest = _Codes(lambda c: self._add(c, " " + c))
         self.pieces = _Codes(lambda c: self._store(self.ids_of(c)))
 
     def _store(self, ids: list[int]) -> int:
-        end, n = self.used + len(ids), self.chunks
-        if end > len(self.flat):
-            self.flat = np.concatenate((self.flat[:self.used], np.zeros(max(end, len(self.flat)), dtype=np.uint32)))
-        if n == len(self.starts):
-            self.starts = np.concatenate((self.starts, np.zeros(n, dtype=np.int64)))
-            self.sizes = np.concatenate((self.sizes, np.zeros(n, dtype=np.int64)))
-        self.flat[self.used:end] = ids
-        self.starts[n], self.sizes[n] = self.used, len(ids)
-        self.used, self.chunks = end, n + 1
-        return n
+        self.flat.extend(ids)
+        self.sizes.append(len(ids))
+        self.chunks = n = len(self.sizes)
+        return n - 1
 
     def _add(self, chunk: str, text: str) -> int:
         if not chunk or chunk[0].isspace() or chunk[-1].isspace():
@@ -100,9 +93,11 @@ class ChunkTable:
         if self.chunks > self.limit:
             self.reset()
         places = [[self.codes(s) for s in segments(t)] for t in texts]
-        sizes = np.array([sum(int(self.sizes[p].sum()) for p in parts) for parts in places], dtype=np.int64)
+        # views of the arrays, which may not grow before these are gone
+        flat, known = np.asarray(self.flat, dtype=np.uint32), np.asarray(self.sizes, dtype=np.int64)
+        sizes = np.array([sum(int(known[p].sum()) for p in parts) for parts in places], dtype=np.int64)
         joined = np.concatenate([p for parts in places for p in parts] or [np.zeros(0, dtype=np.int64)])
-        return gather(self.flat, self.starts, self.sizes, joined), sizes
+        return gather(flat, np.cumsum(known) - known, known, joined), sizes
 
 
 def gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray, places: np.ndarray,

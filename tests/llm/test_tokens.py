@@ -155,3 +155,31 @@ def test_the_chunk_table_stays_with_its_vocabulary(spark):
     for ranks in (first, second, first):
         ids = packing.token_pieces(docs, ranks, include_ids=True).select("ids").distinct().collect()
         assert [r["ids"] for r in ids] == [[ranks[bytes([c])] for c in b"ab ba ab"] + [packing.END_ID]]
+
+
+def test_packing_numbers_pieces_without_a_join_or_a_whole_length(spark, monkeypatch):
+    pieces = spark.range(0, 4000, 1, 4).selectExpr(
+        "id AS doc_id", "0L AS start", "IF(id < 3000, 1024L, id % 50 + 1) AS length", "id * 7919 % 4001 AS ids_crc32",
+        "IF(id < 3000, 1024L, id % 50 + 1) AS doc_tokens")
+    key, seen = "spark.sql.parquet.columnarReaderBatchSize", []
+    write, before = packing.materialize, spark.conf.get(key)
+    monkeypatch.setattr(packing, "materialize", lambda *a: seen.append(int(spark.conf.get(key))) or write(*a))
+    packed = packing.pack(pieces, parts=32)
+    # texts are read few at a time: batches of the default size take tens of MB of a task's heap
+    assert seen == [packing.READER_ROWS] and seen[0] < int(before) == int(spark.conf.get(key))
+    plan = packed._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange") == 1
+    rows = packed.collect()
+    assert len(rows) == 4000 and len({(r["sequence_id"], r["offset"]) for r in rows}) == 4000
+    histogram = {1024: 3000, **dict.fromkeys(range(1, 51), 20)}
+    split = packing.grouped(pieces, histogram, 32).collect()
+    sizes = {}
+    for r in split:
+        sizes[r["group"]] = sizes.get(r["group"], 0) + 1
+    assert len(sizes) <= 32 + len(histogram) and max(sizes.values()) <= 2 * 3000 // 24
+    # places follow length, part and piece, as when one task numbers a length
+    keys = ("part", "doc_id", "start", "ids_crc32")
+    at = {r["doc_id"]: i for i, r in enumerate(sorted(split, key=lambda r: (r["length"], *(r[k] for k in keys))))}
+    assert [r["group"] for r in sorted(split, key=lambda r: at[r["doc_id"]])] == sorted(r["group"] for r in split)
+    full = sorted((r for r in rows if r["length"] == 1024), key=lambda r: r["sequence_id"])
+    assert [r["doc_id"] for r in full] == sorted((r["doc_id"] for r in full), key=at.__getitem__)
